@@ -16,9 +16,13 @@ def is_train() -> Column:
     return F.col("_split") == "train"
 
 
+def train_mean(df: DataFrame, column: str) -> Column:
+    """Mean over the train rows: one number, computed once and used as a literal by every plan."""
+    return F.lit(df.where(is_train()).agg(F.avg(column)).first()[0]).cast("double")
+
+
 def target_mean(df: DataFrame, target: str = "click") -> Column:
-    """Mean target over the train rows, as a scalar subquery."""
-    return df.where(is_train()).agg(F.avg(target)).scalar()
+    return train_mean(df, target)
 
 
 def fold_sums(df: DataFrame, key: str, target: str = "click", fold: Column | None = None, folds: int = 5) -> DataFrame:
@@ -71,13 +75,17 @@ def pair_shares(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     return train.groupBy(*keys).agg((F.count(F.lit(1)) / total).alias(name))
 
 
-def frequency_encode(df: DataFrame, groups: Sequence[Sequence[str]]) -> DataFrame:
-    """Add ``<a>_x_<b>_freq`` (or ``<a>_freq``) for each group of columns; 0 if unseen in train."""
-    counts = key_counts(df.where(is_train()), groups)
+def frequency_encode(df: DataFrame, groups: Sequence[Sequence[str]], base: DataFrame | None = None) -> DataFrame:
+    """Add ``<a>_x_<b>_freq`` (or ``<a>_freq``) for each group of columns; 0 if unseen in train.
+
+    The shares are counted on ``base``: the same rows, without the columns derived so far.
+    """
+    base = df if base is None else base
+    counts = key_counts(base.where(is_train()), groups)
     out = df
     for keys in groups:
         name = "_x_".join(keys) + "_freq"
-        out = lookup(out, pair_shares(df, keys, name), keys, counts[tuple(keys)], {name: F.lit(0.0)}, null_safe=True)
+        out = lookup(out, pair_shares(base, keys, name), keys, counts[tuple(keys)], {name: F.lit(0.0)}, null_safe=True)
     return out
 
 

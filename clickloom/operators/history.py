@@ -48,50 +48,40 @@ def windowed_history(
     many rows fall into it. With ``strict`` the all-time history also ignores rows that share
     the timestamp.
     """
-    probe, enter = F.col("_step") == "row", F.col("_step") == "enter"
+    names = list(look_backs)
+
+    def step(at: Column, kind: int, own: int, moves: Mapping[str, int]) -> Column:
+        return F.struct(
+            at.alias("_at"), F.lit(kind).alias("_kind"), F.lit(own).alias("_own"),
+            *[F.lit(moves.get(n, 0)).alias(f"_{n}") for n in names],
+        )
+
     steps = [
-        F.struct(F.col("_us").alias("_at"), F.lit(1).alias("_kind"), F.lit("row").alias("_step")),
-        F.struct((F.col("_us") + 1).alias("_at"), F.lit(0).alias("_kind"), F.lit("enter").alias("_step")),
-    ] + [
-        F.struct((F.col("_us") + width).alias("_at"), F.lit(0).alias("_kind"), F.lit(name).alias("_step"))
-        for name, width in look_backs.items()
-    ]
+        step(F.col("_us"), 1, 0 if strict else 1, {}),
+        step(F.col("_us") + 1, 0, 1 if strict else 0, dict.fromkeys(names, 1)),
+    ] + [step(F.col("_us") + look_backs[n], 0, 0, {n: -1}) for n in names]
     columns = [c for c in rows.columns if c != CHUNK]
     needed = list(dict.fromkeys([key, "event_id", "click"] + ([revenue] if revenue else [])))
     spread = rows.select(*columns, F.explode(F.array(*steps)).alias("_e")).select(
-        F.when(F.col("_e._step") == "row", F.struct(*columns)).alias("_row"),
-        *needed, "_e._at", "_e._kind", "_e._step",
+        F.when(F.col("_e._kind") == 1, F.struct(*columns)).alias("_row"), *needed, "_e.*",
     )
     events = timeline.chunked(spread, "_at", "event_id", F.col("_kind"))
 
-    own = enter if strict else probe
-    sums = {
-        f"{prefix}_clicks_before": F.when(own, F.col("click")),
-        f"{prefix}_impressions_before": F.when(own, F.lit(1)),
-    }
+    clicks, shown, earned = (f"{prefix}_{m}_before" for m in ("clicks", "impressions", "revenue"))
+    sums = {clicks: F.col("_own") * F.col("click"), shown: F.col("_own")}
     if revenue:
-        sums[f"{prefix}_revenue_before"] = F.when(own, F.col(revenue) * F.col("click"))
-    if look_backs:
-        sums["_enter_n"], sums["_enter_c"] = F.when(enter, F.lit(1)), F.when(enter, F.col("click"))
-    for name in look_backs:
-        gone = F.col("_step") == name
-        sums[f"_{name}_n"], sums[f"_{name}_c"] = F.when(gone, F.lit(1)), F.when(gone, F.col("click"))
-
-    state = running(events, [key], sums, order=("_at", "_kind", "event_id")).where(probe)
-    history = [c for c in sums if not c.startswith("_")]
-    trailing = []
-    for name in look_backs:
-        shown = F.col("_enter_n") - F.col(f"_{name}_n")
-        clicks = F.col("_enter_c") - F.col(f"_{name}_c")
-        trailing += [
-            shown.alias(f"{prefix}_impressions_last_{name}"),
-            clicks.alias(f"{prefix}_clicks_last_{name}"),
-            ratio(clicks, shown, prior).alias(f"{prefix}_ctr_last_{name}"),
-        ]
-    out = state.select("_row.*", CHUNK, *history, *trailing)
-    return out.withColumn(
-        f"{prefix}_ctr_before", ratio(F.col(f"{prefix}_clicks_before"), F.col(f"{prefix}_impressions_before"), prior)
-    )
+        sums[earned] = F.col("_own") * F.col(revenue) * F.col("click")
+    for n in names:
+        sums[f"{prefix}_impressions_last_{n}"] = F.col(f"_{n}")
+        sums[f"{prefix}_clicks_last_{n}"] = F.col(f"_{n}") * F.col("click")
+    state = running(
+        events.repartition(CHUNK), [key], sums, order=("_at", "_kind", "event_id"), base=events
+    ).where(F.col("_kind") == 1)
+    rates = [
+        ratio(F.col(f"{prefix}_clicks_last_{n}"), F.col(f"{prefix}_impressions_last_{n}"), prior).alias(f"{prefix}_ctr_last_{n}")
+        for n in names
+    ]
+    return state.select("_row.*", CHUNK, *sums, ratio(F.col(clicks), F.col(shown), prior).alias(f"{prefix}_ctr_before"), *rates)
 
 
 def ctr_trend(rows: DataFrame, prefix: str = "ag", short: str = "1d", long: str = "3d") -> DataFrame:

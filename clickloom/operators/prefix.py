@@ -79,6 +79,10 @@ class Timeline:
         placed = bucketize(df.withColumn("_pos", position), {"_pos": list(self.splits)}, "_n")
         return placed.withColumnRenamed("_pos_n", CHUNK).drop("_pos")
 
+    def arranged(self, df: DataFrame, at: str = "_us", row_id: str = "event_id", kind: Column | None = None) -> DataFrame:
+        """Chunked rows, hashed on the chunk alone so that windows of all keys share the shuffle."""
+        return self.chunked(df, at, row_id, kind).repartition(CHUNK)
+
 
 def running(
     rows: DataFrame,
@@ -92,8 +96,8 @@ def running(
 
     ``sums`` become running sums (0 without history), ``lasts`` the last non-null value (null
     without history); the row itself is never included. Rows with a null key have no history.
-    ``rows`` carries the chunk column; ``base`` is the same log without derived columns, so that
-    the carried totals do not recompute earlier steps.
+    ``rows`` are arranged on a timeline; ``base`` is the same chunked log without derived
+    columns, so that the carried totals do not recompute earlier steps.
     """
     sums, lasts = sums or {}, lasts or {}
     base = rows if base is None else base
@@ -101,19 +105,19 @@ def running(
     for k in keys:
         keyed = keyed & F.col(k).isNotNull()
 
-    before = W.partitionBy(CHUNK, *keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    before = W.partitionBy(*keys, CHUNK).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
     local = rows.withColumns(
         {f"_in_{n}": F.sum(c).over(before) for n, c in sums.items()}
         | {f"_in_{n}": F.last(c, ignorenulls=True).over(before) for n, c in lasts.items()}
     )
 
-    totals = base.where(keyed).groupBy(CHUNK, *keys).agg(
+    totals = base.where(keyed).groupBy(*keys, CHUNK).agg(
         *[F.sum(c).alias(n) for n, c in sums.items()],
         *[F.max_by(c, F.when(c.isNotNull(), F.struct(*order))).alias(n) for n, c in lasts.items()],
     )
     earlier = W.partitionBy(*keys).orderBy(CHUNK).rowsBetween(W.unboundedPreceding, -1)
     carry = totals.select(
-        CHUNK, *keys,
+        *keys, CHUNK,
         *[F.sum(n).over(earlier).alias(f"_from_{n}") for n in sums],
         *[F.last(n, ignorenulls=True).over(earlier).alias(f"_from_{n}") for n in lasts],
     )
@@ -121,7 +125,7 @@ def running(
     for n in [*sums, *lasts]:
         useful = useful | F.col(f"_from_{n}").isNotNull()
 
-    joined = local.join(carry.where(useful), [CHUNK, *keys], "left")
+    joined = local.join(carry.where(useful), [*keys, CHUNK], "left")
     zero = F.lit(0)
     out = {
         n: F.when(keyed, F.coalesce(F.col(f"_in_{n}"), zero) + F.coalesce(F.col(f"_from_{n}"), zero)).otherwise(zero)
@@ -133,8 +137,8 @@ def running(
 def row_position(df: DataFrame, order: Sequence[str], timeline: Timeline, name: str = "position") -> DataFrame:
     """Number the rows 0, 1, … along the order of the timeline."""
     at, row_id = order
-    placed = timeline.chunked(df, at, row_id).withColumn("_all", F.lit(0))
-    return running(placed, ["_all"], {name: F.lit(1)}, order=order).drop("_all", CHUNK)
+    flat = timeline.chunked(df, at, row_id).withColumn("_all", F.lit(0))
+    return running(flat.repartition(CHUNK), ["_all"], {name: F.lit(1)}, order=order, base=flat).drop("_all", CHUNK)
 
 
 def by_value(df: DataFrame, columns: Sequence[str], sums: Mapping[str, Column], pieces: int | None = None) -> DataFrame:
@@ -179,8 +183,8 @@ def global_rank(df: DataFrame, value: str, row_id: str, descending: bool = True,
         (F.col("_n_total") - F.col("_n_below") - F.col("_n") if descending else F.col("_n_below")).alias("_ahead"),
         F.col("_n_total").alias(f"{name}_of"),
     )
-    placed = Timeline.of(df, row_id, row_id).chunked(df, row_id, row_id).withColumn("_value", F.col(value).cast("double"))
-    ranked = running(placed, ["_value"], {"_peers": F.lit(1)}, order=[row_id])
+    flat = Timeline.of(df, row_id, row_id).chunked(df, row_id, row_id).withColumn("_value", F.col(value).cast("double"))
+    ranked = running(flat.repartition(CHUNK), ["_value"], {"_peers": F.lit(1)}, order=[row_id], base=flat)
     return ranked.join(blocks, "_value").withColumn(name, F.col("_ahead") + F.col("_peers")).drop(
         "_value", "_ahead", "_peers", CHUNK
     )

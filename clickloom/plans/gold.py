@@ -7,10 +7,10 @@ from pyspark.sql import DataFrame, functions as F
 from clickloom.constants import CATEGORICAL_FEATURES, GOLD_COLUMNS, ID_COLUMNS, INTERACTIONS
 from clickloom.functions.scalar import category_text, fold_of, micros
 from clickloom.operators.coclick import with_coclick_affinity, with_previous_click
-from clickloom.operators.encode import encoded, fold_sums, frequency_encode, is_train, target_mean
+from clickloom.operators.encode import encoded, fold_sums, frequency_encode, target_mean, train_mean
 from clickloom.operators.history import affinity_history, click_history, ctr_trend, user_history, windowed_history
 from clickloom.operators.joins import lookup
-from clickloom.operators.prefix import Timeline
+from clickloom.operators.prefix import CHUNK, Timeline
 from clickloom.session import materialize
 
 
@@ -52,19 +52,25 @@ def staged_rows(fact: DataFrame, dim_ad: DataFrame, dim_user: DataFrame) -> Data
 
 
 def gold_features(rows: DataFrame, timeline: Timeline) -> DataFrame:
-    """Add all features to staged rows; the whole chain runs on one shuffle by chunk."""
+    """Add all features to staged rows; the whole chain runs on one shuffle by chunk.
+
+    Columns that no window reads travel as one packed column.
+    """
     prior = target_mean(rows)
-    mean_price = rows.where(is_train()).agg(F.avg("price")).scalar()
-    base = timeline.chunked(rows)
-    rows = frequency_encode(rows, INTERACTIONS)
+    mean_price = train_mean(rows, "price")
+    read = ["_us", "event_id", "userid", "adgroup_id", "cate_id", "brand", "price", "click"]
+    rest = [c for c in rows.columns if c not in read]
+    base = timeline.chunked(rows.select(*read))
 
-    out = windowed_history(rows, "adgroup_id", "ag", prior, timeline, revenue="price")
-    out = ctr_trend(out)
+    out = rows.select(*read, F.struct(*rest).alias("_rest"))
+    out = windowed_history(out, "adgroup_id", "ag", prior, timeline, revenue="price")
     out = click_history(out, ["cate_id"], "cate", prior, base)
     out = user_history(out, prior, mean_price, base)
     out = affinity_history(out, ["userid", "cate_id"], "user_cate", prior, base)
     out = affinity_history(out, ["userid", "brand"], "user_brand", prior, base)
-    return with_coclick_affinity(out, with_previous_click(base))
+    out = with_coclick_affinity(out, with_previous_click(base.repartition(CHUNK)))
+    out = ctr_trend(out.select("*", "_rest.*").drop("_rest"))
+    return frequency_encode(out, INTERACTIONS, base=rows)
 
 
 def gold_table(fact: DataFrame, dim_ad: DataFrame, dim_user: DataFrame, timeline: Timeline | None = None) -> DataFrame:
