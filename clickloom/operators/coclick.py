@@ -19,10 +19,9 @@ def with_previous_click(rows: DataFrame) -> DataFrame:
 def with_coclick_affinity(rows: DataFrame, base: DataFrame | None = None) -> DataFrame:
     """Add P(click this ad | last click was X) from the transitions seen so far; 0 without any."""
     base = rows if base is None else base
-    clicked = base.where(F.col("click") == 1)
-    out = running(rows, [PREV, "adgroup_id"], {"_pair": F.col("click")}, base=clicked)
-    out = running(out, [PREV], {"_from_prev": F.col("click")}, base=clicked)
-    return out.withColumn("item_coclick_affinity", ratio(F.col("_pair"), F.col("_from_prev"), 0.0)).drop("_pair", "_from_prev")
+    out = running(rows, [PREV, "adgroup_id"], {"_pair": F.col("click")}, base=base)
+    out = running(out, [PREV], {"_any": F.col("click")}, base=base)
+    return out.withColumn("item_coclick_affinity", ratio(F.col("_pair"), F.col("_any"), 0.0)).drop("_pair", "_any")
 
 
 def coclick_snapshot(rows: DataFrame, item: str = "adgroup_id") -> DataFrame:

@@ -96,7 +96,7 @@ def running(
 
     ``sums`` become running sums (0 without history), ``lasts`` the last non-null value (null
     without history); the row itself is never included. Rows with a null key have no history.
-    ``rows`` are arranged on a timeline; ``base`` is the same chunked log without derived
+    ``rows`` are arranged on a timeline; ``base`` holds the same chunked rows without derived
     columns, so that the carried totals do not recompute earlier steps.
     """
     sums, lasts = sums or {}, lasts or {}

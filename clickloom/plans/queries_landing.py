@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from clickloom.constants import AD_COLUMNS, FACT_KEY, TARGET, USER_COLUMNS
@@ -18,7 +20,7 @@ from clickloom.operators.candidates import user_snapshot
 from clickloom.plans.lake import Lake
 from clickloom.plans.oracle import ADS, CATALOG, DIRTY, ENCODED, GOLD, HISTORY, IMP, QUERIES, STAR, USERS, big, candidates, r6, ranks
 from clickloom.plans.registry import query
-from clickloom.session import materialize
+from clickloom.session import materialize, shared_folder
 from clickloom.sources import bindings
 from clickloom.sources.raw import read_days, tagged, write_days
 
@@ -52,8 +54,6 @@ DAYS_SQL = f"WITH {IMP} SELECT date AS dt, count(*) AS n, {big('sum(click)')} AS
 
 @query("a06_day_sink", DAYS_SQL)
 def _(lake: Lake) -> DataFrame:
-    from clickloom.session import shared_folder
-    import uuid
     path = f"{shared_folder(lake.spark)}/days-{uuid.uuid4().hex}"
     write_days(lake.imp.withColumn("date", F.col("date").cast("string")), path)
     days = read_days(lake.spark, path)
@@ -63,8 +63,6 @@ def _(lake: Lake) -> DataFrame:
 @query("a08_pruned_scan", f"""WITH {IMP} SELECT date AS dt, count(*) AS n, {big('sum(click)')} AS clicks
        FROM imp WHERE date >= '2024-01-10' AND date < '2024-01-20' GROUP BY 1""")
 def _(lake: Lake) -> DataFrame:
-    from clickloom.session import shared_folder
-    import uuid
     path = f"{shared_folder(lake.spark)}/days-{uuid.uuid4().hex}"
     write_days(lake.imp.withColumn("date", F.col("date").cast("string")), path)
     days = read_days(lake.spark, path).where((F.col("dt") >= F.lit("2024-01-10").cast("date")) & (F.col("dt") < F.lit("2024-01-20").cast("date")))
