@@ -113,9 +113,10 @@ def _(lake: Lake) -> DataFrame:
     return tidy(history.ctr_trend(_trailing(lake)), "event_id", "ag_ctr_trend_1d_vs_3d")
 
 
-@query("g13_previous_click", f"WITH {HISTORY} SELECT event_id, user_prev_clicked_item FROM feat")
+@query("g13_previous_click", f"WITH {HISTORY} SELECT event_id, COALESCE(user_prev_clicked_item, -1) AS user_prev_clicked_item FROM feat")
 def _(lake: Lake) -> DataFrame:
-    return coclick.with_previous_click(lake.arranged()).select("event_id", coclick.PREV)
+    rows = coclick.with_previous_click(lake.arranged())
+    return rows.select("event_id", F.coalesce(coclick.PREV, F.lit(-1)).alias(coclick.PREV))
 
 
 @query("g14_coclick_affinity", feat("item_coclick_affinity"))
@@ -172,13 +173,14 @@ GOLD_INTS = {
 }
 _NUMBERS = {c for c in GROUPED_FEATURES + ["userid_te", "adgroup_id_te", "campaign_id_te", "customer_te"]} - GOLD_INTS
 GOLD_SQL = f"WITH {GOLD} SELECT us, " + ", ".join(
-    f"{big(c)} AS {c}" if c in GOLD_INTS else f"{r6(c)} AS {c}" if c in _NUMBERS else c for c in GOLD_TEXT
+    f"{big(f'COALESCE({c}, -1)')} AS {c}" if c in GOLD_INTS else f"{r6(c)} AS {c}" if c in _NUMBERS else c for c in GOLD_TEXT
 ) + " FROM gold"
 
 
 @query("g21_gold_table", GOLD_SQL)
 def _(lake: Lake) -> DataFrame:
-    return tidy(lake.build_gold().withColumn("us", F.unix_micros("time_stamp")), "us", *GOLD_TEXT)
+    gold = lake.build_gold().withColumn("us", F.unix_micros("time_stamp"))
+    return tidy(gold.fillna(-1, [coclick.PREV]), "us", *GOLD_TEXT)
 
 
 @query("g22_brand_ctr", feat("brand_clicks_before", "brand_impressions_before", "brand_ctr_before", ints=("brand_clicks_before", "brand_impressions_before")))
@@ -285,10 +287,10 @@ def _(lake: Lake) -> DataFrame:
     return running(lake.arranged("pid"), ["pid"], {"shown_before": F.lit(1)}).select("event_id", "shown_before")
 
 
-@query("w03_last_value_before", f"WITH {IMP} SELECT event_id, last_value(CASE WHEN click = 1 THEN userid END IGNORE NULLS) OVER {prefix('adgroup_id')} AS last_clicker FROM imp")
+@query("w03_last_value_before", f"WITH {IMP} SELECT event_id, COALESCE(last_value(CASE WHEN click = 1 THEN userid END IGNORE NULLS) OVER {prefix('adgroup_id')}, -1) AS last_clicker FROM imp")
 def _(lake: Lake) -> DataFrame:
     last = {"last_clicker": F.when(F.col("click") == 1, F.col("userid"))}
-    return running(lake.arranged(), ["adgroup_id"], lasts=last).select("event_id", "last_clicker")
+    return running(lake.arranged(), ["adgroup_id"], lasts=last).fillna(-1, ["last_clicker"]).select("event_id", "last_clicker")
 
 
 @query("w04_mean_before", f"WITH {IMP} SELECT event_id, {r6(f'avg(click) OVER {prefix("userid")}')} AS mean_before FROM imp")

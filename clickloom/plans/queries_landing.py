@@ -292,9 +292,9 @@ def _(lake: Lake) -> DataFrame:
 
 
 @query("c09_as_of_state", f"""WITH {IMP}, s AS (SELECT DISTINCT userid FROM imp), p AS (SELECT userid, epoch_us(TIMESTAMP '2024-01-25 00:00:00') AS us FROM s)
-       SELECT p.userid, i.adgroup_id AS last_clicked FROM p ASOF LEFT JOIN (SELECT * FROM imp WHERE click = 1) i ON p.userid = i.userid AND p.us > i.us""")
+       SELECT p.userid, COALESCE(i.adgroup_id, -1) AS last_clicked FROM p ASOF LEFT JOIN (SELECT * FROM imp WHERE click = 1) i ON p.userid = i.userid AND p.us > i.us""")
 def _(lake: Lake) -> DataFrame:
     # The state of a key before one instant is its last row before it: an aggregate, no join.
     return lake.imp.groupBy("userid").agg(
         F.max_by("adgroup_id", F.when(is_train() & (F.col("click") == 1), F.struct("_us", "event_id"))).alias("last_clicked")
-    )
+    ).fillna(-1)
