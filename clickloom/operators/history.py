@@ -14,6 +14,8 @@ from clickloom.constants import DAY_US, SMOOTHING
 from clickloom.functions.scalar import ratio, smoothed
 from clickloom.operators.prefix import CHUNK, Timeline, running
 
+# Amounts are kept to a millionth, so that they do not depend on the order of summation.
+MONEY_DIGITS = 6
 LOOK_BACKS = {"1d": DAY_US, "3d": 3 * DAY_US}
 
 
@@ -81,6 +83,8 @@ def windowed_history(
         ratio(F.col(f"{prefix}_clicks_last_{n}"), F.col(f"{prefix}_impressions_last_{n}"), prior).alias(f"{prefix}_ctr_last_{n}")
         for n in names
     ]
+    if revenue:
+        state = state.withColumn(earned, F.round(earned, MONEY_DIGITS))
     return state.select("_row.*", CHUNK, *sums, ratio(F.col(clicks), F.col(shown), prior).alias(f"{prefix}_ctr_before"), *rates)
 
 
@@ -118,5 +122,6 @@ def user_history(rows: DataFrame, prior: Column, mean_price: Column | None, base
     out = out.withColumn("user_ctr_before", ratio(F.col("user_clicks_before"), F.col("user_impressions_before"), prior))
     if mean_price is None:
         return out
-    out = out.withColumn("user_avg_clicked_price_before", ratio(F.col("_paid"), F.col("_paid_n"), mean_price))
+    mean = F.round(ratio(F.col("_paid"), F.col("_paid_n"), mean_price), MONEY_DIGITS)
+    out = out.withColumn("user_avg_clicked_price_before", mean)
     return out.withColumn("user_price_gap", F.col("price") - F.col("user_avg_clicked_price_before")).drop("_paid", "_paid_n")

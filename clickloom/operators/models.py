@@ -9,12 +9,12 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from clickloom.constants import CATEGORICAL_FEATURES, FEATURES, NUMERIC_FEATURES, RECALL_KS, SEED
 from clickloom.operators.encode import is_train
 from clickloom.operators.prefix import Timeline, row_position
-from clickloom.operators.ranking import auc, recall_at, true_ranks_of_rows
+from clickloom.operators.ranking import auc, auc_by_group, recall_at, true_ranks_of_rows
 
 # Settings of the compared models. The three boosted presets share Spark's GBTClassifier.
 FOREST = {"numTrees": 300, "maxDepth": 12, "minInstancesPerNode": 5}
@@ -156,16 +156,23 @@ def shuffled_pairs(test: DataFrame, seed: int, columns: Sequence[str] = FEATURES
 
 
 def permutation_importance(model: PipelineModel, test: DataFrame, repeats: int = 5, columns: Sequence[str] = FEATURES) -> DataFrame:
-    """Mean drop of the AUC when one feature takes the values of random partner rows."""
-    base = auc(scored(model, test, "click"), "score").first()[0]
-    drops: dict[str, float] = dict.fromkeys(columns, 0.0)
+    """Mean drop of the AUC when one feature takes the values of random partner rows.
+
+    Every row is scored once as it is and once per swapped feature, all in one pass per repeat.
+    """
+    variants = F.explode(F.array(F.lit(""), *[F.lit(c) for c in columns]))
+    others = [c for c in FEATURES if c not in columns]
+    drops = None
     for r in range(repeats):
-        pairs = shuffled_pairs(test, SEED + r, columns).cache()
-        for c in columns:
-            swapped = pairs.drop(c).withColumnRenamed(f"{c}_other", c)
-            drops[c] += (base - auc(scored(model, swapped, "click"), "score").first()[0]) / repeats
-        pairs.unpersist()
-    return test.sparkSession.createDataFrame(list(drops.items()), "feature string, importance double").orderBy(F.desc("importance"), "feature")
+        spread = shuffled_pairs(test, SEED + r, columns).withColumn("_variant", variants).select(
+            "_variant", "click", *others,
+            *[F.when(F.col("_variant") == c, F.col(f"{c}_other")).otherwise(F.col(c)).alias(c) for c in columns],
+        )
+        areas = auc_by_group(scored(model, spread, "_variant", "click"), "_variant", "score")
+        base = F.max(F.when(F.col("feature") == "", F.col("auc"))).over(W.partitionBy())
+        drop = areas.withColumn("drop", base - F.col("auc")).where(F.col("feature") != "").select("feature", "drop")
+        drops = drop if drops is None else drops.unionByName(drop)
+    return drops.groupBy("feature").agg(F.avg("drop").alias("importance")).orderBy(F.desc("importance"), "feature")
 
 
 def save_bundle(model: PipelineModel, name: str, path: str) -> None:

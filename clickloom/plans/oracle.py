@@ -113,7 +113,7 @@ hist AS (
   SELECT *,
     {before("adgroup_id", "ag")}, {before("cate_id", "cate")}, {before("userid", "user")}, {before("brand", "brand")},
     {before("userid, cate_id", "user_cate")}, {before("userid, brand", "user_brand")},
-    COALESCE(sum(price * click) OVER {prefix("adgroup_id")}, 0) AS ag_revenue_before,
+    round(COALESCE(sum(price * click) OVER {prefix("adgroup_id")}, 0), 6) AS ag_revenue_before,
     count(*) OVER {trailing("adgroup_id", DAY)} AS ag_impressions_last_1d,
     COALESCE(sum(click) OVER {trailing("adgroup_id", DAY)}, 0) AS ag_clicks_last_1d,
     count(*) OVER {trailing("adgroup_id", 3 * DAY)} AS ag_impressions_last_3d,
@@ -140,8 +140,8 @@ feat AS (
       - COALESCE(ag_clicks_last_3d / NULLIF(CAST(ag_impressions_last_3d AS DOUBLE), 0), gm) AS ag_ctr_trend_1d_vs_3d,
     (user_cate_clicks_before + gm * 20.0::DOUBLE) / (user_cate_impressions_before + 20.0::DOUBLE) AS user_cate_affinity_before,
     (user_brand_clicks_before + gm * 20.0::DOUBLE) / (user_brand_impressions_before + 20.0::DOUBLE) AS user_brand_affinity_before,
-    COALESCE(paid / NULLIF(CAST(paid_n AS DOUBLE), 0), mp) AS user_avg_clicked_price_before,
-    price - COALESCE(paid / NULLIF(CAST(paid_n AS DOUBLE), 0), mp) AS user_price_gap,
+    round(COALESCE(paid / NULLIF(CAST(paid_n AS DOUBLE), 0), mp), 6) AS user_avg_clicked_price_before,
+    price - round(COALESCE(paid / NULLIF(CAST(paid_n AS DOUBLE), 0), mp), 6) AS user_price_gap,
     COALESCE(pair_clicks / NULLIF(CAST(prev_clicks AS DOUBLE), 0), 0) AS item_coclick_affinity
   FROM hist LEFT JOIN pairs USING (event_id) CROSS JOIN gm CROSS JOIN mp)"""
 

@@ -6,18 +6,18 @@ from pyspark.sql import DataFrame, functions as F
 
 from clickloom.constants import AD_DYNAMIC, CATEGORY_DYNAMIC, LIFT_PERCENTS, RECALL_KS
 from clickloom.functions.scalar import six
-from clickloom.operators import profile, ranking
+from clickloom.operators import ranking
 from clickloom.operators.candidates import (
     catalog_of, click_queries, first_seen_catalog, frozen_affinity, frozen_prices, linear_score, popularity_score,
     product_snapshot, user_snapshot, with_candidates, with_scores,
 )
 from clickloom.operators.encode import is_train
-from clickloom.operators.prefix import Timeline, row_position
+from clickloom.operators.models import with_validation_flag
 from clickloom.plans.lake import Lake
-from clickloom.plans.oracle import CATALOG, GOLD, IMP, QUERIES, STAR, big, candidates, r6, ranks, values_of
+from clickloom.plans.oracle import CATALOG, GOLD, IMP, QUERIES, STAR, big, r6, ranks, values_of
 from clickloom.plans.queries_history import tidy
 from clickloom.plans.queries_landing import RECS, _scored_users
-from clickloom.plans.queries_profile import buckets, everything
+from clickloom.plans.queries_profile import everything
 from clickloom.plans.registry import query
 
 
@@ -114,9 +114,7 @@ TESTS = f"{GOLD}, test AS (SELECT * FROM gold WHERE _split = 'test')"
 @query("j10_auc", f"""WITH {TESTS},{values_of(['ag_ctr_before', 'adgroup_id_te', 'user_ctr_before'], 'test')}
        SELECT feature, {r6('sum(CAST(pos AS DOUBLE) * ((n_below - pos_below) + (n - pos) / 2.0::DOUBLE)) / (max(pos_total) * (max(n_total) - max(pos_total)))')} AS auc FROM vals GROUP BY 1""")
 def _(lake: Lake) -> DataFrame:
-    test = lake.gold.where(~is_train())
-    parts = [ranking.auc(test, c).select(F.lit(c).alias("feature"), six(F.col("auc")).alias("auc")) for c in ("ag_ctr_before", "adgroup_id_te", "user_ctr_before")]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return everything(ranking.auc_of(lake.gold.where(~is_train()), ["ag_ctr_before", "adgroup_id_te", "user_ctr_before"]))
 
 
 @query("j11_log_loss", f"""WITH {TESTS} SELECT {r6("avg(-ln(CASE WHEN click = 1 THEN p ELSE 1 - p END))")} AS log_loss
@@ -139,7 +137,6 @@ def _(lake: Lake) -> DataFrame:
 @query("j18_validation_cut", f"""WITH {GOLD}, t AS (SELECT *, row_number() OVER (ORDER BY us, event_id) - 1 AS pos, count(*) OVER () AS n FROM gold WHERE _split = 'train')
        SELECT pos >= floor(n * 0.85::DOUBLE) AS is_validation, count(*) AS n, min(us) AS first_us, max(us) AS last_us, {big('sum(click)')} AS clicks FROM t GROUP BY 1""")
 def _(lake: Lake) -> DataFrame:
-    from clickloom.operators.models import with_validation_flag
     train = with_validation_flag(lake.gold.where(is_train())).withColumn("_us", F.unix_micros("time_stamp"))
     return train.groupBy("is_validation").agg(
         F.count(F.lit(1)).alias("n"), F.min("_us").alias("first_us"), F.max("_us").alias("last_us"), F.sum("click").alias("clicks")
