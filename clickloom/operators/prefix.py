@@ -55,7 +55,8 @@ class Timeline:
 
     The position of a row is its time in microseconds plus a fraction below one made of its kind
     and id. It never decreases along the order, so chunks follow the order, and rows that share
-    one timestamp can still be spread over several chunks by their ids.
+    one timestamp can still be spread over several chunks by their ids. Times are exact as
+    doubles (below 2**53 microseconds); ids may use all 64 bits.
     """
 
     base: int
@@ -71,8 +72,8 @@ class Timeline:
         return cls(line.base, line.id_low, line.id_span, tuple(quantile_splits(probe, ["_pos"], pieces or pieces_of(df))["_pos"]))
 
     def position(self, at: Column, row_id: Column, kind: Column) -> Column:
-        share = (row_id - F.lit(self.id_low)) / F.lit(float(self.id_span))
-        return (at - F.lit(self.base)).cast("double") + (kind + share) / F.lit(2.0)
+        share = (row_id.cast("double") - F.lit(float(self.id_low))) / F.lit(float(self.id_span))
+        return (at.cast("double") - F.lit(float(self.base))) + (kind + share) / F.lit(2.0)
 
     def chunked(self, df: DataFrame, at: str = "_us", row_id: str = "event_id", kind: Column | None = None) -> DataFrame:
         position = self.position(F.col(at), F.col(row_id), F.lit(1) if kind is None else kind)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Iterator, Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -134,4 +134,4 @@ def read_days(spark: SparkSession, path: str) -> DataFrame:
 
 
 def now() -> Column:
-    return F.lit(datetime.utcnow().strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
+    return F.lit(datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
