@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from clickloom.constants import ID_COLUMNS, SMOOTHING
 from clickloom.functions.scalar import fold_of, smoothed
-from clickloom.operators.joins import key_counts, lookup
+from clickloom.operators.joins import lookup
+from clickloom.session import materialize_parts
 
 
 
@@ -25,18 +26,28 @@ def target_mean(df: DataFrame, target: str = "click") -> Column:
     return train_mean(df, target)
 
 
-def fold_sums(df: DataFrame, key: str, target: str = "click", fold: Column | None = None, folds: int = 5) -> DataFrame:
-    """Per key the train clicks and rows, over all folds and inside each fold."""
+def fold_sums(
+    df: DataFrame, keys: Sequence[str], target: str = "click", fold: Column | None = None, folds: int = 5,
+) -> dict[str, DataFrame]:
+    """Per key the train clicks and rows, over all folds and inside each fold, as ``_<key>_sums``.
+
+    All keys share one pass over the train rows; the sums are written, one small table per key.
+    """
     fold = fold_of(F.col("event_id"), folds) if fold is None else fold
-    train = df.where(is_train() & F.col(key).isNotNull()).select(key, F.col(target).alias("_t"), fold.alias("_f"))
+    values = F.array(*[F.struct(F.lit(k).alias("_key"), F.col(k).cast("string").alias("_value")) for k in keys])
+    train = df.where(is_train()).select(F.explode(values).alias("_v"), F.col(target).alias("_t"), fold.alias("_f"))
     inside = [F.col("_f") == i for i in range(folds)]
-    return train.groupBy(key).agg(
-        F.struct(
-            F.sum("_t").alias("s"), F.count("_t").alias("n"),
-            F.array(*[F.coalesce(F.sum(F.when(c, F.col("_t"))), F.lit(0)) for c in inside]).alias("fold_s"),
-            F.array(*[F.count(F.when(c, F.col("_t"))) for c in inside]).alias("fold_n"),
-        ).alias(f"_{key}_sums")
+    sums = train.select("_v.*", "_t", "_f").where(F.col("_value").isNotNull()).groupBy("_key", "_value").agg(
+        F.sum("_t").alias("s"), F.count("_t").alias("n"),
+        F.array(*[F.coalesce(F.sum(F.when(c, F.col("_t"))), F.lit(0)) for c in inside]).alias("fold_s"),
+        F.array(*[F.count(F.when(c, F.col("_t"))) for c in inside]).alias("fold_n"),
     )
+    types = dict(df.dtypes)
+    tables = materialize_parts(sums, "_key", keys, "fold-sums")
+    return {
+        k: t.select(F.col("_value").cast(types[k]).alias(k), F.struct("s", "n", "fold_s", "fold_n").alias(f"_{k}_sums"))
+        for k, t in tables.items()
+    }
 
 
 def encoded(key: str, prior: Column, fold: Column, smoothing: float = SMOOTHING) -> Column:
@@ -55,11 +66,11 @@ def target_encode(
     """Add ``<key>_te`` for each key."""
     prior = target_mean(df, target) if prior is None else prior
     fold = fold_of(F.col("event_id"), folds) if fold is None else fold
-    counts = key_counts(df.where(is_train()), keys)
-    out = df
-    for k in keys:
-        out = lookup(out, fold_sums(df, k, target, fold, folds), [k], counts[(k,)])
-    return out.withColumns({f"{k}_te": encoded(k, prior, fold, smoothing) for k in keys}).drop(*[f"_{k}_sums" for k in keys])
+    out = df.withColumn("_fold", fold)
+    for k, sums in fold_sums(df, keys, target, fold, folds).items():
+        out = lookup(out, sums, [k])
+    out = out.withColumns({f"{k}_te": encoded(k, prior, F.col("_fold"), smoothing) for k in keys})
+    return out.drop("_fold", *[f"_{k}_sums" for k in keys])
 
 
 def encode_ids(df: DataFrame, prior: Column | None = None, keys: Sequence[str] = ID_COLUMNS) -> DataFrame:
@@ -68,11 +79,25 @@ def encode_ids(df: DataFrame, prior: Column | None = None, keys: Sequence[str] =
     return out.withColumns({"userid_key": F.col("userid"), "adgroup_id_key": F.col("adgroup_id")}).drop(*keys)
 
 
-def pair_shares(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """Share of the train rows that carry each combination of the keys."""
-    train = df.where(is_train())
-    total = train.agg(F.count(F.lit(1))).scalar()
-    return train.groupBy(*keys).agg((F.count(F.lit(1)) / total).alias(name))
+def train_counts(df: DataFrame, groups: Sequence[Sequence[str]]) -> tuple[Column, list[DataFrame]]:
+    """Train rows in total and per combination of each group of columns, from one pass.
+
+    Each table holds the key columns and ``_n``; a null is a value like any other.
+    """
+    width = max(len(g) for g in groups)
+    combos = F.array(*[
+        F.struct(F.lit(f"g{i}").alias("_group"), *[
+            (F.col(g[j]).cast("string") if j < len(g) else F.lit(None).cast("string")).alias(f"_v{j}") for j in range(width)
+        ]) for i, g in enumerate(groups)
+    ])
+    rows = df.where(is_train()).select(F.explode(combos).alias("_c")).select("_c.*")
+    counts = rows.groupBy("_group", *[f"_v{j}" for j in range(width)]).agg(F.count(F.lit(1)).alias("_n"))
+    tables = materialize_parts(counts, "_group", [f"g{i}" for i in range(len(groups))], "train-counts")
+    types = dict(df.dtypes)
+    total = tables["g0"].agg(F.sum("_n")).first()[0]
+    return F.lit(total).cast("double"), [
+        t.select(*[F.col(f"_v{j}").cast(types[c]).alias(c) for j, c in enumerate(g)], "_n") for g, t in zip(groups, tables.values())
+    ]
 
 
 def frequency_encode(df: DataFrame, groups: Sequence[Sequence[str]], base: DataFrame | None = None) -> DataFrame:
@@ -80,22 +105,21 @@ def frequency_encode(df: DataFrame, groups: Sequence[Sequence[str]], base: DataF
 
     The shares are counted on ``base``: the same rows, without the columns derived so far.
     """
-    base = df if base is None else base
-    counts = key_counts(base.where(is_train()), groups)
+    total, tables = train_counts(df if base is None else base, groups)
     out = df
-    for keys in groups:
+    for keys, counts in zip(groups, tables):
         name = "_x_".join(keys) + "_freq"
-        out = lookup(out, pair_shares(base, keys, name), keys, counts[tuple(keys)], {name: F.lit(0.0)}, null_safe=True)
+        shares = counts.select(*keys, (F.col("_n") / total).alias(name))
+        out = lookup(out, shares, keys, defaults={name: F.lit(0.0)}, null_safe=True)
     return out
 
 
 def count_encode(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add ``<key>_count``: train rows with this value."""
-    counts = key_counts(df.where(is_train()), keys)
+    _, tables = train_counts(df, [[k] for k in keys])
     out = df
-    for k in keys:
-        stats = df.where(is_train()).groupBy(k).agg(F.count(F.lit(1)).alias(f"{k}_count"))
-        out = lookup(out, stats, [k], counts[(k,)], {f"{k}_count": F.lit(0)}, null_safe=True)
+    for k, counts in zip(keys, tables):
+        out = lookup(out, counts.withColumnRenamed("_n", f"{k}_count"), [k], defaults={f"{k}_count": F.lit(0)}, null_safe=True)
     return out
 
 

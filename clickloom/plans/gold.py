@@ -14,13 +14,13 @@ from clickloom.operators.prefix import CHUNK, Timeline
 from clickloom.session import materialize
 
 
-def ad_table(fact: DataFrame, dim_ad: DataFrame) -> DataFrame:
+def ad_table(per_ad: DataFrame, dim_ad: DataFrame) -> DataFrame:
     """Ad attributes with the encoding sums of the ad, its campaign and its customer.
 
-    The log is aggregated once per ad; campaigns and customers are rolled up from the ads.
+    Campaigns and customers are rolled up from the sums per ad; the log is not read again.
     """
-    per_ad = fold_sums(fact, "adgroup_id")
     table = dim_ad.join(per_ad, "adgroup_id", "full")
+    out = table
     for key in ("campaign_id", "customer"):
         sums = F.col("_adgroup_id_sums")
         rolled = table.where(F.col(key).isNotNull() & sums.isNotNull()).groupBy(key).agg(
@@ -30,25 +30,23 @@ def ad_table(fact: DataFrame, dim_ad: DataFrame) -> DataFrame:
                 F.array(*[F.sum(sums["fold_n"][i]) for i in range(5)]).alias("fold_n"),
             ).alias(f"_{key}_sums")
         )
-        table = table.join(rolled, key, "left")
-    return table
-
-
-def user_table(fact: DataFrame, dim_user: DataFrame) -> DataFrame:
-    """User attributes with the encoding sums of the user: one join for the log instead of two."""
-    return dim_user.join(fold_sums(fact, "userid"), "userid", "full")
+        out = out.join(rolled, key, "left")
+    return out
 
 
 def staged_rows(fact: DataFrame, dim_ad: DataFrame, dim_user: DataFrame) -> DataFrame:
-    """The star-joined log with its id and interaction encodings, written once."""
+    """The star-joined log with its id encodings, written once.
+
+    The sums per user and per ad are joined to the dimensions, so the log meets each side once.
+    """
     prior = target_mean(fact)
-    fold = fold_of(F.col("event_id"))
     rows = fact if "_us" in fact.columns else fact.withColumn("_us", micros(F.col("time_stamp")))
-    rows = lookup(rows, user_table(fact, dim_user), ["userid"])
-    rows = lookup(rows, ad_table(fact, dim_ad), ["adgroup_id"], dim_ad.count())
-    rows = rows.withColumns({f"{c}_te": encoded(c, prior, fold) for c in ID_COLUMNS})
-    rows = rows.drop(*[f"_{c}_sums" for c in ID_COLUMNS])
-    return materialize(rows, "gold-rows")
+    sums = fold_sums(fact, ["userid", "adgroup_id"])
+    users = dim_user.join(sums["userid"], "userid", "full")
+    ads = materialize(ad_table(sums["adgroup_id"], dim_ad), "gold-ads")
+    rows = lookup(lookup(rows.withColumn("_fold", fold_of(F.col("event_id"))), users, ["userid"]), ads, ["adgroup_id"])
+    rows = rows.withColumns({f"{c}_te": encoded(c, prior, F.col("_fold")) for c in ID_COLUMNS})
+    return materialize(rows.drop("_fold", *[f"_{c}_sums" for c in ID_COLUMNS]), "gold-rows")
 
 
 def gold_features(rows: DataFrame, timeline: Timeline) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from clickloom.operators.candidates import catalog_of
 from clickloom.operators.encode import target_mean, train_mean
-from clickloom.operators.prefix import Timeline
+from clickloom.operators.prefix import CHUNK, Timeline
 from clickloom.plans.gold import gold_table
 from clickloom.session import materialize, prepare
 from clickloom.sources import bindings
@@ -63,10 +63,18 @@ class Lake:
     def mean_price(self) -> Column:
         return train_mean(self.star, "price")
 
+    def chunked(self, *columns: str) -> DataFrame:
+        """The log on its timeline, joined only with the dimensions that ``columns`` come from."""
+        log = self.imp
+        for dim, key in ((self.ads, "adgroup_id"), (self.users, "userid")):
+            wanted = [c for c in columns if c in dim.columns and c not in self.imp.columns]
+            if wanted:
+                log = log.join(dim.select(key, *wanted), key, "left")
+        return self.timeline.chunked(log.select("event_id", "_us", "userid", "adgroup_id", "click", "_split", *columns))
+
     def arranged(self, *columns: str) -> DataFrame:
-        """Time-chunked rows for the history operators."""
-        log = self.star if set(columns) - set(self.imp.columns) else self.imp
-        return self.timeline.arranged(log.select("event_id", "_us", "userid", "adgroup_id", "click", "_split", *columns))
+        """The same, hashed on the chunk, for the history operators."""
+        return self.chunked(*columns).repartition(CHUNK)
 
     def build_gold(self) -> DataFrame:
         return gold_table(self.imp, self.ads, self.users, self.timeline)

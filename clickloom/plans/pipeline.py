@@ -10,7 +10,7 @@ from pyspark.sql import Column, SparkSession, functions as F
 from clickloom.operators.clean import clean_ads, clean_events, clean_users
 from clickloom.operators.coclick import coclick_snapshot
 from clickloom.plans.gold import gold_table
-from clickloom.session import prepare
+from clickloom.session import exists, prepare
 from clickloom.sources import raw
 
 LAYERS = ("bronze", "silver", "gold")
@@ -18,10 +18,8 @@ LAYERS = ("bronze", "silver", "gold")
 
 def find_file(spark: SparkSession, folder: str, name: str) -> str:
     """The file of a dimension, zipped or plain."""
-    jvm = spark._jvm
     for ending in (".csv.zip", ".csv.gz", ".csv.bz2", ".csv"):
-        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}{ending}")
-        if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        if exists(spark, f"{folder}/{name}{ending}"):
             return f"{folder}/{name}{ending}"
     raise FileNotFoundError(f"{folder}/{name}.csv[.zip|.gz|.bz2]")
 

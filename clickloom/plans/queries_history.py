@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from clickloom.constants import DAY_US, GOLD_COLUMNS, GROUPED_FEATURES, INTERACTIONS
 from clickloom.functions.scalar import fold_of, ratio, six
@@ -70,7 +70,7 @@ COUNTS = [f"{p}_{m}_before" for p in ("ag", "cate", "user") for m in ("clicks",
 def _(lake: Lake) -> DataFrame:
     out = lake.arranged("cate_id")
     for key, name in (("adgroup_id", "ag"), ("cate_id", "cate"), ("userid", "user")):
-        out = history.click_history(out, [key], name, lake.prior, lake.arranged("cate_id"))
+        out = history.click_history(out, [key], name, lake.prior, lake.chunked("cate_id"))
     return tidy(out, "event_id", *COUNTS)
 
 
@@ -78,7 +78,7 @@ def _(lake: Lake) -> DataFrame:
 def _(lake: Lake) -> DataFrame:
     out = lake.arranged("cate_id")
     for key, name in (("adgroup_id", "ag"), ("cate_id", "cate"), ("userid", "user")):
-        out = history.click_history(out, [key], name, lake.prior, lake.arranged("cate_id"))
+        out = history.click_history(out, [key], name, lake.prior, lake.chunked("cate_id"))
     return tidy(out, "event_id", "ag_ctr_before", "cate_ctr_before", "user_ctr_before")
 
 

@@ -2,25 +2,23 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, functions as F
 
-from clickloom.constants import AD_COLUMNS, FACT_KEY, TARGET, USER_COLUMNS
-from clickloom.functions.scalar import category_text, ratio, six, unknown_code
+from clickloom.constants import AD_COLUMNS, FACT_KEY
+from clickloom.functions.scalar import category_text, ratio, six
 from clickloom.operators import clean, coclick, profile
 from clickloom.operators.candidates import (
-    catalog_of, click_queries, numbered_queries, product_snapshot, category_snapshot, with_candidates, with_scores, linear_score,
+    click_queries, numbered_queries, product_snapshot, category_snapshot, with_candidates, with_scores, linear_score,
 )
-from clickloom.operators.encode import encode_ids, is_train, pair_shares
+from clickloom.operators.encode import encode_ids, is_train
 from clickloom.operators.joins import lookup
 from clickloom.operators.prefix import row_position
 from clickloom.operators.ranking import exploded_recommendations, recommendations, true_ranks
 from clickloom.operators.candidates import user_snapshot
 from clickloom.plans.lake import Lake
-from clickloom.plans.oracle import ADS, CATALOG, DIRTY, ENCODED, GOLD, HISTORY, IMP, QUERIES, STAR, USERS, big, candidates, r6, ranks
+from clickloom.plans.oracle import ADS, CATALOG, DIRTY, ENCODED, GOLD, IMP, QUERIES, STAR, USERS, big, candidates, r6, ranks
 from clickloom.plans.registry import query
-from clickloom.session import materialize, shared_folder
+from clickloom.session import materialize, new_path
 from clickloom.sources import bindings
 from clickloom.sources.raw import read_days, tagged, write_days
 
@@ -54,7 +52,7 @@ DAYS_SQL = f"WITH {IMP} SELECT date AS dt, count(*) AS n, {big('sum(click)')} AS
 
 @query("a06_day_sink", DAYS_SQL)
 def _(lake: Lake) -> DataFrame:
-    path = f"{shared_folder(lake.spark)}/days-{uuid.uuid4().hex}"
+    path = new_path(lake.spark, "days")
     write_days(lake.imp.withColumn("date", F.col("date").cast("string")), path)
     days = read_days(lake.spark, path)
     return days.groupBy(F.col("dt").cast("string").alias("dt")).agg(N().alias("n"), F.sum("click").alias("clicks"))
@@ -63,7 +61,7 @@ def _(lake: Lake) -> DataFrame:
 @query("a08_pruned_scan", f"""WITH {IMP} SELECT date AS dt, count(*) AS n, {big('sum(click)')} AS clicks
        FROM imp WHERE date >= '2024-01-10' AND date < '2024-01-20' GROUP BY 1""")
 def _(lake: Lake) -> DataFrame:
-    path = f"{shared_folder(lake.spark)}/days-{uuid.uuid4().hex}"
+    path = new_path(lake.spark, "days")
     write_days(lake.imp.withColumn("date", F.col("date").cast("string")), path)
     days = read_days(lake.spark, path).where((F.col("dt") >= F.lit("2024-01-10").cast("date")) & (F.col("dt") < F.lit("2024-01-20").cast("date")))
     return days.groupBy(F.col("dt").cast("string").alias("dt")).agg(N().alias("n"), F.sum("click").alias("clicks"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,8 +57,34 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL_FOLDERS[app]
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back, which cuts its lineage."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    """Write ``df`` once to the shared folder and read it back, which cuts its lineage.
+
+    The table also has a size Spark knows, so that joins with it are planned by that size.
+    """
+    path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def materialize_parts(df: DataFrame, part: str, values: Sequence[str], name: str) -> dict[str, DataFrame]:
+    """The same for a table with a part column: one write, one table per part value."""
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    df.write.partitionBy(part).parquet(path)
+    schema = df.drop(part).schema
+
+    def table(value: str) -> DataFrame:
+        folder = f"{path}/{part}={value}"
+        return spark.read.schema(schema).parquet(folder) if exists(spark, folder) else spark.createDataFrame([], schema)
+
+    return {v: table(v) for v in values}

@@ -4,7 +4,6 @@ import zipfile
 from datetime import datetime
 
 import pytest
-from pyspark.sql import functions as F
 
 from clickloom.plans import pipeline
 from clickloom.sources import raw
