@@ -11,9 +11,9 @@ from clickloom.operators.prefix import running
 PREV = "user_prev_clicked_item"
 
 
-def with_previous_click(rows: DataFrame) -> DataFrame:
+def with_previous_click(rows: DataFrame, base: DataFrame | None = None) -> DataFrame:
     """Add the ad this user clicked last before the row."""
-    return running(rows, ["userid"], lasts={PREV: F.when(F.col("click") == 1, F.col("adgroup_id"))})
+    return running(rows, ["userid"], lasts={PREV: F.when(F.col("click") == 1, F.col("adgroup_id"))}, base=base)
 
 
 def with_coclick_affinity(rows: DataFrame, base: DataFrame | None = None) -> DataFrame:

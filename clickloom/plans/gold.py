@@ -66,7 +66,7 @@ def gold_features(rows: DataFrame, timeline: Timeline) -> DataFrame:
     out = user_history(out, prior, mean_price, base)
     out = affinity_history(out, ["userid", "cate_id"], "user_cate", prior, base)
     out = affinity_history(out, ["userid", "brand"], "user_brand", prior, base)
-    out = with_coclick_affinity(out, with_previous_click(base.repartition(CHUNK)))
+    out = with_coclick_affinity(out, with_previous_click(base.repartition(CHUNK), base))
     out = ctr_trend(out.select("*", "_rest.*").drop("_rest"))
     return frequency_encode(out, INTERACTIONS, base=rows)
 

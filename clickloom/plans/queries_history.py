@@ -85,7 +85,7 @@ def _(lake: Lake) -> DataFrame:
 @query("g08_revenue_before", feat("ag_revenue_before"))
 def _(lake: Lake) -> DataFrame:
     rows = lake.arranged("price")
-    return tidy(running(rows, ["adgroup_id"], {"ag_revenue_before": F.col("price") * F.col("click")}), "event_id", "ag_revenue_before")
+    return tidy(running(rows, ["adgroup_id"], {"ag_revenue_before": F.col("price") * F.col("click")}, base=lake.chunked("price")), "event_id", "ag_revenue_before")
 
 
 def _trailing(lake: Lake, looks: dict[str, int] = history.LOOK_BACKS) -> DataFrame:
@@ -115,19 +115,19 @@ def _(lake: Lake) -> DataFrame:
 
 @query("g13_previous_click", f"WITH {HISTORY} SELECT event_id, COALESCE(user_prev_clicked_item, -1) AS user_prev_clicked_item FROM feat")
 def _(lake: Lake) -> DataFrame:
-    rows = coclick.with_previous_click(lake.arranged())
+    rows = coclick.with_previous_click(lake.arranged(), lake.chunked())
     return rows.select("event_id", F.coalesce(coclick.PREV, F.lit(-1)).alias(coclick.PREV))
 
 
 @query("g14_coclick_affinity", feat("item_coclick_affinity"))
 def _(lake: Lake) -> DataFrame:
-    rows = coclick.with_previous_click(lake.arranged())
+    rows = coclick.with_previous_click(lake.arranged(), lake.chunked())
     return tidy(coclick.with_coclick_affinity(rows), "event_id", "item_coclick_affinity")
 
 
 @query("g15_coclick_snapshot", f"WITH {CATALOG} SELECT prev_item, item, {big('cnt')} AS cnt, {big('total')} AS total FROM snap")
 def _(lake: Lake) -> DataFrame:
-    return coclick.coclick_snapshot(coclick.with_previous_click(lake.arranged()))
+    return coclick.coclick_snapshot(coclick.with_previous_click(lake.arranged(), lake.chunked()))
 
 
 def _affinity(key: str, name: str) -> str:
@@ -137,24 +137,24 @@ def _affinity(key: str, name: str) -> str:
 
 @query("g16_user_category_affinity", _affinity("cate_id", "user_cate"))
 def _(lake: Lake) -> DataFrame:
-    out = history.affinity_history(lake.arranged("cate_id"), ["userid", "cate_id"], "user_cate", lake.prior)
+    out = history.affinity_history(lake.arranged("cate_id"), ["userid", "cate_id"], "user_cate", lake.prior, lake.chunked("cate_id"))
     return tidy(out, "event_id", "user_cate_clicks_before", "user_cate_impressions_before", "user_cate_affinity_before")
 
 
 @query("g17_user_brand_affinity", _affinity("brand", "user_brand"))
 def _(lake: Lake) -> DataFrame:
-    out = history.affinity_history(lake.arranged("brand"), ["userid", "brand"], "user_brand", lake.prior)
+    out = history.affinity_history(lake.arranged("brand"), ["userid", "brand"], "user_brand", lake.prior, lake.chunked("brand"))
     return tidy(out, "event_id", "user_brand_clicks_before", "user_brand_impressions_before", "user_brand_affinity_before")
 
 
 @query("g18_clicked_price_before", feat("user_avg_clicked_price_before"))
 def _(lake: Lake) -> DataFrame:
-    return tidy(history.user_history(lake.arranged("price"), lake.prior, lake.mean_price), "event_id", "user_avg_clicked_price_before")
+    return tidy(history.user_history(lake.arranged("price"), lake.prior, lake.mean_price, lake.chunked("price")), "event_id", "user_avg_clicked_price_before")
 
 
 @query("g19_price_gap", feat("user_price_gap"))
 def _(lake: Lake) -> DataFrame:
-    return tidy(history.user_history(lake.arranged("price"), lake.prior, lake.mean_price), "event_id", "user_price_gap")
+    return tidy(history.user_history(lake.arranged("price"), lake.prior, lake.mean_price, lake.chunked("price")), "event_id", "user_price_gap")
 
 
 FREQS = [f"{a}_x_{b}_freq" for a, b in INTERACTIONS]
@@ -185,7 +185,7 @@ def _(lake: Lake) -> DataFrame:
 
 @query("g22_brand_ctr", feat("brand_clicks_before", "brand_impressions_before", "brand_ctr_before", ints=("brand_clicks_before", "brand_impressions_before")))
 def _(lake: Lake) -> DataFrame:
-    out = history.click_history(lake.arranged("brand"), ["brand"], "brand", lake.prior)
+    out = history.click_history(lake.arranged("brand"), ["brand"], "brand", lake.prior, lake.chunked("brand"))
     return tidy(out, "event_id", "brand_clicks_before", "brand_impressions_before", "brand_ctr_before")
 
 
@@ -279,23 +279,23 @@ def _(lake: Lake) -> DataFrame:
 
 @query("w01_running_sum", f"WITH {IMP} SELECT event_id, {big(f'COALESCE(sum(click) OVER {prefix("pid")}, 0)')} AS clicks_before FROM imp")
 def _(lake: Lake) -> DataFrame:
-    return running(lake.arranged("pid"), ["pid"], {"clicks_before": F.col("click")}).select("event_id", "clicks_before")
+    return running(lake.arranged("pid"), ["pid"], {"clicks_before": F.col("click")}, base=lake.chunked("pid")).select("event_id", "clicks_before")
 
 
 @query("w02_running_count", f"WITH {IMP} SELECT event_id, row_number() OVER (PARTITION BY pid ORDER BY us, event_id) - 1 AS shown_before FROM imp")
 def _(lake: Lake) -> DataFrame:
-    return running(lake.arranged("pid"), ["pid"], {"shown_before": F.lit(1)}).select("event_id", "shown_before")
+    return running(lake.arranged("pid"), ["pid"], {"shown_before": F.lit(1)}, base=lake.chunked("pid")).select("event_id", "shown_before")
 
 
 @query("w03_last_value_before", f"WITH {IMP} SELECT event_id, COALESCE(last_value(CASE WHEN click = 1 THEN userid END IGNORE NULLS) OVER {prefix('adgroup_id')}, -1) AS last_clicker FROM imp")
 def _(lake: Lake) -> DataFrame:
     last = {"last_clicker": F.when(F.col("click") == 1, F.col("userid"))}
-    return running(lake.arranged(), ["adgroup_id"], lasts=last).fillna(-1, ["last_clicker"]).select("event_id", "last_clicker")
+    return running(lake.arranged(), ["adgroup_id"], lasts=last, base=lake.chunked()).fillna(-1, ["last_clicker"]).select("event_id", "last_clicker")
 
 
 @query("w04_mean_before", f"WITH {IMP} SELECT event_id, {r6(f'avg(click) OVER {prefix("userid")}')} AS mean_before FROM imp")
 def _(lake: Lake) -> DataFrame:
-    out = running(lake.arranged(), ["userid"], {"s": F.col("click"), "n": F.lit(1)})
+    out = running(lake.arranged(), ["userid"], {"s": F.col("click"), "n": F.lit(1)}, base=lake.chunked())
     return out.select("event_id", six(ratio(F.col("s"), F.col("n"))).alias("mean_before"))
 
 

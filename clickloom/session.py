@@ -35,6 +35,7 @@ def local_session(cores: str = "8", name: str = "clickloom") -> SparkSession:
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.codegen.cache.maxEntries", "2000")
         .config("spark.sql.debug.maxToStringFields", "200")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="clickloom-"))
