@@ -19,8 +19,8 @@ def with_previous_click(rows: DataFrame, base: DataFrame | None = None) -> DataF
 def with_coclick_affinity(rows: DataFrame, base: DataFrame | None = None) -> DataFrame:
     """Add P(click this ad | last click was X) from the transitions seen so far; 0 without any."""
     base = rows if base is None else base
-    out = running(rows, [PREV, "adgroup_id"], {"_pair": F.col("click")}, base=base)
-    out = running(out, [PREV], {"_any": F.col("click")}, base=base)
+    out = running(rows, [PREV], {"_any": F.col("click")}, base=base)
+    out = running(out, [PREV, "adgroup_id"], {"_pair": F.col("click")}, base=base)
     return out.withColumn("item_coclick_affinity", ratio(F.col("_pair"), F.col("_any"), 0.0)).drop("_pair", "_any")
 
 

@@ -1,7 +1,7 @@
 """Point-in-time click history: what was known about a key just before each impression.
 
-All functions take rows placed on a Timeline (column ``_chunk``) with ``_us``, ``event_id`` and
-``click``; see ``prefix.running`` for why nothing here depends on the size of a single key.
+All functions take rows arranged on a Timeline, with ``_us``, ``event_id`` and ``click``; see
+``prefix.running`` for why nothing here depends on the size of a single key.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from clickloom.constants import DAY_US, SMOOTHING
 from clickloom.functions.scalar import ratio, smoothed
-from clickloom.operators.prefix import CHUNK, Timeline, running
+from clickloom.operators.prefix import CHUNK, Timeline, by_chunk, running
 
 # Amounts are kept to a millionth, so that they do not depend on the order of summation.
 MONEY_DIGITS = 6
@@ -77,7 +77,7 @@ def windowed_history(
         sums[f"{prefix}_impressions_last_{n}"] = F.col(f"_{n}")
         sums[f"{prefix}_clicks_last_{n}"] = F.col(f"_{n}") * F.col("click")
     state = running(
-        events.repartition(CHUNK), [key], sums, order=("_at", "_kind", "event_id"), base=events
+        by_chunk(events), [key], sums, order=("_at", "_kind", "event_id"), base=events
     ).where(F.col("_kind") == 1)
     rates = [
         ratio(F.col(f"{prefix}_clicks_last_{n}"), F.col(f"{prefix}_impressions_last_{n}"), prior).alias(f"{prefix}_ctr_last_{n}")
@@ -85,7 +85,8 @@ def windowed_history(
     ]
     if revenue:
         state = state.withColumn(earned, F.round(earned, MONEY_DIGITS))
-    return state.select("_row.*", CHUNK, *sums, ratio(F.col(clicks), F.col(shown), prior).alias(f"{prefix}_ctr_before"), *rates)
+    chunk = [CHUNK] if CHUNK in state.columns else []
+    return state.select("_row.*", *chunk, *sums, ratio(F.col(clicks), F.col(shown), prior).alias(f"{prefix}_ctr_before"), *rates)
 
 
 def ctr_trend(rows: DataFrame, prefix: str = "ag", short: str = "1d", long: str = "3d") -> DataFrame:

@@ -5,6 +5,9 @@ the log. Every running quantity here is therefore computed in two levels: the or
 cut into consecutive, equally full chunks; a window runs inside (chunk, key); and what the key
 brought along from earlier chunks is added from an aggregated table. Chunks depend on the row
 values only, so any number of keys shares one shuffle on the chunk.
+
+A log that is known to be small as a whole needs none of this: no key can outgrow a task, rows get
+no chunk column, and one plain window per key gives the same numbers.
 """
 
 from __future__ import annotations
@@ -18,6 +21,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 CHUNK = "_chunk"
 ROW_ORDER = ("_us", "event_id")
 INF = float("inf")
+# A log of at most this many rows is counted, and then windowed by key without chunks.
+ONE_TASK_ROWS = 1_000_000
 
 
 def pieces_of(df: DataFrame) -> int:
@@ -66,8 +71,11 @@ class Timeline:
 
     @classmethod
     def of(cls, df: DataFrame, at: str = "_us", row_id: str = "event_id", pieces: int | None = None) -> Timeline:
-        low, id_low, id_high = df.agg(F.min(at), F.min(row_id), F.max(row_id)).first()
+        """Measure a log; ``pieces`` forces that many chunks whatever its size."""
+        rows, low, id_low, id_high = df.agg(F.count(F.lit(1)), F.min(at), F.min(row_id), F.max(row_id)).first()
         line = cls(low or 0, id_low or 0, (id_high or 0) - (id_low or 0) + 1, ())
+        if pieces is None and rows <= ONE_TASK_ROWS:
+            return line
         probe = df.select(line.position(F.col(at), F.col(row_id), F.lit(1)).alias("_pos"))
         return cls(line.base, line.id_low, line.id_span, tuple(quantile_splits(probe, ["_pos"], pieces or pieces_of(df))["_pos"]))
 
@@ -76,13 +84,20 @@ class Timeline:
         return (at.cast("double") - F.lit(float(self.base))) + (kind + share) / F.lit(2.0)
 
     def chunked(self, df: DataFrame, at: str = "_us", row_id: str = "event_id", kind: Column | None = None) -> DataFrame:
+        """Add the chunk column, unless the log is too small to need chunks."""
+        if not self.splits:
+            return df
         position = self.position(F.col(at), F.col(row_id), F.lit(1) if kind is None else kind)
         placed = bucketize(df.withColumn("_pos", position), {"_pos": list(self.splits)}, "_n")
         return placed.withColumnRenamed("_pos_n", CHUNK).drop("_pos")
 
     def arranged(self, df: DataFrame, at: str = "_us", row_id: str = "event_id", kind: Column | None = None) -> DataFrame:
-        """Chunked rows, hashed on the chunk alone so that windows of all keys share the shuffle."""
-        return self.chunked(df, at, row_id, kind).repartition(CHUNK)
+        return by_chunk(self.chunked(df, at, row_id, kind))
+
+
+def by_chunk(df: DataFrame) -> DataFrame:
+    """Rows hashed on the chunk alone, so that windows of all keys share the shuffle."""
+    return df.repartition(CHUNK) if CHUNK in df.columns else df
 
 
 def running(
@@ -106,6 +121,14 @@ def running(
     for k in keys:
         keyed = keyed & F.col(k).isNotNull()
 
+    zero = F.lit(0)
+    if CHUNK not in rows.columns:
+        before = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+        return rows.withColumns(
+            {n: F.when(keyed, F.coalesce(F.sum(c).over(before), zero)).otherwise(zero) for n, c in sums.items()}
+            | {n: F.when(keyed, F.last(c, ignorenulls=True).over(before)) for n, c in lasts.items()}
+        )
+
     before = W.partitionBy(*keys, CHUNK).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
     local = rows.withColumns(
         {f"_in_{n}": F.sum(c).over(before) for n, c in sums.items()}
@@ -127,7 +150,6 @@ def running(
         useful = useful | F.col(f"_from_{n}").isNotNull()
 
     joined = local.join(carry.where(useful), [*keys, CHUNK], "left")
-    zero = F.lit(0)
     out = {
         n: F.when(keyed, F.coalesce(F.col(f"_in_{n}"), zero) + F.coalesce(F.col(f"_from_{n}"), zero)).otherwise(zero)
         for n in sums
@@ -139,7 +161,7 @@ def row_position(df: DataFrame, order: Sequence[str], timeline: Timeline, name:
     """Number the rows 0, 1, … along the order of the timeline."""
     at, row_id = order
     flat = timeline.chunked(df, at, row_id).withColumn("_all", F.lit(0))
-    return running(flat.repartition(CHUNK), ["_all"], {name: F.lit(1)}, order=order, base=flat).drop("_all", CHUNK)
+    return running(by_chunk(flat), ["_all"], {name: F.lit(1)}, order=order, base=flat).drop("_all", CHUNK)
 
 
 def by_value(df: DataFrame, columns: Sequence[str], sums: Mapping[str, Column], pieces: int | None = None) -> DataFrame:
@@ -198,7 +220,7 @@ def global_rank(df: DataFrame, value: str, row_id: str, descending: bool = True,
         F.col("_n_total").alias(f"{name}_of"),
     )
     flat = Timeline.of(df, row_id, row_id).chunked(df, row_id, row_id).withColumn("_value", F.col(value).cast("double"))
-    ranked = running(flat.repartition(CHUNK), ["_value"], {"_peers": F.lit(1)}, order=[row_id], base=flat)
+    ranked = running(by_chunk(flat), ["_value"], {"_peers": F.lit(1)}, order=[row_id], base=flat)
     return ranked.join(blocks, "_value").withColumn(name, F.col("_ahead") + F.col("_peers")).drop(
         "_value", "_ahead", "_peers", CHUNK
     )

@@ -10,7 +10,7 @@ from clickloom.operators.coclick import with_coclick_affinity, with_previous_cli
 from clickloom.operators.encode import encoded, fold_sums, frequency_encode, target_mean, train_mean
 from clickloom.operators.history import affinity_history, click_history, ctr_trend, user_history, windowed_history
 from clickloom.operators.joins import lookup
-from clickloom.operators.prefix import CHUNK, Timeline
+from clickloom.operators.prefix import Timeline, by_chunk
 from clickloom.session import materialize
 
 
@@ -66,7 +66,7 @@ def gold_features(rows: DataFrame, timeline: Timeline) -> DataFrame:
     out = user_history(out, prior, mean_price, base)
     out = affinity_history(out, ["userid", "cate_id"], "user_cate", prior, base)
     out = affinity_history(out, ["userid", "brand"], "user_brand", prior, base)
-    out = with_coclick_affinity(out, with_previous_click(base.repartition(CHUNK), base))
+    out = with_coclick_affinity(out, with_previous_click(by_chunk(base), base))
     out = ctr_trend(out.select("*", "_rest.*").drop("_rest"))
     return frequency_encode(out, INTERACTIONS, base=rows)
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from clickloom.operators.candidates import catalog_of
 from clickloom.operators.encode import target_mean, train_mean
-from clickloom.operators.prefix import CHUNK, Timeline
+from clickloom.operators.prefix import Timeline, by_chunk
 from clickloom.plans.gold import gold_table
 from clickloom.session import materialize, prepare
 from clickloom.sources import bindings
@@ -74,10 +74,10 @@ class Lake:
 
     def arranged(self, *columns: str) -> DataFrame:
         """The same, hashed on the chunk, for the history operators."""
-        return self.chunked(*columns).repartition(CHUNK)
+        return by_chunk(self.chunked(*columns))
 
-    def build_gold(self) -> DataFrame:
-        return gold_table(self.imp, self.ads, self.users, self.timeline)
+    def build_gold(self, timeline: Timeline | None = None) -> DataFrame:
+        return gold_table(self.imp, self.ads, self.users, timeline or self.timeline)
 
     @cached_property
     def gold(self) -> DataFrame:

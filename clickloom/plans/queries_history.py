@@ -177,10 +177,30 @@ GOLD_SQL = f"WITH {GOLD} SELECT us, " + ", ".join(
 ) + " FROM gold"
 
 
+def checked_gold(gold: DataFrame) -> DataFrame:
+    return tidy(gold.withColumn("us", F.unix_micros("time_stamp")).fillna(-1, [coclick.PREV]), "us", *GOLD_TEXT)
+
+
 @query("g21_gold_table", GOLD_SQL)
 def _(lake: Lake) -> DataFrame:
-    gold = lake.build_gold().withColumn("us", F.unix_micros("time_stamp"))
-    return tidy(gold.fillna(-1, [coclick.PREV]), "us", *GOLD_TEXT)
+    return checked_gold(lake.build_gold())
+
+
+@query("g21_gold_table_chunked", GOLD_SQL)
+def _(lake: Lake) -> DataFrame:
+    """The same over a forced number of chunks: the plan of a log that no task can hold."""
+    return checked_gold(lake.build_gold(Timeline.of(lake.imp, pieces=12)))
+
+
+CHUNKED = ("ag_clicks_before", "ag_impressions_before", "user_clicks_before", "user_impressions_before", "ag_impressions_last_1d")
+
+
+@query("g06_counts_chunked", feat(*CHUNKED, ints=CHUNKED))
+def _(lake: Lake) -> DataFrame:
+    line = Timeline.of(lake.imp, pieces=12)
+    rows = lake.imp.select("event_id", "_us", "userid", "adgroup_id", "click")
+    out = history.windowed_history(rows, "adgroup_id", "ag", lake.prior, line, {"1d": DAY_US})
+    return tidy(history.click_history(out, ["userid"], "user", lake.prior, line.chunked(rows)), "event_id", *CHUNKED)
 
 
 @query("g22_brand_ctr", feat("brand_clicks_before", "brand_impressions_before", "brand_ctr_before", ints=("brand_clicks_before", "brand_impressions_before")))
