@@ -114,12 +114,15 @@ def with_lookups(queries: DataFrame, gold: DataFrame, catalog: DataFrame) -> Dat
     inside = pairs.join(F.broadcast(catalog.select(F.col("adgroup_id").alias("item"))), "item", "left_semi")
     follow = _as_map(inside, "prev_item", "item", "_v", "_coclick").withColumnRenamed("prev_item", PREV)
 
+    # Every row of a lookup side holds up to one entry per catalog ad, which counts towards its size.
+    size = catalog.count()
     counts = key_counts(gold.where(is_train()), ["userid_key", "adgroup_id_key", "pid", "age_level", "cms_group_id"])
-    out = lookup(queries, side, ["userid"], counts[("userid_key",)])
-    out = lookup(out, follow, [PREV], counts[("adgroup_id_key",)])
-    out = lookup(out, _share_map(gold, catalog, "pid", "cate_id", "_pid_cate"), ["pid"], counts[("pid",)])
-    out = lookup(out, _share_map(gold, catalog, "age_level", "cate_id", "_age_cate"), ["age_level"], counts[("age_level",)])
-    out = lookup(out, _share_map(gold, catalog, "cms_group_id", "brand", "_cms_brand"), ["cms_group_id"], counts[("cms_group_id",)])
+    entries = {k[0]: n * size for k, n in counts.items()}
+    out = lookup(queries, side, ["userid"], entries["userid_key"])
+    out = lookup(out, follow, [PREV], entries["adgroup_id_key"])
+    out = lookup(out, _share_map(gold, catalog, "pid", "cate_id", "_pid_cate"), ["pid"], entries["pid"])
+    out = lookup(out, _share_map(gold, catalog, "age_level", "cate_id", "_age_cate"), ["age_level"], entries["age_level"])
+    out = lookup(out, _share_map(gold, catalog, "cms_group_id", "brand", "_cms_brand"), ["cms_group_id"], entries["cms_group_id"])
     return out.withColumns({
         "_prior": prior,
         "user_avg_clicked_price": F.coalesce(F.col("user_avg_clicked_price"), train_mean(gold, "price")),

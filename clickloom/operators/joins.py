@@ -6,9 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Largest lookup table, in rows, that is sent to every executor. Rows here hold a few numbers,
-# so this stays near 100 MB; larger tables are joined by a shuffle with skew handling.
-BROADCAST_ROWS = 500_000
+# Largest lookup table that is sent to every executor, in entries of a few numbers each: this stays
+# below 100 MB. Larger tables are joined by a shuffle with skew handling.
+BROADCAST_ENTRIES = 500_000
 
 
 def key_counts(df: DataFrame, keys: Sequence[str | Sequence[str]]) -> dict[tuple[str, ...], int]:
@@ -24,11 +24,11 @@ def lookup(
 ) -> DataFrame:
     """Left join ``stats`` (one row per key) and fill ``defaults`` where no row matches.
 
-    ``count`` is the checked number of rows of ``stats``; the table is broadcast only when it is
-    known and small. Without it Spark decides by the size it knows.
+    ``count`` is the checked number of entries of ``stats``; the table is broadcast only when it
+    is known and small. Without it Spark decides by the size it knows.
     """
     side = stats.toDF(*[f"_k_{c}" if c in keys else c for c in stats.columns])
-    if count is not None and count <= BROADCAST_ROWS:
+    if count is not None and count <= BROADCAST_ENTRIES:
         side = F.broadcast(side)
     match = F.lit(True)
     for k in keys:
