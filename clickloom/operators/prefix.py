@@ -34,7 +34,7 @@ def quantile_splits(df: DataFrame, columns: Sequence[str], pieces: int) -> dict[
     """Bucket borders with about equally many rows in between, one job for all columns."""
     steps = [i / pieces for i in range(1, pieces)]
     row = df.agg(*[
-        F.percentile_approx(F.col(c).cast("double"), steps, max(10_000, 10 * pieces)).alias(f"q{i}")
+        F.percentile_approx(F.col(c).cast("double"), steps, max(1_000, 20 * pieces)).alias(f"q{i}")
         for i, c in enumerate(columns)
     ]).first()
     return {c: [-INF, *sorted(set(row[f"q{i}"] or [])), INF] for i, c in enumerate(columns)}
