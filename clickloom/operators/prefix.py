@@ -175,12 +175,13 @@ def by_value(df: DataFrame, columns: Sequence[str], sums: Mapping[str, Column],
     splits = quantile_splits(wide, columns, pieces or pieces_of(df))
     wide = bucketize(wide, splits, "__b")
     melted = wide.select(
-        F.explode(F.array(*[
-            F.struct(F.lit(c).alias("feature"), F.col(f"`{c}__b`").alias("_b"), F.col(c).alias("value"))
-            for c in columns
-        ])).alias("_v"), *keep,
-    ).select("_v.*", *keep)
-    return _cumulated(melted, sums)
+        F.inline(F.array(*[
+            F.struct(F.lit(i).alias("feature"), F.col(f"`{c}__b`").alias("_b"), F.col(c).alias("value"))
+            for i, c in enumerate(columns, 1)
+        ])), *keep,
+    )
+    names = F.array(*[F.lit(c) for c in columns])
+    return _cumulated(melted, sums).withColumn("feature", F.element_at(names, F.col("feature")))
 
 
 def by_group_value(df: DataFrame, group: str, value: str, sums: Mapping[str, Column]) -> DataFrame:

@@ -5,7 +5,7 @@ from datetime import datetime
 
 import pytest
 
-from clickloom.plans import pipeline
+from clickloom.plans import layers
 from clickloom.sources import raw
 
 HEADER = "userid,adgroup_id,time_stamp,pid,click,date,hour,weekday\n"
@@ -87,7 +87,7 @@ def test_zip_rows_come_in_batches_and_in_order(spark, tmp_path):
 
 def test_pipeline_end_to_end(spark, tmp_path, source, ingested_at):
     lake = str(tmp_path / "lake")
-    took = pipeline.run(spark, source, lake, ingested_at=ingested_at)
+    took = layers.run(spark, source, lake, ingested_at=ingested_at)
     assert list(took) == ["bronze", "silver", "gold"]
     fact = spark.read.parquet(f"{lake}/silver/fact_events")
     assert fact.count() == 10  # the repeated train row is gone
@@ -105,9 +105,9 @@ def test_pipeline_end_to_end(spark, tmp_path, source, ingested_at):
 
 
 def test_single_layer_and_unknown_layer(spark, tmp_path, source):
-    assert list(pipeline.run(spark, source, str(tmp_path / "lake"), "bronze")) == ["bronze"]
+    assert list(layers.run(spark, source, str(tmp_path / "lake"), "bronze")) == ["bronze"]
     with pytest.raises(ValueError, match="platinum"):
-        pipeline.run(spark, source, str(tmp_path / "lake"), "platinum")
+        layers.run(spark, source, str(tmp_path / "lake"), "platinum")
 
 
 def test_gold_without_train_rows_has_an_empty_snapshot(spark):
