@@ -4,17 +4,48 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import simhash
+from clickloom.llm import langid, lm, pii, quality, simhash, tokens
 from clickloom.llm.base import documents
 
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
 
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, folder))
 
 
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality(documents(spark, folder))
+
+
+def op6_langid(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.identify(documents(spark, folder), PIECES)
+
+
+def op7_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    return tokens.token_index(documents(spark, folder), BYTE_BPE)
+
+
+def op9_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.language_model(documents(spark, folder))
+
+
+def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.personal_data(documents(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
+    "op5_quality": op5_quality,
+    "op6_langid": op6_langid,
+    "op7_tokens": op7_tokens,
+    "op9_lm": op9_lm,
+    "op10_pii": op10_pii,
+}
+SQL: dict[str, str] = {
+    "op5_quality": quality.SQL,
 }
-SQL: dict[str, str] = {}
