@@ -23,12 +23,12 @@ def text_of(column: str | Column = "text") -> Column:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """The rows as ``_row``, with the key (``_id``, ``_h``) that tells texts and documents apart and is never null."""
+    """The rows as ``_row``, with the key (``_id``, ``_h``) that tells texts and documents apart; rows without id sort last."""
     packed = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"))
     identity, text = F.col("_row.doc_id").cast("bigint"), F.col("_row.text")
     return packed.select(
         "_row",
-        F.coalesce(identity, F.lit(0)).alias("_id"),
+        F.coalesce(identity, F.lit((1 << 63) - 1)).alias("_id"),
         F.xxhash64(identity, F.isnull(identity), text, F.isnull(text)).alias("_h"),
         text_of(text).alias("_text"),
     )

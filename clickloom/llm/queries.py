@@ -7,17 +7,29 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import langid, lm, pii, quality, simhash, tokens
+from clickloom.llm import decontaminate, langid, lines, lm, pieces, pii, quality, simhash, suffix, tokens
 from clickloom.llm.base import documents
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.line_dedup(documents(spark, folder))
+
+
+def op2_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.round_trip(documents(spark, folder), PIECES)
+
+
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, folder))
 
 
+def op4_suffix(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix.repeated_bytes(documents(spark, folder))
+
+
 def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality(documents(spark, folder))
 
@@ -30,6 +42,10 @@ def op7_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.token_index(documents(spark, folder), BYTE_BPE)
 
 
+def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
 def op9_lm(spark: SparkSession, folder: str) -> DataFrame:
     return lm.language_model(documents(spark, folder))
 
@@ -39,13 +55,18 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lines": op1_lines,
+    "op2_pieces": op2_pieces,
     "op3_simhash": op3_simhash,
+    "op4_suffix": op4_suffix,
     "op5_quality": op5_quality,
     "op6_langid": op6_langid,
     "op7_tokens": op7_tokens,
+    "op8_decontaminate": op8_decontaminate,
     "op9_lm": op9_lm,
     "op10_pii": op10_pii,
 }
 SQL: dict[str, str] = {
     "op5_quality": quality.SQL,
+    "op8_decontaminate": decontaminate.SQL,
 }
