@@ -10,9 +10,11 @@ documents becomes a level, and while the last two levels are of equal rank they
 log2(n) + 1 levels, each suffix having been rewritten as often. A merge scan over the levels then finds the suffixes
 that occur again.
 
-Their contexts settle the rest: equal contexts mean that every string of the anchor is repeated; where a suffix occurs in
-different contexts, the strings themselves are compared, by hash, one representative for each set of equal contexts. All
-grouping is by hash and pre-aggregated, so a passage that a third of the documents share is one entry.
+Their contexts settle the rest: equal contexts mean that every string of the anchor is repeated. Where a suffix occurs in
+different contexts, one representative for each set of equal contexts is compared further, ``PIECE`` strings at a time:
+the bytes they have in common, by hash, and the bytes to the left and right of those, as they are. If the common bytes
+occur once, none of the strings is repeated; if the edges are equal too, all are; else each string is told by its share
+of the edges. All grouping is pre-aggregated, so a passage that a third of the documents share is one entry.
 
 Texts are kept in compressed chunks of bounded size, which is what travels to the tasks that cut them.
 
@@ -36,6 +38,7 @@ from clickloom.llm.base import raw_texts
 from clickloom.session import materialize
 
 LENGTH, GRAM = 400, 64
+PIECE = 32               # neighbouring strings that are compared together
 CHUNK_BYTES = 1 << 24
 BATCHES = 4
 SEGMENT = 1 << 22        # strings of a text that are anchored at once
@@ -80,11 +83,12 @@ def chunked(chunk_bytes: int, length: int):
         doc_ids, texts, size = [], [], 0
 
         def row() -> pa.RecordBatch:
-            grams, contexts, lows, highs, base = [], [], [], [], 0
+            grams, contexts, places, lows, highs, base = [], [], [], [], [], 0
             for text in texts:
                 place, low, high = anchors(text, length)
                 grams += [of(text[a:a + GRAM]) for a in place.tolist()]
                 contexts += [of(text[a:b]) for a, b in zip(low.tolist(), (high + length).tolist())]
+                places.append(place + base)
                 lows.append(low + base)
                 highs.append(high + base)
                 base += len(text)
@@ -92,8 +96,8 @@ def chunked(chunk_bytes: int, length: int):
                 pa.array([part << 32 | number]), pa.array([doc_ids], pa.list_(pa.int64())),
                 pa.array([np.array([len(t) for t in texts], "<i8").tobytes()]), pa.array([pack.compress(b"".join(texts))], pa.binary()),
                 pa.array([as_long(grams)], pa.list_(pa.int64())), pa.array([as_long(contexts)], pa.list_(pa.int64())),
-                pa.array([np.concatenate(lows).astype("<i8").tobytes()]), pa.array([np.concatenate(highs).astype("<i8").tobytes()]),
-            ], names=["chunk", "doc_ids", "lens", "blob", "grams", "contexts", "lows", "highs"])
+                *[pa.array([np.concatenate(x).astype("<i8").tobytes()]) for x in (places, lows, highs)],
+            ], names=["chunk", "doc_ids", "lens", "blob", "grams", "contexts", "places", "lows", "highs"])
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), raw_texts(batch.column(1))):
@@ -110,7 +114,7 @@ def chunked(chunk_bytes: int, length: int):
 
 
 CHUNK = ("chunk bigint, doc_ids array<bigint>, lens binary, blob binary, grams array<bigint>, contexts array<bigint>, "
-         "lows binary, highs binary")
+         "places binary, lows binary, highs binary")
 
 
 class SuffixFamily:
@@ -159,29 +163,67 @@ def marked(row: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 REPEATED, OPEN, SAMPLE = 1, 2, 4     # all strings are repeated; to be compared; to be compared with
 
 
-def strings_of(length: int):
-    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The strings of anchors that are to be compared, as (gram, hash, chunk, start, open)."""
-        of, unpack = xxhash.xxh64_intdigest, zstandard.ZstdDecompressor()
+def pieces_of(length: int):
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The strings of anchors that are to be compared, ``PIECE`` starts at a time.
+
+        A piece is (gram, its number from the anchor, hash of the common bytes, bytes to their left and right, chunk, place of the
+        common bytes, open). At the ends of a document the edges are shorter.
+        """
+        of, unpack, edge = xxhash.xxh64_intdigest, zstandard.ZstdDecompressor(), PIECE - 1
         for row in rows_of(batches):
             number, state = marked(row)
             number, state = number[state >= OPEN], state[state >= OPEN]
             if not len(number):
                 continue
             text = unpack.decompress(row.column("blob")[0].as_py())
-            lows, highs = unpacked(row, "lows", "<i8")[number], unpacked(row, "highs", "<i8")[number]
+            place, low, high = (unpacked(row, name, "<i8")[number] for name in ("places", "lows", "highs"))
             grams, chunk = row.column("grams")[0].values.to_numpy()[number], row.column("chunk")[0].as_py()
-            for at in range(0, len(number), 1024):
-                part = slice(at, at + 1024)
-                sizes = highs[part] - lows[part] + 1
-                starts = np.repeat(lows[part] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-                hashes = as_long([of(text[p:p + length]) for p in starts.tolist()])
+            ends = np.cumsum(unpacked(row, "lens", "<i8"))
+            document = np.searchsorted(ends, place, side="right")
+            first, last = (place - high) // PIECE, (place - low) // PIECE
+            for a in range(0, len(number), 4096):
+                part = slice(a, a + 4096)
+                counts = last[part] - first[part] + 1
+                j = np.repeat(first[part] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+                at = np.repeat(place[part], counts) - PIECE * j
+                stop = np.repeat(ends[document[part]], counts)
+                start = np.repeat(ends[document[part]] - unpacked(row, "lens", "<i8")[document[part]], counts)
+                cores, lefts, rights = [], [], []
+                for p, begin, end in zip(at.tolist(), start.tolist(), stop.tolist()):
+                    cores.append(of(text[p:p + length - edge]))
+                    lefts.append(text[max(begin, p - edge):p])
+                    rights.append(text[p + length - edge:min(end, p + length)])
                 yield pa.record_batch([
-                    pa.array(np.repeat(grams[part], sizes)), pa.array(hashes), pa.array(np.full(len(starts), chunk)), pa.array(starts),
-                    pa.array(np.repeat(state[part] == OPEN, sizes)),
-                ], names=["gram", "hash", "chunk", "start", "open"])
+                    pa.array(np.repeat(grams[part], counts)), pa.array(j.astype(np.int32)), pa.array(as_long(cores)), pa.array(lefts, pa.binary()),
+                    pa.array(rights, pa.binary()), pa.array(np.full(len(at), chunk)), pa.array(at), pa.array(np.repeat(state[part] == OPEN, counts)),
+                ], names=["gram", "j", "core", "left", "right", "chunk", "at", "open"])
+
+    return pieces
+
+
+def repeated_starts(pieces: DataFrame) -> DataFrame:
+    """(chunk, low, high): ranges of starts of repeated strings in open pieces."""
+    core = ["gram", "j", "core"]
+    low, high = F.col("at") - F.octet_length("left"), F.col("at") - (PIECE - 1) + F.octet_length("right")
+    variants = pieces.groupBy(*core, "left", "right").agg(F.count("*").alias("n"), F.min(F.struct("chunk", "at")).alias("place"), F.max("open").alias("open"))
+    variants = materialize(variants, "variants")
+    shared = variants.groupBy(*core).agg(F.sum("n").alias("total"), F.count("*").alias("kinds")).where("total > 1")
+    mixed = materialize(shared.where("kinds > 1").select(*core), "mixed-cores")
+
+    equal = variants.where("n > 1 AND open").select(*core, "left", "right")
+    whole = pieces.where("open").join(equal, [*core, "left", "right"], "left_semi").select("chunk", low.alias("low"), high.alias("high"))
 
-    return strings
+    # The string that starts k bytes before the common bytes has k bytes of the left edge and the rest of the right one.
+    open_, k = variants.join(mixed, core), F.col("k")
+    least, most = F.lit(PIECE - 1) - F.octet_length("right"), F.octet_length("left")
+    each = open_.where(least <= most).withColumn("k", F.explode(F.sequence(least, most)))
+    edges = F.xxhash64(F.expr("substring(left, octet_length(left) - k + 1, k)"), F.expr(f"substring(right, 1, {PIECE - 1} - k)"))
+    each = each.select(*core, "k", edges.alias("edges"), "n", "open", (F.col("place.at") - k).alias("start"), F.col("place.chunk").alias("chunk"))
+    each = materialize(each, "strings")
+    again = materialize(each.groupBy(*core, "k", "edges").agg(F.sum("n").alias("total")).where("total > 1").drop("total"), "repeated-strings")
+    single = each.where("open AND n = 1").join(again, [*core, "k", "edges"], "left_semi")
+    return whole.unionByName(single.select("chunk", F.col("start").alias("low"), F.col("start").alias("high")))
 
 
 def merged_spans(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -197,9 +239,9 @@ def spans_by_document(row: pa.RecordBatch, length: int) -> Iterator[tuple[int |
     number, state = marked(row)
     number = number[state & REPEATED > 0]
     lows, highs = unpacked(row, "lows", "<i8")[number], unpacked(row, "highs", "<i8")[number]
-    single = row.column("starts")[0].values
-    single = single.to_numpy() if single is not None else np.empty(0, np.int64)
-    starts, ends = np.r_[lows, single], np.r_[highs, single] + length
+    ranges = row.column("starts")[0].values
+    first, last = (ranges.field(k).to_numpy() for k in ("low", "high")) if ranges is not None else (lows[:0], lows[:0])
+    starts, ends = np.r_[lows, first], np.r_[highs, last] + length
     order = np.argsort(starts, kind="stable")
     starts, ends = starts[order], ends[order]
     text = zstandard.ZstdDecompressor().decompress(row.column("blob")[0].as_py())
@@ -263,13 +305,11 @@ def settled(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES, chunk
     marks = states.groupBy("chunk").agg(F.collect_list(F.struct("k", "state")).alias("marks"))      # bounded by the chunk
     marks = materialize(marks, "marks")
 
-    known = chunks.select("chunk", "blob", "grams", "lows", "highs").join(marks, "chunk")
-    found = known.mapInArrow(strings_of(length), "gram bigint, hash bigint, chunk bigint, start bigint, open boolean")
-    strings = materialize(found, "strings")
-    twice = materialize(strings.groupBy("gram", "hash").count().where("count > 1").select("gram", "hash"), "repeated-strings")
-    starts = strings.where("open").join(twice, ["gram", "hash"], "left_semi")
-    starts = starts.groupBy("chunk").agg(F.collect_list("start").alias("starts"))                   # bounded by the chunk
-    return chunks.drop("grams", "contexts").join(marks, "chunk", "left").join(starts, "chunk", "left")
+    known = chunks.drop("doc_ids", "contexts").join(marks, "chunk")
+    pieces = known.mapInArrow(pieces_of(length), "gram bigint, j int, core bigint, left binary, right binary, chunk bigint, at bigint, open boolean")
+    starts = repeated_starts(materialize(pieces, "pieces"))
+    starts = starts.groupBy("chunk").agg(F.collect_list(F.struct("low", "high")).alias("starts"))   # bounded by the chunk
+    return chunks.drop("grams", "contexts", "places").join(marks, "chunk", "left").join(starts, "chunk", "left")
 
 
 def repeated_bytes(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
