@@ -83,21 +83,19 @@ def chunked(chunk_bytes: int, length: int):
         doc_ids, texts, size = [], [], 0
 
         def row() -> pa.RecordBatch:
-            grams, contexts, places, lows, highs, base = [], [], [], [], [], 0
+            grams, contexts, sizes, shifts = [], [], [], []
             for text in texts:
                 place, low, high = anchors(text, length)
                 grams += [of(text[a:a + GRAM]) for a in place.tolist()]
                 contexts += [of(text[a:b]) for a, b in zip(low.tolist(), (high + length).tolist())]
-                places.append(place + base)
-                lows.append(low + base)
-                highs.append(high + base)
-                base += len(text)
+                sizes.append(high - low + 1)
+                shifts.append(place - low)
             return pa.record_batch([
                 pa.array([part << 32 | number]), pa.array([doc_ids], pa.list_(pa.int64())),
                 pa.array([np.array([len(t) for t in texts], "<i8").tobytes()]), pa.array([pack.compress(b"".join(texts))], pa.binary()),
                 pa.array([as_long(grams)], pa.list_(pa.int64())), pa.array([as_long(contexts)], pa.list_(pa.int64())),
-                *[pa.array([np.concatenate(x).astype("<i8").tobytes()]) for x in (places, lows, highs)],
-            ], names=["chunk", "doc_ids", "lens", "blob", "grams", "contexts", "places", "lows", "highs"])
+                *[pa.array([np.concatenate(x).astype("<u2").tobytes()]) for x in (sizes, shifts)],
+            ], names=["chunk", "doc_ids", "lens", "blob", "grams", "contexts", "sizes", "shifts"])
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), raw_texts(batch.column(1))):
@@ -114,7 +112,7 @@ def chunked(chunk_bytes: int, length: int):
 
 
 CHUNK = ("chunk bigint, doc_ids array<bigint>, lens binary, blob binary, grams array<bigint>, contexts array<bigint>, "
-         "places binary, lows binary, highs binary")
+         "sizes binary, shifts binary")
 
 
 class SuffixFamily:
@@ -137,10 +135,11 @@ class SuffixFamily:
 
     def repeated(self) -> DataFrame:
         """(gram, mixed): the suffixes that occur more than once, and whether in different contexts."""
-        entries = self.levels[0][1]
-        for _, level in self.levels[1:]:
-            entries = entries.unionByName(level)
-        merged = entries.groupBy("gram").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+        merged = self.levels[0][1]
+        if len(self.levels) > 1:
+            for _, level in self.levels[1:]:
+                merged = merged.unionByName(level)
+            merged = merged.groupBy("gram").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
         return merged.where("n > 1").select("gram", (F.col("low") != F.col("high")).alias("mixed"))
 
 
@@ -148,6 +147,21 @@ def unpacked(batch: pa.RecordBatch, name: str, kind: str) -> np.ndarray:
     return np.frombuffer(batch.column(name)[0].as_py(), kind)
 
 
+def layout(row: pa.RecordBatch, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of a chunk's anchors, and the first and last starts of their strings.
+
+    Anchors are kept as the number of their strings and the distance to the first one: the strings of a text follow
+    each other without a gap, so their starts need not be stored.
+    """
+    lens, sizes, shifts = unpacked(row, "lens", "<i8"), unpacked(row, "sizes", "<u2").astype(np.int64), unpacked(row, "shifts", "<u2")
+    strings = np.cumsum(np.maximum(lens - length + 1, 0))
+    first = np.cumsum(sizes) - sizes                     # counted over the strings of the chunk
+    document = np.searchsorted(strings, first, side="right")
+    before = np.r_[0, strings][document]
+    lows = first - before + (np.cumsum(lens) - lens)[document]
+    return lows + shifts, lows, lows + sizes - 1
+
+
 def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for k in range(len(batch)):
@@ -177,7 +191,7 @@ def pieces_of(length: int):
             if not len(number):
                 continue
             text = unpack.decompress(row.column("blob")[0].as_py())
-            place, low, high = (unpacked(row, name, "<i8")[number] for name in ("places", "lows", "highs"))
+            place, low, high = (x[number] for x in layout(row, length))
             grams, chunk = row.column("grams")[0].values.to_numpy()[number], row.column("chunk")[0].as_py()
             ends = np.cumsum(unpacked(row, "lens", "<i8"))
             document = np.searchsorted(ends, place, side="right")
@@ -238,7 +252,8 @@ def spans_by_document(row: pa.RecordBatch, length: int) -> Iterator[tuple[int |
     """Per document of a chunk: doc_id, text, and starts and ends of the removed runs."""
     number, state = marked(row)
     number = number[state & REPEATED > 0]
-    lows, highs = unpacked(row, "lows", "<i8")[number], unpacked(row, "highs", "<i8")[number]
+    _, lows, highs = layout(row, length)
+    lows, highs = lows[number], highs[number]
     ranges = row.column("starts")[0].values
     first, last = (ranges.field(k).to_numpy() for k in ("low", "high")) if ranges is not None else (lows[:0], lows[:0])
     starts, ends = np.r_[lows, first], np.r_[highs, last] + length
@@ -283,8 +298,8 @@ def kept_texts(length: int):
 
 def settled(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """The chunks of all texts with the states of their anchors and the starts of further repeated strings."""
-    if length < GRAM + 8:
-        raise ValueError(f"strings of at least {GRAM + 8} bytes are needed")
+    if not GRAM + 8 <= length < 1 << 16:
+        raise ValueError(f"strings of {GRAM + 8} to 65,535 bytes are needed")
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     chunks = materialize(rows.mapInArrow(chunked(chunk_bytes, length), CHUNK), "text-chunks")
     listed = chunks.select("chunk", F.posexplode(F.arrays_zip("grams", "contexts")).alias("k", "x"))
@@ -296,12 +311,13 @@ def settled(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES, chunk
     again = materialize(family.repeated(), "repeated-suffixes")
 
     places = materialize(listed.join(again, "gram"), "repeated-places")
-    contexts = places.groupBy("gram", "context").agg(F.count("*").alias("copies"), F.min(F.struct("chunk", "k")).alias("first"))
+    several = places.where("mixed")
+    contexts = several.groupBy("gram", "context").agg(F.count("*").alias("copies"), F.min(F.struct("chunk", "k")).alias("first"))
     contexts = materialize(contexts, "contexts")
     one_of = (F.col("first.chunk") == F.col("chunk")) & (F.col("first.k") == F.col("k"))
-    state = F.when(F.col("copies") == 1, F.when(F.col("mixed"), OPEN).otherwise(0)).otherwise(
-        F.when(F.col("mixed") & one_of, REPEATED + SAMPLE).otherwise(REPEATED))
-    states = places.join(contexts, ["gram", "context"]).select("chunk", "k", state.alias("state"))
+    state = F.when(F.col("copies") == 1, OPEN).otherwise(F.when(one_of, REPEATED + SAMPLE).otherwise(REPEATED))
+    states = several.join(contexts, ["gram", "context"]).select("chunk", "k", state.alias("state"))
+    states = states.unionByName(places.where("NOT mixed").select("chunk", "k", F.lit(REPEATED).alias("state")))
     marks = states.groupBy("chunk").agg(F.collect_list(F.struct("k", "state")).alias("marks"))      # bounded by the chunk
     marks = materialize(marks, "marks")
 
@@ -309,7 +325,7 @@ def settled(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES, chunk
     pieces = known.mapInArrow(pieces_of(length), "gram bigint, j int, core bigint, left binary, right binary, chunk bigint, at bigint, open boolean")
     starts = repeated_starts(materialize(pieces, "pieces"))
     starts = starts.groupBy("chunk").agg(F.collect_list(F.struct("low", "high")).alias("starts"))   # bounded by the chunk
-    return chunks.drop("grams", "contexts", "places").join(marks, "chunk", "left").join(starts, "chunk", "left")
+    return chunks.drop("grams", "contexts").join(marks, "chunk", "left").join(starts, "chunk", "left")
 
 
 def repeated_bytes(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
