@@ -59,7 +59,6 @@ def measured(rows: DataFrame) -> DataFrame:
     """Base measures of rows (``_text``, ``_host``, ...) and their lines as (hash, words)."""
     df = rows.withColumn("words", words_of(F.col("_text"))).withColumn("lines", word_lines(F.col("_text")))
     df = with_repeats(df)
-    hashed = F.transform("lines", lambda line: F.struct(F.md5(normalised(line)).alias("h"), F.regexp_count(line, F.lit(WORD + "+")).alias("w")))
     n_words = F.size("words").cast("bigint")
     kept = [c for c in rows.columns if c != "_text"]
     return df.select(
@@ -70,10 +69,15 @@ def measured(rows: DataFrame) -> DataFrame:
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
         "n_repeat_words",
         ((n_words < LEAST_WORDS) | (F.col("n_repeat_words") * 100 > n_words * MOST_REPEATED)).alias("base_failed"),
-        hashed.alias("lines"),
+        hashed("lines").alias("lines"),
     )
 
 
+def hashed(lines: Column | str) -> Column:
+    """(hash, words) of each line."""
+    return F.transform(lines, lambda line: F.struct(F.md5(normalised(line)).alias("h"), F.regexp_count(line, F.lit(WORD + "+")).alias("w")))
+
+
 def frequent_lines(rows: DataFrame, documents: int = LINE_DOCUMENTS, share: float = LINE_SHARE) -> DataFrame:
     """(host, line hash) of the lines above the limits."""
     hashes = F.array_distinct(F.transform("lines", lambda x: x["h"]))
@@ -88,30 +92,48 @@ def frequent_lines(rows: DataFrame, documents: int = LINE_DOCUMENTS, share: floa
     return above.where(F.col("documents") > F.col("rows") * share).select("_host", "h")
 
 
-def judged(docs: DataFrame, carry: list[Column], documents: int = LINE_DOCUMENTS, share: float = LINE_SHARE) -> DataFrame:
-    """The rows with their measures and verdicts; ``carry`` is taken along from the packed rows."""
+def with_host(docs: DataFrame) -> DataFrame:
+    """The rows as ``_row`` with ``_text`` and ``_host``."""
     packed = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"))
     host = F.coalesce(F.concat(F.lit("="), F.col("_row.source").cast("string")), F.lit(""))
-    rows = packed.select(*carry, text_of(F.col("_row.text")).alias("_text"), host.alias("_host"), F.monotonically_increasing_id().alias("_n"))
-    rows = materialize(measured(rows), "line-hashes")
-    above = materialize(frequent_lines(rows, documents, share), "frequent-lines")
-    lines = rows.select("_n", "_host", F.explode("lines").alias("x")).select("_n", "_host", F.col("x.h").alias("h"), F.col("x.w").alias("w"))
-    gone = lines.join(above, ["_host", "h"], "left_semi").groupBy("_n").agg(F.sum("w").alias("gone"))
-    left = F.col("n_words") - F.coalesce("gone", F.lit(0))
+    return packed.select("_row", text_of(F.col("_row.text")).alias("_text"), host.alias("_host"))
+
+
+def verdict(df: DataFrame, gone: Column) -> DataFrame:
+    left = F.col("n_words") - F.coalesce(gone, F.lit(0))
     enough = (left >= LEAST_WORDS) & (left * 100 >= F.col("n_words") * LEAST_LEFT)
-    return rows.join(gone, "_n", "left").withColumn("n_words_left", left).withColumn("kept", ~F.col("base_failed") & enough)
+    return df.withColumn("n_words_left", left).withColumn("kept", ~F.col("base_failed") & enough)
 
 
 def quality(docs: DataFrame, documents: int = LINE_DOCUMENTS, share: float = LINE_SHARE) -> DataFrame:
-    """Per row its doc_id, measures, base verdict, words left without frequent lines, and the verdict ``kept``."""
-    return judged(docs, [F.col("_row.doc_id").cast("bigint").alias("doc_id")], documents, share).select(
+    """Per row its doc_id, measures, base verdict, words left without frequent lines, and the verdict ``kept``.
+
+    The texts are read once; their lines' hashes and their measures are written and all that follows reads those.
+    """
+    doc_id = F.col("_row.doc_id").cast("bigint").alias("doc_id")
+    rows = with_host(docs).select(doc_id, "_text", "_host", F.monotonically_increasing_id().alias("_n"))
+    rows = materialize(measured(rows), "line-hashes")
+    above = materialize(frequent_lines(rows, documents, share), "frequent-lines")
+    lines = rows.select("_n", "_host", F.explode("lines").alias("x")).select("_n", "_host", F.col("x.h").alias("h"), F.col("x.w").alias("w"))
+    gone = lines.join(above, ["_host", "h"], "left_semi").groupBy("_n").agg(F.sum("w").alias("gone"))
+    return verdict(rows.join(gone, "_n", "left"), F.col("gone")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_words_left", "kept",
     )
 
 
 def keep_good(docs: DataFrame, documents: int = LINE_DOCUMENTS, share: float = LINE_SHARE) -> DataFrame:
-    """The rows of ``docs`` that pass, whole and unchanged."""
-    return judged(docs, [F.col("_row")], documents, share).where("kept").select("_row.*")
+    """The rows of ``docs`` that pass, whole and unchanged.
+
+    Texts are neither written nor shuffled: frequent lines, at most a thousand times the lines of a document per host, come
+    to the rows of their host as a list, by a join that Spark broadcasts while the written table is small.
+    """
+    rows = with_host(docs)
+    hashes = materialize(rows.select("_host", hashed(word_lines(F.col("_text"))).alias("lines")), "line-hashes")
+    above = frequent_lines(hashes, documents, share).groupBy("_host").agg(F.collect_list("h").alias("frequent"))
+    full = measured(rows).join(materialize(above, "frequent-lines"), "_host", "left")
+    common = F.filter("lines", lambda x: F.coalesce(F.array_contains("frequent", x["h"]), F.lit(False)))
+    gone = F.aggregate(common, F.lit(0).cast("bigint"), lambda total, x: total + x["w"])
+    return verdict(full, gone).where("kept").select("_row.*")
 
 
 SQL = r"""

@@ -1,10 +1,16 @@
-"""SimHash near-duplicates: 64-bit fingerprints of word shingles, linked when few bits differ.
+"""SimHash near-duplicates: fingerprints of word shingles, linked when few bits differ.
 
-Equal fingerprints are collapsed first. The distinct ones are dealt into tables: the 64 bits are cut into ``blocks``
-runs, and at most ``radius`` differing bits leave ``blocks - radius`` runs untouched, so any two fingerprints that link
-share the bucket of at least one table. Inside buckets, fingerprints are stored as vertical bit planes, 64 fingerprints
-to a machine word; one query meets a word in 64 xor steps whose results are summed by carry-save adders, and a word is
-abandoned when all its lanes exceed the radius.
+A fingerprint has one or more words of 64 bits. Equal ones are collapsed first; the distinct ones are dealt into tables
+by some of their bits and compared where they share a bucket. There, fingerprints are stored as vertical bit planes, 64
+of them to a machine word; one query meets a word in xor steps whose results are summed by carry-save adders, and a word
+is abandoned when all its lanes exceed the radius.
+
+* ``near_duplicates`` takes one word and finds *all* links of a small radius: the 64 bits are cut into ``BLOCKS`` runs, and
+  at most ``radius`` differing bits leave ``BLOCKS - radius`` runs untouched, which key the tables.
+* ``keep_one`` takes texts of a given similarity, whose fingerprints differ in a sixth of the bits and more, so no bits
+  are surely untouched. Wide fingerprints make up for it: ``TABLES`` tables are keyed by 16 bits each, of which texts of
+  similarity 0.8 share at least one in 96 of 100 cases and texts of 0.9 in 99.9, and ``COMPARED`` words tell how similar
+  they are. The radius is what a similarity lets expect plus one standard deviation, so that few pairs at it are lost.
 
 Defined results: null or blank texts have fingerprint zero; a text with fewer words than a shingle is one shingle;
 a component without any doc_id has a null component_id; repeated rows are rows like any other.
@@ -12,6 +18,7 @@ a component without any doc_id has a null component_id; repeated rows are rows l
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -26,38 +33,59 @@ from clickloom.session import materialize
 WIDTH, RADIUS, SEED = 4, 4, 42
 BLOCKS = 6            # 15 tables of 21-bit keys; 8 gives 70 tables of 32-bit keys for tens of billions of documents
 BUCKET_PART = 2048    # larger buckets are cut into parts, and each pair of parts is a unit of work
+TABLES, COMPARED = 40, 4              # of wide fingerprints: tables of 16-bit keys, words that are compared
+SIMILAR_WIDTH, SIMILARITY = 5, 0.8
 PAIRS = 1 << 15       # (query, word) pairs that are compared at once
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
+ODD = np.uint64(0x9E3779B97F4A7C15)
+
 
+def hash_words(hashes: np.ndarray, words: int) -> np.ndarray:
+    """Further words of hash bits (columns) from 64-bit hashes, which are the first one."""
+    found = [hashes]
+    for _ in range(1, words):
+        mixed = (found[-1] ^ (found[-1] >> np.uint64(31))) * ODD
+        found.append(mixed ^ (mixed >> np.uint64(29)))
+    return np.stack(found, axis=1)
 
-def fingerprint(raw: bytes, width: int = WIDTH) -> int:
-    words = raw.lower().split()       # ASCII letters and ASCII white space only, since these are bytes
-    if not words:
-        return 0
-    joined = b" ".join(words)
-    if len(words) <= width:
+
+def fingerprint(raw: bytes, width: int = WIDTH, words: int = 1) -> np.ndarray:
+    """The words of a text's fingerprint, the lowest bits first."""
+    tokens = raw.lower().split()      # ASCII letters and ASCII white space only, since these are bytes
+    if not tokens:
+        return np.zeros(words, np.uint64)
+    joined = b" ".join(tokens)
+    if len(tokens) <= width:
         starts, ends = [0], [len(joined)]
     else:
-        after = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+        after = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1)
         ends = (after[width - 1:] - 1).tolist()
         starts = [0, *after[:len(ends) - 1].tolist()]
-    of, total, n = xxhash.xxh64_intdigest, np.zeros(64, np.int64), len(ends)
-    for at in range(0, n, 1 << 16):
-        part = ends[at:at + (1 << 16)]
+    of, total, n = xxhash.xxh64_intdigest, np.zeros(64 * words, np.int64), len(ends)
+    for at in range(0, n, 1 << 14):
+        part = ends[at:at + (1 << 14)]
         hashes = np.fromiter((of(joined[s:e], SEED) for s, e in zip(starts[at:], part)), np.uint64, len(part))
-        total += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(total * 2 > n, bitorder="little").view(np.uint64)[0])
+        bits = np.unpackbits(hash_words(hashes, words).view(np.uint8), axis=1, bitorder="little")
+        total += bits.sum(axis=0, dtype=np.int32)
+    return np.packbits(total * 2 > n, bitorder="little").view(np.uint64)
 
 
-def fingerprints(text: Column, width: int = WIDTH) -> Column:
-    @F.arrow_udf("bigint")
+def fingerprints(text: Column, width: int = WIDTH, words: int = 1) -> Column:
+    @F.arrow_udf("array<bigint>")
     def compute(texts: pa.Array) -> pa.Array:
-        found = np.array([fingerprint(x, width) for x in raw_texts(texts)], np.uint64)
-        return pa.array(found.view(np.int64))
+        found = [fingerprint(x, width, words) for x in raw_texts(texts)]
+        flat = np.concatenate(found) if found else np.empty(0, np.uint64)
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1) * words, pa.int32()), pa.array(flat.view(np.int64)))
 
     return compute(text)
 
 
+def expected_radius(similarity: float, bits: int) -> int:
+    """Differing bits that texts of this Jaccard similarity have, and one standard deviation more."""
+    rate = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return int(bits * rate + math.sqrt(bits * rate * (1 - rate)))
+
+
 def full_adder(a, b, c):
     half = a ^ b
     return half ^ c, (a & b) | (half & c)
@@ -78,9 +106,9 @@ def over_radius(counter: list[np.ndarray], radius: int) -> np.ndarray:
 def close_lanes(planes: np.ndarray, bits: np.ndarray, query: np.ndarray, word: np.ndarray, lanes: np.ndarray, radius: int):
     """The (query, word) pairs that still hold close lanes, and these lanes as bits of a word."""
     over = ~lanes
-    count = [np.zeros(len(query), np.uint64) for _ in range(4)]
-    for first in range(0, 64, 8):
-        d = [planes[p, word] ^ (np.uint64(0) - bits[query, p]) for p in range(first, first + 8)]
+    count = [np.zeros(len(query), np.uint64) for _ in range(max(4, radius.bit_length()))]
+    for first in range(0, len(planes), 8):
+        d = [planes[p, word] ^ (np.uint64(0) - bits[query, p].astype(np.uint64)) for p in range(first, first + 8)]
         ones, a = full_adder(count[0], d[0], d[1])
         ones, b = full_adder(ones, d[2], d[3])
         twos, e = full_adder(count[1], a, b)
@@ -88,8 +116,10 @@ def close_lanes(planes: np.ndarray, bits: np.ndarray, query: np.ndarray, word: n
         ones, b = full_adder(ones, d[6], d[7])
         twos, f = full_adder(twos, a, b)
         fours, carry = full_adder(count[2], e, f)
-        over |= count[3] & carry
-        count = [ones, twos, fours, count[3] ^ carry]
+        count[:3] = ones, twos, fours
+        for k in range(3, len(count)):
+            count[k], carry = count[k] ^ carry, count[k] & carry
+        over |= carry
         over |= over_radius(count, radius)
         left = over != FULL
         if not left.all():
@@ -113,20 +143,19 @@ def unite(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             label[:] = further
 
 
-def linked(prints: np.ndarray, run_starts: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links within runs of fingerprints, as (fingerprint, least-placed fingerprint it reaches in its run)."""
+def linked(nodes: np.ndarray, prints: np.ndarray, run_starts: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links within runs of fingerprints (rows), as (node, least-placed node it reaches in its run)."""
     ends = np.append(run_starts[1:], len(prints))
     sizes = ends - run_starts
     keep = np.repeat(sizes > 1, sizes)
-    prints, sizes = prints[keep], sizes[sizes > 1]
+    nodes, prints, sizes = nodes[keep], np.ascontiguousarray(prints[keep]), sizes[sizes > 1]
     n = len(prints)
     if not n:
-        return prints, prints
-    bits = np.unpackbits(prints.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    padded = np.zeros((-(-n // 64) * 64, 64), np.uint8)
+        return nodes, nodes
+    bits = np.unpackbits(prints.view(np.uint8), axis=1, bitorder="little")
+    padded = np.zeros((-(-n // 64) * 64, bits.shape[1]), np.uint8)
     padded[:n] = bits
     planes = np.ascontiguousarray(np.packbits(padded.T, axis=1, bitorder="little")).view(np.uint64)
-    bits = bits.astype(np.uint64)
     end = np.repeat(np.cumsum(sizes), sizes)
     row = np.arange(n)
     words = (end - 1) // 64 - row // 64 + 1
@@ -149,90 +178,99 @@ def linked(prints: np.ndarray, run_starts: np.ndarray, radius: int) -> tuple[np.
             if hit.any():
                 unite(label, query[hit], word[hit] * 64 + k)
     far = label != row
-    return prints[far], prints[label[far]]
+    return nodes[far], nodes[label[far]]
 
 
-def compare_buckets(radius: int):
+def compare_buckets(radius: int, words: int):
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by bucket; a bucket that a batch cuts waits for its rest."""
-        held_key, held = np.empty((0, 3), np.int64), np.empty(0, np.int64)
+        """Rows (bucket, i, j, node, words) come sorted by bucket; a bucket that a batch cuts waits for its rest."""
+        held = np.empty((0, 4 + words), np.int64)
 
-        def links(key: np.ndarray, prints: np.ndarray) -> pa.RecordBatch:
+        def links(rows: np.ndarray) -> pa.RecordBatch:
+            key = rows[:, :3]
             starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1)])
-            a, b = linked(prints.view(np.uint64), starts, radius)
-            return pa.record_batch([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
+            a, b = linked(rows[:, 3], np.ascontiguousarray(rows[:, 4:]).view(np.uint64), starts, radius)
+            return pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
 
         for batch in batches:
-            key = np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(3)], axis=1)
-            held_key = np.concatenate([held_key, key])
-            held = np.concatenate([held, batch.column(3).to_numpy(zero_copy_only=False)])
-            if len(held):
-                same = (held_key == held_key[-1]).all(axis=1)
-                last = len(same) if same.all() else len(same) - int(np.argmin(same[::-1]))
-                cut = 0 if same.all() else last
-                if cut:
-                    yield links(held_key[:cut], np.ascontiguousarray(held[:cut]))
-                    held_key, held = held_key[cut:], held[cut:]
+            columns = [batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(4 + words)]
+            held = np.concatenate([held, np.stack(columns, axis=1)])
+            other = np.flatnonzero((held[:, :3] != held[-1:, :3]).any(axis=1))
+            if len(other):
+                yield links(held[:other[-1] + 1])
+                held = held[other[-1] + 1:]
         if len(held):
-            yield links(held_key, np.ascontiguousarray(held))
+            yield links(held)
 
     return compare
 
 
-def bucket_keys(blocks: int, radius: int) -> list[Column]:
-    """One key per table: its number above the untouched blocks of bits."""
+def untouched_keys(word: Column, radius: int, blocks: int) -> list[Column]:
+    """One key per choice of ``blocks - radius`` runs of bits of a word: two words within the radius share one of them."""
+    if blocks <= radius:
+        raise ValueError("more blocks than differing bits are needed")
     edges = [64 * k // blocks for k in range(blocks + 1)]
     keys = []
     for number, chosen in enumerate(combinations(range(blocks), blocks - radius)):
         mask = sum(((1 << (edges[k + 1] - edges[k])) - 1) << edges[k] for k in chosen)
         signed = mask - (1 << 64) if mask >> 63 else mask
-        keys.append(F.struct(F.lit(number).alias("table"), F.col("fp").bitwiseAND(F.lit(signed).cast("bigint")).alias("bits")))
+        keys.append(F.xxhash64(F.lit(number), word.bitwiseAND(F.lit(signed).cast("bigint"))))
     return keys
 
 
-def links_of(distinct: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, part: int = BUCKET_PART) -> DataFrame:
-    """Links (a, b) that connect all fingerprints ``fp`` within the radius, not every pair of a dense bucket."""
-    if blocks <= radius:
-        raise ValueError("more blocks than differing bits are needed")
-    spread = distinct.select("fp", F.explode(F.array(*bucket_keys(blocks, radius))).alias("b"))
-    spread = spread.select(F.xxhash64("b.table", "b.bits").alias("bucket"), "fp")
+def banded_keys(words: Column, tables: int) -> list[Column]:
+    """One key per 16 bits of a wide fingerprint."""
+    bits = lambda t: F.shiftrightunsigned(F.get(words, t // 4), t % 4 * 16).bitwiseAND(F.lit(0xFFFF).cast("bigint"))
+    return [bits(t) + F.lit(t << 16).cast("bigint") for t in range(tables)]
+
+
+def links_of(distinct: DataFrame, keys: list[Column], radius: int, words: int = 1, part: int = BUCKET_PART) -> DataFrame:
+    """Links (a, b) that connect the nodes of rows (node, print) that share a key and are within the radius on the
+    first ``words`` words; not every pair of a dense bucket, but what connects as much."""
+    names = [f"w{k}" for k in range(words)]
+    values = [F.get("print", k).alias(name) for k, name in enumerate(names)]
+    spread = distinct.select("node", *values, F.explode(F.array(*keys)).alias("bucket"))
     large = spread.groupBy("bucket").count().where(F.col("count") > part)
     large = large.select("bucket", F.ceil(F.col("count") / part).cast("int").alias("parts"))
-    own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     units = F.when(F.col("parts").isNull(), F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(
         F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: F.struct(F.least(own, k).alias("i"), F.greatest(own, k).alias("j")))
     )
-    dealt = spread.join(large, "bucket", "left").select("bucket", F.explode(units).alias("u"), "fp").select("bucket", "u.i", "u.j", "fp")
-    ordered = dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    return ordered.mapInArrow(compare_buckets(radius), "a bigint, b bigint")
+    dealt = spread.join(large, "bucket", "left").select("bucket", F.explode(units).alias("u"), "node", *names)
+    ordered = dealt.select("bucket", "u.i", "u.j", "node", *names).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    return ordered.mapInArrow(compare_buckets(radius, words), "a bigint, b bigint")
 
 
-def classes(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
-    """Per distinct fingerprint ``fp`` of rows (doc_id, fp): its component's ``root`` and least doc_id, ``component_id``."""
-    distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprints")
-    roots = star_forest(links_of(distinct, radius, blocks))
-    member = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = member.groupBy("root").agg(F.min("least").alias("component_id"))
-    return member.join(least, "root").select("fp", "root", "component_id")
+def with_roots(distinct: DataFrame, links: DataFrame) -> DataFrame:
+    """The rows with ``root``, the least node of their component."""
+    roots = star_forest(links)
+    return distinct.join(roots, distinct["node"] == roots["node"], "left").select(distinct["*"], F.coalesce("root", distinct["node"]).alias("root"))
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
     """Per row: doc_id, fingerprint (16 hex digits) and component_id, the least doc_id reachable over links."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), fingerprints(F.col("text"), width).alias("fp"))
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.get(fingerprints(F.col("text"), width), 0).alias("node"))
     prints = materialize(rows, "simhash")
-    found = prints.join(classes(prints, radius, blocks), "fp")
-    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    distinct = prints.groupBy("node").agg(F.min("doc_id").alias("least"))
+    distinct = materialize(distinct.select("node", "least", F.array("node").alias("print")), "fingerprints")
+    member = with_roots(distinct, links_of(distinct, untouched_keys(F.col("node"), radius, blocks), radius))
+    least = member.groupBy("root").agg(F.min("least").alias("component_id"))
+    found = prints.join(member.join(least, "root").select("node", "component_id"), "node")
+    return found.select("doc_id", F.lower(F.lpad(F.hex("node"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, width: int = WIDTH, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+def keep_one(docs: DataFrame, width: int = SIMILAR_WIDTH, similarity: float = SIMILARITY, tables: int = TABLES, compared: int = COMPARED) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component the row with the least doc_id stays (a null counts
     as the largest; of repeated rows, any one)."""
     packed = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"))
+    words = max(compared, -(-tables // 4))
     rows = materialize(packed.select(
-        "_row", fingerprints(F.col("_row.text"), width).alias("fp"), F.monotonically_increasing_id().alias("n"),
+        "_row", fingerprints(F.col("_row.text"), width, words).alias("print"), F.monotonically_increasing_id().alias("n"),
     ), "simhash-rows")
-    prints = rows.select(F.col("_row.doc_id").cast("bigint").alias("doc_id"), "fp", "n")
-    of = classes(prints.select("doc_id", "fp"), radius, blocks).select("fp", "root")
-    first = prints.groupBy("fp").agg(F.min(F.struct(F.isnull("doc_id").alias("u"), "doc_id", "n")).alias("first")).join(of, "fp")
-    kept = first.groupBy("root").agg(F.min("first").alias("first")).select("first.n")
+    identity = F.struct(F.isnull("_row.doc_id").alias("u"), F.col("_row.doc_id").alias("d"), "n")
+    distinct = rows.groupBy("print").agg(F.min("n").alias("node"), F.min(identity).alias("first"))
+    distinct = materialize(distinct, "fingerprints")
+    radius = expected_radius(similarity, 64 * compared)
+    links = links_of(distinct, banded_keys(F.col("print"), tables), radius, compared)
+    kept = with_roots(distinct.select("node", "first"), links).groupBy("root").agg(F.min("first").alias("first")).select("first.n")
     return rows.join(kept, "n", "left_semi").select("_row.*")

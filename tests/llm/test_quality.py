@@ -53,14 +53,16 @@ def test_frequent_lines_deplete_documents_but_copies_do_not(docs_of):
     df = docs_of(rows, _n="1")
     kept = quality.keep_good(df)
     assert kept.columns == df.columns
-    assert {r.doc_id for r in kept.collect()} == {*range(200, 220), *range(300, 450), 500, 501}
+    want = {*range(200, 220), *range(300, 450), 500, 501}
+    assert {r.doc_id for r in kept.collect()} == want
+    assert {r.doc_id for r in quality.quality(df).where("kept").collect()} == want
 
 
 def test_effective_documents(docs_of):
     """Three copies each of forty documents that share a line count as forty."""
     rows = [(i, f"shared line here\nown {chr(97 + i % 40 % 20) * (1 + i % 40 // 20)}", None, "h") for i in range(120)]
     for limit, left in ((39, 2), (41, 5)):
-        kept = quality.judged(docs_of(rows), [quality.F.col("_row")], documents=limit, share=0).select("n_words_left").distinct().collect()
+        kept = quality.quality(docs_of(rows), documents=limit, share=0).select("n_words_left").distinct().collect()
         assert [r[0] for r in kept] == [left]
 
 

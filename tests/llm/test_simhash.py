@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from clickloom.llm import simhash
 
@@ -60,6 +61,19 @@ def test_empty_table(docs_of):
     assert simhash.near_duplicates(docs_of([])).count() == 0
 
 
+def signed(x):
+    return x - 2**64 if x >> 63 else x
+
+
+def components(df, keys, radius, words, part, prints):
+    """Least index per node after following the links."""
+    label = list(range(len(prints)))
+    for r in simhash.links_of(df, keys, radius, words, part).collect():
+        a, b = label[r.a], label[r.b]
+        label = [min(a, b) if x in (a, b) else x for x in label]
+    return label
+
+
 @pytest.mark.parametrize("part", [2048, 5])
 def test_links_of_dense_and_sparse_prints(spark, part):
     rng = random.Random(part)
@@ -71,16 +85,57 @@ def test_links_of_dense_and_sparse_prints(spark, part):
             for _ in range(rng.randrange(1, 4)):
                 p ^= 1 << rng.randrange(64)
     prints = sorted(prints)
-    df = spark.createDataFrame([(int(np.uint64(p).view(np.int64)),) for p in prints], "fp bigint")
-    at = {int(np.uint64(p).view(np.int64)): i for i, p in enumerate(prints)}
+    df = spark.createDataFrame([(i, [signed(p)]) for i, p in enumerate(prints)], "node bigint, print array<bigint>")
+    keys = simhash.untouched_keys(F.get("print", 0), 4, 6)
+    assert components(df, keys, 4, 1, part, prints) == slow_classes(prints, list(range(len(prints))))
+
+
+@pytest.mark.parametrize("part", [2048, 7])
+def test_wide_prints_link_where_a_key_and_the_radius_allow(spark, part):
+    rng = random.Random(part)
+    prints = []
+    for _ in range(25):
+        p = rng.getrandbits(256)
+        for _ in range(rng.randrange(1, 12)):
+            prints.append(p)
+            for _ in range(rng.randrange(10, 70)):
+                p ^= 1 << rng.randrange(256)
+    df = spark.createDataFrame([(i, [signed(p >> 64 * k & (2**64 - 1)) for k in range(4)]) for i, p in enumerate(prints)], "node bigint, print array<bigint>")
     label = list(range(len(prints)))
-    links = simhash.links_of(df, part=part).collect()
-    assert all((prints[at[r.a]] ^ prints[at[r.b]]) for r in links)
-    for _ in prints:
-        for r in links:
-            label[at[r.a]] = label[at[r.b]] = min(label[at[r.a]], label[at[r.b]])
-    want = slow_classes(prints, list(range(len(prints))))
-    assert label == want
+    for i in range(len(prints)):
+        for j in range(i):
+            x = prints[i] ^ prints[j]
+            if x.bit_count() <= 44 and any(not x >> 16 * t & 0xFFFF for t in range(16)):
+                a, b = label[i], label[j]
+                label = [min(a, b) if y in (a, b) else y for y in label]
+    assert components(df, simhash.banded_keys(F.col("print"), 16), 44, 4, part, prints) == label
+
+
+def test_wide_fingerprint_starts_with_the_narrow_one():
+    text = " ".join(f"w{i}" for i in range(300)).encode()
+    wide = simhash.fingerprint(text, 5, 10)
+    assert len(wide) == 10 and wide[0] == simhash.fingerprint(text, 5)[0]
+    ones = np.unpackbits(wide.view(np.uint8)).sum()
+    assert 250 < ones < 390
+
+
+def test_similar_texts_are_caught_and_others_stay(docs_of):
+    """Groups of copies at similarity 0.87 and 0.5 of five-word shingles."""
+    rng = random.Random(1)
+    word = lambda: "".join(rng.choices("abcdefghij", k=5))
+    rows, near, far = [], 0, 0
+    for group in range(60):
+        words = [word() for _ in range(300)]
+        rows.append((10 * group, " ".join(words)))
+        for k, edits in ((1, 4), (2, 25)):
+            copy = list(words)
+            for at in rng.sample(range(300), edits):
+                copy[at] = word()
+            rows.append((10 * group + k, " ".join(copy)))
+    kept = {r.doc_id for r in simhash.keep_one(docs_of(rows)).collect()}
+    assert all(10 * g in kept for g in range(60))
+    assert sum(10 * g + 1 in kept for g in range(60)) <= 3
+    assert sum(10 * g + 2 in kept for g in range(60)) >= 50
 
 
 def test_one_of_each_group_stays(docs_of):
