@@ -65,7 +65,6 @@ SEGMENT_COLUMNS = [
     "new_user_class_level",
 ]
 
-CATALOG_SIZE = 300
 RECALL_KS = [10, 20, 50, 100]
 LIFT_PERCENTS = [5, 10, 20, 30, 50, 100]
 USER_BUCKET_EDGES = [0.0, 0.05, 0.10, 0.20, 0.50, 1.00]

@@ -1,25 +1,29 @@
 """Catalog snapshots and the candidates each query is scored against.
 
-A query meets every ad of a catalog. The catalog is a bounded table (the most frequent ads, 300
-unless asked otherwise), so it travels as one array, and a query finds its cross features in
-small maps joined by user, slot, age, segment and last click. Candidates are thus built and ranked
-inside the row: no join multiplies rows and no sort sees query-candidate pairs.
+A query meets every ad of the catalog, which is every ad of the train log. The catalog is cut into
+blocks of a bounded number of ads, one array each; a query meets the blocks one by one, and per
+block only the number of ads ahead or the best few are kept. An ad carries its shares by slot, age
+and segment, a user the affinities to what the user saw, and co-clicks are joined by last click and
+block, so every cross feature is a look-up inside the row: no row per query and ad, no table in one
+task or on the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clickloom.constants import AD_DYNAMIC, AD_STATIC, CATALOG_SIZE, CATEGORY_DYNAMIC, SMOOTHING, USER_CONTEXT
+from clickloom.constants import AD_DYNAMIC, AD_STATIC, CATEGORY_DYNAMIC, SMOOTHING, USER_CONTEXT
 from clickloom.functions.scalar import smoothed
-from clickloom.operators.clean import most_frequent
 from clickloom.operators.coclick import PREV, coclick_snapshot
-from clickloom.operators.encode import is_train, target_mean, train_mean
-from clickloom.operators.joins import key_counts, lookup
+from clickloom.operators.encode import is_train
+from clickloom.operators.joins import lookup
 from clickloom.operators.prefix import Timeline, row_position
+from clickloom.session import materialize
 
+BLOCK_ADS = 1024    # about as many ads in a block of the catalog
 LATEST = ("time_stamp", "event_id")
 
 
@@ -39,13 +43,12 @@ def category_snapshot(gold: DataFrame) -> DataFrame:
     return last_state(gold.where(is_train()), "cate_id", CATEGORY_DYNAMIC)
 
 
-def catalog_of(gold: DataFrame, size: int = CATALOG_SIZE) -> DataFrame:
-    """The ``size`` most shown train ads with their ad and category state."""
-    shown = most_frequent(gold.where(is_train()), "adgroup_id_key", size)
-    ads = product_snapshot(gold).join(
-        F.broadcast(shown.select(F.col("adgroup_id_key").alias("adgroup_id"))), "adgroup_id", "left_semi"
-    )
-    return ads.join(category_snapshot(gold), "cate_id", "left")
+def catalog_of(gold: DataFrame) -> DataFrame:
+    """Every train ad with its ad and category state.
+
+    For the most frequent ads only, restrict the log first (``clean.restrict_to_frequent``).
+    """
+    return product_snapshot(gold).join(category_snapshot(gold), "cate_id", "left")
 
 
 def first_seen_catalog(star: DataFrame) -> DataFrame:
@@ -89,84 +92,117 @@ def frozen_prices(gold: DataFrame) -> DataFrame:
     return clicked.groupBy(F.col("userid_key").alias("userid")).agg(F.avg("price").alias("user_avg_clicked_price"))
 
 
-def _as_map(table: DataFrame, by: str, key: str, value: str, name: str) -> DataFrame:
-    """(by, key, value) -> one map per ``by``; keys are catalog values, so maps stay small."""
-    return table.groupBy(by).agg(F.map_from_entries(F.collect_list(F.struct(key, value))).alias(name))
+def _as_map(key: str, value: str) -> Column:
+    return F.map_from_entries(F.collect_list(F.struct(key, value)))
 
 
-def _share_map(gold: DataFrame, catalog: DataFrame, context: str, attribute: str, name: str) -> DataFrame:
-    train = gold.where(is_train())
+SHARES = {"_pid": ("cate_id", "pid"), "_age": ("cate_id", "age_level"), "_cms": ("brand", "cms_group_id")}
+
+
+def share_maps(train: DataFrame) -> DataFrame:
+    """(kind, key, shares): share of the train rows that each context has with a category or brand."""
+    pairs = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(a).alias("key"), F.col(c).alias("context")) for k, (a, c) in SHARES.items()])
+    counts = train.select(F.explode(pairs).alias("_p")).select("_p.*").groupBy("kind", "key", "context").agg(F.count(F.lit(1)).alias("_n"))
     total = train.agg(F.count(F.lit(1))).scalar()
-    inside = train.join(F.broadcast(catalog.select(attribute).distinct()), attribute, "left_semi")
-    shares = inside.groupBy(context, attribute).agg((F.count(F.lit(1)) / total).alias("_v"))
-    return _as_map(shares, context, attribute, "_v", name)
-
-
-def with_lookups(queries: DataFrame, gold: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Attach to each query the maps from which candidates take their cross features."""
-    prior = target_mean(gold)
-    levels = {c: F.broadcast(catalog.select(c).distinct()) for c in ("cate_id", "brand")}
-    side = frozen_prices(gold)
-    for c, name in (("cate_id", "_user_cate"), ("brand", "_user_brand")):
-        table = frozen_affinity(gold, c, "_v", prior).join(levels[c], c, "left_semi")
-        side = side.join(_as_map(table, "userid", c, "_v", name), "userid", "full")
-    pairs = coclick_snapshot(gold, "adgroup_id_key").withColumn("_v", F.col("cnt") / F.col("total"))
-    inside = pairs.join(F.broadcast(catalog.select(F.col("adgroup_id").alias("item"))), "item", "left_semi")
-    follow = _as_map(inside, "prev_item", "item", "_v", "_coclick").withColumnRenamed("prev_item", PREV)
+    return counts.withColumn("_v", F.col("_n") / total).groupBy("kind", "key").agg(_as_map("context", "_v").alias("shares"))
+
+
+def user_maps(train: DataFrame, prior: Column) -> DataFrame:
+    """One row per user: affinity by category and by brand, and the mean clicked price, in one pass."""
+    kinds = F.array(*[
+        F.struct(F.lit(k).alias("kind"), F.col(k).alias("key")) for k in ("cate_id", "brand")
+    ], F.struct(F.lit("price").alias("kind"), F.lit("").alias("key")))
+    rows = train.select(F.col("userid_key").alias("userid"), F.explode(kinds).alias("_k"), "click", "price").select("userid", "_k.*", "click", "price")
+    sums = rows.groupBy("userid", "kind", "key").agg(
+        smoothed(F.sum("click"), F.count("click"), prior, SMOOTHING).alias("_v"), F.avg(F.when(F.col("click") == 1, F.col("price"))).alias("_price"),
+    )
+    of = lambda kind: F.map_from_entries(F.collect_list(F.when(F.col("kind") == kind, F.struct("key", "_v"))))
+    return sums.groupBy("userid").agg(
+        of("cate_id").alias("_user_cate"), of("brand").alias("_user_brand"),
+        F.max(F.when(F.col("kind") == "price", F.col("_price"))).alias("user_avg_clicked_price"),
+    )
 
-    # Every row of a lookup side holds up to one entry per catalog ad, which counts towards its size.
-    size = catalog.count()
-    counts = key_counts(gold.where(is_train()), ["userid_key", "adgroup_id_key", "pid", "age_level", "cms_group_id"])
-    entries = {k[0]: n * size for k, n in counts.items()}
-    out = lookup(queries, side, ["userid"], entries["userid_key"])
-    out = lookup(out, follow, [PREV], entries["adgroup_id_key"])
-    out = lookup(out, _share_map(gold, catalog, "pid", "cate_id", "_pid_cate"), ["pid"], entries["pid"])
-    out = lookup(out, _share_map(gold, catalog, "age_level", "cate_id", "_age_cate"), ["age_level"], entries["age_level"])
-    out = lookup(out, _share_map(gold, catalog, "cms_group_id", "brand", "_cms_brand"), ["cms_group_id"], entries["cms_group_id"])
-    return out.withColumns({
-        "_prior": prior,
-        "user_avg_clicked_price": F.coalesce(F.col("user_avg_clicked_price"), train_mean(gold, "price")),
-    })
 
+@dataclass(frozen=True)
+class Lookups:
+    """What candidates are built from, each a written table.
 
-LOOKUPS = ["_user_cate", "_user_brand", "_coclick", "_pid_cate", "_age_cate", "_cms_brand", "_prior", "user_avg_clicked_price"]
+    ``blocks`` (block, ads, _prior, _mean_price), ``users`` (userid, maps) and ``follow`` (last
+    clicked ad, block, shares of the ads that were clicked next).
+    """
+
+    blocks: DataFrame
+    users: DataFrame
+    follow: DataFrame
+    n_blocks: int
+
+    def block_of(self, ad: Column) -> Column:
+        return F.pmod(F.xxhash64(ad), F.lit(self.n_blocks)).cast("int")
+
+
+def lookups_of(gold: DataFrame, catalog: DataFrame, block_ads: int = BLOCK_ADS) -> Lookups:
+    train = gold.where(is_train())
+    prior, mean_price, n_ads = train.agg(F.avg("click"), F.avg("price")).first() + (catalog.count(),)
+    n_blocks = max(1, -(-n_ads // block_ads))
+    block = lambda ad: F.pmod(F.xxhash64(ad), F.lit(n_blocks)).cast("int").alias("block")
+
+    shares = materialize(share_maps(train), "shares")
+    ads = catalog
+    for kind, (key, _) in SHARES.items():
+        own = shares.where(F.col("kind") == kind).select(F.col("key").alias(key), F.col("shares").alias(kind))
+        ads = ads.join(own, key, "left")
+    fields = ["adgroup_id", *[c for c in ads.columns if c != "adgroup_id"]]
+    blocks = ads.groupBy(block("adgroup_id")).agg(F.collect_list(F.struct(*fields)).alias("ads"))
+    blocks = blocks.withColumns({"_prior": F.lit(prior).cast("double"), "_mean_price": F.lit(mean_price).cast("double")})
+    pairs = coclick_snapshot(gold, "adgroup_id_key").withColumn("_v", F.col("cnt") / F.col("total"))
+    follow = pairs.groupBy("prev_item", block("item")).agg(_as_map("item", "_v").alias("_coclick"))
+    return Lookups(
+        materialize(blocks, "catalog-blocks"), materialize(user_maps(train, F.lit(prior).cast("double")), "user-maps"),
+        materialize(follow, "co-clicks"), n_blocks,
+    )
 
 
 def cross_features(ad: Column) -> dict[str, Column]:
     """Features that depend on both the query and the candidate ad."""
-    def found(table: str, key: Column, default: Column) -> Column:
-        return F.coalesce(F.try_element_at(F.col(table), key), default)
+    def found(table: Column, key: Column | str, default: Column) -> Column:
+        return F.coalesce(F.try_element_at(table, F.col(key) if isinstance(key, str) else key), default)
 
     zero = F.lit(0.0)
     return {
-        "pid_x_cate_id_freq": found("_pid_cate", ad["cate_id"], zero),
-        "cate_id_x_age_level_freq": found("_age_cate", ad["cate_id"], zero),
-        "brand_x_cms_group_id_freq": found("_cms_brand", ad["brand"], zero),
-        "item_coclick_affinity": found("_coclick", ad["adgroup_id"], zero),
-        "user_cate_affinity_before": found("_user_cate", ad["cate_id"], F.col("_prior")),
-        "user_brand_affinity_before": found("_user_brand", ad["brand"], F.col("_prior")),
-        "user_price_gap": ad["price"] - F.col("user_avg_clicked_price"),
+        "pid_x_cate_id_freq": found(ad["_pid"], "pid", zero),
+        "cate_id_x_age_level_freq": found(ad["_age"], "age_level", zero),
+        "brand_x_cms_group_id_freq": found(ad["_cms"], "cms_group_id", zero),
+        "item_coclick_affinity": found(F.col("_coclick"), ad["adgroup_id"], zero),
+        "user_cate_affinity_before": found(F.col("_user_cate"), ad["cate_id"], F.col("_prior")),
+        "user_brand_affinity_before": found(F.col("_user_brand"), ad["brand"], F.col("_prior")),
+        "user_price_gap": ad["price"] - F.coalesce(F.col("user_avg_clicked_price"), F.col("_mean_price")),
     }
 
 
-def with_candidates(queries: DataFrame, gold: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Add ``candidates``: the catalog as an array of ads with state and cross features."""
-    packed = catalog.agg(F.sort_array(F.collect_list(F.struct("adgroup_id", *[c for c in catalog.columns if c != "adgroup_id"])))).scalar()
-    fields = [c for c in catalog.columns if c != "adgroup_id"]
+HELPERS = ["_user_cate", "_user_brand", "_coclick", "_prior", "_mean_price", "user_avg_clicked_price", "ads"]
+
+
+def with_candidates(queries: DataFrame, lookups: Lookups, true_block_only: bool = False) -> DataFrame:
+    """A row per query and ``block`` with ``candidates``: the block's ads with state and cross features.
+
+    ``true_block_only`` keeps just the block that would hold the query's own ad.
+    """
+    every = F.explode(F.sequence(F.lit(0), F.lit(lookups.n_blocks - 1))).alias("block")
+    own = lookups.block_of(F.col("true_adgroup_id")).alias("block") if true_block_only else None
+    out = lookup(queries, lookups.users, ["userid"])
+    out = out.select("*", own if true_block_only else every)
+    out = lookup(out, lookups.follow.withColumnRenamed("prev_item", PREV), [PREV, "block"]).join(lookups.blocks, "block")
+    first = lookups.blocks.schema["ads"].dataType.elementType.fieldNames()
 
     def candidate(ad: Column) -> Column:
-        return F.struct(
-            ad["adgroup_id"].alias("adgroup_id"), *[ad[c].alias(c) for c in fields],
-            *[c.alias(n) for n, c in cross_features(ad).items()],
-        )
+        return F.struct(*[ad[c].alias(c) for c in first if c not in SHARES], *[c.alias(n) for n, c in cross_features(ad).items()])
 
-    out = with_lookups(queries, gold, catalog).withColumn("_catalog", packed)
-    return out.withColumn("candidates", F.transform("_catalog", candidate)).drop("_catalog", *LOOKUPS)
+    return out.withColumn("candidates", F.transform("ads", candidate)).drop(*HELPERS)
 
 
 def exploded(with_arrays: DataFrame) -> DataFrame:
     """One row per query and candidate, for models that score rows."""
-    keep = [c for c in with_arrays.columns if c != "candidates"]
+    keep = [c for c in with_arrays.columns if c not in ("candidates", "block")]
     return with_arrays.select(*keep, F.explode("candidates").alias("_c")).select(*keep, "_c.*")
 
 

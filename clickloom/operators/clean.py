@@ -53,8 +53,12 @@ def is_positive(name: str = "price") -> Column:
 
 
 def clean_events(bronze: DataFrame, order: Sequence[str] = SOURCE_ORDER) -> DataFrame:
-    """One row per (user, ad, time) with a validated click."""
-    kept = keep_first(bronze, FACT_KEY, order)
+    """One row per (user, ad, time) with a validated click.
+
+    Split files count in the order they were listed, so of a train and a test copy train stays.
+    """
+    listed = ["_source_no"] if "_source_no" in bronze.columns else []
+    kept = keep_first(bronze, FACT_KEY, [*listed, *order])
     extra = [c for c in ("event_id",) if c in bronze.columns]
     return kept.withColumn("click", guarded(F.col("click"), is_binary(), "click must be binary")).select(*FACT_COLUMNS, *extra)
 

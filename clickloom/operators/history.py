@@ -47,7 +47,8 @@ def windowed_history(
     A look-back counts earlier rows with a strictly smaller time, not older than its width. Each
     impression enters the count one microsecond after it happened and leaves it one width later;
     a running sum over these entries and exits gives every look-back in linear time, however
-    many rows fall into it. With ``strict`` the all-time history also ignores rows that share
+    many rows fall into it. What happens after the end of the log reaches no row and is left out;
+    ``timeline`` is that of these rows or of a log that ends no sooner. With ``strict`` the all-time history also ignores rows that share
     the timestamp.
     """
     names = list(look_backs)
@@ -66,7 +67,7 @@ def windowed_history(
     needed = list(dict.fromkeys([key, "event_id", "click"] + ([revenue] if revenue else [])))
     spread = rows.select(*columns, F.explode(F.array(*steps)).alias("_e")).select(
         F.when(F.col("_e._kind") == 1, F.struct(*columns)).alias("_row"), *needed, "_e.*",
-    )
+    ).where((F.col("_kind") == 1) | (F.col("_at") <= timeline.last))
     events = timeline.chunked(spread, "_at", "event_id", F.col("_kind"))
 
     clicks, shown, earned = (f"{prefix}_{m}_before" for m in ("clicks", "impressions", "revenue"))
@@ -85,8 +86,7 @@ def windowed_history(
     ]
     if revenue:
         state = state.withColumn(earned, F.round(earned, MONEY_DIGITS))
-    chunk = [CHUNK] if CHUNK in state.columns else []
-    return state.select("_row.*", *chunk, *sums, ratio(F.col(clicks), F.col(shown), prior).alias(f"{prefix}_ctr_before"), *rates)
+    return state.select("_row.*", CHUNK, *sums, ratio(F.col(clicks), F.col(shown), prior).alias(f"{prefix}_ctr_before"), *rates)
 
 
 def ctr_trend(rows: DataFrame, prefix: str = "ag", short: str = "1d", long: str = "3d") -> DataFrame:

@@ -7,13 +7,14 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from clickloom.constants import CATEGORICAL_FEATURES, FEATURES, NUMERIC_FEATURES, RECALL_KS, SEED
 from clickloom.operators.prefix import Timeline, row_position
 from clickloom.operators.ranking import auc, auc_by_group, recall_at, true_ranks_of_rows
+from clickloom.session import materialize
 
 # Settings of the compared models. The three boosted presets share Spark's GBTClassifier.
 FOREST = {"numTrees": 300, "maxDepth": 12, "minInstancesPerNode": 5}
@@ -23,6 +24,10 @@ BOOSTED = {
     "depthwise": {"maxIter": 3000, "stepSize": 0.03, "maxDepth": 6},
 }
 VALIDATION_SHARE = 0.15
+PATIENCE = 100
+# Missing where the ad is in no dimension; models read the train mean instead.
+NULLABLE_NUMBERS = ["price", "user_price_gap"]
+KNOWN = "_or_mean"
 
 
 def indexers(categorical: Sequence[str]) -> StringIndexer:
@@ -30,13 +35,22 @@ def indexers(categorical: Sequence[str]) -> StringIndexer:
     return StringIndexer(inputCols=list(categorical), outputCols=[f"{c}_ix" for c in categorical], handleInvalid="keep")
 
 
+def filled(numeric: Sequence[str]) -> tuple[list, list[str]]:
+    """A stage that fills missing numbers by their train mean, and the names that models then read."""
+    missing = [c for c in numeric if c in NULLABLE_NUMBERS]
+    stages = [Imputer(inputCols=missing, outputCols=[c + KNOWN for c in missing], strategy="mean")] if missing else []
+    return stages, [c + KNOWN if c in missing else c for c in numeric]
+
+
 def linear_stages(numeric: Sequence[str] = NUMERIC_FEATURES, categorical: Sequence[str] = CATEGORICAL_FEATURES) -> list:
     """Standardized numbers and one-hot categories; an unseen category is all zeros."""
+    stages, read = filled(numeric)
     return [
+        *stages,
         indexers(categorical),
         # The last index is the one for unseen values; dropLast leaves it without a column.
         OneHotEncoder(inputCols=[f"{c}_ix" for c in categorical], outputCols=[f"{c}_oh" for c in categorical], dropLast=True),
-        VectorAssembler(inputCols=list(numeric), outputCol="_numeric"),
+        VectorAssembler(inputCols=read, outputCol="_numeric"),
         StandardScaler(inputCol="_numeric", outputCol="_scaled", withMean=True, withStd=True),
         VectorAssembler(inputCols=["_scaled", *[f"{c}_oh" for c in categorical]], outputCol="features"),
     ]
@@ -44,13 +58,14 @@ def linear_stages(numeric: Sequence[str] = NUMERIC_FEATURES, categorical: Sequen
 
 def tree_stages(numeric: Sequence[str] = NUMERIC_FEATURES, categorical: Sequence[str] = CATEGORICAL_FEATURES) -> list:
     """Raw numbers and category numbers that trees split as sets."""
-    return [indexers(categorical), VectorAssembler(inputCols=[*numeric, *[f"{c}_ix" for c in categorical]], outputCol="features")]
+    stages, read = filled(numeric)
+    return [*stages, indexers(categorical), VectorAssembler(inputCols=[*read, *[f"{c}_ix" for c in categorical]], outputCol="features")]
 
 
 def logistic(rows: int, max_iter: int = 1000) -> LogisticRegression:
     """L2 with unit strength on the summed loss, which is 1/n on Spark's mean loss."""
     return LogisticRegression(
-        labelCol="click", maxIter=max_iter, regParam=1.0 / max(rows, 1), elasticNetParam=0.0, standardization=False
+        labelCol="click", maxIter=max_iter, regParam=1.0 / max(rows, 1), elasticNetParam=0.0, standardization=False, tol=1e-8,
     )
 
 
@@ -84,18 +99,32 @@ def with_validation_flag(train: DataFrame, share: float = VALIDATION_SHARE) -> D
     return placed.withColumn("is_validation", F.col("position") >= F.floor(total * F.lit(1 - share))).drop("position", "_us")
 
 
-def fit_boosted(train: DataFrame, preset: str = "histogram", early_stop: bool = False, **settings) -> PipelineModel:
-    """Boosted trees; with ``early_stop`` the number of trees is found on the last rows by time.
+def best_rounds(train: DataFrame, preset: str, patience: int = PATIENCE, **settings) -> int:
+    """Number of trees with the least loss on the last train rows by time, once ``patience`` more bring nothing.
 
-    The search stops when the validation loss no longer improves; the model is then fitted again
-    on all train rows with that many trees.
+    Without subsampling, fewer rounds are a prefix of more rounds, so trying twice as many until the
+    best lies far enough back finds the round that stopping during the fit would find.
     """
-    learner = boosted(train, preset, **settings)
+    flagged = with_validation_flag(train)
+    flagged = materialize(flagged, "validation")
+    fitted_on, judged_on = flagged.where(~F.col("is_validation")), flagged.where("is_validation")
+    limit = {**BOOSTED[preset], **settings}["maxIter"]
+    rounds = min(limit, 2 * patience)
+    while True:
+        model = Pipeline(stages=[*tree_stages(), boosted(fitted_on, preset, **{**settings, "maxIter": rounds})]).fit(fitted_on)
+        prepare = PipelineModel(model.stages[:-1])
+        losses = model.stages[-1].evaluateEachIteration(prepare.transform(judged_on))
+        best = min(range(len(losses)), key=losses.__getitem__) + 1
+        if best + patience <= rounds or rounds == limit:
+            return best
+        rounds = min(limit, 2 * rounds)
+
+
+def fit_boosted(train: DataFrame, preset: str = "histogram", early_stop: bool = False, patience: int = PATIENCE, **settings) -> PipelineModel:
+    """Boosted trees; with ``early_stop`` their number is found on the last rows by time, then all rows are fitted."""
     if early_stop:
-        search = learner.copy({learner.validationIndicatorCol: "is_validation", learner.validationTol: 0.001})
-        found = Pipeline(stages=[*tree_stages(), search]).fit(with_validation_flag(train))
-        learner = learner.copy({learner.maxIter: max(1, found.stages[-1].getNumTrees)})
-    return Pipeline(stages=[*tree_stages(), learner]).fit(train)
+        settings = {**settings, "maxIter": best_rounds(train, preset, patience, **settings)}
+    return Pipeline(stages=[*tree_stages(), boosted(train, preset, **settings)]).fit(train)
 
 
 def probability(name: str = "probability") -> Column:
@@ -132,7 +161,8 @@ def feature_names(model: PipelineModel, rows: DataFrame) -> list[str]:
     vector = model.transform(rows.limit(0)).schema["features"].metadata["ml_attr"]["attrs"]
     named = {a["idx"]: a["name"] for group in vector.values() for a in group}
     numeric = dict(enumerate(NUMERIC_FEATURES))
-    return [numeric.get(i, named[i]) if named[i].startswith("_scaled") else named[i] for i in range(len(named))]
+    names = [numeric.get(i, named[i]) if named[i].startswith("_scaled") else named[i] for i in range(len(named))]
+    return [n.removesuffix(KNOWN) for n in names]
 
 
 def importance(model: PipelineModel, rows: DataFrame) -> DataFrame:

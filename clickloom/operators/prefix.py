@@ -4,16 +4,14 @@ A window over one key is one task, and a single ad, category or user can own a l
 the log. Every running quantity here is therefore computed in two levels: the ordered data is
 cut into consecutive, equally full chunks; a window runs inside (chunk, key); and what the key
 brought along from earlier chunks is added from an aggregated table. Chunks depend on the row
-values only, so any number of keys shares one shuffle on the chunk.
-
-A log that is known to be small as a whole needs none of this: no key can outgrow a task, rows get
-no chunk column, and one plain window per key gives the same numbers.
+values only, so any number of keys shares one shuffle on the chunk. Logs of every size take this plan.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -21,8 +19,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 CHUNK = "_chunk"
 ROW_ORDER = ("_us", "event_id")
 INF = float("inf")
-# A log of at most this many rows is counted, and then windowed by key without chunks.
-ONE_TASK_ROWS = 1_000_000
+# Chunks are placed on partitions by hash; several per partition even out how many each one gets.
+CHUNKS_PER_PARTITION = 4
 
 
 def pieces_of(df: DataFrame) -> int:
@@ -31,13 +29,18 @@ def pieces_of(df: DataFrame) -> int:
 
 
 def quantile_splits(df: DataFrame, columns: Sequence[str], pieces: int) -> dict[str, list[float]]:
-    """Bucket borders with about equally many rows in between, one job for all columns."""
+    """Bucket borders with about equally many rows in between, one job for all columns.
+
+    Results never depend on the borders, so a sketch of a few points per piece is exact enough.
+    """
+    if pieces < 2:
+        return {c: [-INF, INF] for c in columns}
     steps = [i / pieces for i in range(1, pieces)]
     row = df.agg(*[
-        F.percentile_approx(F.col(c).cast("double"), steps, max(1_000, 20 * pieces)).alias(f"q{i}")
+        F.percentile_approx(F.col(c).cast("double"), steps, max(1_000, 8 * pieces)).alias(f"q{i}")
         for i, c in enumerate(columns)
     ]).first()
-    return {c: [-INF, *sorted(set(row[f"q{i}"] or [])), INF] for i, c in enumerate(columns)}
+    return {c: [-INF, *sorted({x for x in row[f"q{i}"] or [] if math.isfinite(x)}), INF] for i, c in enumerate(columns)}
 
 
 def bucketize(df: DataFrame, splits: Mapping[str, list[float]], suffix: str) -> DataFrame:
@@ -65,28 +68,34 @@ class Timeline:
     """
 
     base: int
+    last: int
     id_low: int
     id_span: int
-    splits: tuple[float, ...]
+    splits: tuple[float, ...] = (-INF, INF)
 
     @classmethod
-    def of(cls, df: DataFrame, at: str = "_us", row_id: str = "event_id", pieces: int | None = None) -> Timeline:
-        """Measure a log; ``pieces`` forces that many chunks whatever its size."""
-        rows, low, id_low, id_high = df.agg(F.count(F.lit(1)), F.min(at), F.min(row_id), F.max(row_id)).first()
-        line = cls(low or 0, id_low or 0, (id_high or 0) - (id_low or 0) + 1, ())
-        if pieces is None and rows <= ONE_TASK_ROWS:
-            return line
-        probe = df.select(line.position(F.col(at), F.col(row_id), F.lit(1)).alias("_pos"))
-        return cls(line.base, line.id_low, line.id_span, tuple(quantile_splits(probe, ["_pos"], pieces or pieces_of(df))["_pos"]))
+    def of(
+        cls, df: DataFrame, at: str = "_us", row_id: str = "event_id", pieces: int | None = None, look_backs: Sequence[int] = (),
+    ) -> Timeline:
+        """Measure a log and cut it into ``pieces`` chunks, by default several per partition.
+
+        Rows that leave look-backs of these widths later on count in the chunks they leave in, as
+        far as that is not after the end of the log.
+        """
+        low, high, id_low, id_high = df.agg(F.min(at), F.max(at), F.min(row_id), F.max(row_id)).first()
+        line = cls(low or 0, high or 0, id_low or 0, (id_high or 0) - (id_low or 0) + 1)
+        moments = F.explode(F.array(F.col(at), *[F.col(at) + w for w in look_backs])).alias("_at")
+        probe = df.select(moments, row_id).where(F.col("_at") <= line.last)
+        probe = probe.select(line.position(F.col("_at"), F.col(row_id), F.lit(1)).alias("_pos"))
+        splits = quantile_splits(probe, ["_pos"], pieces or CHUNKS_PER_PARTITION * pieces_of(df))["_pos"]
+        return replace(line, splits=tuple(splits))
 
     def position(self, at: Column, row_id: Column, kind: Column) -> Column:
         share = (row_id.cast("double") - F.lit(float(self.id_low))) / F.lit(float(self.id_span))
         return (at.cast("double") - F.lit(float(self.base))) + (kind + share) / F.lit(2.0)
 
     def chunked(self, df: DataFrame, at: str = "_us", row_id: str = "event_id", kind: Column | None = None) -> DataFrame:
-        """Add the chunk column, unless the log is too small to need chunks."""
-        if not self.splits:
-            return df
+        """Add the chunk column."""
         position = self.position(F.col(at), F.col(row_id), F.lit(1) if kind is None else kind)
         placed = bucketize(df.withColumn("_pos", position), {"_pos": list(self.splits)}, "_n")
         return placed.withColumnRenamed("_pos_n", CHUNK).drop("_pos")
@@ -97,7 +106,7 @@ class Timeline:
 
 def by_chunk(df: DataFrame) -> DataFrame:
     """Rows hashed on the chunk alone, so that windows of all keys share the shuffle."""
-    return df.repartition(CHUNK) if CHUNK in df.columns else df
+    return df.repartition(CHUNK)
 
 
 def running(
@@ -122,13 +131,6 @@ def running(
         keyed = keyed & F.col(k).isNotNull()
 
     zero = F.lit(0)
-    if CHUNK not in rows.columns:
-        before = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-        return rows.withColumns(
-            {n: F.when(keyed, F.coalesce(F.sum(c).over(before), zero)).otherwise(zero) for n, c in sums.items()}
-            | {n: F.when(keyed, F.last(c, ignorenulls=True).over(before)) for n, c in lasts.items()}
-        )
-
     before = W.partitionBy(*keys, CHUNK).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
     local = rows.withColumns(
         {f"_in_{n}": F.sum(c).over(before) for n, c in sums.items()}
@@ -214,13 +216,18 @@ def _cumulated(melted: DataFrame, sums: Mapping[str, Column]) -> DataFrame:
 
 
 def global_rank(df: DataFrame, value: str, row_id: str, descending: bool = True, name: str = "rank") -> DataFrame:
-    """0-based rank of each row by value, ties by row id, plus the row count as ``<rank>_of``."""
-    blocks = by_value(df, [value], {"_n": F.lit(1)}).select(
+    """0-based rank of each row by value, ties by row id, plus the row count as ``<rank>_of``.
+
+    Rows without a value are ranked last.
+    """
+    last = F.lit(-INF if descending else INF)
+    df = df.withColumn("_value", F.coalesce(F.col(value).cast("double"), last))
+    blocks = by_value(df, ["_value"], {"_n": F.lit(1)}).select(
         F.col("value").alias("_value"),
         (F.col("_n_total") - F.col("_n_below") - F.col("_n") if descending else F.col("_n_below")).alias("_ahead"),
         F.col("_n_total").alias(f"{name}_of"),
     )
-    flat = Timeline.of(df, row_id, row_id).chunked(df, row_id, row_id).withColumn("_value", F.col(value).cast("double"))
+    flat = Timeline.of(df, row_id, row_id).chunked(df, row_id, row_id)
     ranked = running(by_chunk(flat), ["_value"], {"_peers": F.lit(1)}, order=[row_id], base=flat)
     return ranked.join(blocks, "_value").withColumn(name, F.col("_ahead") + F.col("_peers")).drop(
         "_value", "_ahead", "_peers", CHUNK

@@ -8,32 +8,52 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from clickloom.constants import LIFT_PERCENTS, RECALL_KS, SEED
 from clickloom.functions.scalar import hash32, ratio
+from clickloom.operators.candidates import Lookups, Score, with_candidates, with_scores
 from clickloom.operators.prefix import by_group_value, by_value, global_rank
 from clickloom.operators.profile import ranked_buckets, user_stats
 
 
-def true_ranks(scored: DataFrame) -> DataFrame:
-    """0-based rank of the clicked ad among the candidates of its query.
+def own_score(score: Column, ad: Column) -> Column:
+    """Highest score among rows or elements of the query's own ad."""
+    return F.max(F.when(ad == F.col("true_adgroup_id"), score))
 
-    Higher score first, then smaller ad id; the catalog size if the ad is not a candidate.
-    """
-    mine = F.try_element_at(F.filter("scored", lambda x: x["adgroup_id"] == F.col("true_adgroup_id")), F.lit(1))["score"]
+
+def block_counts(scored: DataFrame) -> DataFrame:
+    """Per (query, block) how many ads of the block are ahead of the query's own score ``_mine``."""
     ahead = F.filter("scored", lambda x: (x["score"] > F.col("_mine")) | (
         (x["score"] == F.col("_mine")) & (x["adgroup_id"] < F.col("true_adgroup_id"))
     ))
-    size = F.size("scored")
-    rank = F.when(F.col("_mine").isNull(), size).otherwise(F.size(ahead))
-    return scored.withColumn("_mine", mine).select(
-        "query_id", "true_adgroup_id", rank.cast("bigint").alias("rank"), size.cast("bigint").alias("catalog_size")
+    return scored.select("query_id", "true_adgroup_id", "_mine", F.size(ahead).alias("_ahead"), F.size("scored").alias("_size"))
+
+
+def summed_ranks(counts: DataFrame) -> DataFrame:
+    sums = counts.groupBy("query_id").agg(
+        F.first("true_adgroup_id").alias("true_adgroup_id"), F.first("_mine").alias("_mine"),
+        F.sum("_ahead").alias("_ahead"), F.sum("_size").alias("catalog_size"),
     )
+    rank = F.when(F.col("_mine").isNull(), F.col("catalog_size")).otherwise(F.col("_ahead"))
+    return sums.select("query_id", "true_adgroup_id", rank.alias("rank"), "catalog_size")
+
+
+def true_ranks(queries: DataFrame, lookups: Lookups, score: Score) -> DataFrame:
+    """0-based rank of the clicked ad among the candidates of its query.
+
+    Higher score first, then smaller ad id; the catalog size if the ad is not a candidate. The
+    query's own score is found in one block, the ads ahead of it are counted block by block.
+    """
+    own = with_scores(with_candidates(queries, lookups, true_block_only=True), score)
+    mine = F.try_element_at(F.filter("scored", lambda x: x["adgroup_id"] == F.col("true_adgroup_id")), F.lit(1))["score"]
+    known = own.select("query_id", mine.alias("_mine")).where(F.col("_mine").isNotNull())
+    asked = queries.join(known, "query_id", "left")
+    return summed_ranks(block_counts(with_scores(with_candidates(asked, lookups), score)))
 
 
 def true_ranks_of_rows(scored_rows: DataFrame) -> DataFrame:
-    """The same for candidates that a model scored row by row (query_id, adgroup_id, score)."""
-    packed = scored_rows.groupBy("query_id").agg(
-        F.first("true_adgroup_id").alias("true_adgroup_id"), F.collect_list(F.struct("score", "adgroup_id")).alias("scored")
-    )
-    return true_ranks(packed)
+    """The same for candidates that a model scored row by row (query_id, true_adgroup_id, adgroup_id, score)."""
+    known = scored_rows.groupBy("query_id").agg(own_score(F.col("score"), F.col("adgroup_id")).alias("_mine"))
+    ahead = (F.col("score") > F.col("_mine")) | ((F.col("score") == F.col("_mine")) & (F.col("adgroup_id") < F.col("true_adgroup_id")))
+    rows = scored_rows.join(known, "query_id")
+    return summed_ranks(rows.select("query_id", "true_adgroup_id", "_mine", F.coalesce(ahead, F.lit(False)).cast("int").alias("_ahead"), F.lit(1).alias("_size")))
 
 
 def recall_at(ranks: DataFrame, ks: Sequence[int] = RECALL_KS) -> DataFrame:
@@ -59,15 +79,31 @@ def precision_at(ranks: DataFrame, ks: Sequence[int] = (10, 50, 100)) -> DataFra
 
 
 def recommendations(scored: DataFrame, key: str = "userid", size: int = 100, cheapest_first: bool = False) -> DataFrame:
-    """The best ``size`` candidates per row, best first, scores rounded to six decimals."""
+    """The best ``size`` candidates per key, best first, scores rounded to six decimals.
+
+    Every block of candidates is cut to its best before the blocks of a key meet.
+    """
     pick = lambda x: F.struct((-x["score"]).alias("minus"), x["adgroup_id"].alias("adgroup_id"), x["score"].alias("score"))
     if cheapest_first:
         pick = lambda x: F.struct(
             (-x["score"]).alias("minus"), x["price"].alias("price"), x["adgroup_id"].alias("adgroup_id"), x["score"].alias("score")
         )
     best = F.slice(F.sort_array(F.transform("scored", pick)), 1, size)
-    shaped = F.transform(best, lambda x: F.struct(x["adgroup_id"].alias("adgroup_id"), F.round(x["score"], 6).alias("score")))
-    return scored.select(key, shaped.alias("recommendations"))
+    merged = scored.select(key, best.alias("_best")).groupBy(key).agg(F.sort_array(F.flatten(F.collect_list("_best"))).alias("_best"))
+    shaped = F.transform(F.slice("_best", 1, size), lambda x: F.struct(x["adgroup_id"].alias("adgroup_id"), F.round(x["score"], 6).alias("score")))
+    return merged.select(key, shaped.alias("recommendations"))
+
+
+def recommendations_of_rows(scored_rows: DataFrame, key: str = "userid", size: int = 100) -> DataFrame:
+    """The same for candidates scored row by row (key, adgroup_id, score)."""
+    best = top_per_group(scored_rows.select(key, "adgroup_id", "score"), key, [F.desc("score"), F.col("adgroup_id")], size)
+    packed = best.groupBy(key).agg(F.collect_list(F.struct("score", "adgroup_id")).alias("scored"))
+    return recommendations(packed, key, size)
+
+
+def write_recommendations(recs: DataFrame, path: str) -> None:
+    """One JSON object per key with its list of recommendations."""
+    recs.write.mode("overwrite").json(path)
 
 
 def exploded_recommendations(recs: DataFrame, key: str = "userid") -> DataFrame:

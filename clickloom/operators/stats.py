@@ -7,7 +7,6 @@ from collections.abc import Sequence
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GeneralizedLinearRegression
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from clickloom.constants import FEATURE_GROUPS, GROUPED_FEATURES
@@ -48,16 +47,14 @@ def ranked_correlation(gold: DataFrame) -> DataFrame:
 
 
 def correlation_pairs(gold: DataFrame, features: Sequence[str] = GROUPED_FEATURES, size: int | None = 15) -> DataFrame:
-    """Feature pairs by decreasing |r|; one pass over the data, the matrix itself is small."""
-    rows = gold.select(*[F.col(c).cast("double") for c in features]).na.drop()
-    vectors = VectorAssembler(inputCols=list(features), outputCol="_v").transform(rows).select("_v")
-    matrix = Correlation.corr(vectors, "_v").first()[0].toArray()
-    pairs = [
-        (a, b, float(matrix[i, j]))
-        for i, a in enumerate(features) for j, b in enumerate(features) if i < j and not math.isnan(matrix[i, j])
-    ]
-    out = gold.sparkSession.createDataFrame(pairs, "feature_a string, feature_b string, r double")
-    return out.orderBy(F.desc(F.abs("r")), "feature_a", "feature_b").limit(size) if size else out
+    """Feature pairs by decreasing |r|, each over the rows that have both values, in one pass."""
+    pairs = [(a, b) for i, a in enumerate(features) for b in features[i + 1:]]
+    value = lambda c: F.col(c).cast("double")
+    row = gold.agg(*[F.corr(value(a), value(b)).alias(f"r{k}") for k, (a, b) in enumerate(pairs)])
+    named = F.array(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"r{k}").alias("r")) for k, (a, b) in enumerate(pairs)])
+    out = row.select(F.explode(named).alias("_p")).select("_p.*").where(F.col("r").isNotNull() & ~F.isnan("r"))
+    out = out.orderBy(F.desc(F.abs("r")), "feature_a", "feature_b")
+    return out.limit(size) if size else out
 
 
 def level_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:

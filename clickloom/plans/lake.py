@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from clickloom.operators.candidates import catalog_of
-from clickloom.operators.encode import target_mean, train_mean
+from clickloom.operators.candidates import Lookups, catalog_of, lookups_of
+from clickloom.operators.encode import is_train, target_mean, train_mean
+from clickloom.operators.history import LOOK_BACKS
 from clickloom.operators.prefix import Timeline, by_chunk
 from clickloom.plans.gold import gold_table
+from clickloom.plans.training import FITS
 from clickloom.session import materialize, prepare
 from clickloom.sources import bindings
 
@@ -19,6 +22,7 @@ _OPEN: dict[tuple[str, str], Lake] = {}
 class Lake:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._models: dict[str, PipelineModel] = {}
 
     @classmethod
     def at(cls, spark: SparkSession, folder: str) -> Lake:
@@ -53,7 +57,7 @@ class Lake:
 
     @cached_property
     def timeline(self) -> Timeline:
-        return Timeline.of(self.imp)
+        return Timeline.of(self.imp, look_backs=list(LOOK_BACKS.values()))
 
     @cached_property
     def prior(self) -> Column:
@@ -87,3 +91,17 @@ class Lake:
     @cached_property
     def catalog(self) -> DataFrame:
         return materialize(catalog_of(self.gold), "catalog")
+
+    @cached_property
+    def lookups(self) -> Lookups:
+        """What candidates are built from: derived once, read by every ranking query."""
+        return lookups_of(self.gold, self.catalog)
+
+    def model(self, name: str) -> PipelineModel:
+        """A model of the comparison at its published size, fitted once."""
+        if name not in self._models:
+            self._models[name] = FITS[name](self.gold.where(is_train()))
+        return self._models[name]
+
+    def forget_models(self) -> None:
+        self._models.clear()

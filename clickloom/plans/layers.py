@@ -10,7 +10,8 @@ from pyspark.sql import Column, SparkSession, functions as F
 from clickloom.operators.clean import clean_ads, clean_events, clean_users
 from clickloom.operators.coclick import coclick_snapshot
 from clickloom.plans.gold import gold_table
-from clickloom.session import exists, prepare
+from clickloom.plans.training import train
+from clickloom.session import exists, prepared
 from clickloom.sources import raw
 
 LAYERS = ("bronze", "silver", "gold")
@@ -58,19 +59,25 @@ def gold(spark: SparkSession, lake: str) -> str:
     return out
 
 
-def run(spark: SparkSession, source: str, lake: str, layer: str = "all", ingested_at: Column | None = None) -> dict[str, float]:
-    """Run one layer or all in order; returns the seconds each took."""
+def run(
+    spark: SparkSession, source: str, lake: str, layer: str = "all", ingested_at: Column | None = None, training: dict | None = None,
+) -> dict[str, float]:
+    """Run one layer or all in order; returns the seconds each took.
+
+    ``train`` comes after ``gold`` and is asked for by name; ``training`` goes to ``training.train``.
+    """
     steps: dict[str, Callable[[], str]] = {
         "bronze": lambda: bronze(spark, source, lake, ingested_at),
         "silver": lambda: silver(spark, lake),
         "gold": lambda: gold(spark, lake),
+        "train": lambda: train(spark, lake, **(training or {})),
     }
     if layer != "all" and layer not in steps:
-        raise ValueError(f"unknown layer {layer!r}, expected one of {', '.join(LAYERS)} or all")
-    prepare(spark)
+        raise ValueError(f"unknown layer {layer!r}, expected one of {', '.join(steps)} or all")
     took = {}
     for name in LAYERS if layer == "all" else (layer,):
         start = time.monotonic()
-        steps[name]()
+        with prepared(spark):
+            steps[name]()
         took[name] = time.monotonic() - start
     return took

@@ -155,7 +155,6 @@ gold AS (
 CATALOG = f"""{GOLD},
 train AS (SELECT * FROM gold WHERE _split = 'train'),
 gmt AS (SELECT avg(click) AS gm, avg(price) AS mp, count(*) AS n FROM train),
-shown AS (SELECT adgroup_id_key, count(*) AS n FROM train GROUP BY 1 ORDER BY n DESC, adgroup_id_key LIMIT 300),
 products AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY adgroup_id_key ORDER BY us DESC, event_id DESC) AS rn FROM train)
   WHERE rn = 1),
@@ -168,8 +167,7 @@ catalog AS (
     p.ag_clicks_before, p.ag_impressions_before, p.ag_ctr_before, p.ag_revenue_before, p.ag_impressions_last_1d,
     p.ag_ctr_last_1d, p.ag_impressions_last_3d, p.ag_ctr_last_3d, p.ag_ctr_trend_1d_vs_3d,
     c.cate_clicks_before, c.cate_impressions_before, c.cate_ctr_before
-  FROM products p LEFT JOIN cates c USING (cate_id)
-  WHERE p.adgroup_id_key IN (SELECT adgroup_id_key FROM shown)),
+  FROM products p LEFT JOIN cates c USING (cate_id)),
 uc AS (SELECT userid_key, cate_id, (sum(click) + max(gm) * 20.0::DOUBLE) / (count(*) + 20.0::DOUBLE) AS v
        FROM train CROSS JOIN gmt GROUP BY 1, 2),
 ub AS (SELECT userid_key, brand, (sum(click) + max(gm) * 20.0::DOUBLE) / (count(*) + 20.0::DOUBLE) AS v

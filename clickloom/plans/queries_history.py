@@ -290,7 +290,7 @@ def _(lake: Lake) -> DataFrame:
     lines = bindings.order_lines(lake.spark, lake.folder).withColumn(
         "event_id", F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate") % 1_000_000_007
     ).select("_us", "userid", "click", "event_id")
-    out = history.windowed_history(lines, "userid", "user", F.lit(0.0), Timeline.of(lines), {"30d": 30 * DAY_US}, strict=True)
+    out = history.windowed_history(lines, "userid", "user", F.lit(0.0), Timeline.of(lines, look_backs=[30 * DAY_US]), {"30d": 30 * DAY_US}, strict=True)
     return out.groupBy("userid", F.col("_us").alias("us")).agg(
         N().alias("n_rows"), F.max("user_impressions_before").cast("bigint").alias("impressions_before"),
         F.max("user_clicks_before").cast("bigint").alias("clicks_before"), F.max("user_impressions_last_30d").cast("bigint").alias("impressions_last_30d"),

@@ -7,13 +7,14 @@ from pyspark.sql import DataFrame, functions as F
 from clickloom.constants import AD_COLUMNS, FACT_KEY
 from clickloom.functions.scalar import category_text, ratio, six
 from clickloom.operators import clean, coclick, profile
+from clickloom.operators.asof import as_of_join
 from clickloom.operators.candidates import (
     click_queries, numbered_queries, product_snapshot, category_snapshot, with_candidates, with_scores, linear_score,
 )
 from clickloom.operators.encode import encode_ids, is_train
 from clickloom.operators.joins import lookup
 from clickloom.operators.prefix import row_position
-from clickloom.operators.ranking import exploded_recommendations, recommendations, true_ranks
+from clickloom.operators.ranking import exploded_recommendations, recommendations, true_ranks, write_recommendations
 from clickloom.operators.candidates import user_snapshot
 from clickloom.plans.lake import Lake
 from clickloom.plans.oracle import ADS, CATALOG, DIRTY, ENCODED, GOLD, IMP, QUERIES, STAR, USERS, big, candidates, r6, ranks
@@ -91,7 +92,7 @@ def _(lake: Lake) -> DataFrame:
 
 def _scored_users(lake: Lake) -> DataFrame:
     sample = lake.gold.where(~is_train()).select(F.col("userid_key").alias("userid")).distinct()
-    return with_scores(with_candidates(user_snapshot(lake.gold, sample), lake.gold, lake.catalog), linear_score)
+    return with_scores(with_candidates(user_snapshot(lake.gold, sample), lake.lookups), linear_score)
 
 
 RECS = f"""{CATALOG},
@@ -104,9 +105,13 @@ best AS (
          {r6("score")} AS score FROM scored)"""
 
 
-@query("a11_recommendation_rows", f"WITH {RECS} SELECT * FROM best WHERE position < 10")
+@query("a11_recommendation_rows", f"WITH {RECS} SELECT * FROM best WHERE position < 100")
 def _(lake: Lake) -> DataFrame:
-    rows = exploded_recommendations(recommendations(_scored_users(lake), size=10))
+    """The top 100 of every test user, written as JSON and read back."""
+    recs = recommendations(_scored_users(lake))
+    path = new_path(lake.spark, "recommendations")
+    write_recommendations(recs, path)
+    rows = exploded_recommendations(lake.spark.read.schema(recs.schema).json(path))
     return rows.withColumn("score", F.col("score") + 0.0)
 
 
@@ -227,18 +232,26 @@ def _(lake: Lake) -> DataFrame:
     return clean.duplicate_keys(lake.dirty.withColumnRenamed("_us", "us"), ["userid", "us"])
 
 
-@query("c01_left_join", f"WITH {IMP},{ADS} SELECT event_id, imp.adgroup_id, cate_id, price FROM imp LEFT JOIN (SELECT * FROM ads WHERE adgroup_id % 4 <> 0) a USING (adgroup_id)")
+# Impressions of ads that no dimension row describes, next to all given ones.
+ORPHANS = "orphans AS (SELECT event_id, adgroup_id FROM imp UNION ALL SELECT -1 - event_id, -1 - adgroup_id FROM imp WHERE click = 1)"
+
+
+def with_orphans(lake: Lake) -> DataFrame:
+    rows = lake.imp.select("event_id", "adgroup_id")
+    return rows.union(lake.imp.where(F.col("click") == 1).select(-1 - F.col("event_id"), -1 - F.col("adgroup_id")))
+
+
+@query("c01_left_join", f"WITH {IMP},{ADS},{ORPHANS} SELECT event_id, adgroup_id, cate_id, price FROM orphans LEFT JOIN ads USING (adgroup_id)")
 def _(lake: Lake) -> DataFrame:
-    some = lake.ads.where(F.col("adgroup_id") % 4 != 0).select("adgroup_id", "cate_id", "price")
-    return lake.imp.select("event_id", "adgroup_id").join(some, "adgroup_id", "left")
+    return with_orphans(lake).join(lake.ads.select("adgroup_id", "cate_id", "price"), "adgroup_id", "left")
 
 
-@query("c02_lookup_default", f"""WITH {IMP}, s AS (SELECT adgroup_id, avg(click) AS v FROM imp WHERE _split = 'train' AND adgroup_id % 3 <> 0 GROUP BY 1),
+@query("c02_lookup_default", f"""WITH {IMP},{ORPHANS}, s AS (SELECT adgroup_id, avg(click) AS v FROM imp WHERE _split = 'train' GROUP BY 1),
        g AS (SELECT avg(click) AS gm FROM imp WHERE _split = 'train')
-       SELECT event_id, {r6('COALESCE(v, gm)')} AS rate FROM imp LEFT JOIN s USING (adgroup_id) CROSS JOIN g""")
+       SELECT event_id, {r6('COALESCE(v, gm)')} AS rate FROM orphans LEFT JOIN s USING (adgroup_id) CROSS JOIN g""")
 def _(lake: Lake) -> DataFrame:
-    stats = lake.imp.where(is_train() & (F.col("adgroup_id") % 3 != 0)).groupBy("adgroup_id").agg(F.avg("click").alias("rate"))
-    out = lookup(lake.imp.select("event_id", "adgroup_id"), stats, ["adgroup_id"], defaults={"rate": lake.prior})
+    stats = lake.imp.where(is_train()).groupBy("adgroup_id").agg(F.avg("click").alias("rate"))
+    out = lookup(with_orphans(lake), stats, ["adgroup_id"], defaults={"rate": lake.prior})
     return out.select("event_id", six(F.col("rate")).alias("rate"))
 
 
@@ -254,11 +267,11 @@ def _(lake: Lake) -> DataFrame:
 @query("c04_query_catalog", f"""WITH {QUERIES} SELECT query_id, count(*) AS n_candidates, {r6('sum(c_price)')} AS price_sum,
        {r6('sum(ag_ctr_before)')} AS ctr_sum, {big('max(adgroup_id)')} AS max_ad FROM cand GROUP BY 1""")
 def _(lake: Lake) -> DataFrame:
-    rows = with_candidates(click_queries(lake.gold), lake.gold, lake.catalog)
-    total = lambda f: F.aggregate("candidates", F.lit(0.0), lambda a, c: a + c[f])
-    return rows.select(
-        "query_id", F.size("candidates").cast("bigint").alias("n_candidates"), six(total("price")).alias("price_sum"),
-        six(total("ag_ctr_before")).alias("ctr_sum"), F.array_max(F.transform("candidates", lambda c: c["adgroup_id"])).alias("max_ad"),
+    rows = with_candidates(click_queries(lake.gold), lake.lookups)
+    total = lambda f: F.sum(F.aggregate("candidates", F.lit(0.0), lambda a, c: a + c[f]))
+    return rows.groupBy("query_id").agg(
+        F.sum(F.size("candidates")).alias("n_candidates"), six(total("price")).alias("price_sum"), six(total("ag_ctr_before")).alias("ctr_sum"),
+        F.max(F.array_max(F.transform("candidates", lambda c: c["adgroup_id"]))).alias("max_ad"),
     )
 
 
@@ -285,8 +298,7 @@ def _(lake: Lake) -> DataFrame:
 
 @query("c08_true_rank", f"WITH {QUERIES},{ranks('score')} SELECT query_id, true_adgroup_id, rank, catalog_size FROM ranks")
 def _(lake: Lake) -> DataFrame:
-    rows = with_candidates(click_queries(lake.gold), lake.gold, lake.catalog)
-    return true_ranks(with_scores(rows, linear_score))
+    return true_ranks(click_queries(lake.gold), lake.lookups, linear_score)
 
 
 @query("c09_as_of_state", f"""WITH {IMP}, s AS (SELECT DISTINCT userid FROM imp), p AS (SELECT userid, epoch_us(TIMESTAMP '2024-01-25 00:00:00') AS us FROM s)
@@ -296,3 +308,12 @@ def _(lake: Lake) -> DataFrame:
     return lake.imp.groupBy("userid").agg(
         F.max_by("adgroup_id", F.when(is_train() & (F.col("click") == 1), F.struct("_us", "event_id"))).alias("last_clicked")
     ).fillna(-1)
+
+
+@query("c09_as_of_join", f"""WITH {IMP}, v AS (SELECT userid, us, max(event_id) AS event_id FROM imp WHERE click = 1 GROUP BY 1, 2), c AS (SELECT v.*, adgroup_id FROM v JOIN imp USING (event_id))
+       SELECT i.event_id, COALESCE(c.adgroup_id, -1) AS last_clicked, {big('COALESCE(c.us, -1)')} AS clicked_us FROM imp i ASOF LEFT JOIN c ON i.userid = c.userid AND i.us > c.us""")
+def _(lake: Lake) -> DataFrame:
+    """The last click of the user before each impression, as a join of two tables on time."""
+    clicks = lake.imp.where(F.col("click") == 1).select("userid", "_us", "event_id", F.col("adgroup_id").alias("last_clicked"), F.col("_us").alias("clicked_us"))
+    out = as_of_join(lake.imp.select("event_id", "userid", "_us"), clicks, ["userid"], ["last_clicked", "clicked_us"], strict=True)
+    return out.select("event_id", "last_clicked", "clicked_us").fillna(-1)

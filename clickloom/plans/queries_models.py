@@ -2,34 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler, StandardScaler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from clickloom.constants import NUMERIC_FEATURES
+from clickloom.constants import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from clickloom.functions.scalar import six
 from clickloom.operators import models, ranking
-from clickloom.operators.candidates import click_queries, exploded, popularity_score, user_snapshot, with_candidates, with_scores
 from clickloom.operators.encode import is_train
+from clickloom.plans import training
 from clickloom.plans.lake import Lake
 from clickloom.plans.oracle import GOLD, r6
 from clickloom.plans.registry import query
 
-SCALED = ["price", "ag_ctr_before", "user_impressions_before", "userid_te"]
-# Sizes of the ensembles in the registered runs; the full presets are the library defaults.
-TREES, ROUNDS = {"numTrees": 40, "maxDepth": 8}, {"maxIter": 10, "maxDepth": 4}
-
 
 def split(lake: Lake) -> tuple[DataFrame, DataFrame]:
     return lake.gold.where(is_train()), lake.gold.where(~is_train())
 
 
-def candidate_rows(lake: Lake) -> DataFrame:
-    return exploded(with_candidates(click_queries(lake.gold), lake.gold, lake.catalog))
-
-
-def quality(model, test: DataFrame, name: str) -> DataFrame:
+def quality(model: PipelineModel, test: DataFrame, name: str) -> DataFrame:
     rows = models.scored(model, test, "click")
     return rows.agg(F.count(F.lit(1)).alias("rows"), F.avg("score").alias("mean_score")).select(
         F.lit(name).alias("model"), "rows", "mean_score", ranking.auc(rows, "score").scalar().alias("auc"),
@@ -37,75 +29,83 @@ def quality(model, test: DataFrame, name: str) -> DataFrame:
     )
 
 
-@query("j13_standardized", f"""WITH {GOLD}, t AS (SELECT * FROM gold WHERE _split = 'train'), s AS (SELECT {', '.join(f'avg({c}) AS m_{c}, stddev_samp({c}) AS d_{c}' for c in SCALED)} FROM t)
-       SELECT event_id, {', '.join(r6(f'({c} - m_{c}) / d_{c}') + f' AS {c}' for c in SCALED)} FROM gold CROSS JOIN s""")
+@query("j13_standardized", f"""WITH {GOLD}, t AS (SELECT * FROM gold WHERE _split = 'train'), s AS (SELECT {', '.join(f'avg({c}) AS m_{c}, stddev_samp({c}) AS d_{c}' for c in NUMERIC_FEATURES)} FROM t)
+       SELECT event_id, {', '.join(r6(f'({c} - m_{c}) / d_{c}') + f' AS {c}' for c in NUMERIC_FEATURES)} FROM gold CROSS JOIN s""")
 def _(lake: Lake) -> DataFrame:
     train, _ = split(lake)
-    stages = [VectorAssembler(inputCols=SCALED, outputCol="_v"), StandardScaler(inputCol="_v", outputCol="_s", withMean=True, withStd=True)]
+    stages = [VectorAssembler(inputCols=NUMERIC_FEATURES, outputCol="_v"), StandardScaler(inputCol="_v", outputCol="_s", withMean=True, withStd=True)]
     rows = Pipeline(stages=stages).fit(train).transform(lake.gold).withColumn("_a", vector_to_array("_s"))
-    return rows.select("event_id", *[six(F.col("_a")[i]).alias(c) for i, c in enumerate(SCALED)])
+    return rows.select("event_id", *[six(F.col("_a")[i]).alias(c) for i, c in enumerate(NUMERIC_FEATURES)])
+
+
+ORDERED = ", ".join(f"o_{c} AS (SELECT {c}, row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS slot FROM gold WHERE _split = 'train' GROUP BY 1)" for c in CATEGORICAL_FEATURES)
 
 
-@query("j14_one_hot", f"""WITH {GOLD}, o AS (SELECT brand, row_number() OVER (ORDER BY count(*) DESC, brand) - 1 AS slot FROM gold WHERE _split = 'train' AND userid_key % 2 = 0 GROUP BY 1)
-       SELECT event_id, COALESCE(slot, -1) AS slot FROM gold LEFT JOIN o USING (brand)""")
+@query("j14_one_hot", f"""WITH {GOLD}, {ORDERED} SELECT event_id, {', '.join(f'COALESCE(o_{c}.slot, -1) AS {c}' for c in CATEGORICAL_FEATURES)}
+       FROM gold {' '.join(f'LEFT JOIN o_{c} USING ({c})' for c in CATEGORICAL_FEATURES)}""")
 def _(lake: Lake) -> DataFrame:
-    train = lake.gold.where(is_train() & (F.col("userid_key") % 2 == 0))
-    stages = models.linear_stages(["price"], ["brand", "pid"])[:2]
+    train, _ = split(lake)
+    stages = [s for s in models.linear_stages(["price"]) if type(s).__name__ in ("StringIndexer", "OneHotEncoder")]
     rows = Pipeline(stages=stages).fit(train).transform(lake.gold)
-    slots = F.array_position(F.transform(vector_to_array("brand_oh"), lambda x: x.cast("int")), 1) - 1
-    return rows.select("event_id", slots.cast("bigint").alias("slot"))
+    slot = lambda c: (F.array_position(F.transform(vector_to_array(f"{c}_oh"), lambda x: x.cast("int")), 1) - 1).cast("bigint")
+    return rows.select("event_id", *[slot(c).alias(c) for c in CATEGORICAL_FEATURES])
 
 
 @query("j15_logistic_regression")
 def _(lake: Lake) -> DataFrame:
-    train, test = split(lake)
-    return quality(models.fit_logistic(train), test, "logistic")
+    _, test = split(lake)
+    return quality(lake.model("logistic"), test, "logistic")
+
+
+@query("j15_score_equations", f"""WITH {GOLD} SELECT feature, 0.0::DOUBLE AS slope, (SELECT count(*) FROM gold WHERE _split = 'train') AS rows
+       FROM (SELECT unnest([{', '.join(repr(c) for c in NUMERIC_FEATURES)}, 'intercept']) AS feature)""")
+def _(lake: Lake) -> DataFrame:
+    """Slopes of the penalised loss at the fitted coefficients; all vanish where the fit is the optimum."""
+    train, _ = split(lake)
+    model, n = lake.model("logistic"), len(NUMERIC_FEATURES)
+    last = model.stages[-1]
+    rows = model.transform(train).select((models.probability() - F.col("click")).alias("_e"), vector_to_array("_scaled").alias("_x"))
+    weights = [float(w) for w in last.coefficients[:n]]
+    mean = lambda c: F.avg(c)
+    slopes = [mean(F.col("_e") * F.col("_x")[i]) + F.lit(last.getRegParam() * w) for i, w in enumerate(weights)] + [mean(F.col("_e"))]
+    named = F.array(*[F.struct(F.lit(f).alias("feature"), (F.round(v, 3) + 0.0).alias("slope")) for f, v in zip([*NUMERIC_FEATURES, "intercept"], slopes)])
+    return rows.agg(named.alias("_p"), F.count(F.lit(1)).alias("rows")).select(F.explode("_p").alias("_p"), "rows").select("_p.*", "rows")
 
 
 @query("j16_random_forest")
 def _(lake: Lake) -> DataFrame:
-    train, test = split(lake)
-    return quality(models.fit_forest(train, **TREES), test, "forest")
+    _, test = split(lake)
+    return quality(lake.model("forest"), test, "forest")
 
 
 @query("j17_boosted_trees")
 def _(lake: Lake) -> DataFrame:
-    train, test = split(lake)
-    plain = quality(models.fit_boosted(train, "histogram", **ROUNDS), test, "boosted")
-    return plain.unionByName(quality(models.fit_boosted(train, "depthwise", early_stop=True, **ROUNDS), test, "boosted, early stop"))
+    _, test = split(lake)
+    names = [n for n in training.FITS if n.startswith("boosted")]
+    rows = [quality(lake.model(n), test, n) for n in names]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
 @query("j19_model_comparison")
 def _(lake: Lake) -> DataFrame:
-    train, test = split(lake)
-    candidates = candidate_rows(lake)
-    fitted = {"logistic": models.fit_logistic(train, 100), "forest": models.fit_forest(train, **TREES)}
-    rows = [models.evaluate(name, model, test, candidates) for name, model in fitted.items()]
-    arrays = with_candidates(click_queries(lake.gold), lake.gold, lake.catalog)
-    floors = {"popularity": (popularity_score, ranking.auc(test, "ag_ctr_before").scalar()), "random": (ranking.random_score(), F.lit(0.5))}
-    for name, (score, area) in floors.items():
-        recall = ranking.recall_at(ranking.true_ranks(with_scores(arrays, score))).drop("queries")
-        rows.append(recall.select(F.lit(name).alias("model"), area.alias("auc"), *recall.columns))
-    return models.comparison(rows)
+    return training.compared({name: lake.model(name) for name in training.FITS}, lake.gold, lake.lookups)
 
 
 @query("j20_feature_importance")
 def _(lake: Lake) -> DataFrame:
     train, _ = split(lake)
-    return models.importance(models.fit_forest(train, **TREES), train)
+    return models.importance(lake.model("forest"), train)
 
 
 @query("j21_permutation_importance")
 def _(lake: Lake) -> DataFrame:
-    train, test = split(lake)
-    return models.permutation_importance(models.fit_logistic(train, 100), test, repeats=1, columns=NUMERIC_FEATURES)
+    _, test = split(lake)
+    return models.permutation_importance(lake.model("logistic"), test)
 
 
 @query("j24_model_recommendations")
 def _(lake: Lake) -> DataFrame:
-    train, test = split(lake)
-    model = models.fit_logistic(train, 100)
-    users = ranking.sampled_users(test.select(F.col("userid_key").alias("userid")))
-    rows = exploded(with_candidates(user_snapshot(lake.gold, users), lake.gold, lake.catalog))
-    packed = models.scored(model, rows, "userid", "adgroup_id").groupBy("userid").agg(F.collect_list(F.struct("score", "adgroup_id")).alias("scored"))
-    return ranking.recommendations(packed, size=100).select("userid", F.to_json("recommendations").alias("recommendations"))
+    _, test = split(lake)
+    users = test.select(F.col("userid_key").alias("userid")).distinct()
+    recs = training.recommend(lake.model("logistic"), lake.gold, lake.lookups, users)
+    return recs.select("userid", F.to_json("recommendations").alias("recommendations"))

@@ -9,7 +9,7 @@ from clickloom.functions.scalar import six
 from clickloom.operators import ranking
 from clickloom.operators.candidates import (
     catalog_of, click_queries, first_seen_catalog, frozen_affinity, frozen_prices, linear_score, popularity_score,
-    product_snapshot, user_snapshot, with_candidates, with_scores,
+    product_snapshot, user_snapshot, with_candidates,
 )
 from clickloom.operators.encode import is_train
 from clickloom.operators.models import with_validation_flag
@@ -25,8 +25,8 @@ def state_sql(columns: list[str]) -> str:
     return ", ".join(f"{big(c)} AS {c}" if "clicks" in c or "impressions" in c else f"{r6(c)} AS {c}" for c in columns)
 
 
-def scored_queries(lake: Lake, score=linear_score) -> DataFrame:
-    return with_scores(with_candidates(click_queries(lake.gold), lake.gold, lake.catalog), score)
+def query_ranks(lake: Lake, score=linear_score) -> DataFrame:
+    return ranking.true_ranks(click_queries(lake.gold), lake.lookups, score)
 
 
 @query("j01_product_snapshot", f"WITH {CATALOG} SELECT adgroup_id_key AS adgroup_id, cate_id, brand, {r6('price')} AS price, {state_sql(AD_DYNAMIC)} FROM products")
@@ -67,14 +67,14 @@ CROSS = {
 @query("j05_candidates", f"WITH {QUERIES} SELECT query_id, count(*) AS n, " + ", ".join(
     f"{r6(f'sum({c})')} AS {n}_sum, {r6(f'max({c})')} AS {n}_max" for n, c in CROSS.items()) + " FROM cand GROUP BY 1")
 def _(lake: Lake) -> DataFrame:
-    rows = with_candidates(click_queries(lake.gold), lake.gold, lake.catalog)
+    rows = with_candidates(click_queries(lake.gold), lake.lookups)
 
     def both(name: str) -> list:
-        total = F.aggregate("candidates", F.lit(0.0), lambda a, c: a + c[name])
-        top = F.array_max(F.transform("candidates", lambda c: c[name]))
+        total = F.sum(F.aggregate("candidates", F.lit(0.0), lambda a, c: a + c[name]))
+        top = F.max(F.array_max(F.transform("candidates", lambda c: c[name])))
         return [six(total).alias(f"{name}_sum"), six(top).alias(f"{name}_max")]
 
-    return rows.select("query_id", F.size("candidates").cast("bigint").alias("n"), *[c for n in CROSS for c in both(n)])
+    return rows.groupBy("query_id").agg(F.sum(F.size("candidates")).alias("n"), *[c for n in CROSS for c in both(n)])
 
 
 def recall_sql(score: str) -> str:
@@ -84,7 +84,7 @@ def recall_sql(score: str) -> str:
 
 @query("j06_recall", recall_sql("score"))
 def _(lake: Lake) -> DataFrame:
-    return everything(ranking.recall_at(ranking.true_ranks(scored_queries(lake))))
+    return everything(ranking.recall_at(query_ranks(lake)))
 
 
 @query("j07_precision", f"""WITH {QUERIES},{ranks('score')}, ks AS (SELECT unnest([10, 50, 100]) AS k),
@@ -92,7 +92,7 @@ def _(lake: Lake) -> DataFrame:
        SELECT k, {r6('hits / (n * k)')} AS precision, {r6('hits / n')} AS recall, {r6('1 / size')} AS random_precision, {r6('k / size')} AS random_recall,
               {r6('hits / (n * k) * size')} AS precision_lift FROM s""")
 def _(lake: Lake) -> DataFrame:
-    return everything(ranking.precision_at(ranking.true_ranks(scored_queries(lake))))
+    return everything(ranking.precision_at(query_ranks(lake)))
 
 
 RANDOM = "CAST('0x' || substr(md5('42:' || CAST(query_id AS VARCHAR) || ':' || CAST(adgroup_id AS VARCHAR)), 1, 8) AS BIGINT)"
@@ -100,12 +100,12 @@ RANDOM = "CAST('0x' || substr(md5('42:' || CAST(query_id AS VARCHAR) || ':' || C
 
 @query("j08_random_baseline", recall_sql(RANDOM))
 def _(lake: Lake) -> DataFrame:
-    return everything(ranking.recall_at(ranking.true_ranks(scored_queries(lake, ranking.random_score()))))
+    return everything(ranking.recall_at(query_ranks(lake, ranking.random_score())))
 
 
 @query("j09_popularity_baseline", recall_sql("ag_ctr_before"))
 def _(lake: Lake) -> DataFrame:
-    return everything(ranking.recall_at(ranking.true_ranks(scored_queries(lake, popularity_score))))
+    return everything(ranking.recall_at(query_ranks(lake, popularity_score)))
 
 
 TESTS = f"{GOLD}, test AS (SELECT * FROM gold WHERE _split = 'test')"
@@ -186,8 +186,9 @@ def _(lake: Lake) -> DataFrame:
        QUALIFY position < 20""")
 def _(lake: Lake) -> DataFrame:
     users = lake.gold.where(~is_train()).select(F.col("userid_key").alias("userid")).distinct()
-    coarse = F.floor(F.col("ag_ctr_before") * 20).cast("double")
-    packed = lake.catalog.agg(F.collect_list(F.struct(coarse.alias("score"), "adgroup_id", "price"))).scalar()
-    scored = users.withColumn("scored", packed)
+    coarse = lambda ad: F.floor(ad["ag_ctr_before"] * 20).cast("double")
+    pairs = F.transform("ads", lambda ad: F.struct(coarse(ad).alias("score"), ad["adgroup_id"].alias("adgroup_id"), ad["price"].alias("price")))
+    every = F.explode(F.sequence(F.lit(0), F.lit(lake.lookups.n_blocks - 1))).alias("block")
+    scored = users.select("userid", every).join(lake.lookups.blocks, "block").select("userid", pairs.alias("scored"))
     recs = ranking.recommendations(scored, size=20, cheapest_first=True)
     return ranking.exploded_recommendations(recs).withColumn("score", F.col("score") + 0.0)

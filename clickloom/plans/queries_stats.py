@@ -9,7 +9,7 @@ from clickloom.constants import CATEGORICAL_FEATURES, FEATURE_GROUPS, GROUPED_FE
 from clickloom.operators import stats
 from clickloom.operators.stats import ERFC_TERMS
 from clickloom.plans.lake import Lake
-from clickloom.plans.oracle import GOLD, GOLD_VALUES, r6
+from clickloom.plans.oracle import GOLD, GOLD_VALUES, STAR, r6
 from clickloom.plans.queries_profile import everything
 from clickloom.plans.registry import query
 
@@ -110,18 +110,15 @@ def _(lake: Lake) -> DataFrame:
     return everything(stats.class_medians(stats.value_counts(lake.gold, GROUPED_FEATURES)))
 
 
-PLAIN = ["price", "ag_impressions_before", "user_impressions_before", "cate_clicks_before", "ag_impressions_last_3d"]
-
-
 def _bins(c: str) -> str:
     return f"""SELECT '{c}' AS feature, click, CAST(LEAST(floor(({c} - lo) / CAST(hi - lo AS DOUBLE) * 30), 29) AS BIGINT) + 1 AS bin, count(*) AS n
        FROM gold CROSS JOIN (SELECT min({c}) AS lo, max({c}) AS hi FROM gold) GROUP BY 2, 3"""
 
 
-@query("i09_class_histogram", f"""WITH {GOLD}, b AS ({' UNION ALL '.join(_bins(c) for c in PLAIN)})
+@query("i09_class_histogram", f"""WITH {GOLD}, b AS ({' UNION ALL '.join(_bins(c) for c in GROUPED_FEATURES)})
        SELECT feature, click, bin, n, {r6('n / CAST(sum(n) OVER (PARTITION BY feature, click) AS DOUBLE)')} AS share FROM b""")
 def _(lake: Lake) -> DataFrame:
-    return everything(stats.class_histogram(lake.gold, PLAIN))
+    return everything(stats.class_histogram(lake.gold))
 
 
 def _minmax(c: str) -> str:
@@ -143,6 +140,22 @@ def _(lake: Lake) -> DataFrame:
     return everything(stats.combined_rank(measures, {"abs_corr": 1 / 3, "nmi": 1 / 3, "abs_delta": 1 / 3}))
 
 
-@query("i11_price_elasticity")
+def _tail(z: str) -> str:
+    """Two-sided normal tail of z >= 0."""
+    t = f"(1 / (1 + {z} / sqrt(2.0::DOUBLE) / 2))"
+    poly = "0.0::DOUBLE"
+    for c in reversed(ERFC_TERMS):
+        poly = f"({poly} * {t} + ({c}))"
+    return f"{t} * exp({poly} - {z} * {z} / 2)"
+
+
+@query("i11_price_elasticity", f"""WITH RECURSIVE {STAR}, d AS MATERIALIZED (SELECT CAST(click AS DOUBLE) AS y, ln(1 + price) AS x FROM star WHERE price IS NOT NULL AND click IS NOT NULL),
+       newton AS (SELECT 0 AS k, 0.0::DOUBLE AS a, 0.0::DOUBLE AS b, 0.0::DOUBLE AS v UNION ALL
+         SELECT k + 1, a + (s2 * g0 - s1 * g1) / (s0 * s2 - s1 * s1), b + (s0 * g1 - s1 * g0) / (s0 * s2 - s1 * s1), s0 / (s0 * s2 - s1 * s1) FROM (
+           SELECT k, a, b, sum(y - p) AS g0, sum((y - p) * x) AS g1, sum(p * (1 - p)) AS s0, sum(p * (1 - p) * x) AS s1, sum(p * (1 - p) * x * x) AS s2
+           FROM (SELECT k, a, b, x, y, 1 / (1 + exp(-(a + b * x))) AS p FROM newton CROSS JOIN d WHERE k < 12) GROUP BY k, a, b)),
+       f AS (SELECT b, a, sqrt(v) AS se, abs(b) / sqrt(v) AS z FROM newton WHERE k = 12)
+       SELECT round(b, 5) + 0 AS coefficient, round(a, 5) + 0 AS intercept, round(se, 5) AS std_error, round({_tail('z')}, 5) AS p_value FROM f""")
 def _(lake: Lake) -> DataFrame:
-    return stats.price_elasticity(lake.star.select("click", "price"))
+    row = stats.price_elasticity(lake.star.select("click", "price"))
+    return row.select(*[(F.round(c, 5) + 0.0).alias(c) for c in row.columns])

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import io
+import re
 import zipfile
 from collections.abc import Iterator, Sequence
 from datetime import datetime, timezone
+from typing import IO
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 EVENT_SCHEMA = T.StructType([
@@ -31,6 +34,7 @@ USER_SCHEMA = T.StructType([
         ("shopping_level", T.LongType()), ("occupation", T.LongType()), ("new_user_class_level", T.DoubleType()),
     ]
 ])
+IN_MEMORY = 1 << 30     # bytes of a zip archive that a task takes into memory
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -64,14 +68,48 @@ def landed(df: DataFrame, split: str | None, ingested_at: Column) -> DataFrame:
     return tagged(df.withColumns(place), split, ingested_at)
 
 
+def _opened(path: str, content: bytes | None):
+    """An archive as a file that can be sought: from memory, or from its store if it is too large for that."""
+    if content is not None:
+        return io.BytesIO(content)
+    store, inner = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
+    return store.open_input_file(inner)
+
+
+def _members(path: str, content: bytes | None) -> Iterator[tuple[str, IO[bytes]]]:
+    with _opened(path, content) as file, zipfile.ZipFile(file) as archive:
+        for name in sorted(m for m in archive.namelist() if m.endswith(".csv")):
+            with archive.open(name) as raw:
+                yield name, raw
+
+
+def _headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for path, content in zip(batch["path"], batch["content"]):
+            for _, raw in _members(path, content):
+                yield pd.DataFrame({"name": [c.strip() for c in pd.read_csv(raw, dtype=str, nrows=0).columns]})
+
+
+def whole_number(text: Column) -> Column:
+    """Text as bigint without a detour over floats; "3.0" is 3, any other fraction or text is an error."""
+    plain = F.regexp_replace(F.trim(text), r"\.0*$", "")
+    return F.when(F.trim(text) == "", F.lit(None)).otherwise(plain).cast("bigint")
+
+
 def read_zipped_csv(spark: SparkSession, path: str, schema: T.StructType, rows_per_batch: int = 50_000) -> DataFrame:
     """CSV members of zip files, streamed out of each archive in batches.
 
-    An archive cannot be split, so each is one task; lay large inputs out as many archives, or as
-    plain, gz or bz2 files, which ``read_csv`` takes directly.
+    Columns are matched by trimmed name, unknown ones stay text. An archive cannot be split, so each
+    is one task; lay large inputs out as many archives, or as plain, gz or bz2 files, which
+    ``read_csv`` takes directly. Archives above ``IN_MEMORY`` are read from their store piece by piece.
     """
-    archives = spark.read.format("binaryFile").load(path).select("path", "content")
-    names = [f.name for f in schema]
+    files = spark.read.format("binaryFile").load(path)
+    small = files.where(F.col("length") <= IN_MEMORY).select("path", "content")
+    large = files.where(F.col("length") > IN_MEMORY).select("path", F.lit(None).cast("binary").alias("content"))
+    archives = small.unionByName(large)
+    found = {r["name"] for r in archives.mapInPandas(_headers, "name string").distinct().collect()}
+    types = {f.name: f.dataType for f in schema}
+    names = [*types, *sorted(found - set(types))]
     out = T.StructType([T.StructField("_file", T.StringType()), T.StructField("_row", T.LongType())] + [
         T.StructField(n, T.StringType()) for n in names
     ])
@@ -79,24 +117,20 @@ def read_zipped_csv(spark: SparkSession, path: str, schema: T.StructType, rows_p
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for archive, content in zip(batch["path"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as members:
-                    number = 0
-                    for member in sorted(m for m in members.namelist() if m.endswith(".csv")):
-                        with members.open(member) as raw:
-                            chunks = pd.read_csv(raw, dtype=str, chunksize=rows_per_batch, skipinitialspace=True)
-                            for chunk in chunks:
-                                chunk.columns = [c.strip() for c in chunk.columns]
-                                chunk = chunk.reindex(columns=names)
-                                chunk.insert(0, "_row", range(number, number + len(chunk)))
-                                chunk.insert(0, "_file", archive.rsplit("/", 1)[-1])
-                                number += len(chunk)
-                                yield chunk.astype(object).where(chunk.notna(), None)
+                number = 0
+                for _, raw in _members(archive, content):
+                    for chunk in pd.read_csv(raw, dtype=str, chunksize=rows_per_batch, skipinitialspace=True):
+                        chunk.columns = [c.strip() for c in chunk.columns]
+                        chunk = chunk.reindex(columns=names)
+                        chunk.insert(0, "_row", range(number, number + len(chunk)))
+                        chunk.insert(0, "_file", archive.rsplit("/", 1)[-1])
+                        number += len(chunk)
+                        yield chunk.astype(object).where(chunk.notna(), None)
 
     text = archives.mapInPandas(rows, out)
-    # Whole numbers may be written as "3.0" by tools that store nullable integers as floats.
     typed = [
-        (F.col(f.name).cast("double").cast(f.dataType) if isinstance(f.dataType, T.LongType) else F.col(f.name).cast(f.dataType)).alias(f.name)
-        for f in schema
+        (whole_number(F.col(f"`{n}`")) if isinstance(types.get(n), T.LongType) else F.col(f"`{n}`").cast(types.get(n, T.StringType()))).alias(n)
+        for n in names
     ]
     return text.select(*typed, F.col("_file").alias("_source_file"), F.lit(0).cast("bigint").alias("_block"), "_row")
 
@@ -109,8 +143,11 @@ def read_dimension(spark: SparkSession, path: str, schema: T.StructType, ingeste
 
 
 def read_events(spark: SparkSession, folder: str, ingested_at: Column, splits: Sequence[str] = ("train", "test")) -> DataFrame:
-    """The split files of the log, stacked by column name."""
-    frames = [landed(read_csv(spark, f"{folder}/{s}.csv", EVENT_SCHEMA), s, ingested_at) for s in splits]
+    """The split files of the log, stacked by column name; ``_source_no`` is the file's place in ``splits``."""
+    frames = [
+        landed(read_csv(spark, f"{folder}/{s}.csv", EVENT_SCHEMA), s, ingested_at).withColumn("_source_no", F.lit(n))
+        for n, s in enumerate(splits)
+    ]
     out = frames[0]
     for frame in frames[1:]:
         out = out.unionByName(frame, allowMissingColumns=True)

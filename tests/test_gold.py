@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickloom.operators import coclick, encode, history
+from clickloom.operators.asof import as_of_join
 from clickloom.operators.prefix import CHUNK, Timeline, by_value, global_rank, row_position, running
 
 HOUR = 3_600_000_000
@@ -133,6 +134,48 @@ def test_a_hot_key_and_a_hot_timestamp_are_spread_over_chunks(spark):
     assert len(sizes) >= 9 and max(sizes) <= 200
 
 
+@pytest.mark.parametrize("burst", [False, True])
+def test_look_backs_of_a_third_of_the_log_leave_no_hot_chunk(spark, burst):
+    """Entries and exits are spread as evenly as the rows, and what happens after the end is left out."""
+    n, width = 3000, 1000 * HOUR
+    df = log(spark, [(i, (i % 50 if burst and i < 1500 else i) * HOUR, f"u{i % 7}", f"a{i % 3}", 0) for i in range(n)])
+    line = Timeline.of(df, pieces=12, look_backs=[width, 2 * width])
+    seen = []
+    real = history.by_chunk
+    history.by_chunk = lambda events: seen.append(events) or real(events)
+    try:
+        out = history.windowed_history(df, "adgroup_id", "ag", F.lit(0.0), line, {"1": width, "2": 2 * width})
+    finally:
+        history.by_chunk = real
+    sizes = [r["count"] for r in seen[0].groupBy(CHUNK).count().collect()]
+    assert max(sizes) <= 2 * sum(sizes) / len(sizes) and len(sizes) >= 10
+    last = out.orderBy(F.desc("_us")).first()
+    assert last.ag_impressions_last_1 == len([i for i in range(n) if i % 3 == (n - 1) % 3 and 0 < (n - 1) - (i % 50 if burst and i < 1500 else i) < 1000])
+
+
+def test_as_of_join_against_every_earlier_state(spark, tied):
+    rows = [(i, us + 1 if i % 3 else us, user) for i, us, user, _, _ in tied] + [(9001, 5 * HOUR, None), (9002, 0, "nobody")]
+    states = {}
+    for i, us, user, ad, _ in tied:
+        states[(user, us)] = max(states.get((user, us), (0, "")), (i, ad))
+    left = spark.createDataFrame(rows, "event_id long, _us long, userid string")
+    right = spark.createDataFrame([(i, us, user, ad) for (user, us), (i, ad) in states.items()], "event_id long, _us long, userid string, ad string")
+    for strict in (False, True):
+        got = {r.event_id: r.ad for r in as_of_join(left, right, ["userid"], ["ad"], strict=strict, pieces=5).collect()}
+        want = {}
+        for i, us, user in rows:
+            before = [(t, x) for (u, t), x in states.items() if u == user and (t < us or (t == us and not strict))]
+            want[i] = max(before)[1][1] if before else None
+        assert got == want
+
+
+def test_ranks_of_rows_without_a_value_come_last(spark):
+    df = spark.createDataFrame([(1, 5.0), (2, None), (3, 7.0), (4, None)], "event_id long, v double")
+    for descending, want in ((True, {3: 0, 1: 1, 2: 2, 4: 3}), (False, {1: 0, 3: 1, 2: 2, 4: 3})):
+        got = global_rank(df, "v", "event_id", descending=descending).collect()
+        assert {r.event_id: r["rank"] for r in got} == want and {r.rank_of for r in got} == {4}
+
+
 def test_later_rows_never_change_a_feature(spark, tied):
     cut = 20 * HOUR
     whole, part = log(spark, tied), log(spark, [r for r in tied if r[1] < cut])

@@ -5,6 +5,7 @@ from datetime import datetime
 
 import pytest
 
+from clickloom.operators.clean import clean_events
 from clickloom.plans import layers
 from clickloom.sources import raw
 
@@ -85,6 +86,66 @@ def test_zip_rows_come_in_batches_and_in_order(spark, tmp_path):
     assert [r.adgroup_id for r in rows] == list(range(1000)) and [r._row for r in rows] == list(range(1000))
 
 
+def zipped(path, text, name="ad_feature.csv"):
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr(name, text)
+    return str(path)
+
+
+@pytest.mark.parametrize("in_memory", [1 << 30, 0])
+def test_zip_keeps_large_ids_and_unknown_columns(spark, tmp_path, monkeypatch, in_memory):
+    monkeypatch.setattr(raw, "IN_MEMORY", in_memory)
+    path = zipped(tmp_path / "ad_feature.csv.zip", "adgroup_id, color ,cate_id,brand\n9007199254740993,red,3.0,1.5\n2,,,\n")
+    rows = {r.adgroup_id: r for r in raw.read_zipped_csv(spark, path, raw.AD_SCHEMA).collect()}
+    assert rows[9007199254740993].color == "red" and rows[9007199254740993].cate_id == 3 and rows[9007199254740993].brand == 1.5
+    assert rows[2].color is None and rows[2].cate_id is None and rows[2].price is None
+
+
+@pytest.mark.parametrize("bad", ["7.9", "x"])
+def test_zip_ids_must_be_whole(spark, tmp_path, bad):
+    path = zipped(tmp_path / "ad_feature.csv.zip", f"adgroup_id,price\n{bad},1\n")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        raw.read_zipped_csv(spark, path, raw.AD_SCHEMA).collect()
+
+
+def test_of_a_train_and_a_test_copy_the_train_row_stays(spark, tmp_path, ingested_at):
+    for name, click in (("train", 1), ("test", 0)):
+        write(tmp_path / f"{name}.csv", HEADER + f"3,11,2017-05-08 09:00:00,p1,{click},2017-05-08,9,0\n")
+    rows = clean_events(raw.read_events(spark, str(tmp_path), ingested_at)).collect()
+    assert [(r._split, r.click) for r in rows] == [("train", 1)]
+
+
+def test_layers_leave_settings_and_no_scratch_tables(spark, tmp_path, source, ingested_at):
+    import os
+    from clickloom.session import shared_folder
+    before = spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition")
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "true")
+    try:
+        here = set(os.listdir(shared_folder(spark)))
+        layers.run(spark, source, str(tmp_path / "lake"), ingested_at=ingested_at)
+        assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+        assert set(os.listdir(shared_folder(spark))) == here
+    finally:
+        spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", before)
+
+
+def test_training_writes_everything(spark, tmp_path):
+    from clickloom.plans.lake import Lake
+    lake = str(tmp_path / "lake")
+    Lake.at(spark, "/root/testdata/sf0.001").gold.write.parquet(f"{lake}/gold/training_features.parquet")
+    sizes = {"logistic": {"max_iter": 10}, "forest": {"numTrees": 3, "maxDepth": 3}}
+    took = layers.run(spark, "", lake, "train", training={"settings": sizes, "names": list(sizes), "repeats": 1})
+    assert list(took) == ["train"]
+    table = spark.read.parquet(f"{lake}/train/comparison.parquet").collect()
+    assert {r.model for r in table} == {"logistic", "forest", "popularity", "random"}
+    assert spark.read.parquet(f"{lake}/train/lift.parquet").count() == 6
+    assert spark.read.parquet(f"{lake}/train/permutation_importance.parquet").count() == 40
+    recs = spark.read.json(f"{lake}/train/recommendations.json")
+    gold = spark.read.parquet(f"{lake}/gold/training_features.parquet")
+    asked = gold.where("_split = 'train'").join(gold.where("_split = 'test'").select("userid_key").distinct(), "userid_key", "left_semi")
+    assert recs.count() == asked.select("userid_key").distinct().count() and all(len(r.recommendations) <= 100 for r in recs.collect())
+
+
 def test_pipeline_end_to_end(spark, tmp_path, source, ingested_at):
     lake = str(tmp_path / "lake")
     took = layers.run(spark, source, lake, ingested_at=ingested_at)

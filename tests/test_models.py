@@ -42,13 +42,22 @@ def test_validation_rows_are_the_last_ones(split):
     assert got[False].n == int(total * 0.85) and got[False].hi <= got[True].lo
 
 
-def test_early_stopping_uses_at_most_the_given_trees(split):
-    model = models.fit_boosted(split[0], "depthwise", early_stop=True, maxIter=4, maxDepth=2)
-    assert 1 <= model.stages[-1].getNumTrees <= 4
+def test_early_stopping_keeps_the_trees_that_help(spark, split):
+    """A clear signal that small steps approach slowly keeps more than a handful of trees; noise keeps few."""
+    rows = split[0].withColumn("click", ((F.col("event_id") * 37 % 100) / 100 < F.when(F.col("event_id") % 2 == 0, 0.9).otherwise(0.1)).cast("int"))
+    rows = rows.withColumn("price", (F.col("event_id") % 2).cast("double"))
+    signal = models.best_rounds(rows, "depthwise", patience=5, maxIter=40, maxDepth=2)
+    noise = models.best_rounds(split[0].withColumn("click", (F.xxhash64("event_id") % 2 == 0).cast("int")), "histogram", patience=3, maxIter=12, maxDepth=5, stepSize=0.5)
+    assert signal > 15 and noise < signal
+
+
+def test_a_missing_price_is_read_as_the_train_mean(split):
+    train, test = (df.withColumn("price", F.when(F.col("event_id") % 5 > 0, F.col("price"))) for df in split)
+    assert models.scored(models.fit_logistic(train, 5), test, "event_id").where("score IS NULL").count() == 0
 
 
 def test_evaluation_and_winner(lake, split, logistic):
-    candidates = exploded(with_candidates(click_queries(lake.gold), lake.gold, lake.catalog))
+    candidates = exploded(with_candidates(click_queries(lake.gold), lake.lookups))
     assert set(FEATURES) <= set(candidates.columns)
     row = models.evaluate("logistic", logistic, split[1], candidates)
     other = row.withColumns({"model": F.lit("none"), "auc": F.lit(0.0)})
@@ -87,7 +96,7 @@ def test_bundle_round_trip(tmp_path, split, logistic):
 
 
 def test_random_score_is_repeatable_and_uniform(spark, lake):
-    arrays = with_candidates(click_queries(lake.gold), lake.gold, lake.catalog)
+    arrays = with_candidates(click_queries(lake.gold), lake.lookups)
     from clickloom.operators.candidates import with_scores
     rows = with_scores(arrays, ranking.random_score()).select(F.explode("scored.score").alias("s")).agg(F.avg("s"), F.min("s"), F.max("s")).first()
     assert abs(rows[0] - 0.5) < 0.05 and rows[1] >= 0 and rows[2] < 1

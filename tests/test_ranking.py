@@ -10,6 +10,12 @@ from clickloom.operators import profile, ranking, stats
 SCORED = "query_id long, true_adgroup_id long, userid long, scored array<struct<score double, adgroup_id long>>"
 
 
+def ranks_of(scored):
+    """Ranks from the scored rows of one query each, as the row-wise path gives them."""
+    rows = scored.select("query_id", "true_adgroup_id", F.explode("scored").alias("s")).select("query_id", "true_adgroup_id", "s.*")
+    return ranking.true_ranks_of_rows(rows)
+
+
 @pytest.fixture
 def scored(spark):
     items = [(0.9, 1), (0.5, 2), (0.5, 3), (0.1, 4)]
@@ -17,25 +23,20 @@ def scored(spark):
 
 
 def test_true_rank_ties_and_absent_items(scored):
-    assert {r.query_id: r["rank"] for r in ranking.true_ranks(scored).collect()} == {0: 0, 1: 2, 2: 4}
+    assert {r.query_id: r["rank"] for r in ranks_of(scored).collect()} == {0: 0, 1: 2, 2: 4}
 
 
 def test_recall_counts_absent_items_as_misses(scored):
-    got = ranking.recall_at(ranking.true_ranks(scored), [1, 3, 4]).collect()[0]
+    got = ranking.recall_at(ranks_of(scored), [1, 3, 4]).collect()[0]
     assert [got.recall_at_1, got.recall_at_3, got.recall_at_4] == [pytest.approx(x) for x in (1 / 3, 2 / 3, 2 / 3)]
 
 
 def test_precision_and_floors(scored):
-    got = {r.k: r for r in ranking.precision_at(ranking.true_ranks(scored), [1, 4]).collect()}
+    got = {r.k: r for r in ranking.precision_at(ranks_of(scored), [1, 4]).collect()}
     assert got[4].precision == pytest.approx(2 / 12) and got[4].random_precision == 0.25 and got[1].random_recall == 0.25
     assert got[1].precision_lift == pytest.approx(4 / 3)
 
 
-def test_row_scored_candidates_give_the_same_ranks(spark, scored):
-    rows = scored.select("query_id", "true_adgroup_id", F.explode("scored").alias("s")).select("query_id", "true_adgroup_id", "s.*")
-    assert {r.query_id: r["rank"] for r in ranking.true_ranks_of_rows(rows).collect()} == {0: 0, 1: 2, 2: 4}
-
-
 def test_recommendations_are_ordered_and_cut(scored):
     got = ranking.recommendations(scored, size=3).where("userid = 7").collect()[0].recommendations
     assert [(r.adgroup_id, r.score) for r in got] == [(1, 0.9), (2, 0.5), (3, 0.5)]
@@ -47,6 +48,69 @@ def test_cheaper_first_on_equal_scores(spark):
     assert [r.adgroup_id for r in got] == [3, 2, 1]
 
 
+def test_blocks_of_one_key_are_merged(spark):
+    parts = [(7, [(0.1 * i, i) for i in range(k, 40, 4)]) for k in range(4)]
+    df = spark.createDataFrame(parts, "userid long, scored array<struct<score double, adgroup_id long>>")
+    got = ranking.recommendations(df, size=5).collect()
+    assert len(got) == 1 and [r.adgroup_id for r in got[0].recommendations] == [39, 38, 37, 36, 35]
+    rows = df.select("userid", F.inline("scored"))
+    assert ranking.recommendations_of_rows(rows, size=5).collect() == got
+
+
+@pytest.fixture(scope="module")
+def wide(spark):
+    """A Gold-like log with 400 ads, and its catalog in blocks of 64 and of all ads."""
+    from clickloom.constants import AD_DYNAMIC, AD_STATIC, CATEGORY_DYNAMIC, USER_CONTEXT
+    from clickloom.operators import candidates
+    n = F.col("event_id")
+    gold = spark.range(4000).withColumnRenamed("id", "event_id").select(
+        "event_id", F.timestamp_micros(n * 1_000_000).alias("time_stamp"), F.when(n < 3200, "train").otherwise("test").alias("_split"),
+        (n % 400).alias("adgroup_id_key"), (n * 7 % 50).alias("userid_key"), ((n * 13 + n / 7).cast("long") % 3 == 0).cast("int").alias("click"),
+        *[F.concat(F.lit(c[:2]), (n % 400 % k).cast("string")).alias(c) for c, k in (("cate_id", 9), ("brand", 11))],
+        *[F.concat(F.lit(c[:2]), (n * 7 % 50 % k).cast("string")).alias(c) for c, k in (("pid", 2), ("age_level", 3), ("cms_group_id", 4))],
+        (n % 400 * 1.5 + 1).alias("price"), F.when(n % 5 > 0, n * 3 % 400).alias("user_prev_clicked_item"),
+        *[(F.abs(F.xxhash64(F.lit(c), n % 400)) % 1000 / 1000).alias(c) for c in AD_DYNAMIC + CATEGORY_DYNAMIC],
+        *[F.lit(0).alias(c) for c in USER_CONTEXT if c not in ("pid", "age_level", "cms_group_id", "user_prev_clicked_item")],
+    ).cache()
+    assert set(AD_STATIC) <= set(gold.columns)
+    catalog = candidates.catalog_of(gold)
+    return gold, catalog, [candidates.lookups_of(gold, catalog, block_ads=b) for b in (64, 10_000)]
+
+
+def test_the_catalog_keeps_every_train_ad(wide):
+    gold, catalog, (small, large) = wide
+    assert catalog.count() == 400 and small.n_blocks == 7 and large.n_blocks == 1
+
+
+def test_blocks_give_the_ranks_and_recommendations_of_the_whole_catalog(wide):
+    from clickloom.operators.candidates import click_queries, exploded, linear_score, user_snapshot, with_candidates, with_scores
+    gold, _, lookups = wide
+    queries = click_queries(gold)
+    ranks = [sorted(map(tuple, ranking.true_ranks(queries, k, linear_score).collect())) for k in lookups]
+    assert ranks[0] == ranks[1] and {r[3] for r in ranks[0]} == {400}
+    rows = exploded(with_candidates(queries, lookups[0]))
+    assert rows.count() == 400 * queries.count()
+    scored = rows.withColumn("score", linear_score({c: F.col(c) for c in rows.columns}))
+    assert sorted(map(tuple, ranking.true_ranks_of_rows(scored).collect())) == ranks[0]
+    users = gold.select(F.col("userid_key").alias("userid")).distinct()
+    recs = [sorted(map(str, ranking.recommendations(with_scores(with_candidates(user_snapshot(gold, users), k), linear_score), size=20).collect())) for k in lookups]
+    assert recs[0] == recs[1] and len(recs[0]) == 50
+
+
+def test_lift_ranks_rows_without_a_score_last(spark):
+    df = spark.createDataFrame([(1, 0.9, 1), (2, None, 1), (3, 0.1, 0), (4, 0.5, 0)], "event_id long, s double, click int")
+    got = {r.top_percent: r for r in ranking.lift_table(df, "s", percents=[50, 100]).collect()}
+    assert got[100].n_impressions == 4 and got[100].ctr == 0.5 and got[50].ctr == 0.5
+
+
+def test_correlations_use_the_rows_that_have_both_values(spark):
+    rows = [(float(i), float(i * i), None if i % 2 else float(-i)) for i in range(20)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    got = {(r.feature_a, r.feature_b): r.r for r in stats.correlation_pairs(df, ["a", "b", "c"]).collect()}
+    pandas = df.toPandas().corr()
+    assert all(v == pytest.approx(pandas.loc[k]) for k, v in got.items()) and len(got) == 3
+
+
 def test_auc_with_ties(spark):
     rows = [(i, float(i % 5), int(i % 5 + i % 3 > 3)) for i in range(60)]
     got = ranking.auc(spark.createDataFrame(rows, "event_id long, s double, click int"), "s").collect()[0].auc
