@@ -18,9 +18,11 @@ doc_id are ordered by a hash of their text; an empty table gives an empty data s
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -38,8 +40,15 @@ SHARD_IDS = 1 << 22
 HEAD = struct.Struct("<4sHHQQ")
 MAGIC, SAMPLE = b"EFID", 256
 KNOWN_UNITS = 1 << 20     # units a worker remembers before it starts anew
-LETTERS = frozenset(chr(c) for c in range(0x250) if chr(c).isalpha())
-SOLID = frozenset("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
+
+# A byte-level tokenizer cuts texts by pattern before it encodes the parts. It surely cuts between a letter and what is
+# none, between marks and letters, around single line ends, and before a space and a letter, but for apostrophes and
+# letters unknown here. Units end at such places alone: words, marks, line ends, and all else up to a space and a letter.
+LETTER, MARK = "A-Za-zÀ-ÖØ-öø-ɏ", ".,;:!?|"
+UNIT = re.compile(
+    f" ?[{LETTER}]++(?=[ \\n{MARK}]|\\Z)|[{MARK}]++\\n?+(?= ?[{LETTER}]|\\Z)|\\n(?= ?[{LETTER}]|\\Z)"
+    f"|.+?(?:(?<=[{LETTER}0-9!-/:-@\\[-`{{-~])(?= [{LETTER}])|\\Z)", re.DOTALL)
+WORD = re.compile(f" ?[{LETTER}]+")
 
 
 class EliasFano:
@@ -130,19 +139,11 @@ class Shard:
         return self.ids[self.bounds.select(i):self.bounds.select(i + 1)]
 
 
-def units_of(text: str) -> list[str]:
-    """Pieces that a byte-level tokenizer surely encodes apart: it always cuts before one space and a letter where what
-    comes before the space is a letter, a digit or a mark. Their concatenation is the text."""
-    pieces = text.split(" ")
-    current, found = pieces[0], []
-    for piece in pieces[1:]:
-        if piece and current and piece[0] in LETTERS and (current[-1] in LETTERS or current[-1] in SOLID or current[-1] in "0123456789"):
-            found.append(current)
-            current = " " + piece
-        else:
-            current += " " + piece
-    found.append(current)
-    return found
+def byte_letters() -> dict[int, str]:
+    """The letters that byte-level vocabularies write bytes with: visible Latin-1 as it is, the others from U+0100 on."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
 
 class Encoder:
@@ -151,17 +152,27 @@ class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer, self.known, self.letters = Tokenizer.from_file(path), {}, byte_letters()
+
+    def learn(self, units: list[str]) -> None:
+        """A word is one part of the tokenizer's pattern and goes to its model at once, other units through all steps."""
+        others, tokenize = [], self.tokenizer.model.tokenize
+        for unit in units:
+            if WORD.fullmatch(unit):
+                spelt = unit.encode().decode("latin-1").translate(self.letters)
+                self.known[unit] = array("I", [t.id for t in tokenize(spelt)]).tobytes()
+            else:
+                others.append(unit)
+        for at in range(0, len(others), 10_000):
+            part = others[at:at + 10_000]
+            for unit, encoded in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                self.known[unit] = array("I", encoded.ids).tobytes()
 
     def batch(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.known) > KNOWN_UNITS:
             self.known.clear()
-        split = [units_of(t) for t in texts]
-        new = list({u for units in split for u in units if u not in self.known})
-        for at in range(0, len(new), 10_000):
-            part = new[at:at + 10_000]
-            for unit, encoded in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[unit] = np.array(encoded.ids, "<u4").tobytes()
+        split = [UNIT.findall(t) for t in texts]
+        self.learn(list({u for units in split for u in units if u not in self.known}))
         get, end = self.known.__getitem__, np.array([END], "<u4").tobytes()
         return [np.frombuffer(b"".join([*map(get, units), end]), "<u4") for units in split]
 

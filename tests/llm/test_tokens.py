@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -41,8 +42,10 @@ def test_odd_rows_and_small_shards(docs_of, library):
 
 def test_units_join_to_the_text(library):
     encoder = tokens.Encoder(PATH)
-    for text in ODD:
-        assert "".join(tokens.units_of(text)) == text
+    rng = random.Random(2)
+    parts = [" ", "  ", "\n", "\n\n", "\t", ".", ",", "'", "'s", "’", '"', "a", "Zeta", "éa", "λ", "Ж", "́", "1", "23", "|", "!?", "-", "\u00a0", "ﬁ", "🙂", "<|endoftext|>"]
+    for text in [*ODD, *("".join(rng.choices(parts, k=rng.randrange(1, 25))) for _ in range(4000))]:
+        assert "".join(tokens.UNIT.findall(text)) == text
         assert encoder.batch([text])[0].tolist() == [*library.encode(text, add_special_tokens=False).ids, 2]
 
 
