@@ -133,7 +133,10 @@ def keep_good(docs: DataFrame, documents: int = LINE_DOCUMENTS, share: float = L
     full = measured(rows).join(materialize(above, "frequent-lines"), "_host", "left")
     common = F.filter("lines", lambda x: F.coalesce(F.array_contains("frequent", x["h"]), F.lit(False)))
     gone = F.aggregate(common, F.lit(0).cast("bigint"), lambda total, x: total + x["w"])
-    return verdict(full, gone).where("kept").select("_row.*")
+    # A row number in the condition keeps Spark from moving the filter below the measures, which would write them out
+    # once for every mention.
+    judged = verdict(full, gone).select("_row", "kept", F.monotonically_increasing_id().alias("_n"))
+    return judged.where("kept AND _n >= 0").select("_row.*")
 
 
 SQL = r"""
