@@ -31,26 +31,30 @@ UNITS = ("km m cm mm mi mile miles ft feet inch inches yd yards kg g mg lb lbs o
          "cents kmh mph °c °f degrees watt watts volts joule joules stunden tage jahre minuten heures jours ans minutos horas días años").split()
 
 
-def template_of(words: Column) -> Column:
-    """Template words of the words as written."""
-    bare = lambda w: F.lower(F.btrim(w, F.lit(MARKS)))
+def bare(word: Column) -> Column:
+    return F.lower(F.btrim(word, F.lit(MARKS)))
+
+
+def with_template(df: DataFrame) -> DataFrame:
+    """Adds the template words ``template`` of ``words`` as written; each word is stripped once."""
     number = lambda b: (b >= "0") & (b < ":")
 
-    def word(w: Column, before: Column) -> Column:
-        b, first = bare(w), F.substring(w, 1, 1)
-        named = (F.lower(first) != first) & F.substring(before, -1, 1).rlike(r"[\p{L},]") & w.rlike(r"^\p{Lu}\p{Ll}")
-        return F.when(number(b), NUMBER).when(named, NAME).when(b.isin(UNITS) & number(bare(before)), UNIT).otherwise(b)
+    def word(x: Column, before: Column) -> Column:
+        w, b, first = x["w"], x["b"], F.substring(x["w"], 1, 1)
+        named = (F.lower(first) != first) & F.substring(before["w"], -1, 1).rlike(r"[\p{L},]") & w.rlike(r"^\p{Lu}\p{Ll}")
+        return F.when(number(b), NUMBER).when(named, NAME).when(number(before["b"]) & b.isin(UNITS), UNIT).otherwise(b)
 
-    before = F.concat(F.array(F.lit("")), F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))))
-    before = F.slice(before, 1, F.size(words))
-    return F.zip_with(words, before, word)
+    nothing = F.array(F.struct(F.lit("").alias("w"), F.lit("").alias("b")))
+    df = df.withColumn("both", F.transform("words", lambda w: F.struct(w.alias("w"), bare(w).alias("b"))))
+    before = F.slice(F.concat(nothing, "both"), 1, F.size("both"))
+    return df.withColumn("template", F.zip_with("both", before, word)).drop("both")
 
 
 def windowed(rows: DataFrame) -> DataFrame:
     """Adds ``words``, ``template`` and ``windows`` (the hash of the template words from each place on) to ``_text``."""
     later = lambda name, k: F.slice(name, k + 1, F.greatest(F.size(name), F.lit(1)))
     paired = lambda name, k: F.zip_with(name, later(name, k), lambda a, b: F.xxhash64(a, b))
-    df = rows.withColumn("words", words_of(F.col("_text"))).drop("_text").withColumn("template", template_of(F.col("words")))
+    df = with_template(rows.withColumn("words", words_of(F.col("_text"))).drop("_text"))
     df = df.withColumn("w1", F.transform("template", lambda w: F.xxhash64(w)))
     df = df.withColumn("w2", paired("w1", 1)).withColumn("w4", paired("w2", 2))
     windows = F.slice(paired("w4", 4), 1, F.greatest(F.size("words") - (WINDOW - 1), F.lit(0)))
@@ -60,7 +64,7 @@ def windowed(rows: DataFrame) -> DataFrame:
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     """(hash, item, at, shape, meant, needed) of the windows that say enough."""
     items = benchmark.select(F.monotonically_increasing_id().alias("item"), F.coalesce("text", F.lit("")).alias("_text"))
-    spread = windowed(items).select("item", "words", "template", F.posexplode("windows").alias("at", "hash"))
+    spread = windowed(items).select("item", "words", "template", F.posexplode_outer("windows").alias("at", "hash"))
     spread = spread.select("item", "at", "hash", F.slice("template", F.col("at") + 1, WINDOW).alias("shape"), F.slice("words", F.col("at") + 1, WINDOW).alias("meant"))
     plain = F.size(F.filter("shape", lambda t: ~t.startswith("#") & (t != "")))
     spread = spread.where(plain >= LITERALS)
@@ -70,7 +74,6 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
 
 def slots(shape: Column, meant: Column, seen: Column) -> Column:
     """(type, meant value, seen value) of the placeholders in a window."""
-    bare = lambda w: F.lower(F.btrim(w, F.lit(MARKS)))
     zipped = F.arrays_zip(shape.alias("t"), meant.alias("m"), seen.alias("s"))
     typed = F.filter(zipped, lambda x: x["t"].isin(NUMBER, NAME, UNIT))
     return F.transform(typed, lambda x: F.struct(x["t"].alias("t"), bare(x["m"]).alias("m"), bare(x["s"]).alias("s")))
@@ -80,7 +83,8 @@ def contaminations(rows: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(_id, _h, item) of the documents, rows (_id, _h, _text), that hold an item."""
     wanted = benchmark_windows(benchmark)
     small = wanted.count() <= BROADCAST_WINDOWS
-    spread = windowed(rows.select(*KEY, "_text")).select(*KEY, "words", F.posexplode("windows").alias("place", "hash"))
+    # The outer form keeps Spark from filtering on the windows' number below, where their whole expression would be repeated.
+    spread = windowed(rows.select(*KEY, "_text")).select(*KEY, "words", F.posexplode_outer("windows").alias("place", "hash"))
     met = spread.join(F.broadcast(wanted) if small else wanted, "hash")
     met = met.select(*KEY, "item", "at", "needed", (F.col("place") - F.col("at")).alias("shift"),
                      slots(F.col("shape"), F.col("meant"), F.slice("words", F.col("place") + 1, WINDOW)).alias("slots"))
