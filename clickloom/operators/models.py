@@ -25,6 +25,7 @@ BOOSTED = {
 }
 VALIDATION_SHARE = 0.15
 PATIENCE = 100
+ROWS_PER_TASK = 20_000    # trees run many short jobs; smaller tasks cost more to start than they take
 # Missing where the ad is in no dimension; models read the train mean instead.
 NULLABLE_NUMBERS = ["price", "user_price_gap"]
 KNOWN = "_or_mean"
@@ -75,6 +76,11 @@ def max_bins(train: DataFrame, categorical: Sequence[str] = CATEGORICAL_FEATURES
     return max(32, int(1.1 * max(row)) + 8)
 
 
+def packed(rows: DataFrame) -> DataFrame:
+    """The rows in no more partitions than are worth a task."""
+    return rows.coalesce(max(1, -(-rows.count() // ROWS_PER_TASK)))
+
+
 def forest(train: DataFrame, **settings) -> RandomForestClassifier:
     return RandomForestClassifier(labelCol="click", seed=SEED, maxBins=max_bins(train), **{**FOREST, **settings})
 
@@ -88,6 +94,7 @@ def fit_logistic(train: DataFrame, max_iter: int = 1000) -> PipelineModel:
 
 
 def fit_forest(train: DataFrame, **settings) -> PipelineModel:
+    train = packed(train)
     return Pipeline(stages=[*tree_stages(), forest(train, **settings)]).fit(train)
 
 
@@ -107,7 +114,7 @@ def best_rounds(train: DataFrame, preset: str, patience: int = PATIENCE, **setti
     """
     flagged = with_validation_flag(train)
     flagged = materialize(flagged, "validation")
-    fitted_on, judged_on = flagged.where(~F.col("is_validation")), flagged.where("is_validation")
+    fitted_on, judged_on = packed(flagged.where(~F.col("is_validation"))), packed(flagged.where("is_validation"))
     limit = {**BOOSTED[preset], **settings}["maxIter"]
     rounds = min(limit, 2 * patience)
     while True:
@@ -124,6 +131,7 @@ def fit_boosted(train: DataFrame, preset: str = "histogram", early_stop: bool =
     """Boosted trees; with ``early_stop`` their number is found on the last rows by time, then all rows are fitted."""
     if early_stop:
         settings = {**settings, "maxIter": best_rounds(train, preset, patience, **settings)}
+    train = packed(train)
     return Pipeline(stages=[*tree_stages(), boosted(train, preset, **settings)]).fit(train)
 
 
