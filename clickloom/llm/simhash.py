@@ -27,7 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clickloom.llm.base import raw_texts, star_forest
+from clickloom.llm.base import KEY, keyed, raw_texts, star_forest
 from clickloom.session import materialize
 
 WIDTH, RADIUS, SEED = 4, 4, 42
@@ -262,15 +262,11 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, radius: int = RADIUS, b
 def keep_one(docs: DataFrame, width: int = SIMILAR_WIDTH, similarity: float = SIMILARITY, tables: int = TABLES, compared: int = COMPARED) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component the row with the least doc_id stays (a null counts
     as the largest; of repeated rows, any one)."""
-    packed = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"))
-    words = max(compared, -(-tables // 4))
-    rows = materialize(packed.select(
-        "_row", fingerprints(F.col("_row.text"), width, words).alias("print"), F.monotonically_increasing_id().alias("n"),
-    ), "simhash-rows")
-    identity = F.struct(F.isnull("_row.doc_id").alias("u"), F.col("_row.doc_id").alias("d"), "n")
-    distinct = rows.groupBy("print").agg(F.min("n").alias("node"), F.min(identity).alias("first"))
+    rows, words = keyed(docs), max(compared, -(-tables // 4))
+    prints = materialize(rows.select(*KEY, fingerprints(F.col("_text"), width, words).alias("print")), "simhash")
+    distinct = prints.groupBy("print").agg(F.min(F.struct(*KEY)).alias("first")).withColumn("node", F.monotonically_increasing_id())
     distinct = materialize(distinct, "fingerprints")
     radius = expected_radius(similarity, 64 * compared)
     links = links_of(distinct, banded_keys(F.col("print"), tables), radius, compared)
-    kept = with_roots(distinct.select("node", "first"), links).groupBy("root").agg(F.min("first").alias("first")).select("first.n")
-    return rows.join(kept, "n", "left_semi").select("_row.*")
+    kept = with_roots(distinct.select("node", "first"), links).groupBy("root").agg(F.min("first").alias("first")).select("first.*")
+    return rows.select("_row", *KEY).join(kept, KEY, "left_semi").dropDuplicates(KEY).select("_row.*")
