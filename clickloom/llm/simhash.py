@@ -7,10 +7,12 @@ is abandoned when all its lanes exceed the radius.
 
 * ``near_duplicates`` takes one word and finds *all* links of a small radius: the 64 bits are cut into ``BLOCKS`` runs, and
   at most ``radius`` differing bits leave ``BLOCKS - radius`` runs untouched, which key the tables.
-* ``keep_one`` takes texts of a given similarity, whose fingerprints differ in a sixth of the bits and more, so no bits
-  are surely untouched. Wide fingerprints make up for it: ``TABLES`` tables are keyed by 16 bits each, of which texts of
-  similarity 0.8 share at least one in 96 of 100 cases and texts of 0.9 in 99.9, and ``COMPARED`` words tell how similar
-  they are. The radius is what a similarity lets expect plus one standard deviation, so that few pairs at it are lost.
+* ``keep_one`` takes texts whose sets of shingles have a given Jaccard similarity. Their fingerprints differ in a sixth of
+  the bits and more, so no bits are surely untouched; ``TABLES`` tables are keyed by ``ROWS`` least hashes each instead, of
+  which texts of similarity 0.8 share a key in all but 2 of 10,000 cases. Within a table, ``COMPARED`` words are compared at
+  what the similarity lets expect plus ``DEVIATIONS`` standard deviations. That only finds candidates: their sets of shingles
+  are intersected, and only pairs that reach the similarity are links. First every text is checked against one candidate on
+  either side in its bucket; what this links is one component, and all candidates between different components follow.
 
 Defined results: null or blank texts have fingerprint zero; a text with fewer words than a shingle is one shingle;
 a component without any doc_id has a null component_id; repeated rows are rows like any other.
@@ -19,7 +21,7 @@ a component without any doc_id has a null component_id; repeated rows are rows l
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -33,7 +35,8 @@ from clickloom.session import materialize
 WIDTH, RADIUS, SEED = 4, 4, 42
 BLOCKS = 6            # 15 tables of 21-bit keys; 8 gives 70 tables of 32-bit keys for tens of billions of documents
 BUCKET_PART = 2048    # larger buckets are cut into parts, and each pair of parts is a unit of work
-TABLES, COMPARED = 40, 4              # of wide fingerprints: tables of 16-bit keys, words that are compared
+TABLES, ROWS, COMPARED = 12, 3, 4     # of similar texts: tables, least hashes in a key, words that are compared
+DEVIATIONS = 5        # candidates at the similarity are lost once in a million, of texts of a few words once in a thousand
 SIMILAR_WIDTH, SIMILARITY = 5, 0.8
 PAIRS = 1 << 15       # (query, word) pairs that are compared at once
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -49,11 +52,11 @@ def hash_words(hashes: np.ndarray, words: int) -> np.ndarray:
     return np.stack(found, axis=1)
 
 
-def fingerprint(raw: bytes, width: int = WIDTH, words: int = 1) -> np.ndarray:
-    """The words of a text's fingerprint, the lowest bits first."""
+def shingles(raw: bytes, width: int) -> np.ndarray:
+    """The hashes of a text's shingles, as often as they occur."""
     tokens = raw.lower().split()      # ASCII letters and ASCII white space only, since these are bytes
     if not tokens:
-        return np.zeros(words, np.uint64)
+        return np.empty(0, np.uint64)
     joined = b" ".join(tokens)
     if len(tokens) <= width:
         starts, ends = [0], [len(joined)]
@@ -61,29 +64,78 @@ def fingerprint(raw: bytes, width: int = WIDTH, words: int = 1) -> np.ndarray:
         after = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1)
         ends = (after[width - 1:] - 1).tolist()
         starts = [0, *after[:len(ends) - 1].tolist()]
-    of, total, n = xxhash.xxh64_intdigest, np.zeros(64 * words, np.int64), len(ends)
+    of = xxhash.xxh64_intdigest
+    return np.fromiter((of(joined[s:e], SEED) for s, e in zip(starts, ends)), np.uint64, len(ends))
+
+
+def majority(hashes: np.ndarray, words: int) -> np.ndarray:
+    """The bits that more than half of the hashes have."""
+    total, n = np.zeros(64 * words, np.int64), len(hashes)
     for at in range(0, n, 1 << 14):
-        part = ends[at:at + (1 << 14)]
-        hashes = np.fromiter((of(joined[s:e], SEED) for s, e in zip(starts[at:], part)), np.uint64, len(part))
-        bits = np.unpackbits(hash_words(hashes, words).view(np.uint8), axis=1, bitorder="little")
+        bits = np.unpackbits(hash_words(hashes[at:at + (1 << 14)], words).view(np.uint8), axis=1, bitorder="little")
         total += bits.sum(axis=0, dtype=np.int32)
     return np.packbits(total * 2 > n, bitorder="little").view(np.uint64)
 
 
+def fingerprint(raw: bytes, width: int = WIDTH, words: int = 1) -> np.ndarray:
+    """The words of a text's fingerprint, the lowest bits first."""
+    return majority(shingles(raw, width), words)
+
+
+def least_keys(hashes: np.ndarray, tables: int) -> np.ndarray:
+    """One key per table: the least hashes of a set in ``ROWS`` orders, mixed."""
+    salts = np.array([xxhash.xxh64_intdigest(b"%d" % k) | 1 for k in range(tables * ROWS)], np.uint64)
+    least = np.full(len(salts), FULL)
+    for at in range(0, len(hashes), 1 << 14):
+        mixed = (hashes[at:at + (1 << 14)] ^ salts[:, None]) * ODD
+        mixed = (mixed ^ (mixed >> np.uint64(32))) * salts[:, None]
+        least = np.minimum(least, mixed.min(axis=1))
+    least = (least ^ (least >> np.uint64(29))) * salts[::-1]
+    return least.reshape(tables, ROWS).sum(axis=1, dtype=np.uint64)
+
+
+def set_print(raw: bytes, width: int, words: int, tables: int) -> np.ndarray:
+    """Of a text's set of shingles: the words of its fingerprint, its keys, and two words that identify it."""
+    members = np.unique(shingles(raw, width))
+    identity = np.frombuffer(xxhash.xxh3_128_digest(members.tobytes()), np.uint64)
+    return np.concatenate([majority(members, words), least_keys(members, tables), identity])
+
+
+def lists(found: list[np.ndarray]) -> pa.Array:
+    """Arrays of words as an Arrow column."""
+    offsets = np.cumsum([0, *map(len, found)])
+    flat = np.concatenate(found) if found else np.empty(0, np.uint64)
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat.view(np.int64)))
+
+
 def fingerprints(text: Column, width: int = WIDTH, words: int = 1) -> Column:
     @F.arrow_udf("array<bigint>")
     def compute(texts: pa.Array) -> pa.Array:
-        found = [fingerprint(x, width, words) for x in raw_texts(texts)]
-        flat = np.concatenate(found) if found else np.empty(0, np.uint64)
-        return pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1) * words, pa.int32()), pa.array(flat.view(np.int64)))
+        return lists([fingerprint(x, width, words) for x in raw_texts(texts)])
+
+    return compute(text)
+
+
+def set_prints(text: Column, width: int, words: int, tables: int) -> Column:
+    @F.arrow_udf("array<bigint>")
+    def compute(texts: pa.Array) -> pa.Array:
+        return lists([set_print(x, width, words, tables) for x in raw_texts(texts)])
+
+    return compute(text)
+
+
+def shingle_sets(text: Column, width: int) -> Column:
+    @F.arrow_udf("array<bigint>")
+    def compute(texts: pa.Array) -> pa.Array:
+        return lists([np.unique(shingles(x, width)) for x in raw_texts(texts)])
 
     return compute(text)
 
 
 def expected_radius(similarity: float, bits: int) -> int:
-    """Differing bits that texts of this Jaccard similarity have, and one standard deviation more."""
+    """Differing bits that texts of this Jaccard similarity have, and ``DEVIATIONS`` standard deviations more."""
     rate = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return int(bits * rate + math.sqrt(bits * rate * (1 - rate)))
+    return int(bits * rate + DEVIATIONS * math.sqrt(bits * rate * (1 - rate)))
 
 
 def full_adder(a, b, c):
@@ -143,15 +195,11 @@ def unite(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             label[:] = further
 
 
-def linked(nodes: np.ndarray, prints: np.ndarray, run_starts: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links within runs of fingerprints (rows), as (node, least-placed node it reaches in its run)."""
-    ends = np.append(run_starts[1:], len(prints))
-    sizes = ends - run_starts
-    keep = np.repeat(sizes > 1, sizes)
-    nodes, prints, sizes = nodes[keep], np.ascontiguousarray(prints[keep]), sizes[sizes > 1]
+def close_pairs(prints: np.ndarray, sizes: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows a < b of fingerprints within the radius, in runs of these sizes."""
     n = len(prints)
     if not n:
-        return nodes, nodes
+        return
     bits = np.unpackbits(prints.view(np.uint8), axis=1, bitorder="little")
     padded = np.zeros((-(-n // 64) * 64, bits.shape[1]), np.uint8)
     padded[:n] = bits
@@ -160,7 +208,6 @@ def linked(nodes: np.ndarray, prints: np.ndarray, run_starts: np.ndarray, radius
     row = np.arange(n)
     words = (end - 1) // 64 - row // 64 + 1
     before = np.cumsum(words) - words
-    label = row.copy()
     total = int(words.sum())
     one = np.uint64(1)
     for at in range(0, total, PAIRS):
@@ -176,31 +223,66 @@ def linked(nodes: np.ndarray, prints: np.ndarray, run_starts: np.ndarray, radius
         for k in range(64):
             hit = (close >> np.uint64(k)) & one != 0
             if hit.any():
-                unite(label, query[hit], word[hit] * 64 + k)
-    far = label != row
-    return nodes[far], nodes[label[far]]
+                yield query[hit], word[hit] * 64 + k
+
+
+Found = Iterator[tuple[np.ndarray, np.ndarray]]
+
+
+def forest(nodes: np.ndarray, prints: np.ndarray, sizes: np.ndarray, radius: int) -> Found:
+    """Links within runs of fingerprints (rows), as (node, least-placed node it reaches in its run)."""
+    label = np.arange(len(prints))
+    for a, b in close_pairs(prints, sizes, radius):
+        unite(label, a, b)
+    far = label != np.arange(len(prints))
+    yield nodes[far, 0], nodes[label[far], 0]
+
+
+def neighbours(nodes: np.ndarray, prints: np.ndarray, sizes: np.ndarray, radius: int) -> Found:
+    """Per row the first row before it and the first row after it that is within the radius; these name every row that has one."""
+    n = len(prints)
+    lower, upper = np.full(n, n), np.full(n, n)
+    for a, b in close_pairs(prints, sizes, radius):
+        np.minimum.at(lower, b, a)
+        np.minimum.at(upper, a, b)
+    for near in (lower, upper):
+        some = near < n
+        yield nodes[some, 0], nodes[near[some], 0]
 
 
-def compare_buckets(radius: int, words: int):
+def apart(nodes: np.ndarray, prints: np.ndarray, sizes: np.ndarray, radius: int) -> Found:
+    """All pairs within the radius whose nodes have different roots (rows of (node, root))."""
+    for a, b in close_pairs(prints, sizes, radius):
+        other = nodes[a, 1] != nodes[b, 1]
+        yield nodes[a[other], 0], nodes[b[other], 0]
+
+
+def compare_buckets(radius: int, words: int, find: Callable, carried: int):
+    first = 3 + carried
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows (bucket, i, j, node, words) come sorted by bucket; a bucket that a batch cuts waits for its rest."""
-        held = np.empty((0, 4 + words), np.int64)
+        """Rows (bucket, i, j, carried, words) come sorted by bucket; a bucket that a batch cuts waits for its rest."""
+        held = np.empty((0, first + words), np.int64)
 
-        def links(rows: np.ndarray) -> pa.RecordBatch:
+        def links(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
             key = rows[:, :3]
             starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1)])
-            a, b = linked(rows[:, 3], np.ascontiguousarray(rows[:, 4:]).view(np.uint64), starts, radius)
-            return pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
+            sizes = np.append(starts[1:], len(rows)) - starts
+            rows = rows[np.repeat(sizes > 1, sizes)]
+            prints = np.ascontiguousarray(rows[:, first:]).view(np.uint64)
+            for a, b in find(rows[:, 3:first], prints, sizes[sizes > 1], radius):
+                if len(a):
+                    yield pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
 
         for batch in batches:
-            columns = [batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(4 + words)]
+            columns = [batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(first + words)]
             held = np.concatenate([held, np.stack(columns, axis=1)])
             other = np.flatnonzero((held[:, :3] != held[-1:, :3]).any(axis=1))
             if len(other):
-                yield links(held[:other[-1] + 1])
+                yield from links(held[:other[-1] + 1])
                 held = held[other[-1] + 1:]
         if len(held):
-            yield links(held)
+            yield from links(held)
 
     return compare
 
@@ -224,21 +306,31 @@ def banded_keys(words: Column, tables: int) -> list[Column]:
     return [bits(t) + F.lit(t << 16).cast("bigint") for t in range(tables)]
 
 
-def links_of(distinct: DataFrame, keys: list[Column], radius: int, words: int = 1, part: int = BUCKET_PART) -> DataFrame:
-    """Links (a, b) that connect the nodes of rows (node, print) that share a key and are within the radius on the
-    first ``words`` words; not every pair of a dense bucket, but what connects as much."""
+def links_of(distinct: DataFrame, keys: list[Column], radius: int, words: int = 1, part: int = BUCKET_PART, find: Callable = forest) -> DataFrame:
+    """Links (a, b) between nodes of rows (node, print) that share a key and are within the radius on the first ``words``
+    words, as ``find`` chooses: by default not every pair of a dense bucket, but what connects as much."""
     names = [f"w{k}" for k in range(words)]
+    carried = ["node", "root"] if find is apart else ["node"]
     values = [F.get("print", k).alias(name) for k, name in enumerate(names)]
-    spread = distinct.select("node", *values, F.explode(F.array(*keys)).alias("bucket"))
+    spread = distinct.select(*carried, *values, F.explode(F.array(*keys)).alias("bucket"))
     large = spread.groupBy("bucket").count().where(F.col("count") > part)
     large = large.select("bucket", F.ceil(F.col("count") / part).cast("int").alias("parts"))
     own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     units = F.when(F.col("parts").isNull(), F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(
         F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: F.struct(F.least(own, k).alias("i"), F.greatest(own, k).alias("j")))
     )
-    dealt = spread.join(large, "bucket", "left").select("bucket", F.explode(units).alias("u"), "node", *names)
-    ordered = dealt.select("bucket", "u.i", "u.j", "node", *names).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    return ordered.mapInArrow(compare_buckets(radius, words), "a bigint, b bigint")
+    dealt = spread.join(large, "bucket", "left").select("bucket", F.explode(units).alias("u"), *carried, *names)
+    ordered = dealt.select("bucket", "u.i", "u.j", *carried, *names).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "node")
+    return ordered.mapInArrow(compare_buckets(radius, words, find, len(carried)), "a bigint, b bigint")
+
+
+def verified(candidates: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The candidates (a, b) whose sets, rows (node, members), have the similarity."""
+    pairs = candidates.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    of = lambda name: sets.select(F.col("node").alias(name), F.col("members").alias(f"of_{name}"))
+    common = pairs.join(of("a"), "a").join(of("b"), "b").select(
+        "a", "b", (F.size("of_a") + F.size("of_b")).alias("total"), F.size(F.array_intersect("of_a", "of_b")).alias("common"))
+    return common.where(F.col("common") >= similarity * (F.col("total") - F.col("common"))).select("a", "b")
 
 
 def with_roots(distinct: DataFrame, links: DataFrame) -> DataFrame:
@@ -261,12 +353,21 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, radius: int = RADIUS, b
 
 def keep_one(docs: DataFrame, width: int = SIMILAR_WIDTH, similarity: float = SIMILARITY, tables: int = TABLES, compared: int = COMPARED) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component the row with the least doc_id stays (a null counts
-    as the largest; of repeated rows, any one)."""
-    rows, words = keyed(docs), max(compared, -(-tables // 4))
-    prints = materialize(rows.select(*KEY, fingerprints(F.col("_text"), width, words).alias("print")), "simhash")
+    as the largest; of repeated rows, any one). Links are pairs whose sets of shingles have at least the similarity."""
+    rows = keyed(docs)
+    prints = materialize(rows.select(*KEY, set_prints(F.col("_text"), width, compared, tables).alias("print")), "simhash")
     distinct = prints.groupBy("print").agg(F.min(F.struct(*KEY)).alias("first")).withColumn("node", F.monotonically_increasing_id())
     distinct = materialize(distinct, "fingerprints")
+    keys = [F.get("print", compared + t) for t in range(tables)]
     radius = expected_radius(similarity, 64 * compared)
-    links = links_of(distinct, banded_keys(F.col("print"), tables), radius, compared)
+    near = materialize(links_of(distinct, keys, radius, compared, find=neighbours).distinct(), "candidates")
+
+    involved = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    involved = materialize(distinct.join(involved, "node", "left_semi"), "involved")
+    texts = rows.select(*KEY, "_text").join(involved.select("first.*", "node"), KEY).dropDuplicates(["node"])
+    sets = materialize(texts.select("node", shingle_sets(F.col("_text"), width).alias("members")), "shingles")
+    links = materialize(verified(near, sets, similarity), "verified")
+    rest = links_of(with_roots(involved, links), keys, radius, compared, find=apart)
+    links = links.unionByName(verified(rest, sets, similarity))
     kept = with_roots(distinct.select("node", "first"), links).groupBy("root").agg(F.min("first").alias("first")).select("first.*")
     return rows.select("_row", *KEY).join(kept, KEY, "left_semi").dropDuplicates(KEY).select("_row.*")

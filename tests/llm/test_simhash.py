@@ -145,3 +145,37 @@ def test_one_of_each_group_stays(docs_of):
     kept = simhash.keep_one(df)
     assert kept.columns == df.columns
     assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 0, 1, 2, 3]
+
+
+def test_pairs_around_the_threshold_go_by_exact_similarity(docs_of):
+    """Copies with an edited end: of 105 five-word shingles so many are shared that the similarity is just above or below 0.8."""
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    rows, want = [], set()
+    for group in range(80):
+        words = [word() for _ in range(109)]
+        rows.append((10 * group, " ".join(words)))
+        want.add(10 * group)
+        for k, edits in ((1, 11), (2, 12), (3, 16), (4, 22)):     # 94/116 = 0.810, 93/117 = 0.795, 0.735, 0.654
+            rows.append((10 * group + k, " ".join(words[:-edits] + [word() for _ in range(edits)])))
+            want |= {10 * group + k} if k > 1 else set()
+    # Links among the copies themselves: all share less than the longer prefix lets them.
+    assert {r.doc_id for r in simhash.keep_one(docs_of(rows)).collect()} == want
+
+
+def test_equal_fingerprints_of_unlike_sets_stay(docs_of):
+    """One shingle makes up most of the text, so that it alone decided the bits."""
+    rows = [(i, "x " * 300 + " ".join(f"own{i}w{k}" for k in range(60))) for i in range(4)]
+    assert {r.doc_id for r in simhash.keep_one(docs_of(rows)).collect()} == {0, 1, 2, 3}
+
+
+def test_links_beyond_the_first_neighbour_are_checked(docs_of):
+    """A hub that is like nobody enough (0.7) comes before pairs that are copies of each other."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    base = [word() for _ in range(204)]
+    rows = [(0, " ".join(base))]
+    for k in range(1, 13):
+        words = base[:165] + [word() for _ in range(39)]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words[:-6] + [word() for _ in range(6)]))]
+    assert {r.doc_id for r in simhash.keep_one(docs_of(rows)).collect()} == {2 * k for k in range(13)}
