@@ -3,7 +3,8 @@
 Every normalised line is hashed. Per host (``source``) it counts the documents that hold the line; documents that differ
 in little else count as one, since copies are the business of near-duplicate removal: a document is told apart by the
 least hash among its *other* lines, and the count is the effective number (sum n)^2 / sum n^2 of these contexts. Lines
-above both limits are taken out, and documents of which too little is left are rejected.
+above both limits count as taken out, and documents of which too little is left are rejected; ``without_frequent_lines``
+gives the texts without them.
 
 Defined results: a null text has no words and fails; a null source is a host of its own; repeated rows are copies of one
 document and get equal verdicts; an empty table gives an empty result.
@@ -121,17 +122,42 @@ def quality(docs: DataFrame, documents: int = LINE_DOCUMENTS, share: float = LIN
     )
 
 
-def keep_good(docs: DataFrame, documents: int = LINE_DOCUMENTS, share: float = LINE_SHARE) -> DataFrame:
-    """The rows of ``docs`` that pass, whole and unchanged.
+def frequent_by_host(rows: DataFrame, documents: int, share: float) -> DataFrame:
+    """Per host of rows (``_text``, ``_host``) with such lines, the list ``frequent`` of the hashes of its frequent lines.
 
     Texts are neither written nor shuffled: frequent lines, at most a thousand times the lines of a document per host, come
     to the rows of their host as a list, by a join that Spark broadcasts while the written table is small.
     """
-    rows = with_host(docs)
     hashes = materialize(rows.select("_host", hashed(word_lines(F.col("_text"))).alias("lines")), "line-hashes")
     above = frequent_lines(hashes, documents, share).groupBy("_host").agg(F.collect_list("h").alias("frequent"))
-    full = measured(rows).join(materialize(above, "frequent-lines"), "_host", "left")
-    common = F.filter("lines", lambda x: F.coalesce(F.array_contains("frequent", x["h"]), F.lit(False)))
+    return materialize(above, "frequent-lines")
+
+
+def is_frequent(h: Column) -> Column:
+    return F.coalesce(F.array_contains("frequent", h), F.lit(False))
+
+
+def without_frequent_lines(docs: DataFrame, documents: int = LINE_DOCUMENTS, share: float = LINE_SHARE) -> DataFrame:
+    """All rows of ``docs`` with the texts that are left without frequent lines, and ``n_chars`` following them where it is a
+    column. Lines of white space alone stay, null texts stay null, and texts may become empty."""
+    rows = with_host(docs)
+    full = rows.join(frequent_by_host(rows, documents, share), "_host", "left")
+    kept = F.filter(F.split("_text", "\n"), lambda line: ~(line.rlike(WORD) & is_frequent(F.md5(normalised(line)))))
+    left = F.when(F.col("_row.text").isNotNull(), F.array_join(kept, "\n"))
+    changed = full.withColumn("_left", F.when(F.col("frequent").isNull(), F.col("_row.text")).otherwise(left))
+    given = {f.name: f.dataType for f in docs.schema}
+    new = {"text": F.col("_left").cast(given["text"])}
+    if "n_chars" in given:
+        same = F.col("_left").eqNullSafe(F.col("_row.text"))
+        new["n_chars"] = F.when(same, F.col("_row.n_chars")).otherwise(F.char_length("_left")).cast(given["n_chars"])
+    return changed.select(*[new.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])
+
+
+def keep_good(docs: DataFrame, documents: int = LINE_DOCUMENTS, share: float = LINE_SHARE) -> DataFrame:
+    """The rows of ``docs`` that pass, whole and unchanged."""
+    rows = with_host(docs)
+    full = measured(rows).join(frequent_by_host(rows, documents, share), "_host", "left")
+    common = F.filter("lines", lambda x: is_frequent(x["h"]))
     gone = F.aggregate(common, F.lit(0).cast("bigint"), lambda total, x: total + x["w"])
     # A row number in the condition keeps Spark from moving the filter below the measures, which would write them out
     # once for every mention.

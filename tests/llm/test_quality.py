@@ -66,5 +66,19 @@ def test_effective_documents(docs_of):
         assert [r[0] for r in kept] == [left]
 
 
+def test_texts_without_frequent_lines(docs_of):
+    """The shared line goes in any spelling that is normalised to it, on its host only; other lines stay byte for byte."""
+    coded = lambda i: "".join(chr(97 + int(c)) for c in str(i))
+    rows = [(i, f"Home  About {i % 10}\n\n  own{coded(i)} text\n", None, "a") for i in range(120)]
+    rows += [(500, "home about 7\nhere", None, "b"), (501, None, None, "a"), (502, "\tHOME about 3 ", None, "a"), (503, "", None, "a")]
+    df = docs_of(rows, _left="1", frequent="2", _row="3")
+    out = quality.without_frequent_lines(df)
+    assert out.schema == df.schema
+    want = {i: f"\n  own{coded(i)} text\n" for i in range(120)} | {500: "home about 7\nhere", 501: None, 502: "", 503: ""}
+    got = {r.doc_id: r for r in out.collect()}
+    assert {i: r.text for i, r in got.items()} == want
+    assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in got.values())
+
+
 def test_empty_table(docs_of):
     assert quality.quality(docs_of([])).count() == 0
