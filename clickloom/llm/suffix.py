@@ -7,8 +7,9 @@ A suffix is ordered by the hash of its first ``GRAM`` bytes; that order serves a
 equality at a fixed length counts. An index level is the sorted array of a set of suffixes, with the number of suffixes
 and the least and greatest context (the bytes of all strings that an anchor stands for) per entry. Every batch of
 documents becomes a level, and while the last two levels are of equal rank they are merged, so n batches leave at most
-log2(n) + 1 levels, each suffix having been rewritten as often. A merge scan over the levels then finds the suffixes
-that occur again.
+log2(n) + 1 levels, each suffix having been rewritten as often. New batches are not scanned against the levels: once all
+are in, what the levels still hold apart is grouped by hash, and entries of more than one suffix are those that occur again.
+With ``BATCHES`` a power of two, one level is left and holds them already.
 
 Their contexts settle the rest: equal contexts mean that every string of the anchor is repeated. Where a suffix occurs in
 different contexts, one representative for each set of equal contexts is compared further, ``PIECE`` strings at a time:
