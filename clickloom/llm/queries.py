@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import decontaminate, langid, lines, lm, pieces, pii, quality, simhash, suffix, tokens
+from clickloom.llm import decontaminate, langid, lines, lm, minhash, pieces, pii, quality, simhash, suffix, tokens
 from clickloom.llm.base import documents
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -54,6 +54,10 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.personal_data(documents(spark, folder))
 
 
+def op13_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lines": op1_lines,
     "op2_pieces": op2_pieces,
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_lm": op9_lm,
     "op10_pii": op10_pii,
+    "op13_minhash": op13_minhash,
 }
 SQL: dict[str, str] = {
     "op5_quality": quality.SQL,
