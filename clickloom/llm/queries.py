@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickloom.llm import decontaminate, langid, lines, lm, minhash, pieces, pii, quality, simhash, suffix, tokens
+from clickloom.llm import decontaminate, langid, lines, lm, minhash, pieces, pii, quality, repair, simhash, suffix, tokens, whitening
 from clickloom.llm.base import documents
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -54,6 +54,16 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.personal_data(documents(spark, folder))
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """The exact deviation as a long; null where it does not fit one (beyond some ten million vectors)."""
+    rows = whitening.whitened(spark.read.parquet(f"{folder}/embeddings.parquet"))
+    return rows.withColumn("deviation", F.col("deviation").try_cast("bigint"))
+
+
+def op12_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.structure(spark.read.parquet(f"{folder}/conversations.parquet"))
+
+
 def op13_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, folder))
 
@@ -69,6 +79,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_lm": op9_lm,
     "op10_pii": op10_pii,
+    "op11_whitening": op11_whitening,
+    "op12_repair": op12_repair,
     "op13_minhash": op13_minhash,
 }
 SQL: dict[str, str] = {
