@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from dataclasses import replace
+from functools import cached_property
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
@@ -14,15 +16,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 from clickloom.constants import CATEGORICAL_FEATURES, FEATURES, NUMERIC_FEATURES, RECALL_KS, SEED
 from clickloom.operators.prefix import Timeline, row_position
 from clickloom.operators.ranking import auc, auc_by_group, recall_at, true_ranks_of_rows
+from clickloom.operators import trees
+from clickloom.operators.trees import Forest, Growth, Prepared, TreeModel
 from clickloom.session import materialize
 
-# Settings of the compared models. The three boosted presets share Spark's GBTClassifier.
-FOREST = {"numTrees": 300, "maxDepth": 12, "minInstancesPerNode": 5}
+# Settings of the compared models.
+FOREST = Forest(trees=300, depth=12, min_rows=5)
 BOOSTED = {
-    "histogram": {"maxIter": 300, "stepSize": 0.05, "maxDepth": 8},
-    "leafwise": {"maxIter": 3000, "stepSize": 0.02, "maxDepth": 6, "minInstancesPerNode": 30},
-    "depthwise": {"maxIter": 3000, "stepSize": 0.03, "maxDepth": 6},
+    "histogram": Growth(rounds=300, step=0.05, leaves=31, depth=8, min_rows=20),
+    "leafwise": Growth(rounds=3000, step=0.02, leaves=63, depth=1000, min_rows=30, min_hessian=1e-3, ridge=3.0),
+    "depthwise": Growth(rounds=3000, step=0.03, leaves=64, depth=6, min_hessian=1.0, ridge=5.0, metric="auc"),
 }
+SETTINGS = {"numTrees": "trees", "maxIter": "rounds", "stepSize": "step", "maxDepth": "depth", "minInstancesPerNode": "min_rows"}
 VALIDATION_SHARE = 0.15
 PATIENCE = 100
 ROWS_PER_TASK = 20_000    # trees run many short jobs; smaller tasks cost more to start than they take
@@ -57,12 +62,6 @@ def linear_stages(numeric: Sequence[str] = NUMERIC_FEATURES, categorical: Sequen
     ]
 
 
-def tree_stages(numeric: Sequence[str] = NUMERIC_FEATURES, categorical: Sequence[str] = CATEGORICAL_FEATURES) -> list:
-    """Raw numbers and category numbers that trees split as sets."""
-    stages, read = filled(numeric)
-    return [*stages, indexers(categorical), VectorAssembler(inputCols=[*read, *[f"{c}_ix" for c in categorical]], outputCol="features")]
-
-
 def logistic(rows: int, max_iter: int = 1000) -> LogisticRegression:
     """L2 with unit strength on the summed loss, which is 1/n on Spark's mean loss."""
     return LogisticRegression(
@@ -70,32 +69,18 @@ def logistic(rows: int, max_iter: int = 1000) -> LogisticRegression:
     )
 
 
-def max_bins(train: DataFrame, categorical: Sequence[str] = CATEGORICAL_FEATURES) -> int:
-    """Trees need a bin per category."""
-    row = train.agg(*[F.approx_count_distinct(c, 0.01).alias(c) for c in categorical]).first()
-    return max(32, int(1.1 * max(row)) + 8)
-
-
 def packed(rows: DataFrame) -> DataFrame:
     """The rows in no more partitions than are worth a task."""
     return rows.coalesce(max(1, -(-rows.count() // ROWS_PER_TASK)))
 
 
-def forest(train: DataFrame, **settings) -> RandomForestClassifier:
-    return RandomForestClassifier(labelCol="click", seed=SEED, maxBins=max_bins(train), **{**FOREST, **settings})
-
-
-def boosted(train: DataFrame, preset: str = "histogram", **settings) -> GBTClassifier:
-    return GBTClassifier(labelCol="click", seed=SEED, maxBins=max_bins(train), **{**BOOSTED[preset], **settings})
+def changed(preset: Growth | Forest, **settings) -> Growth | Forest:
+    """A preset with some of its settings changed; Spark's names of settings are understood too."""
+    return replace(preset, **{SETTINGS.get(k, k): v for k, v in settings.items()})
 
 
 def fit_logistic(train: DataFrame, max_iter: int = 1000) -> PipelineModel:
-    return Pipeline(stages=[*linear_stages(), logistic(train.count(), max_iter)]).fit(train)
-
-
-def fit_forest(train: DataFrame, **settings) -> PipelineModel:
-    train = packed(train)
-    return Pipeline(stages=[*tree_stages(), forest(train, **settings)]).fit(train)
+    return Pipeline(stages=[*linear_stages(), logistic(train.count(), max_iter)]).fit(packed(train))
 
 
 def with_validation_flag(train: DataFrame, share: float = VALIDATION_SHARE) -> DataFrame:
@@ -106,40 +91,54 @@ def with_validation_flag(train: DataFrame, share: float = VALIDATION_SHARE) -> D
     return placed.withColumn("is_validation", F.col("position") >= F.floor(total * F.lit(1 - share))).drop("position", "_us")
 
 
-def best_rounds(train: DataFrame, preset: str, patience: int = PATIENCE, **settings) -> int:
-    """Number of trees with the least loss on the last train rows by time, once ``patience`` more bring nothing.
+class Inputs:
+    """The blocks of one train set, made once for all tree models."""
 
-    Without subsampling, fewer rounds are a prefix of more rounds, so trying twice as many until the
-    best lies far enough back finds the round that stopping during the fit would find.
-    """
-    flagged = with_validation_flag(train)
-    flagged = materialize(flagged, "validation")
-    fitted_on, judged_on = packed(flagged.where(~F.col("is_validation"))), packed(flagged.where("is_validation"))
-    limit = {**BOOSTED[preset], **settings}["maxIter"]
-    rounds = min(limit, 2 * patience)
-    while True:
-        model = Pipeline(stages=[*tree_stages(), boosted(fitted_on, preset, **{**settings, "maxIter": rounds})]).fit(fitted_on)
-        prepare = PipelineModel(model.stages[:-1])
-        losses = model.stages[-1].evaluateEachIteration(prepare.transform(judged_on))
-        best = min(range(len(losses)), key=losses.__getitem__) + 1
-        if best + patience <= rounds or rounds == limit:
-            return best
-        rounds = min(limit, 2 * rounds)
-
-
-def fit_boosted(train: DataFrame, preset: str = "histogram", early_stop: bool = False, patience: int = PATIENCE, **settings) -> PipelineModel:
+    def __init__(self, train: DataFrame):
+        self.train = trees.bounded(train)
+
+    @cached_property
+    def rows(self) -> int:
+        return self.train.count()
+
+    @cached_property
+    def all_rows(self) -> Prepared:
+        return Prepared.of(self.train)
+
+    @cached_property
+    def with_held(self) -> Prepared:
+        return Prepared.of(materialize(with_validation_flag(self.train), "validation"), F.col("is_validation"))
+
+
+def best_rounds(train: DataFrame, preset: str, patience: int = PATIENCE, inputs: Inputs | None = None, **settings) -> int:
+    """The round that the last train rows by time like best, once ``patience`` more bring nothing."""
+    _, history = trees.search((inputs or Inputs(train)).with_held, changed(BOOSTED[preset], **settings), patience)
+    return history.index(min(history)) + 1
+
+
+def fit_boosted(
+    train: DataFrame, preset: str = "histogram", early_stop: bool = False, patience: int = PATIENCE, inputs: Inputs | None = None, **settings,
+) -> TreeModel:
     """Boosted trees; with ``early_stop`` their number is found on the last rows by time, then all rows are fitted."""
+    inputs, grow = inputs or Inputs(train), changed(BOOSTED[preset], **settings)
     if early_stop:
-        settings = {**settings, "maxIter": best_rounds(train, preset, patience, **settings)}
-    train = packed(train)
-    return Pipeline(stages=[*tree_stages(), boosted(train, preset, **settings)]).fit(train)
+        grow = replace(grow, rounds=best_rounds(train, preset, patience, inputs, **settings))
+    return trees.fit(inputs.all_rows, grow)
+
+
+def fit_forest(train: DataFrame, inputs: Inputs | None = None, **settings) -> TreeModel:
+    inputs = inputs or Inputs(train)
+    known = inputs.all_rows if inputs.rows <= trees.FOREST_ROWS else Prepared.of(trees.bounded(train, trees.FOREST_ROWS))
+    return trees.fit_forest(known, changed(FOREST, **settings))
 
 
 def probability(name: str = "probability") -> Column:
     return vector_to_array(F.col(name))[1]
 
 
-def scored(model: PipelineModel, rows: DataFrame, *keep: str) -> DataFrame:
+def scored(model: PipelineModel | TreeModel, rows: DataFrame, *keep: str) -> DataFrame:
+    if isinstance(model, TreeModel):
+        return model.scored(rows, *keep)
     return model.transform(rows).select(*keep, probability().alias("score"))
 
 
@@ -175,6 +174,8 @@ def feature_names(model: PipelineModel, rows: DataFrame) -> list[str]:
 
 def importance(model: PipelineModel, rows: DataFrame) -> DataFrame:
     """Absolute coefficient or impurity gain of each vector slot, largest first."""
+    if isinstance(model, TreeModel):
+        return rows.sparkSession.createDataFrame(model.importance(), "feature string, importance double").orderBy(F.desc("importance"), "feature")
     last = model.stages[-1]
     weights = [abs(float(w)) for w in last.coefficients] if hasattr(last, "coefficients") else [float(w) for w in last.featureImportances.toArray()]
     pairs = list(zip(feature_names(model, rows), weights))
@@ -214,11 +215,12 @@ def permutation_importance(model: PipelineModel, test: DataFrame, repeats: int =
 
 def save_bundle(model: PipelineModel, name: str, path: str) -> None:
     """The fitted pipeline with a JSON record of what it was trained on."""
-    model.write().overwrite().save(f"{path}/model")
-    record = {"model_name": name, "categorical_features": CATEGORICAL_FEATURES, "numeric_features": NUMERIC_FEATURES}
+    model.save(f"{path}/model") if isinstance(model, TreeModel) else model.write().overwrite().save(f"{path}/model")
+    record = {"model_name": name, "kind": type(model).__name__, "categorical_features": CATEGORICAL_FEATURES, "numeric_features": NUMERIC_FEATURES}
     SparkSession.active().createDataFrame([(json.dumps(record),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/features")
 
 
-def load_bundle(path: str) -> tuple[PipelineModel, dict]:
-    model = PipelineModel.load(f"{path}/model")
-    return model, json.loads(SparkSession.active().read.text(f"{path}/features").first()[0])
+def load_bundle(path: str) -> tuple[PipelineModel | TreeModel, dict]:
+    record = json.loads(SparkSession.active().read.text(f"{path}/features").first()[0])
+    kind = TreeModel if record.get("kind") == TreeModel.__name__ else PipelineModel
+    return kind.load(f"{path}/model"), record

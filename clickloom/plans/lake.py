@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from clickloom.operators.candidates import Lookups, catalog_of, lookups_of
 from clickloom.operators.encode import is_train, target_mean, train_mean
 from clickloom.operators.history import LOOK_BACKS
+from clickloom.operators.models import Inputs
 from clickloom.operators.prefix import Timeline, by_chunk
 from clickloom.plans.gold import gold_table
-from clickloom.plans.training import FITS
+from clickloom.plans.training import FITS, Model
 from clickloom.session import materialize, prepare
 from clickloom.sources import bindings
 
@@ -22,7 +22,7 @@ _OPEN: dict[tuple[str, str], Lake] = {}
 class Lake:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
-        self._models: dict[str, PipelineModel] = {}
+        self._models: dict[str, Model] = {}
 
     @classmethod
     def at(cls, spark: SparkSession, folder: str) -> Lake:
@@ -97,10 +97,19 @@ class Lake:
         """What candidates are built from: derived once, read by every ranking query."""
         return lookups_of(self.gold, self.catalog)
 
-    def model(self, name: str) -> PipelineModel:
+    @property
+    def train(self) -> DataFrame:
+        return self.gold.where(is_train())
+
+    @cached_property
+    def inputs(self) -> Inputs:
+        """What all tree models are fitted on."""
+        return Inputs(self.train)
+
+    def model(self, name: str) -> Model:
         """A model of the comparison at its published size, fitted once."""
         if name not in self._models:
-            self._models[name] = FITS[name](self.gold.where(is_train()))
+            self._models[name] = FITS[name](self.train, self.inputs)
         return self._models[name]
 
     def forget_models(self) -> None:

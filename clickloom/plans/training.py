@@ -12,23 +12,25 @@ from clickloom.operators.candidates import (
     Lookups, catalog_of, click_queries, exploded, lookups_of, popularity_score, user_snapshot, with_candidates,
 )
 from clickloom.operators.encode import is_train
+from clickloom.operators.trees import TreeModel
 from clickloom.session import materialize
 
-Fit = Callable[..., PipelineModel]
+Model = PipelineModel | TreeModel
+Fit = Callable[..., Model]
 
-# The five compared models; keyword settings override the presets.
+# The five compared models; keyword settings override the presets, ``inputs`` are shared by all tree models.
 FITS: dict[str, Fit] = {
-    "logistic": models.fit_logistic,
-    "forest": models.fit_forest,
-    "boosted, histogram": lambda train, **s: models.fit_boosted(train, "histogram", **s),
-    "boosted, leafwise": lambda train, **s: models.fit_boosted(train, "leafwise", early_stop=True, **s),
-    "boosted, depthwise": lambda train, **s: models.fit_boosted(train, "depthwise", early_stop=True, **s),
+    "logistic": lambda train, inputs, **s: models.fit_logistic(train, **s),
+    "forest": lambda train, inputs, **s: models.fit_forest(train, inputs, **s),
+    "boosted, histogram": lambda train, inputs, **s: models.fit_boosted(train, "histogram", inputs=inputs, **s),
+    "boosted, leafwise": lambda train, inputs, **s: models.fit_boosted(train, "leafwise", early_stop=True, inputs=inputs, **s),
+    "boosted, depthwise": lambda train, inputs, **s: models.fit_boosted(train, "depthwise", early_stop=True, inputs=inputs, **s),
 }
 
 
-def fit_all(train: DataFrame, settings: Mapping[str, Mapping] | None = None, names: Sequence[str] = tuple(FITS)) -> dict[str, PipelineModel]:
-    settings = settings or {}
-    return {name: FITS[name](train, **settings.get(name, {})) for name in names}
+def fit_all(train: DataFrame, settings: Mapping[str, Mapping] | None = None, names: Sequence[str] = tuple(FITS)) -> dict[str, Model]:
+    settings, inputs = settings or {}, models.Inputs(train)
+    return {name: FITS[name](train, inputs, **settings.get(name, {})) for name in names}
 
 
 def floors(test: DataFrame, lookups: Lookups, queries: DataFrame) -> list[DataFrame]:
@@ -42,7 +44,7 @@ def floors(test: DataFrame, lookups: Lookups, queries: DataFrame) -> list[DataFr
     return found
 
 
-def compared(fitted: Mapping[str, PipelineModel], gold: DataFrame, lookups: Lookups) -> DataFrame:
+def compared(fitted: Mapping[str, Model], gold: DataFrame, lookups: Lookups) -> DataFrame:
     """AUC and recall of all models and both floors, best first."""
     test, queries = gold.where(~is_train()), click_queries(gold)
     candidates = exploded(with_candidates(queries, lookups))
@@ -50,7 +52,7 @@ def compared(fitted: Mapping[str, PipelineModel], gold: DataFrame, lookups: Look
     return models.comparison([*rows, *floors(test, lookups, queries)])
 
 
-def recommend(model: PipelineModel, gold: DataFrame, lookups: Lookups, users: DataFrame, size: int = 100) -> DataFrame:
+def recommend(model: Model, gold: DataFrame, lookups: Lookups, users: DataFrame, size: int = 100) -> DataFrame:
     """The ``size`` best ads of each user by the model's score."""
     rows = exploded(with_candidates(user_snapshot(gold, users), lookups))
     return ranking.recommendations_of_rows(models.scored(model, rows, "userid", "adgroup_id"), size=size)

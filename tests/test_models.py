@@ -46,7 +46,7 @@ def test_early_stopping_keeps_the_trees_that_help(spark, split):
     """A clear signal that small steps approach slowly keeps more than a handful of trees; noise keeps few."""
     rows = split[0].withColumn("click", ((F.col("event_id") * 37 % 100) / 100 < F.when(F.col("event_id") % 2 == 0, 0.9).otherwise(0.1)).cast("int"))
     rows = rows.withColumn("price", (F.col("event_id") % 2).cast("double"))
-    signal = models.best_rounds(rows, "depthwise", patience=5, maxIter=40, maxDepth=2)
+    signal = models.best_rounds(rows, "depthwise", patience=5, maxIter=40, maxDepth=2, metric="loss")
     noise = models.best_rounds(split[0].withColumn("click", (F.xxhash64("event_id") % 2 == 0).cast("int")), "histogram", patience=3, maxIter=12, maxDepth=5, stepSize=0.5)
     assert signal > 15 and noise < signal
 
