@@ -7,16 +7,22 @@ from pyspark.ml.feature import VectorAssembler, StandardScaler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from clickloom.constants import CATEGORICAL_FEATURES, NUMERIC_FEATURES
+from clickloom.constants import CATEGORICAL_FEATURES, NUMERIC_FEATURES, RECALL_KS
 from clickloom.functions.scalar import six
-from clickloom.operators import models, ranking
+from clickloom.operators import models, ranking, trees
+from clickloom.operators.candidates import click_queries
 from clickloom.operators.encode import is_train
 from clickloom.plans import training
 from clickloom.plans.lake import Lake
-from clickloom.plans.oracle import GOLD, r6
+from clickloom.plans.oracle import GOLD, QUERIES, big, r6, ranks, values_of
+from clickloom.plans.queries_profile import everything
+from clickloom.plans.queries_ranking import RANDOM
 from clickloom.plans.registry import query
 
 
+RECALLS = ", ".join(f"{r6(f'avg(CAST(rank < {k} AS INT))')} AS recall_at_{k}" for k in RECALL_KS)
+
+
 def split(lake: Lake) -> tuple[DataFrame, DataFrame]:
     return lake.gold.where(is_train()), lake.gold.where(~is_train())
 
@@ -86,6 +92,44 @@ def _(lake: Lake) -> DataFrame:
     return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
+STUMP_RATES = " UNION ALL ".join(
+    f"SELECT {i} AS i, '{c}' AS feature, {c} AS v, count(*) AS n, sum(click) AS c, (sum(click) + max(gm) * 20.0::DOUBLE) / (count(*) + 20.0::DOUBLE) AS rate FROM t CROSS JOIN p GROUP BY {c}"
+    for i, c in enumerate(CATEGORICAL_FEATURES))
+
+
+@query("j17_first_split", f"""WITH {GOLD}, t AS (SELECT * FROM gold WHERE _split = 'train'), p AS (SELECT avg(click) AS gm, CAST(count(*) AS DOUBLE) AS n, CAST(sum(click) AS DOUBLE) AS c FROM t),
+       r AS ({STUMP_RATES}), g AS (SELECT i, feature, rate, sum(n) AS n, sum(c) AS c FROM r GROUP BY 1, 2, 3),
+       s AS (SELECT g.*, sum(g.n) OVER w AS ln, sum(g.c) OVER w AS lc, p.n AS tn, p.c AS tc, gm FROM g CROSS JOIN p WINDOW w AS (PARTITION BY feature ORDER BY rate)),
+       e AS (SELECT *, ln * gm - lc AS lg, ln * gm * (1 - gm) AS lh, (tn - ln) * gm - (tc - lc) AS rg, (tn - ln) * gm * (1 - gm) AS rh FROM s WHERE ln < tn),
+       b AS (SELECT *, lg * lg / lh + rg * rg / rh AS gain FROM e ORDER BY round(lg * lg / lh + rg * rg / rh, 6) DESC, i, rate LIMIT 1)
+       SELECT feature, {r6('rate')} AS cut, {big('ln')} AS rows_left, {big('tn - ln')} AS rows_right, {big('lc')} AS clicks_left, {big('tc - lc')} AS clicks_right,
+              round(-0.1::DOUBLE * lg / lh, 4) + 0.0 AS value_left, round(-0.1::DOUBLE * rg / rh, 4) + 0.0 AS value_right FROM b""")
+def _(lake: Lake) -> DataFrame:
+    """One round with one split over the categories: what the histograms must find."""
+    known = trees.Prepared.of(lake.train, numeric=[])
+    model = trees.fit(known, trees.Growth(rounds=1, step=0.1, leaves=2, depth=1))
+    tree = trees.Tree.of(model.trees[0])
+    feature, at = CATEGORICAL_FEATURES[tree.feature[0]], int(tree.cut[0])
+    cut = known.cuts[tree.feature[0]][at - 1]
+    side = trees.with_category(lake.train, known.categories, "rate", [feature], trees.RATE, known.clicks).select("click", (F.col(feature + trees.RATE) <= cut).alias("left"))
+    value = lambda k: six(F.round(F.lit(float(tree.value[tree.left[0] + k])), 4)) + 0.0
+    return side.agg(
+        F.lit(feature).alias("feature"), six(F.lit(cut)).alias("cut"), F.count_if("left").alias("rows_left"), F.count_if(~F.col("left")).alias("rows_right"),
+        F.sum(F.when(F.col("left"), F.col("click")).otherwise(0)).alias("clicks_left"), F.sum(F.when(~F.col("left"), F.col("click")).otherwise(0)).alias("clicks_right"),
+        value(0).alias("value_left"), value(1).alias("value_right"),
+    )
+
+
+@query("j19_floors", f"""WITH {QUERIES},{ranks('ag_ctr_before')}, {ranks(RANDOM).replace('ranked', 'ranked2').replace('ranks AS', 'ranks2 AS').strip()},
+       {values_of(['ag_ctr_before'], "gold WHERE _split = 'test'")}
+       SELECT 'popularity' AS model, (SELECT {r6('sum(CAST(pos AS DOUBLE) * ((n_below - pos_below) + (n - pos) / 2.0::DOUBLE)) / (max(pos_total) * (max(n_total) - max(pos_total)))')} FROM vals) AS auc, {RECALLS} FROM ranks
+       UNION ALL SELECT 'random', 0.5, {RECALLS} FROM ranks2""")
+def _(lake: Lake) -> DataFrame:
+    """The two rows of the comparison that no model stands behind."""
+    found = training.floors(lake.gold.where(~is_train()), lake.lookups, click_queries(lake.gold))
+    return everything(found[0].unionByName(found[1]))
+
+
 @query("j19_model_comparison")
 def _(lake: Lake) -> DataFrame:
     return training.compared({name: lake.model(name) for name in training.FITS}, lake.gold, lake.lookups)

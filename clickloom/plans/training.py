@@ -7,9 +7,10 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickloom.operators import models, ranking
+from clickloom.operators import blockscore, models, ranking
+from clickloom.operators.blockscore import Coded
 from clickloom.operators.candidates import (
-    Lookups, catalog_of, click_queries, exploded, lookups_of, popularity_score, user_snapshot, with_candidates,
+    Lookups, catalog_of, click_queries, lookups_of, popularity_score, user_snapshot,
 )
 from clickloom.operators.encode import is_train
 from clickloom.operators.trees import TreeModel
@@ -45,17 +46,16 @@ def floors(test: DataFrame, lookups: Lookups, queries: DataFrame) -> list[DataFr
 
 
 def compared(fitted: Mapping[str, Model], gold: DataFrame, lookups: Lookups) -> DataFrame:
-    """AUC and recall of all models and both floors, best first."""
-    test, queries = gold.where(~is_train()), click_queries(gold)
-    candidates = exploded(with_candidates(queries, lookups))
-    rows = [models.evaluate(name, model, test, candidates) for name, model in fitted.items()]
-    return models.comparison([*rows, *floors(test, lookups, queries)])
+    """AUC and recall of all models and both floors, best first. The models score the test rows and the candidates together."""
+    test, queries, coded = gold.where(~is_train()), click_queries(gold), Coded(fitted)
+    rows = blockscore.areas(coded, test).join(blockscore.recalls(coded, queries, lookups), "model")
+    return models.comparison([rows, *floors(test, lookups, queries)])
 
 
 def recommend(model: Model, gold: DataFrame, lookups: Lookups, users: DataFrame, size: int = 100) -> DataFrame:
     """The ``size`` best ads of each user by the model's score."""
-    rows = exploded(with_candidates(user_snapshot(gold, users), lookups))
-    return ranking.recommendations_of_rows(models.scored(model, rows, "userid", "adgroup_id"), size=size)
+    best = blockscore.best_of_model(Coded({"model": model}), user_snapshot(gold, users), lookups, "userid", size)
+    return ranking.recommendations(best, size=size)
 
 
 def train(

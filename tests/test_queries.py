@@ -13,7 +13,7 @@ CHOSEN = [
     "a05_split_union", "a06_day_sink", "a09_star_join", "b02_fact_dedup", "b06_unknown_codes", "b14_time_split", "c04_query_catalog",
     "g05_encoded_ids", "g06_counts_chunked", "g06_strict_ties", "g14_coclick_affinity", "g20_interactions", "g21_gold_table",
     "g21_gold_table_chunked", "g26_day_lags", "h06_segments", "h08_customer_overview", "h10_gini", "h12_frequency_buckets",
-    "i05_rank_test", "i08_class_medians", "j05_candidates", "j06_recall", "j12_lift", "j24_top_recommendations", "j26_frequency_cap",
+    "i05_rank_test", "i08_class_medians", "j05_candidates", "j06_recall", "j12_lift", "j17_first_split", "j19_floors", "j24_top_recommendations", "j26_frequency_cap",
 ]
 
 
