@@ -21,9 +21,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clickloom.llm.base import KEY, keyed, raw_texts
-from clickloom.llm.similar import linked, rooted, shingle_chunks
-from clickloom.llm.simhash import lists, shingles
+from clickloom.llm.base import KEY, keyed, lists, raw_texts, shingles
+from clickloom.llm.similar import chunked_size, linked, rooted, shingle_chunks
 from clickloom.session import materialize
 
 WIDTH, PERCENT = 2, 80
@@ -106,8 +105,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     involved = candidates.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = sets.join(involved, "node").select("node", "first.*")
     full = texts.select(*KEY, "_text").join(wanted, KEY).dropDuplicates(["node"]).select("node", shingle_chunks(F.col("_text"), width).alias("chunks"))
-    size = F.aggregate("chunks", F.lit(0), lambda n, c: n + F.size(c)).cast("bigint")
-    full = materialize(full.withColumn("size", size), "shingles")
+    full = materialize(full.withColumn("size", chunked_size("chunks")), "shingles")
 
     member = rooted(sets.select("node", "set", "least"), linked(full, candidates, full, percent))
     least = member.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -10,9 +10,8 @@ is abandoned when all its lanes exceed the radius.
 * ``keep_one`` takes texts whose sets of shingles have a given Jaccard similarity. Their fingerprints differ in a sixth of
   the bits and more, so no bits are surely untouched; ``TABLES`` tables are keyed by ``ROWS`` least hashes each instead, of
   which texts of similarity 0.8 share a key in all but 2 of 10,000 cases. Within a table, ``COMPARED`` words are compared at
-  what the similarity lets expect plus ``DEVIATIONS`` standard deviations. That only finds candidates: their sets of shingles
-  are intersected, and only pairs that reach the similarity are links. First every text is checked against one candidate on
-  either side in its bucket; what this links is one component, and all candidates between different components follow.
+  what the similarity lets expect plus ``DEVIATIONS`` standard deviations. That only finds candidates, and of these what connects
+  them, not all pairs; ``similar.linked`` compares full sets inside its tasks, and only pairs that reach the similarity are links.
 
 Defined results: null or blank texts have fingerprint zero; a text with fewer words than a shingle is one shingle;
 a component without any doc_id has a null component_id; repeated rows are rows like any other.
@@ -29,10 +28,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clickloom.llm.base import KEY, keyed, raw_texts, star_forest
+from clickloom.llm.base import KEY, keyed, lists, raw_texts, shingles, star_forest
+from clickloom.llm.similar import chunked_size, linked, shingle_chunks
 from clickloom.session import materialize
 
-WIDTH, RADIUS, SEED = 4, 4, 42
+WIDTH, RADIUS = 4, 4
 BLOCKS = 6            # 15 tables of 21-bit keys; 8 gives 70 tables of 32-bit keys for tens of billions of documents
 BUCKET_PART = 2048    # larger buckets are cut into parts, and each pair of parts is a unit of work
 TABLES, ROWS, COMPARED = 12, 3, 4     # of similar texts: tables, least hashes in a key, words that are compared
@@ -52,22 +52,6 @@ def hash_words(hashes: np.ndarray, words: int) -> np.ndarray:
     return np.stack(found, axis=1)
 
 
-def shingles(raw: bytes, width: int) -> np.ndarray:
-    """The hashes of a text's shingles, as often as they occur."""
-    tokens = raw.lower().split()      # ASCII letters and ASCII white space only, since these are bytes
-    if not tokens:
-        return np.empty(0, np.uint64)
-    joined = b" ".join(tokens)
-    if len(tokens) <= width:
-        starts, ends = [0], [len(joined)]
-    else:
-        after = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1)
-        ends = (after[width - 1:] - 1).tolist()
-        starts = [0, *after[:len(ends) - 1].tolist()]
-    of = xxhash.xxh64_intdigest
-    return np.fromiter((of(joined[s:e], SEED) for s, e in zip(starts, ends)), np.uint64, len(ends))
-
-
 def majority(hashes: np.ndarray, words: int) -> np.ndarray:
     """The bits that more than half of the hashes have."""
     total, n = np.zeros(64 * words, np.int64), len(hashes)
@@ -101,13 +85,6 @@ def set_print(raw: bytes, width: int, words: int, tables: int) -> np.ndarray:
     return np.concatenate([majority(members, words), least_keys(members, tables), identity])
 
 
-def lists(found: list[np.ndarray]) -> pa.Array:
-    """Arrays of words as an Arrow column."""
-    offsets = np.cumsum([0, *map(len, found)])
-    flat = np.concatenate(found) if found else np.empty(0, np.uint64)
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat.view(np.int64)))
-
-
 def fingerprints(text: Column, width: int = WIDTH, words: int = 1) -> Column:
     @F.arrow_udf("array<bigint>")
     def compute(texts: pa.Array) -> pa.Array:
@@ -124,14 +101,6 @@ def set_prints(text: Column, width: int, words: int, tables: int) -> Column:
     return compute(text)
 
 
-def shingle_sets(text: Column, width: int) -> Column:
-    @F.arrow_udf("array<bigint>")
-    def compute(texts: pa.Array) -> pa.Array:
-        return lists([np.unique(shingles(x, width)) for x in raw_texts(texts)])
-
-    return compute(text)
-
-
 def expected_radius(similarity: float, bits: int) -> int:
     """Differing bits that texts of this Jaccard similarity have, and ``DEVIATIONS`` standard deviations more."""
     rate = math.acos(2 * similarity / (1 + similarity)) / math.pi
@@ -238,25 +207,6 @@ def forest(nodes: np.ndarray, prints: np.ndarray, sizes: np.ndarray, radius: int
     yield nodes[far, 0], nodes[label[far], 0]
 
 
-def neighbours(nodes: np.ndarray, prints: np.ndarray, sizes: np.ndarray, radius: int) -> Found:
-    """Per row the first row before it and the first row after it that is within the radius; these name every row that has one."""
-    n = len(prints)
-    lower, upper = np.full(n, n), np.full(n, n)
-    for a, b in close_pairs(prints, sizes, radius):
-        np.minimum.at(lower, b, a)
-        np.minimum.at(upper, a, b)
-    for near in (lower, upper):
-        some = near < n
-        yield nodes[some, 0], nodes[near[some], 0]
-
-
-def apart(nodes: np.ndarray, prints: np.ndarray, sizes: np.ndarray, radius: int) -> Found:
-    """All pairs within the radius whose nodes have different roots (rows of (node, root))."""
-    for a, b in close_pairs(prints, sizes, radius):
-        other = nodes[a, 1] != nodes[b, 1]
-        yield nodes[a[other], 0], nodes[b[other], 0]
-
-
 def compare_buckets(radius: int, words: int, find: Callable, carried: int):
     first = 3 + carried
 
@@ -306,11 +256,10 @@ def banded_keys(words: Column, tables: int) -> list[Column]:
     return [bits(t) + F.lit(t << 16).cast("bigint") for t in range(tables)]
 
 
-def links_of(distinct: DataFrame, keys: list[Column], radius: int, words: int = 1, part: int = BUCKET_PART, find: Callable = forest) -> DataFrame:
+def links_of(distinct: DataFrame, keys: list[Column], radius: int, words: int = 1, part: int = BUCKET_PART) -> DataFrame:
     """Links (a, b) between nodes of rows (node, print) that share a key and are within the radius on the first ``words``
-    words, as ``find`` chooses: by default not every pair of a dense bucket, but what connects as much."""
-    names = [f"w{k}" for k in range(words)]
-    carried = ["node", "root"] if find is apart else ["node"]
+    words: not every pair of a dense bucket, but what connects as much."""
+    names, carried = [f"w{k}" for k in range(words)], ["node"]
     values = [F.get("print", k).alias(name) for k, name in enumerate(names)]
     spread = distinct.select(*carried, *values, F.explode(F.array(*keys)).alias("bucket"))
     large = spread.groupBy("bucket").count().where(F.col("count") > part)
@@ -321,16 +270,7 @@ def links_of(distinct: DataFrame, keys: list[Column], radius: int, words: int =
     )
     dealt = spread.join(large, "bucket", "left").select("bucket", F.explode(units).alias("u"), *carried, *names)
     ordered = dealt.select("bucket", "u.i", "u.j", *carried, *names).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "node")
-    return ordered.mapInArrow(compare_buckets(radius, words, find, len(carried)), "a bigint, b bigint")
-
-
-def verified(candidates: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The candidates (a, b) whose sets, rows (node, members), have the similarity."""
-    pairs = candidates.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    of = lambda name: sets.select(F.col("node").alias(name), F.col("members").alias(f"of_{name}"))
-    common = pairs.join(of("a"), "a").join(of("b"), "b").select(
-        "a", "b", (F.size("of_a") + F.size("of_b")).alias("total"), F.size(F.array_intersect("of_a", "of_b")).alias("common"))
-    return common.where(F.col("common") >= similarity * (F.col("total") - F.col("common"))).select("a", "b")
+    return ordered.mapInArrow(compare_buckets(radius, words, forest, len(carried)), "a bigint, b bigint")
 
 
 def with_roots(distinct: DataFrame, links: DataFrame) -> DataFrame:
@@ -360,14 +300,12 @@ def keep_one(docs: DataFrame, width: int = SIMILAR_WIDTH, similarity: float = SI
     distinct = materialize(distinct, "fingerprints")
     keys = [F.get("print", compared + t) for t in range(tables)]
     radius = expected_radius(similarity, 64 * compared)
-    near = materialize(links_of(distinct, keys, radius, compared, find=neighbours).distinct(), "candidates")
-
+    near = materialize(links_of(distinct, keys, radius, compared), "candidates")
     involved = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    involved = materialize(distinct.join(involved, "node", "left_semi"), "involved")
-    texts = rows.select(*KEY, "_text").join(involved.select("first.*", "node"), KEY).dropDuplicates(["node"])
-    sets = materialize(texts.select("node", shingle_sets(F.col("_text"), width).alias("members")), "shingles")
-    links = materialize(verified(near, sets, similarity), "verified")
-    rest = links_of(with_roots(involved, links), keys, radius, compared, find=apart)
-    links = links.unionByName(verified(rest, sets, similarity))
+    wanted = distinct.join(involved, "node").select("node", "first.*")
+    texts = rows.select(*KEY, "_text").join(wanted, KEY).dropDuplicates(["node"])
+    sets = texts.select("node", shingle_chunks(F.col("_text"), width).alias("chunks"))
+    sets = materialize(sets.withColumn("size", chunked_size("chunks")), "shingles")
+    links = linked(sets, near, sets, round(100 * similarity))
     kept = with_roots(distinct.select("node", "first"), links).groupBy("root").agg(F.min("first").alias("first")).select("first.*")
     return rows.select("_row", *KEY).join(kept, KEY, "left_semi").dropDuplicates(KEY).select("_row.*")

@@ -15,8 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clickloom.llm.base import raw_texts, star_forest
-from clickloom.llm.simhash import lists, shingles
+from clickloom.llm.base import lists, raw_texts, shingles, star_forest
 from clickloom.session import materialize
 
 PART_ROWS, PART_SHINGLES = 512, 1 << 20    # of a part; two parts are one unit of work
@@ -37,6 +36,10 @@ def shingle_chunks(text: Column, width: int) -> Column:
     return compute(text)
 
 
+def chunked_size(chunks: str) -> Column:
+    return F.aggregate(chunks, F.lit(0), lambda n, c: n + F.size(c)).cast("bigint")
+
+
 def inverted(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Shingles of all sets, numbered: owners by shingle with their starts, and shingle numbers by owner with theirs."""
     sizes = np.fromiter(map(len, sets), np.int64, len(sets))
