@@ -122,11 +122,9 @@ def areas(coded: Coded, test: DataFrame) -> DataFrame:
 
 def coded_lookups(coded: Coded, lookups: Lookups) -> Lookups:
     """The same blocks with the codes of each ad's categories."""
-    ads = lookups.blocks.select("block", "_prior", "_mean_price", F.inline("ads"))
-    full = coded.coded(ads, AD_CATEGORIES)
-    fields = [c for c in full.columns if c not in ("block", "_prior", "_mean_price")]
-    blocks = full.groupBy("block", "_prior", "_mean_price").agg(F.collect_list(F.struct(*fields)).alias("ads"))
-    return replace(lookups, blocks=materialize(blocks.select("block", "ads", "_prior", "_mean_price"), "coded-blocks"))
+    full = coded.coded(lookups.blocks.select("block", F.inline("ads")), AD_CATEGORIES)
+    ads = full.groupBy("block").agg(F.collect_list(F.struct(*[c for c in full.columns if c != "block"])).alias("ads"))
+    return replace(lookups, blocks=materialize(lookups.blocks.drop("ads").join(ads, "block"), "coded-blocks"))
 
 
 Judge = Callable[[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray], list[pa.Array]]

@@ -2,10 +2,13 @@
 
 A query meets every ad of the catalog, which is every ad of the train log. The catalog is cut into
 blocks of a bounded number of ads, one array each; a query meets the blocks one by one, and per
-block only the number of ads ahead or the best few are kept. An ad carries its shares by slot, age
-and segment, a user the affinities to what the user saw, and co-clicks are joined by last click and
-block, so every cross feature is a look-up inside the row: no row per query and ad, no table in one
-task or on the driver.
+block only the number of ads ahead or the best few are kept. Queries are dealt into groups and the
+blocks are copied to every group, so what is shuffled is each query once and the catalog once per
+group, not a row per query and block. An ad carries its shares by slot, age and segment, a user the
+affinities to what the user saw, a last click what was clicked next. Affinities are looked up once
+per distinct category and brand of a block and then read by position: every cross feature is a
+look-up inside the row. Blocks know the range of what their ads add to a score (``Stats``); where that
+range decides, a block is skipped without looking into it.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from clickloom.functions.scalar import smoothed
 from clickloom.operators.coclick import PREV, coclick_snapshot
 from clickloom.operators.encode import is_train
 from clickloom.operators.joins import lookup
-from clickloom.operators.prefix import Timeline, row_position
+from clickloom.operators.prefix import Timeline, pieces_of, row_position
 from clickloom.session import materialize
 
 BLOCK_ADS = 1024    # about as many ads in a block of the catalog
@@ -117,8 +120,9 @@ def user_maps(train: DataFrame, prior: Column) -> DataFrame:
         smoothed(F.sum("click"), F.count("click"), prior, SMOOTHING).alias("_v"), F.avg(F.when(F.col("click") == 1, F.col("price"))).alias("_price"),
     )
     of = lambda kind: F.map_from_entries(F.collect_list(F.when(F.col("kind") == kind, F.struct("key", "_v"))))
+    span = lambda kind: F.struct(*[f(F.when(F.col("kind") == kind, F.col("_v"))).alias(n) for n, f in (("low", F.min), ("up", F.max))])
     return sums.groupBy("userid").agg(
-        of("cate_id").alias("_user_cate"), of("brand").alias("_user_brand"),
+        of("cate_id").alias("_user_cate"), of("brand").alias("_user_brand"), span("cate_id").alias("_cate_span"), span("brand").alias("_brand_span"),
         F.max(F.when(F.col("kind") == "price", F.col("_price"))).alias("user_avg_clicked_price"),
     )
 
@@ -127,8 +131,8 @@ def user_maps(train: DataFrame, prior: Column) -> DataFrame:
 class Lookups:
     """What candidates are built from, each a written table.
 
-    ``blocks`` (block, ads, _prior, _mean_price), ``users`` (userid, maps) and ``follow`` (last
-    clicked ad, block, shares of the ads that were clicked next).
+    ``blocks`` (block, ads, their distinct categories and brands, stats, _prior, _mean_price), ``users``
+    (userid, maps) and ``follow`` (last clicked ad, per block the shares of the ads that were clicked next).
     """
 
     blocks: DataFrame
@@ -152,57 +156,98 @@ def lookups_of(gold: DataFrame, catalog: DataFrame, block_ads: int = BLOCK_ADS)
         own = shares.where(F.col("kind") == kind).select(F.col("key").alias(key), F.col("shares").alias(kind))
         ads = ads.join(own, key, "left")
     fields = ["adgroup_id", *[c for c in ads.columns if c != "adgroup_id"]]
-    blocks = ads.groupBy(block("adgroup_id")).agg(F.collect_list(F.struct(*fields)).alias("ads"))
-    blocks = blocks.withColumns({"_prior": F.lit(prior).cast("double"), "_mean_price": F.lit(mean_price).cast("double")})
+    known = F.col("ag_ctr_before").isNotNull()
+    stats = F.struct(
+        F.count("*").alias("n"), F.count_if(known).alias("n_ctr"), F.count_if(known & F.col("price").isNotNull()).alias("n_scored"),
+        F.min("ag_ctr_before").alias("ctr_low"), F.max("ag_ctr_before").alias("ctr_up"), F.min("price").alias("price_low"), F.max("price").alias("price_up"),
+        F.coalesce(F.max(F.array_max(F.map_values("_pid"))), F.lit(0.0)).alias("pid_up"),
+    )
+    blocks = ads.groupBy(block("adgroup_id")).agg(
+        F.collect_list(F.struct(*fields)).alias("ads"), F.collect_set("cate_id").alias("_cates"), F.collect_set("brand").alias("_brands"), stats.alias("stats"),
+    )
+    at = lambda values, ad, c: (F.array_position(values, ad[c]) - 1).cast("int")
+    numbered = F.transform("ads", lambda ad: F.struct(*[ad[c].alias(c) for c in fields], at(F.col("_cates"), ad, "cate_id").alias("_ci"), at(F.col("_brands"), ad, "brand").alias("_bi")))
+    blocks = blocks.withColumn("ads", numbered).withColumns({"_prior": F.lit(prior).cast("double"), "_mean_price": F.lit(mean_price).cast("double")})
     pairs = coclick_snapshot(gold, "adgroup_id_key").withColumn("_v", F.col("cnt") / F.col("total"))
     follow = pairs.groupBy("prev_item", block("item")).agg(_as_map("item", "_v").alias("_coclick"))
+    follow = follow.groupBy(F.col("prev_item").alias(PREV)).agg(_as_map("block", "_coclick").alias("_follow"))
     return Lookups(
         materialize(blocks, "catalog-blocks"), materialize(user_maps(train, F.lit(prior).cast("double")), "user-maps"),
         materialize(follow, "co-clicks"), n_blocks,
     )
 
 
-def cross_features(ad: Column) -> dict[str, Column]:
-    """Features that depend on both the query and the candidate ad."""
+def cross_features(ad: Column, affinity: Column) -> dict[str, Column]:
+    """Features that depend on both the query and the candidate ad; ``affinity`` has the user's by distinct category and brand."""
     def found(table: Column, key: Column | str, default: Column) -> Column:
         return F.coalesce(F.try_element_at(table, F.col(key) if isinstance(key, str) else key), default)
 
-    zero = F.lit(0.0)
+    zero, prior = F.lit(0.0), F.col("_prior")
     return {
         "pid_x_cate_id_freq": found(ad["_pid"], "pid", zero),
         "cate_id_x_age_level_freq": found(ad["_age"], "age_level", zero),
         "brand_x_cms_group_id_freq": found(ad["_cms"], "cms_group_id", zero),
         "item_coclick_affinity": found(F.col("_coclick"), ad["adgroup_id"], zero),
-        "user_cate_affinity_before": found(F.col("_user_cate"), ad["cate_id"], F.col("_prior")),
-        "user_brand_affinity_before": found(F.col("_user_brand"), ad["brand"], F.col("_prior")),
+        "user_cate_affinity_before": F.coalesce(F.get(affinity["c"], ad["_ci"]), prior),
+        "user_brand_affinity_before": F.coalesce(F.get(affinity["b"], ad["_bi"]), prior),
         "user_price_gap": ad["price"] - F.coalesce(F.col("user_avg_clicked_price"), F.col("_mean_price")),
     }
 
 
-HELPERS = ["_user_cate", "_user_brand", "_coclick", "_prior", "_mean_price", "user_avg_clicked_price", "ads"]
+Bounds = Callable[[], tuple[Column, Column, str]]    # the least and largest score in a block, and the count of ads that have one
+Skip = Callable[[Column, Column], Column]            # from these two: whether the block needs no look
+MARGIN = 1e-9                                        # sums in another order differ by less
+
+AD_HELPERS = [*SHARES, "_ci", "_bi"]
+HELPERS = [
+    "_user_cate", "_user_brand", "_cate_span", "_brand_span", "_coclick", "_follow", "_prior", "_mean_price", "user_avg_clicked_price", "_cates", "_brands", "ads",
+]
+
+
+def every_block(queries: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Each query with each block: the blocks are copied to as many groups of queries as a shuffle has partitions."""
+    groups = pieces_of(queries)
+    flat = [c for c, kind in queries.dtypes if not kind.startswith(("array", "map", "struct"))]
+    copies = blocks.withColumn("_group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    return queries.withColumn("_group", F.pmod(F.xxhash64(*flat), F.lit(groups)).cast("int")).join(copies, "_group").drop("_group")
+
 
+def meeting(queries: DataFrame, lookups: Lookups, only: Column | None = None) -> DataFrame:
+    """A row per query and block with all that candidates are made of; ``only`` names one block per query."""
+    out = lookup(lookup(queries, lookups.users, ["userid"]), lookups.follow, [PREV])
+    out = every_block(out, lookups.blocks) if only is None else out.withColumn("block", only).join(lookups.blocks, "block")
+    return out.withColumn("_coclick", F.try_element_at("_follow", "block"))
 
-def with_candidates(queries: DataFrame, lookups: Lookups, true_block_only: bool = False) -> DataFrame:
+
+def with_candidates(
+    queries: DataFrame, lookups: Lookups, true_block_only: bool = False, only: Column | None = None, bounds: Bounds | None = None, skip: Skip | None = None,
+) -> DataFrame:
     """A row per query and ``block`` with ``candidates``: the block's ads with state and cross features.
 
-    ``true_block_only`` keeps just the block that would hold the query's own ad.
+    ``true_block_only`` keeps just the block that would hold the query's own ad, ``only`` the block it names. With
+    ``bounds``, rows have ``_low`` and ``_up``, and candidates are null where ``skip`` says so.
     """
-    every = F.explode(F.sequence(F.lit(0), F.lit(lookups.n_blocks - 1))).alias("block")
-    own = lookups.block_of(F.col("true_adgroup_id")).alias("block") if true_block_only else None
-    out = lookup(queries, lookups.users, ["userid"])
-    out = out.select("*", own if true_block_only else every)
-    out = lookup(out, lookups.follow.withColumnRenamed("prev_item", PREV), [PREV, "block"]).join(lookups.blocks, "block")
-    first = lookups.blocks.schema["ads"].dataType.elementType.fieldNames()
+    only = lookups.block_of(F.col("true_adgroup_id")) if true_block_only else only
+    out, looked = meeting(queries, lookups, only), F.col("ads")
+    if bounds:
+        low, up, _ = bounds()
+        out = out.withColumns({"_low": low - MARGIN, "_up": up + MARGIN})
+        looked = F.when(~F.coalesce(skip(F.col("_low"), F.col("_up")), F.lit(False)), looked)
+    first = [c for c in lookups.blocks.schema["ads"].dataType.elementType.fieldNames() if c not in AD_HELPERS]
+    of = lambda values, table: F.transform(values, lambda v: F.try_element_at(table, v))
+    affinity = F.array(F.struct(of("_cates", F.col("_user_cate")).alias("c"), of("_brands", F.col("_user_brand")).alias("b")))
 
-    def candidate(ad: Column) -> Column:
-        return F.struct(*[ad[c].alias(c) for c in first if c not in SHARES], *[c.alias(n) for n, c in cross_features(ad).items()])
+    def candidate(ad: Column, own: Column) -> Column:
+        return F.struct(*[ad[c].alias(c) for c in first], *[c.alias(n) for n, c in cross_features(ad, own).items()])
 
-    return out.withColumn("candidates", F.transform("ads", candidate)).drop(*HELPERS)
+    # The outer transform has one element: it names the affinities, so that they are looked up once per block.
+    made = F.get(F.transform(affinity, lambda own: F.transform(looked, lambda ad: candidate(ad, own))), 0)
+    return out.withColumn("candidates", made).drop(*HELPERS)
 
 
 def exploded(with_arrays: DataFrame) -> DataFrame:
     """One row per query and candidate, for models that score rows."""
-    keep = [c for c in with_arrays.columns if c not in ("candidates", "block")]
+    keep = [c for c in with_arrays.columns if c not in ("candidates", "block", "stats")]
     return with_arrays.select(*keep, F.explode("candidates").alias("_c")).select(*keep, "_c.*")
 
 
@@ -226,3 +271,20 @@ def linear_score(c: Column) -> Column:
 def popularity_score(c: Column) -> Column:
     return c["ag_ctr_before"]
 
+
+def linear_bounds() -> tuple[Column, Column, str]:
+    prior, stats = F.col("_prior"), F.col("stats")
+    own = F.coalesce(F.col("user_avg_clicked_price"), F.col("_mean_price"))
+    ends = lambda pick, end: (pick(prior, F.col(f"_cate_span.{end}")) + pick(prior, F.col(f"_brand_span.{end}"))) * 0.5
+    next_up = F.coalesce(F.array_max(F.map_values("_coclick")), F.lit(0.0)) * 0.25
+    low = stats["ctr_low"] + ends(F.least, "low") - (stats["price_up"] - own) * 0.0001
+    up = stats["ctr_up"] + ends(F.greatest, "up") + next_up + stats["pid_up"] - (stats["price_low"] - own) * 0.0001
+    return low, up, "n_scored"
+
+
+def popularity_bounds() -> tuple[Column, Column, str]:
+    return F.col("stats.ctr_low"), F.col("stats.ctr_up"), "n_ctr"
+
+
+# Scores whose range in a block is known; others look into every block.
+BOUNDS: dict[Score, Bounds] = {linear_score: linear_bounds, popularity_score: popularity_bounds}

@@ -16,6 +16,8 @@ from dataclasses import dataclass, replace
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from clickloom.session import materialize
+
 CHUNK = "_chunk"
 ROW_ORDER = ("_us", "event_id")
 INF = float("inf")
@@ -215,20 +217,27 @@ def _cumulated(melted: DataFrame, sums: Mapping[str, Column]) -> DataFrame:
     )
 
 
+def numbered(df: DataFrame, *order: Column, name: str = "position") -> DataFrame:
+    """Number the rows 0, 1, ... along any order, in one exchange: dealt by ranges, sorted and numbered inside a partition, plus
+    the rows of the partitions before it. The rows are written once numbered, so that a lost executor cannot renumber them.
+    """
+    inside = F.monotonically_increasing_id()      # the partition above 33 bits, the place inside it below
+    placed = df.repartitionByRange(pieces_of(df), *order).sortWithinPartitions(*order).withColumn("_at", inside)
+    placed = materialize(placed, "numbered")
+    part = F.shiftright("_at", 33).cast("int")
+    counts = dict(placed.groupBy(part.alias("_part")).count().collect())      # a row per partition
+    before, total = [], 0
+    for k in range(max(counts, default=-1) + 1):
+        before.append(total)
+        total += counts.get(k, 0)
+    earlier = F.element_at(F.array(*[F.lit(b).cast("bigint") for b in before or [0]]), part + 1)
+    return placed.withColumns({name: earlier + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)), f"{name}_of": F.lit(total).cast("bigint")}).drop("_at")
+
+
 def global_rank(df: DataFrame, value: str, row_id: str, descending: bool = True, name: str = "rank") -> DataFrame:
     """0-based rank of each row by value, ties by row id, plus the row count as ``<rank>_of``.
 
-    Rows without a value are ranked last.
+    Rows without a value are ranked last. Rows of one value are spread by their ids.
     """
-    last = F.lit(-INF if descending else INF)
-    df = df.withColumn("_value", F.coalesce(F.col(value).cast("double"), last))
-    blocks = by_value(df, ["_value"], {"_n": F.lit(1)}).select(
-        F.col("value").alias("_value"),
-        (F.col("_n_total") - F.col("_n_below") - F.col("_n") if descending else F.col("_n_below")).alias("_ahead"),
-        F.col("_n_total").alias(f"{name}_of"),
-    )
-    flat = Timeline.of(df, row_id, row_id).chunked(df, row_id, row_id)
-    ranked = running(by_chunk(flat), ["_value"], {"_peers": F.lit(1)}, order=[row_id], base=flat)
-    return ranked.join(blocks, "_value").withColumn(name, F.col("_ahead") + F.col("_peers")).drop(
-        "_value", "_ahead", "_peers", CHUNK
-    )
+    number = F.col(value).cast("double")
+    return numbered(df, F.desc_nulls_last(number) if descending else F.asc_nulls_last(number), F.col(row_id), name=name)

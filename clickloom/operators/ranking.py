@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from clickloom.constants import LIFT_PERCENTS, RECALL_KS, SEED
 from clickloom.functions.scalar import hash32, ratio
-from clickloom.operators.candidates import Lookups, Score, with_candidates, with_scores
+from clickloom.operators.candidates import BOUNDS, Lookups, Score, meeting, with_candidates, with_scores
 from clickloom.operators.prefix import by_group_value, by_value, global_rank
 from clickloom.operators.profile import ranked_buckets, user_stats
+from clickloom.session import materialize
 
 
 def own_score(score: Column, ad: Column) -> Column:
@@ -18,12 +19,16 @@ def own_score(score: Column, ad: Column) -> Column:
     return F.max(F.when(ad == F.col("true_adgroup_id"), score))
 
 
-def block_counts(scored: DataFrame) -> DataFrame:
-    """Per (query, block) how many ads of the block are ahead of the query's own score ``_mine``."""
-    ahead = F.filter("scored", lambda x: (x["score"] > F.col("_mine")) | (
-        (x["score"] == F.col("_mine")) & (x["adgroup_id"] < F.col("true_adgroup_id"))
-    ))
-    return scored.select("query_id", "true_adgroup_id", "_mine", F.size(ahead).alias("_ahead"), F.size("scored").alias("_size"))
+def block_counts(queries: DataFrame, lookups: Lookups, score: Score) -> DataFrame:
+    """Per (query, block) how many ads of the block are ahead of the query's own score ``_mine``; blocks whose range of scores
+    decides that are not looked into."""
+    bounds, mine = BOUNDS.get(score), F.col("_mine")
+    skip = lambda low, up: mine.isNull() | (up < mine) | (low > mine)
+    scored = with_scores(with_candidates(queries, lookups, bounds=bounds, skip=skip), score)
+    ahead = F.size(F.filter("scored", lambda x: (x["score"] > mine) | ((x["score"] == mine) & (x["adgroup_id"] < F.col("true_adgroup_id")))))
+    if bounds:
+        ahead = F.when(mine.isNull() | (F.col("_up") < mine), 0).when(F.col("_low") > mine, F.col(f"stats.{bounds()[2]}")).otherwise(ahead)
+    return scored.select("query_id", "true_adgroup_id", "_mine", ahead.alias("_ahead"), F.col("stats.n").alias("_size"))
 
 
 def summed_ranks(counts: DataFrame) -> DataFrame:
@@ -45,7 +50,26 @@ def true_ranks(queries: DataFrame, lookups: Lookups, score: Score) -> DataFrame:
     mine = F.try_element_at(F.filter("scored", lambda x: x["adgroup_id"] == F.col("true_adgroup_id")), F.lit(1))["score"]
     known = own.select("query_id", mine.alias("_mine")).where(F.col("_mine").isNotNull())
     asked = queries.join(known, "query_id", "left")
-    return summed_ranks(block_counts(with_scores(with_candidates(asked, lookups), score)))
+    return summed_ranks(block_counts(asked, lookups, score))
+
+
+def best_scored(queries: DataFrame, lookups: Lookups, score: Score, key: str = "userid", size: int = 100) -> DataFrame:
+    """(key, scored) of the blocks that may hold one of the ``size`` best ads of a key, for ``recommendations``.
+
+    The block with the highest bound is looked into first. If it holds so many ads, the last of its best is a
+    score that every other block has to reach with its bound.
+    """
+    bounds = BOUNDS.get(score)
+    if bounds is None:
+        return with_scores(with_candidates(queries, lookups), score).select(key, "scored")
+    met = meeting(queries, lookups).withColumn("_up", bounds()[1]).groupBy(key).agg(F.max_by("block", F.struct("_up", "block")).alias("_first"))
+    asked = materialize(queries.join(met, key), "first-blocks")
+    best = with_scores(with_candidates(asked, lookups, only=F.col("_first")), score)
+    ordered = F.array_sort(F.filter(F.transform("scored", lambda x: -x["score"]), lambda x: x.isNotNull()))
+    floor = best.select(F.col(key).alias("_key"), (-F.try_element_at(ordered, F.lit(size))).alias("_floor"))
+    asked = asked.join(floor, asked[key] == floor["_key"], "left").drop("_key", "_first")
+    rows = with_candidates(asked, lookups, bounds=bounds, skip=lambda low, up: up < F.col("_floor"))
+    return with_scores(rows.where("candidates IS NOT NULL"), score).select(key, "scored")
 
 
 def true_ranks_of_rows(scored_rows: DataFrame) -> DataFrame:

@@ -97,6 +97,11 @@ class Lake:
         """What candidates are built from: derived once, read by every ranking query."""
         return lookups_of(self.gold, self.catalog)
 
+    @cached_property
+    def small_blocks(self) -> Lookups:
+        """The same in blocks of about 16 ads."""
+        return lookups_of(self.gold, self.catalog, 16)
+
     @property
     def train(self) -> DataFrame:
         return self.gold.where(is_train())

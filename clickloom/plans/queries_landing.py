@@ -9,12 +9,12 @@ from clickloom.functions.scalar import category_text, ratio, six
 from clickloom.operators import clean, coclick, profile
 from clickloom.operators.asof import as_of_join
 from clickloom.operators.candidates import (
-    click_queries, numbered_queries, product_snapshot, category_snapshot, with_candidates, with_scores, linear_score,
+    click_queries, numbered_queries, product_snapshot, category_snapshot, with_candidates, linear_score,
 )
 from clickloom.operators.encode import encode_ids, is_train
 from clickloom.operators.joins import lookup
 from clickloom.operators.prefix import row_position
-from clickloom.operators.ranking import exploded_recommendations, recommendations, true_ranks, write_recommendations
+from clickloom.operators.ranking import best_scored, exploded_recommendations, recommendations, true_ranks, write_recommendations
 from clickloom.operators.candidates import user_snapshot
 from clickloom.plans.lake import Lake
 from clickloom.plans.oracle import ADS, CATALOG, DIRTY, ENCODED, GOLD, IMP, QUERIES, STAR, USERS, big, candidates, r6, ranks
@@ -92,7 +92,7 @@ def _(lake: Lake) -> DataFrame:
 
 def _scored_users(lake: Lake) -> DataFrame:
     sample = lake.gold.where(~is_train()).select(F.col("userid_key").alias("userid")).distinct()
-    return with_scores(with_candidates(user_snapshot(lake.gold, sample), lake.lookups), linear_score)
+    return best_scored(user_snapshot(lake.gold, sample), lake.lookups, linear_score)
 
 
 RECS = f"""{CATALOG},

@@ -8,7 +8,7 @@ from clickloom.constants import AD_DYNAMIC, CATEGORY_DYNAMIC, LIFT_PERCENTS, REC
 from clickloom.functions.scalar import six
 from clickloom.operators import ranking
 from clickloom.operators.candidates import (
-    catalog_of, click_queries, first_seen_catalog, frozen_affinity, frozen_prices, linear_score, popularity_score,
+    catalog_of, click_queries, every_block, first_seen_catalog, frozen_affinity, frozen_prices, linear_score, popularity_score,
     product_snapshot, user_snapshot, with_candidates,
 )
 from clickloom.operators.encode import is_train
@@ -164,6 +164,19 @@ def _(lake: Lake) -> DataFrame:
     return rows.withColumn("score", F.col("score") + 0.0)
 
 
+@query("j06_recall_in_blocks", recall_sql("score"))
+def _(lake: Lake) -> DataFrame:
+    """Many small blocks, most of which their range of scores decides."""
+    return everything(ranking.recall_at(ranking.true_ranks(click_queries(lake.gold), lake.small_blocks, linear_score)))
+
+
+@query("j24_top_in_blocks", f"WITH {RECS} SELECT * FROM best WHERE position < 10")
+def _(lake: Lake) -> DataFrame:
+    users = user_snapshot(lake.gold, lake.gold.where(~is_train()).select(F.col("userid_key").alias("userid")).distinct())
+    recs = ranking.recommendations(ranking.best_scored(users, lake.small_blocks, linear_score, size=10), size=10)
+    return ranking.exploded_recommendations(recs).withColumn("score", F.col("score") + 0.0)
+
+
 @query("j25_recalibration", f"WITH {GOLD} SELECT event_id, {r6('userid_te / (userid_te + (1 - userid_te) * ((0.2 / 0.8) / (0.05 / 0.95))::DOUBLE)')} AS p FROM gold")
 def _(lake: Lake) -> DataFrame:
     return lake.gold.select("event_id", six(ranking.recalibrated(F.col("userid_te"), 0.2, 0.05)).alias("p"))
@@ -188,7 +201,6 @@ def _(lake: Lake) -> DataFrame:
     users = lake.gold.where(~is_train()).select(F.col("userid_key").alias("userid")).distinct()
     coarse = lambda ad: F.floor(ad["ag_ctr_before"] * 20).cast("double")
     pairs = F.transform("ads", lambda ad: F.struct(coarse(ad).alias("score"), ad["adgroup_id"].alias("adgroup_id"), ad["price"].alias("price")))
-    every = F.explode(F.sequence(F.lit(0), F.lit(lake.lookups.n_blocks - 1))).alias("block")
-    scored = users.select("userid", every).join(lake.lookups.blocks, "block").select("userid", pairs.alias("scored"))
+    scored = every_block(users, lake.lookups.blocks).select("userid", pairs.alias("scored"))
     recs = ranking.recommendations(scored, size=20, cheapest_first=True)
     return ranking.exploded_recommendations(recs).withColumn("score", F.col("score") + 0.0)

@@ -176,6 +176,17 @@ def test_ranks_of_rows_without_a_value_come_last(spark):
         assert {r.event_id: r["rank"] for r in got} == want and {r.rank_of for r in got} == {4}
 
 
+def test_one_value_of_most_rows_is_spread(spark):
+    """90 % of the rows share a value: their ranks follow the ids, and no partition gets them all."""
+    df = spark.range(20_000).select(F.col("id").alias("event_id"), F.when(F.col("id") % 10 > 0, 1.0).otherwise(F.col("id") * 1.0).alias("v"))
+    ranked = global_rank(df, "v", "event_id")
+    got = {r.event_id: r["rank"] for r in ranked.collect()}
+    want = sorted(got, key=lambda i: (-(1.0 if i % 10 else float(i)), i))
+    assert [got[i] for i in want] == list(range(20_000))
+    sizes = [r["count"] for r in ranked.groupBy(F.input_file_name()).count().collect()]
+    assert max(sizes) < 8_000
+
+
 def test_later_rows_never_change_a_feature(spark, tied):
     cut = 20 * HOUR
     whole, part = log(spark, tied), log(spark, [r for r in tied if r[1] < cut])

@@ -97,6 +97,29 @@ def test_blocks_give_the_ranks_and_recommendations_of_the_whole_catalog(wide):
     assert recs[0] == recs[1] and len(recs[0]) == 50
 
 
+def test_blocks_are_skipped_and_nothing_is_lost(wide):
+    """67 blocks: those that the range of scores decides are not looked into; ranks and best ads stay those of one block."""
+    from clickloom.operators import candidates
+    from clickloom.operators.candidates import click_queries, linear_bounds, linear_score, popularity_score, user_snapshot, with_candidates, with_scores
+    gold, catalog, (_, one) = wide
+    many = candidates.lookups_of(gold, catalog, block_ads=6)
+    assert many.n_blocks >= 50
+    queries = click_queries(gold)
+    for score in (linear_score, popularity_score, ranking.random_score()):
+        assert sorted(map(tuple, ranking.true_ranks(queries, many, score).collect())) == sorted(map(tuple, ranking.true_ranks(queries, one, score).collect()))
+    users = user_snapshot(gold, gold.select(F.col("userid_key").alias("userid")).distinct())
+    for size in (2, 4, 30):
+        best = ranking.best_scored(users, many, linear_score, size=size)
+        every = with_scores(with_candidates(users, one), linear_score)
+        plain = lambda rows: sorted(map(str, ranking.recommendations(rows, size=size).collect()))
+        assert plain(best) == plain(every)
+        assert size > 2 or best.count() < 0.9 * users.count() * many.n_blocks
+    asked = queries.withColumn("_mine", F.lit(0.9))
+    rows = with_candidates(asked, many, bounds=linear_bounds, skip=lambda low, up: (up < F.col("_mine")) | (low > F.col("_mine")))
+    looked = rows.where("candidates IS NOT NULL").count()
+    assert rows.count() == queries.count() * many.n_blocks and 0 < looked < 0.95 * rows.count()
+
+
 def test_lift_ranks_rows_without_a_score_last(spark):
     df = spark.createDataFrame([(1, 0.9, 1), (2, None, 1), (3, 0.1, 0), (4, 0.5, 0)], "event_id long, s double, click int")
     got = {r.top_percent: r for r in ranking.lift_table(df, "s", percents=[50, 100]).collect()}
