@@ -35,17 +35,18 @@ WEIGHT = "_weight"
 Matrix = np.ndarray
 
 
-def linear_parts(model: PipelineModel) -> tuple[dict[str, tuple[float, float, float]], dict[str, dict[str, float]], float]:
-    """Of a fitted logistic pipeline: (mean, deviation, weight) per number, weight per category, intercept."""
+def linear_parts(model: PipelineModel) -> tuple[dict[str, tuple[float, float, float]], DataFrame, float]:
+    """Of a fitted logistic pipeline: (mean, deviation, weight) per number, a table of weights per category, the intercept."""
     by_type = {type(s).__name__: s for s in model.stages}
-    scaler, labels, last = by_type["StandardScalerModel"], by_type["StringIndexerModel"].labelsArray, model.stages[-1]
+    scaler, slots, last = by_type["StandardScalerModel"], by_type["CategorySlotsModel"], model.stages[-1]
     n, weights = len(NUMERIC_FEATURES), [float(w) for w in last.coefficients]
     numbers = {c: (float(scaler.mean[i]), float(scaler.std[i]), weights[i]) for i, c in enumerate(NUMERIC_FEATURES)}
-    categories, at = {}, n
-    for c, values in zip(CATEGORICAL_FEATURES, labels):
-        categories[c] = dict(zip(values, weights[at:at + len(values)]))
-        at += len(values)
-    return numbers, categories, float(last.intercept)
+    at, of_slots = n, []
+    for c in CATEGORICAL_FEATURES:
+        of_slots += [(c, k, w) for k, w in enumerate(weights[at:at + slots.sizes[c]])]
+        at += slots.sizes[c]
+    known = slots.table.sparkSession.createDataFrame(of_slots, "column string, slot bigint, weight double")
+    return numbers, materialize(slots.table.join(known, ["column", "slot"]).select("column", "value", "weight"), "weights"), float(last.intercept)
 
 
 class Coded:
@@ -67,9 +68,7 @@ class Coded:
         for model in [*self.trees.values()][:1]:
             rows = with_category(rows, model.categories, "rate", categories, RATE, model.prior)
         for k, (_, weights, _) in enumerate(self.parts.values()):
-            table = [(c, v, w) for c in categories for v, w in weights[c].items()]
-            known = rows.sparkSession.createDataFrame(table, "column string, value string, weight double")
-            rows = with_category(rows, known, "weight", categories, f"{WEIGHT}{k}", 0.0)
+            rows = with_category(rows, weights, "weight", categories, f"{WEIGHT}{k}", 0.0)
         return rows
 
     def scorers(self) -> dict[str, Callable[[Matrix], np.ndarray]]:

@@ -9,7 +9,7 @@ from functools import cached_property
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
@@ -17,6 +17,7 @@ from clickloom.constants import CATEGORICAL_FEATURES, FEATURES, NUMERIC_FEATURES
 from clickloom.operators.prefix import Timeline, row_position
 from clickloom.operators.ranking import auc, auc_by_group, recall_at, true_ranks_of_rows
 from clickloom.operators import trees
+from clickloom.operators.dictionaries import CategorySlots, CategorySlotsModel
 from clickloom.operators.trees import Forest, Growth, Prepared, TreeModel
 from clickloom.session import materialize
 
@@ -36,11 +37,6 @@ NULLABLE_NUMBERS = ["price", "user_price_gap"]
 KNOWN = "_or_mean"
 
 
-def indexers(categorical: Sequence[str]) -> StringIndexer:
-    """Category numbers; values unseen in train share one extra number."""
-    return StringIndexer(inputCols=list(categorical), outputCols=[f"{c}_ix" for c in categorical], handleInvalid="keep")
-
-
 def filled(numeric: Sequence[str]) -> tuple[list, list[str]]:
     """A stage that fills missing numbers by their train mean, and the names that models then read."""
     missing = [c for c in numeric if c in NULLABLE_NUMBERS]
@@ -53,9 +49,9 @@ def linear_stages(numeric: Sequence[str] = NUMERIC_FEATURES, categorical: Sequen
     stages, read = filled(numeric)
     return [
         *stages,
-        indexers(categorical),
-        # The last index is the one for unseen values; dropLast leaves it without a column.
-        OneHotEncoder(inputCols=[f"{c}_ix" for c in categorical], outputCols=[f"{c}_oh" for c in categorical], dropLast=True),
+        CategorySlots(categorical, [f"{c}_ix" for c in categorical]),
+        # Unseen values have a slot beyond all others, which is dropped.
+        OneHotEncoder(inputCols=[f"{c}_ix" for c in categorical], outputCols=[f"{c}_oh" for c in categorical], dropLast=True, handleInvalid="keep"),
         VectorAssembler(inputCols=read, outputCol="_numeric"),
         StandardScaler(inputCol="_numeric", outputCol="_scaled", withMean=True, withStd=True),
         VectorAssembler(inputCols=["_scaled", *[f"{c}_oh" for c in categorical]], outputCol="features"),
@@ -163,6 +159,10 @@ def winner(table: DataFrame) -> DataFrame:
     return table.orderBy(F.desc("auc"), "model").limit(1)
 
 
+def slots_of(model: PipelineModel) -> CategorySlotsModel:
+    return next(s for s in model.stages if isinstance(s, CategorySlotsModel))
+
+
 def feature_names(model: PipelineModel, rows: DataFrame) -> list[str]:
     """Names of the vector slots, from the metadata the feature stages leave."""
     vector = model.transform(rows.limit(0)).schema["features"].metadata["ml_attr"]["attrs"]
@@ -178,8 +178,12 @@ def importance(model: PipelineModel, rows: DataFrame) -> DataFrame:
         return rows.sparkSession.createDataFrame(model.importance(), "feature string, importance double").orderBy(F.desc("importance"), "feature")
     last = model.stages[-1]
     weights = [abs(float(w)) for w in last.coefficients] if hasattr(last, "coefficients") else [float(w) for w in last.featureImportances.toArray()]
-    pairs = list(zip(feature_names(model, rows), weights))
-    return rows.sparkSession.createDataFrame(pairs, "feature string, importance double").orderBy(F.desc("importance"), "feature")
+    pairs = rows.sparkSession.createDataFrame(list(zip(feature_names(model, rows), weights)), "feature string, importance double")
+    one_hot = r"^(.*)_oh_(\d+)$"
+    table = slots_of(model).table.select("column", "value", F.col("slot").cast("string").alias("slot"))
+    named = pairs.withColumns({"column": F.regexp_extract("feature", one_hot, 1), "slot": F.regexp_extract("feature", one_hot, 2)}).join(table, ["column", "slot"], "left")
+    shown = F.coalesce(F.concat("column", F.lit("_oh_"), "value"), "feature").alias("feature")
+    return named.select(shown, "importance").orderBy(F.desc("importance"), "feature")
 
 
 def shuffled_pairs(test: DataFrame, seed: int, columns: Sequence[str] = FEATURES) -> DataFrame:

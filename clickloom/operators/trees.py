@@ -373,7 +373,13 @@ def forest_tree(bins: np.ndarray, label: np.ndarray, forest: Forest, number: int
             break
         slot = node - first
         picked = rng.random((nodes, len(bins))).argsort(axis=1)[:, :tried]
-        gain, feature, cut = level_splits(bins, rows, slot, weight[rows], label[rows], picked, forest.min_rows)
+        total, clicks = np.bincount(slot, weight[rows], minlength=nodes), np.bincount(slot, (weight * label)[rows], minlength=nodes)
+        worth = (total >= 2 * forest.min_rows) & (clicks > 0) & (clicks < total)
+        go, number = worth[slot], np.cumsum(worth) - 1
+        gain, feature, cut = np.zeros(nodes), np.zeros(nodes, np.int64), np.zeros(nodes, np.int64)
+        if go.any():
+            found = level_splits(bins, rows[go], number[slot[go]], weight[rows[go]], label[rows[go]], picked[worth], forest.min_rows)
+            gain[worth], feature[worth], cut[worth] = found
         split = gain > 1e-10
         left = first + nodes + 2 * (np.cumsum(split) - split)
         for name, value in (("feature", feature), ("cut", cut), ("left", left), ("gain", gain)):

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler, StandardScaler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from clickloom.constants import CATEGORICAL_FEATURES, NUMERIC_FEATURES, RECALL_KS
 from clickloom.functions.scalar import six
-from clickloom.operators import models, ranking, trees
+from clickloom.operators import blockscore, models, ranking, trees
 from clickloom.operators.candidates import click_queries
+from clickloom.operators.dictionaries import dictionary
 from clickloom.operators.encode import is_train
 from clickloom.plans import training
 from clickloom.plans.lake import Lake
@@ -50,11 +51,9 @@ ORDERED = ", ".join(f"o_{c} AS (SELECT {c}, row_number() OVER (ORDER BY count(*)
 @query("j14_one_hot", f"""WITH {GOLD}, {ORDERED} SELECT event_id, {', '.join(f'COALESCE(o_{c}.slot, -1) AS {c}' for c in CATEGORICAL_FEATURES)}
        FROM gold {' '.join(f'LEFT JOIN o_{c} USING ({c})' for c in CATEGORICAL_FEATURES)}""")
 def _(lake: Lake) -> DataFrame:
-    train, _ = split(lake)
-    stages = [s for s in models.linear_stages(["price"]) if type(s).__name__ in ("StringIndexer", "OneHotEncoder")]
-    rows = Pipeline(stages=stages).fit(train).transform(lake.gold)
-    slot = lambda c: (F.array_position(F.transform(vector_to_array(f"{c}_oh"), lambda x: x.cast("int")), 1) - 1).cast("bigint")
-    return rows.select("event_id", *[slot(c).alias(c) for c in CATEGORICAL_FEATURES])
+    table = dictionary(lake.train, CATEGORICAL_FEATURES)
+    rows = trees.with_category(lake.gold.select("event_id", *CATEGORICAL_FEATURES), table, "slot", CATEGORICAL_FEATURES, "_slot", F.lit(-1).cast("bigint"))
+    return rows.select("event_id", *[F.col(f"{c}_slot").alias(c) for c in CATEGORICAL_FEATURES])
 
 
 @query("j15_logistic_regression")
@@ -78,6 +77,19 @@ def _(lake: Lake) -> DataFrame:
     return rows.agg(named.alias("_p"), F.count(F.lit(1)).alias("rows")).select(F.explode("_p").alias("_p"), "rows").select("_p.*", "rows")
 
 
+@query("j15_category_equations", f"""WITH {GOLD} SELECT * FROM ({' UNION ALL '.join(f"SELECT '{c}' AS column_name, {c} AS value, count(*) AS rows, 0.0::DOUBLE AS slope FROM gold WHERE _split = 'train' GROUP BY {c}" for c in CATEGORICAL_FEATURES)})""")
+def _(lake: Lake) -> DataFrame:
+    """The same slopes for the weight of every category: errors of its rows against the pull of the penalty."""
+    model = lake.model("logistic")
+    _, weights, _ = blockscore.linear_parts(model)
+    scored = models.scored(model, lake.train, "click", *CATEGORICAL_FEATURES)
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in CATEGORICAL_FEATURES])).alias("_p")
+    errors = scored.select(pairs, (F.col("score") - F.col("click")).alias("_e")).select("_p.*", "_e").groupBy("column", "value").agg(F.sum("_e").alias("_e"), F.count("*").alias("rows"))
+    slope = (F.col("_e") + F.col("weight")) / F.sum("rows").over(W.partitionBy("column"))
+    found = errors.join(weights, ["column", "value"], "left")
+    return found.select(F.col("column").alias("column_name"), "value", "rows", (F.round(slope, 4) + 0.0).alias("slope"))
+
+
 @query("j16_random_forest")
 def _(lake: Lake) -> DataFrame:
     _, test = split(lake)

@@ -34,6 +34,16 @@ def test_unseen_categories_are_all_zero(spark):
     assert got[0][1:] == [0.0, 0.0] and got[1][1:] == [0.0, 1.0]
 
 
+def test_slots_of_many_brands_come_from_a_table(spark):
+    """200,000 values: slots by frequency, then by value; unseen and null ones have the slot beyond."""
+    from clickloom.operators.dictionaries import CategorySlots
+    rows = spark.range(300_000).select(F.concat(F.lit("b"), F.format_string("%06d", F.col("id") % 200_000)).alias("brand"))
+    model = CategorySlots(["brand"], ["brand_ix"]).fit(rows)
+    asked = spark.createDataFrame([("b000000",), ("b000007",), ("b099999",), ("b100000",), ("b199999",), ("new",), (None,)], "brand string")
+    got = {r.brand: r.brand_ix for r in model.transform(asked).collect()}
+    assert got == {"b000000": 0, "b000007": 7, "b099999": 99_999, "b100000": 100_000, "b199999": 199_999, "new": 200_000, None: 200_000}
+
+
 def test_validation_rows_are_the_last_ones(split):
     rows = models.with_validation_flag(split[0]).groupBy("is_validation").agg(
         F.count("*").alias("n"), F.min("time_stamp").alias("lo"), F.max("time_stamp").alias("hi")).collect()
