@@ -1,4 +1,4 @@
-"""Lookup joins whose broadcast is decided by a checked size."""
+"""Lookup joins; Spark broadcasts the tables whose size it knows to be small."""
 
 from __future__ import annotations
 
@@ -6,30 +6,13 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Largest lookup table that is sent to every executor, in entries of a few numbers each: this stays
-# below 100 MB. Larger tables are joined by a shuffle with skew handling.
-BROADCAST_ENTRIES = 500_000
-
-
-def key_counts(df: DataFrame, keys: Sequence[str | Sequence[str]]) -> dict[tuple[str, ...], int]:
-    """Approximate number of distinct values of each key, one pass for all keys."""
-    tuples = [(k,) if isinstance(k, str) else tuple(k) for k in keys]
-    row = df.agg(*[F.approx_count_distinct(F.struct(*k)).alias(f"n{i}") for i, k in enumerate(tuples)]).first()
-    return {k: row[f"n{i}"] for i, k in enumerate(tuples)}
-
 
 def lookup(
-    rows: DataFrame, stats: DataFrame, keys: Sequence[str], count: int | None = None,
+    rows: DataFrame, stats: DataFrame, keys: Sequence[str],
     defaults: Mapping[str, Column] | None = None, null_safe: bool = False,
 ) -> DataFrame:
-    """Left join ``stats`` (one row per key) and fill ``defaults`` where no row matches.
-
-    ``count`` is the checked number of entries of ``stats``; the table is broadcast only when it
-    is known and small. Without it Spark decides by the size it knows.
-    """
+    """Left join ``stats`` (one row per key) and fill ``defaults`` where no row matches."""
     side = stats.toDF(*[f"_k_{c}" if c in keys else c for c in stats.columns])
-    if count is not None and count <= BROADCAST_ENTRIES:
-        side = F.broadcast(side)
     match = F.lit(True)
     for k in keys:
         right = F.col(f"_k_{k}")
