@@ -27,6 +27,7 @@ from clickloom.session import materialize
 SPACE = "▁"
 ROUNDS = 2
 PRIOR_WEIGHT = 1000.0    # uses of pieces that every language is credited with beforehand
+LEAST = 1e-200    # smaller chances are summed as logarithms
 KNOWN_WORDS = 200_000    # words a worker remembers before it starts anew
 ROWS = 2048              # words of one length that are scored at once
 NEVER = -1e30
@@ -91,6 +92,17 @@ def forward(found: list[np.ndarray], use: list[np.ndarray], n: int) -> list[np.n
     return alpha
 
 
+def prefix_sums(found: list[np.ndarray], use: list[np.ndarray], n: int) -> list[np.ndarray]:
+    """The same with probabilities instead of their logarithms, for words that do not underflow."""
+    alpha = [np.ones(use[0].shape[:1] + use[0].shape[2:], np.float64)]
+    for j in range(1, n + 1):
+        total = alpha[j - 1] * use[0][:, j - 1]
+        for k in range(2, min(j, len(found)) + 1):
+            total += alpha[j - k] * use[k - 1][:, j - k]
+        alpha.append(total)
+    return alpha
+
+
 def by_length(words: list[str]) -> Iterator[tuple[int, np.ndarray]]:
     """Places of words of equal length, a bounded number of characters at a time."""
     lengths = np.fromiter(map(len, words), np.int64, len(words))
@@ -103,33 +115,57 @@ def by_length(words: list[str]) -> Iterator[tuple[int, np.ndarray]]:
 
 def word_scores(pieces: Pieces, log_p: np.ndarray, words: list[str]) -> np.ndarray:
     """Log probability of each word (rows) in each language (columns). The last row of ``log_p`` is for no piece."""
-    scores = np.empty((len(words), log_p.shape[1]))
+    scores, p = np.empty((len(words), log_p.shape[1])), np.exp(log_p)
     marked = [SPACE + w for w in words]
     for n, places in by_length(marked):
         found = pieces.matches([marked[i] for i in places])
-        scores[places] = forward(found, [log_p[f] for f in found], n)[-1]
+        total = prefix_sums(found, [p[f] for f in found], n)[-1]
+        small = (total < LEAST).any(axis=1)
+        scores[places] = np.log(np.maximum(total, LEAST))
+        if small.any():
+            rest = [f[small] for f in found]
+            scores[places[small]] = forward(rest, [log_p[f] for f in rest], n)[-1]
     return scores
 
 
 def expected_uses(pieces: Pieces, log_p: np.ndarray, words: list[str], language: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Expected uses of each piece (rows) in each language by forward-backward, each word in its own language."""
     n_languages = log_p.shape[1]
-    uses = np.zeros(log_p.shape[0] * n_languages)
+    uses, p = np.zeros(log_p.shape[0] * n_languages), np.exp(log_p)
     marked = [SPACE + w for w in words]
-    for n, places in by_length(marked):
-        found = pieces.matches([marked[i] for i in places])
-        own = language[places][:, None]
+
+    def add(found: list[np.ndarray], own: np.ndarray, chances: Iterator[np.ndarray], weights: np.ndarray) -> None:
+        nonlocal uses
+        for f, chance in zip(found, chances):
+            some = f >= 0
+            uses += np.bincount((f * n_languages + own)[some], weights=(chance * weights[:, None])[some], minlength=len(uses))
+
+    def from_logarithms(found: list[np.ndarray], own: np.ndarray, n: int) -> Iterator[np.ndarray]:
         use = [log_p[f, own] for f in found]
         alpha = forward(found, use, n)
-        beta = [None] * n + [np.zeros(len(places))]
+        beta = [None] * n + [np.zeros(len(own))]
         for i in range(n - 1, -1, -1):
             beta[i] = log_sum([use[k - 1][:, i] + beta[i + k] for k in range(1, min(n - i, len(found)) + 1)])
-        for k, f in enumerate(found, 1):
-            width = n - k + 1
-            chance = np.stack(alpha[:width], axis=1) + use[k - 1] + np.stack(beta[k:], axis=1) - alpha[n][:, None]
-            some = f >= 0
-            amount = (np.exp(chance) * weight[places][:, None])[some]
-            uses += np.bincount((f * n_languages + own)[some], weights=amount, minlength=len(uses))
+        for k in range(1, len(found) + 1):
+            yield np.exp(np.stack(alpha[:n - k + 1], axis=1) + use[k - 1] + np.stack(beta[k:], axis=1) - alpha[n][:, None])
+
+    for n, places in by_length(marked):
+        found = pieces.matches([marked[i] for i in places])
+        own = language[places][:, None]
+        use = [p[f, own] for f in found]
+        alpha = prefix_sums(found, use, n)
+        beta = [None] * n + [np.ones(len(places))]
+        for i in range(n - 1, -1, -1):
+            beta[i] = use[0][:, i] * beta[i + 1]
+            for k in range(2, min(n - i, len(found)) + 1):
+                beta[i] += use[k - 1][:, i] * beta[i + k]
+        small = alpha[n] < LEAST
+        whole = np.where(small, 1.0, alpha[n])[:, None]
+        weights = np.where(small, 0.0, weight[places])
+        add(found, own, (np.stack(alpha[:n - k + 1], axis=1) * use[k - 1] * np.stack(beta[k:], axis=1) / whole for k in range(1, len(found) + 1)), weights)
+        if small.any():
+            rest = [f[small] for f in found]
+            add(rest, own[small], from_logarithms(rest, own[small], n), weight[places[small]])
     return uses.reshape(log_p.shape)
 
 
