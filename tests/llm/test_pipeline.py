@@ -78,3 +78,27 @@ def test_run_is_the_registered_query(spark, stages):
     got = contract.queries()["pipeline"](spark, FOLDER)
     assert sorted(map(str, got.collect())) == sorted(map(str, stages[5].collect()))
     assert "pipeline" not in contract.oracle_sql()
+
+
+def test_odd_rows_pass_all_stages(spark, docs_of):
+    """Nulls in every column, empty texts, repeated rows and columns whose names the stages use: defined results, no crash."""
+    words = [f"wort{i}" for i in range(40)]
+    text = ". ".join(" ".join(words[k:k + 8]) for k in range(0, 40, 8)) + "."
+    other = " ".join(f"other{i}" for i in range(60))
+    rows = [(1, text), (1, text), (2, None), (None, text), (3, ""), (4, other, None, None), (5, other + " and more words at its end"), (None, None)]
+    docs = docs_of(rows, node="1", root="2", _row="3", chunks="4", kept="5", item_id="6")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        columns = docs.columns
+        docs = materialize(stage(spark, docs, FOLDER), "odd")
+        assert docs.columns == columns, name
+    left = docs.collect()
+    assert sorted(r.doc_id for r in left if r.doc_id) == [1, 4] and {r.text for r in left if r.text} == {text, other}
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER)
+    assert last.count() == len(left)
+
+
+def test_an_empty_table_passes_all_stages(spark, docs_of):
+    docs = docs_of([], node="1")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = materialize(stage(spark, docs, FOLDER), "empty")
+        assert docs.count() == 0
