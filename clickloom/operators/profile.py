@@ -17,14 +17,15 @@ def _n() -> Column:
 
 
 def overview(log: DataFrame) -> DataFrame:
+    """Each distinct count reads its own column: together in one aggregate they would copy every row once per count."""
+    different = {name: log.select(c).distinct().agg(F.count(c)).scalar() for name, c in (("days", "date"), ("users", "userid"), ("ads", "adgroup_id"))}
     return log.agg(
         _n().alias("impressions"),
         F.min("date").alias("start_date"), F.max("date").alias("end_date"),
-        F.countDistinct("date").alias("days"),
-        F.countDistinct("userid").alias("users"), F.countDistinct("adgroup_id").alias("ads"),
         F.count_if(is_train()).alias("train_rows"), F.count_if(~is_train()).alias("test_rows"),
         F.avg("click").alias("ctr"),
-    )
+    ).withColumns(different).select(
+        "impressions", "start_date", "end_date", "days", "users", "ads", "train_rows", "test_rows", "ctr")
 
 
 def volume_and_ctr(log: DataFrame, key: str) -> DataFrame:

@@ -7,12 +7,13 @@ import re
 import zipfile
 from collections.abc import Iterator, Sequence
 from datetime import datetime, timezone
-from typing import IO
 
 import pandas as pd
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from clickloom.session import materialize
+
 EVENT_SCHEMA = T.StructType([
     T.StructField(n, t) for n, t in [
         ("userid", T.LongType()), ("adgroup_id", T.LongType()), ("time_stamp", T.TimestampType()), ("pid", T.StringType()),
@@ -35,6 +36,7 @@ USER_SCHEMA = T.StructType([
     ]
 ])
 IN_MEMORY = 1 << 30     # bytes of a zip archive that a task takes into memory
+MOST_TASKS = 10_000     # that read members of archives; beyond it each reads several
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -76,18 +78,16 @@ def _opened(path: str, content: bytes | None):
     return store.open_input_file(inner)
 
 
-def _members(path: str, content: bytes | None) -> Iterator[tuple[str, IO[bytes]]]:
-    with _opened(path, content) as file, zipfile.ZipFile(file) as archive:
-        for name in sorted(m for m in archive.namelist() if m.endswith(".csv")):
-            with archive.open(name) as raw:
-                yield name, raw
-
-
-def _headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The CSV members of archives in order of name, with their columns; reads directories and first lines."""
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
-            for _, raw in _members(path, content):
-                yield pd.DataFrame({"name": [c.strip() for c in pd.read_csv(raw, dtype=str, nrows=0).columns]})
+            with _opened(path, content) as file, zipfile.ZipFile(file) as archive:
+                members = sorted(m for m in archive.namelist() if m.endswith(".csv"))
+                for place, name in enumerate(members):
+                    with archive.open(name) as raw:
+                        columns = [c.strip() for c in pd.read_csv(raw, dtype=str, nrows=0).columns]
+                    yield pd.DataFrame({"path": [path], "member": [name], "place": [place], "members": [len(members)], "columns": [columns]})
 
 
 def whole_number(text: Column) -> Column:
@@ -99,31 +99,40 @@ def whole_number(text: Column) -> Column:
 def read_zipped_csv(spark: SparkSession, path: str, schema: T.StructType, rows_per_batch: int = 50_000) -> DataFrame:
     """CSV members of zip files, streamed out of each archive in batches.
 
-    Columns are matched by trimmed name, unknown ones stay text. An archive cannot be split, so each
-    is one task; lay large inputs out as many archives, or as plain, gz or bz2 files, which
-    ``read_csv`` takes directly. Archives above ``IN_MEMORY`` are read from their store piece by piece.
+    Columns are matched by trimmed name, unknown ones stay text. Every member is a task of its own,
+    which seeks it in the archive's store; ``_block`` is its place among the members, ``_row`` the row
+    within. A member cannot be split: lay large inputs out as many members or archives, or as plain, gz or
+    bz2 files, which ``read_csv`` takes directly. Archives of one member are taken into memory as a
+    whole up to ``IN_MEMORY``.
     """
     files = spark.read.format("binaryFile").load(path)
     small = files.where(F.col("length") <= IN_MEMORY).select("path", "content")
     large = files.where(F.col("length") > IN_MEMORY).select("path", F.lit(None).cast("binary").alias("content"))
-    archives = small.unionByName(large)
-    found = {r["name"] for r in archives.mapInPandas(_headers, "name string").distinct().collect()}
+    listing = small.unionByName(large).mapInPandas(_listed, "path string, member string, place bigint, members bigint, columns array<string>")
+    listing = materialize(listing, "members")
+    found = {r[0] for r in listing.select(F.explode("columns")).distinct().collect()}
     types = {f.name: f.dataType for f in schema}
     names = [*types, *sorted(found - set(types))]
-    out = T.StructType([T.StructField("_file", T.StringType()), T.StructField("_row", T.LongType())] + [
+    out = T.StructType([T.StructField("_file", T.StringType()), T.StructField("_block", T.LongType()), T.StructField("_row", T.LongType())] + [
         T.StructField(n, T.StringType()) for n in names
     ])
+    place = ["path", "member", "place"]
+    whole = small.join(listing.where("members = 1").select(*place), "path")
+    apart = listing.select(*place).join(whole.select("path"), "path", "left_anti")
+    apart = apart.coalesce(1).repartition(max(1, min(apart.count(), MOST_TASKS)))
+    archives = whole.unionByName(apart.withColumn("content", F.lit(None).cast("binary")))
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for archive, content in zip(batch["path"], batch["content"]):
+            for path, content, member, block in zip(batch["path"], batch["content"], batch["member"], batch["place"]):
                 number = 0
-                for _, raw in _members(archive, content):
+                with _opened(path, content) as file, zipfile.ZipFile(file) as archive, archive.open(member) as raw:
                     for chunk in pd.read_csv(raw, dtype=str, chunksize=rows_per_batch, skipinitialspace=True):
                         chunk.columns = [c.strip() for c in chunk.columns]
                         chunk = chunk.reindex(columns=names)
                         chunk.insert(0, "_row", range(number, number + len(chunk)))
-                        chunk.insert(0, "_file", archive.rsplit("/", 1)[-1])
+                        chunk.insert(0, "_block", block)
+                        chunk.insert(0, "_file", path.rsplit("/", 1)[-1])
                         number += len(chunk)
                         yield chunk.astype(object).where(chunk.notna(), None)
 
@@ -132,7 +141,7 @@ def read_zipped_csv(spark: SparkSession, path: str, schema: T.StructType, rows_p
         (whole_number(F.col(f"`{n}`")) if isinstance(types.get(n), T.LongType) else F.col(f"`{n}`").cast(types.get(n, T.StringType()))).alias(n)
         for n in names
     ]
-    return text.select(*typed, F.col("_file").alias("_source_file"), F.lit(0).cast("bigint").alias("_block"), "_row")
+    return text.select(*typed, F.col("_file").alias("_source_file"), "_block", "_row")
 
 
 def read_dimension(spark: SparkSession, path: str, schema: T.StructType, ingested_at: Column) -> DataFrame:

@@ -4,6 +4,7 @@ import zipfile
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from clickloom.operators.clean import clean_events
 from clickloom.plans import layers
@@ -86,6 +87,19 @@ def test_zip_rows_come_in_batches_and_in_order(spark, tmp_path):
     assert [r.adgroup_id for r in rows] == list(range(1000)) and [r._row for r in rows] == list(range(1000))
 
 
+def test_members_of_an_archive_are_read_apart(spark, tmp_path):
+    path = tmp_path / "ad_feature.csv.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for m in range(8):
+            z.writestr(f"part{m}.csv", "adgroup_id,price\n" + "".join(f"{100 * m + i},1.5\n" for i in range(100)))
+        z.writestr("notes.txt", "no table")
+    df = raw.read_zipped_csv(spark, str(path), raw.AD_SCHEMA)
+    tasks = df.withColumn("task", F.spark_partition_id()).groupBy("task").agg(F.countDistinct("_block").alias("n")).collect()
+    assert [r.n for r in tasks] == [1] * 8
+    got = [(r.adgroup_id, r._block, r._row) for r in df.orderBy("_block", "_row").collect()]
+    assert got == [(100 * m + i, m, i) for m in range(8) for i in range(100)]
+
+
 def zipped(path, text, name="ad_feature.csv"):
     with zipfile.ZipFile(path, "w") as z:
         z.writestr(name, text)

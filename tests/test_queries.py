@@ -12,7 +12,7 @@ FOLDER = "/root/testdata/sf0.001"
 CHOSEN = [
     "a05_split_union", "a06_day_sink", "a09_star_join", "b02_fact_dedup", "b06_unknown_codes", "b14_time_split", "c04_query_catalog",
     "g05_encoded_ids", "g06_counts_chunked", "g06_strict_ties", "g14_coclick_affinity", "g20_interactions", "g21_gold_table",
-    "g21_gold_table_chunked", "g26_day_lags", "h06_segments", "h08_customer_overview", "h10_gini", "h12_frequency_buckets",
+    "g21_gold_table_chunked", "g26_day_lags", "h01_overview", "h06_segments", "h08_customer_overview", "h10_gini", "h12_frequency_buckets",
     "i05_rank_test", "i08_class_medians", "j05_candidates", "j06_recall", "j12_lift", "j17_first_split", "j19_floors", "j24_top_recommendations", "j26_frequency_cap",
 ]
 
@@ -44,3 +44,8 @@ def test_entry_has_ten_ads(spark):
 
 def test_every_sql_twin_belongs_to_a_query():
     assert set(contract.oracle_sql()) <= set(contract.queries())
+
+
+def test_distinct_counts_copy_no_rows(spark, capsys):
+    contract.queries()["h01_overview"](spark, FOLDER).explain("formatted")
+    assert "Expand" not in capsys.readouterr().out
