@@ -317,6 +317,11 @@ def boosting_task(trees: list[dict], base: float, history: list[float], grow: Gr
     return run
 
 
+def gathered(rows: DataFrame, key: str) -> list:
+    """All rows in the order of ``key``, sorted here: to sort them in Spark would run the fit before twice, once to find the ranges."""
+    return sorted(rows.collect(), key=lambda r: r[key])
+
+
 def fitted_trees(blocks: DataFrame, features: int, base: float, grow: Growth, patience: int | None = None, tasks: int | None = None, segment: int = SEGMENT) -> tuple[list[dict], list[float]]:
     """The trees and, with ``patience``, the metric of every round; jobs of ``segment`` rounds that resume from one another."""
     rows = blocks.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
@@ -327,7 +332,7 @@ def fitted_trees(blocks: DataFrame, features: int, base: float, grow: Growth, pa
     history: list[float] = []
     while len(trees) < grow.rounds:
         run = boosting_task(trees, base, history, grow, segment, patience, features, tasks > 1)
-        found = dealt.mapInArrow(run, "round bigint, tree string, metric double", barrier=tasks > 1).orderBy("round").collect()
+        found = gathered(dealt.mapInArrow(run, "round bigint, tree string, metric double", barrier=tasks > 1), "round")
         trees += [json.loads(r["tree"]) for r in found]
         history += [r["metric"] for r in found if r["metric"] is not None]
         if len(found) < segment or patience is not None and len(history) - 1 - int(np.argmin(history)) >= patience:
@@ -395,6 +400,13 @@ def forest_tree(bins: np.ndarray, label: np.ndarray, forest: Forest, number: int
     return Tree(whole["feature"], whole["cut"], whole["left"], clicks / np.maximum(total, 1e-12), whole["gain"])
 
 
+def dealt_to_groups(blocks: DataFrame, groups: int) -> DataFrame:
+    """A copy of the blocks for every group of trees, each in a partition of its own."""
+    numbered = materialize(blocks.select(F.monotonically_increasing_id().alias("block"), "bins", "label"), "numbered-blocks")
+    copies = numbered.select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"), "*")
+    return copies.repartitionById(groups, F.col("group"))
+
+
 def forest_trees(blocks: DataFrame, features: int, forest: Forest, groups: int | None = None) -> list[dict]:
     """All trees; the blocks go to every group of trees once, ordered by their numbers."""
     groups = groups or max(1, min(forest.trees, blocks.sparkSession.sparkContext.defaultParallelism))
@@ -412,9 +424,8 @@ def forest_trees(blocks: DataFrame, features: int, forest: Forest, groups: int |
                 tree = json.dumps(forest_tree(bins, label, forest, number).plain())
                 yield pa.record_batch([pa.array([number]), pa.array([tree])], names=["number", "tree"])
 
-    numbered = materialize(blocks.select(F.monotonically_increasing_id().alias("block"), "bins", "label"), "numbered-blocks")
-    dealt = numbered.select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"), "*").repartition(groups, "group")
-    return [json.loads(r["tree"]) for r in dealt.mapInArrow(grow_group, "number bigint, tree string").orderBy("number").collect()]
+    grown = dealt_to_groups(blocks, groups).mapInArrow(grow_group, "number bigint, tree string")
+    return [json.loads(r["tree"]) for r in gathered(grown, "number")]
 
 
 @dataclass(frozen=True)
@@ -435,12 +446,10 @@ class TreeModel:
 
     def scorer(self) -> Callable[[np.ndarray], np.ndarray]:
         """Probabilities of a matrix (features, rows) of numbers."""
-        cuts, plain, base = self.cuts, self.trees, self.base
-        trees: list[Tree] = []
+        cuts, base = self.cuts, self.base
+        trees = [replace(Tree.of(plain), gain=np.zeros(0)) for plain in self.trees]      # arrays travel faster than lists
 
         def score(values: np.ndarray) -> np.ndarray:
-            if not trees:
-                trees.extend(map(Tree.of, plain))
             bins, raw = binned(values, cuts), np.full(values.shape[1], base or 0.0)
             for tree in trees:
                 raw += tree.value[tree.leaves_of(bins)]

@@ -19,6 +19,7 @@ from clickloom.plans.oracle import GOLD, QUERIES, big, r6, ranks, values_of
 from clickloom.plans.queries_profile import everything
 from clickloom.plans.queries_ranking import RANDOM
 from clickloom.plans.registry import query
+from clickloom.session import materialize
 
 
 RECALLS = ", ".join(f"{r6(f'avg(CAST(rank < {k} AS INT))')} AS recall_at_{k}" for k in RECALL_KS)
@@ -29,7 +30,7 @@ def split(lake: Lake) -> tuple[DataFrame, DataFrame]:
 
 
 def quality(model: PipelineModel, test: DataFrame, name: str) -> DataFrame:
-    rows = models.scored(model, test, "click")
+    rows = materialize(models.scored(model, test, "click"), "scores")     # read by three measures
     return rows.agg(F.count(F.lit(1)).alias("rows"), F.avg("score").alias("mean_score")).select(
         F.lit(name).alias("model"), "rows", "mean_score", ranking.auc(rows, "score").scalar().alias("auc"),
         ranking.log_loss(rows, "score").scalar().alias("log_loss"),

@@ -159,3 +159,27 @@ def test_save_and_load(lake, known, tmp_path):
 def test_missing_numbers_are_below_all_others():
     bins = trees.binned(np.array([[np.nan, -5.0, 1.0, 2.0, 9.0]]), [[1.0, 2.0]])
     assert bins.tolist() == [[0, 1, 1, 2, 3]]
+
+
+def passes(blocks, folder):
+    """The blocks, leaving a file behind for every partition that is read, each time it is read."""
+    def touch(batches):
+        import tempfile
+        from pyspark import TaskContext
+        tempfile.mkstemp(prefix=f"{TaskContext.get().partitionId()}-", dir=folder)
+        yield from batches
+    return blocks.mapInArrow(touch, blocks.schema)
+
+
+def test_a_fit_of_many_tasks_runs_once(known, tmp_path):
+    counted = passes(known.blocks.coalesce(1), str(tmp_path))
+    trees.fitted_trees(counted, len(known.cuts), 0.0, Growth(rounds=2, step=0.1, leaves=4, depth=3), tasks=2)
+    # Once to count the rows, once to deal them; sorting the trees in Spark made it three.
+    assert len(list(tmp_path.iterdir())) == 2
+
+
+def test_every_group_of_trees_has_a_task_of_its_own(known):
+    for groups in (8, 12):
+        dealt = trees.dealt_to_groups(known.blocks, groups)
+        places = dealt.select("group", F.spark_partition_id().alias("part")).distinct().collect()
+        assert sorted(r.group for r in places) == sorted({r.part for r in places}) == list(range(groups))
