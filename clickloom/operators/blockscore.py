@@ -71,6 +71,11 @@ class Coded:
             rows = with_category(rows, weights, "weight", categories, f"{WEIGHT}{k}", 0.0)
         return rows
 
+    @staticmethod
+    def feature_of(column: str) -> str:
+        """The feature that a column of the matrix codes."""
+        return column.removesuffix(RATE).split(WEIGHT)[0]
+
     def scorers(self) -> dict[str, Callable[[Matrix], np.ndarray]]:
         """Per model the probabilities of a matrix (columns, rows)."""
         place = {c: i for i, c in enumerate(self.columns)}
@@ -132,7 +137,7 @@ Judge = Callable[[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray], list[pa.A
 def over_blocks(coded: Coded, pairs: DataFrame, keep: Sequence[str], judge: Judge, result: str) -> DataFrame:
     """Score the candidates of every row by all models; ``judge`` makes of a batch, the scores (models, ads), the ads and the row
     of each ad the columns ``result``, which follow the first of the kept ones."""
-    ad_codes = [c for c in coded.columns if c.removesuffix(RATE).split(WEIGHT)[0] in AD_CATEGORIES]
+    ad_codes = [c for c in coded.columns if coded.feature_of(c) in AD_CATEGORIES]
     in_ad = [*AD_NUMBERS, *ad_codes]
     in_query = [c for c in coded.columns if c not in in_ad]
     scorers, columns = list(coded.scorers().values()), coded.columns

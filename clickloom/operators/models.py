@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import replace
 from functools import cached_property
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, VectorAssembler
@@ -14,6 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from clickloom.constants import CATEGORICAL_FEATURES, FEATURES, NUMERIC_FEATURES, RECALL_KS, SEED
+from clickloom.operators.blockscore import Coded
 from clickloom.operators.prefix import Timeline, row_position
 from clickloom.operators.ranking import auc, auc_by_group, recall_at, true_ranks_of_rows
 from clickloom.operators import trees
@@ -197,24 +200,42 @@ def shuffled_pairs(test: DataFrame, seed: int, columns: Sequence[str] = FEATURES
     return by_id.join(by_hash.select("position", *[F.col(c).alias(f"{c}_other") for c in columns]), "position").drop("position")
 
 
-def permutation_importance(model: PipelineModel, test: DataFrame, repeats: int = 5, columns: Sequence[str] = FEATURES) -> DataFrame:
+def with_swaps(coded: Coded, pairs: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(_variant, click, score): every row as it is (0) and with each of the ``columns`` (1, 2, ...) taken from its partner."""
+    (score,), width = coded.scorers().values(), len(coded.columns)
+    own = [[k for k, c in enumerate(coded.columns) if coded.feature_of(c) == f] for f in columns]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, others = trees.matrix_of(batch, 1, width), trees.matrix_of(batch, 1 + width, width)
+            for at, swapped in enumerate([[], *own]):
+                mixed = values.copy()
+                mixed[swapped] = others[swapped]
+                yield pa.record_batch([pa.array(np.full(batch.num_rows, at)), batch.column(0), pa.array(score(mixed))], names=["_variant", "click", "score"])
+
+    chosen = pairs.select(F.col("click").cast("int").alias("click"), *coded.columns, *[f"{c}_other" for c in coded.columns])
+    return chosen.mapInArrow(run, "_variant bigint, click int, score double")
+
+
+def permutation_importance(model: PipelineModel | TreeModel, test: DataFrame, repeats: int = 5, columns: Sequence[str] = FEATURES) -> DataFrame:
     """Mean drop of the AUC when one feature takes the values of random partner rows.
 
-    Every row is scored once as it is and once per swapped feature, all in one pass per repeat.
+    Rows are coded once; as they are and once per swapped feature they are scored as matrices, and all areas come from one pass.
     """
-    variants = F.explode(F.array(F.lit(""), *[F.lit(c) for c in columns]))
-    others = [c for c in FEATURES if c not in columns]
-    drops = None
+    coded, variants = Coded({"model": model}), len(columns) + 1
+    number = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))).alias(c)
+    rows = coded.coded(test, CATEGORICAL_FEATURES).select("event_id", "click", *map(number, coded.columns))
+    rows, scores = materialize(rows, "coded-test"), None
     for r in range(repeats):
-        spread = shuffled_pairs(test, SEED + r, columns).withColumn("_variant", variants).select(
-            "_variant", "click", *others,
-            *[F.when(F.col("_variant") == c, F.col(f"{c}_other")).otherwise(F.col(c)).alias(c) for c in columns],
-        )
-        areas = auc_by_group(scored(model, spread, "_variant", "click"), "_variant", "score")
-        base = F.max(F.when(F.col("feature") == "", F.col("auc"))).over(W.partitionBy())
-        drop = areas.withColumn("drop", base - F.col("auc")).where(F.col("feature") != "").select("feature", "drop")
-        drops = drop if drops is None else drops.unionByName(drop)
-    return drops.groupBy("feature").agg(F.avg("drop").alias("importance")).orderBy(F.desc("importance"), "feature")
+        found = with_swaps(coded, shuffled_pairs(rows, SEED + r, coded.columns), columns).withColumn("_variant", F.col("_variant") + r * variants)
+        scores = found if scores is None else scores.unionByName(found)
+    areas = auc_by_group(materialize(scores, "swapped-scores"), "_variant", "score")
+    at = F.pmod("feature", F.lit(variants)).cast("int")
+    areas = areas.select(F.floor(F.col("feature") / variants).alias("_repeat"), at.alias("_at"), "auc")
+    base = F.max(F.when(F.col("_at") == 0, F.col("auc"))).over(W.partitionBy("_repeat"))
+    drops = areas.withColumn("drop", base - F.col("auc")).where("_at > 0")
+    named = F.element_at(F.array(*map(F.lit, columns)), F.col("_at")).alias("feature")
+    return drops.groupBy(named).agg(F.avg("drop").alias("importance")).orderBy(F.desc("importance"), "feature")
 
 
 def save_bundle(model: PipelineModel, name: str, path: str) -> None:

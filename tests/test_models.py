@@ -110,3 +110,19 @@ def test_random_score_is_repeatable_and_uniform(spark, lake):
     from clickloom.operators.candidates import with_scores
     rows = with_scores(arrays, ranking.random_score()).select(F.explode("scored.score").alias("s")).agg(F.avg("s"), F.min("s"), F.max("s")).first()
     assert abs(rows[0] - 0.5) < 0.05 and rows[1] >= 0 and rows[2] < 1
+
+
+def test_swapped_rows_score_as_the_model_scores_them(logistic, split):
+    """The coded matrix of a swapped feature against the model on rows that carry the partner's value."""
+    from clickloom.operators.blockscore import Coded
+    test, swapped = split[1], ["price", "brand"]
+    coded = Coded({"model": logistic})
+    number = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))).alias(c)
+    rows = coded.coded(test, models.CATEGORICAL_FEATURES).select("event_id", "click", *map(number, coded.columns))
+    got = models.with_swaps(coded, models.shuffled_pairs(rows, models.SEED, coded.columns), swapped).collect()
+    pairs = models.shuffled_pairs(test, models.SEED)
+    for at, feature in enumerate(["", *swapped]):
+        plain = pairs.withColumn(feature, F.col(f"{feature}_other")) if feature else pairs
+        slow = sorted(r.score for r in models.scored(logistic, plain).collect())
+        fast = sorted(r.score for r in got if r._variant == at)
+        assert fast == pytest.approx(slow, abs=1e-9)
