@@ -183,3 +183,12 @@ def test_every_group_of_trees_has_a_task_of_its_own(known):
         dealt = trees.dealt_to_groups(known.blocks, groups)
         places = dealt.select("group", F.spark_partition_id().alias("part")).distinct().collect()
         assert sorted(r.group for r in places) == sorted({r.part for r in places}) == list(range(groups))
+
+
+def test_messages_of_tasks_are_small_and_exact():
+    rng = np.random.default_rng(1)
+    leaf = np.zeros((2, 3, 40, 256))
+    leaf[:, :, :, rng.integers(0, 256, 60)] = rng.integers(-1 << 24, 1 << 24, 60)
+    for numbers in (leaf, leaf * (1 << 20), np.zeros((3, 5)), np.array([-float(1 << 50), 1.0, 0.0]), np.array([float(1 << 31), -float(1 << 31)])):
+        assert (trees.numbers_of(trees.message(numbers), numbers.shape) == numbers).all()
+    assert len(trees.message(leaf)) < leaf.nbytes // 8
