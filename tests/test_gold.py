@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from clickloom.operators import coclick, encode, history
+from clickloom.operators import coclick, encode, history, prefix
 from clickloom.operators.asof import as_of_join
 from clickloom.operators.prefix import CHUNK, Timeline, by_value, global_rank, row_position, running
 
@@ -236,3 +236,18 @@ def test_values_below(spark):
     for v in range(7):
         below = [i for i in range(100) if i % 7 < v]
         assert got[float(v)] == (len([i for i in range(100) if i % 7 == v]), len(below), sum(i % 2 for i in below), 100)
+
+
+def test_longer_logs_take_more_tasks_not_larger_ones(spark, tied, monkeypatch):
+    monkeypatch.setattr(prefix, "ROWS_PER_PARTITION", 20)
+    df = log(spark, tied)
+    line = Timeline.of(df, look_backs=[5 * HOUR])
+    rows = line.arranged(df)
+    assert rows.rdd.getNumPartitions() == 21 > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    out = history.windowed_history(df, "adgroup_id", "ag", F.lit(0.0), line, {"5h": 5 * HOUR})
+    out = history.click_history(out, ["userid"], "user", F.lit(0.0), line.chunked(df))
+    assert out.rdd.getNumPartitions() == 21
+    all_time, five = brute(tied), brute(tied, 5 * HOUR)
+    got = out.collect()
+    assert {r.event_id: (r.ag_clicks_before, r.ag_impressions_before) for r in got} == all_time
+    assert {r.event_id: (r.ag_clicks_last_5h, r.ag_impressions_last_5h) for r in got} == five
