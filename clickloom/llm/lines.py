@@ -3,8 +3,8 @@
 A line closes a chunk when a rolling hash over the hashes of the last ``WINDOW`` lines is divisible by ``DIVISOR`` (and
 the chunk has ``LEAST`` lines), or at ``MOST`` lines. Boundaries depend on nearby lines alone, so after an insertion the
 old ones return and copies of a passage have equal chunks wherever it stands. Chunks whose hash occurs at several places
-are compared byte by byte with the first of them (least doc_id, then place); equal ones are removed, whole lines at a
-time. Only chunks with at least two lines that hold more than white space count.
+are compared with the first of them (least doc_id, then place) by the SHA-256 of their bytes; equal ones are removed, whole
+lines at a time. Only chunks with at least two lines that hold more than white space count. Texts travel once, to be cut.
 
 Defined results: a null text stays null; the first place of a chunk always stays; a chunk that differs from the first
 one of its hash stays; repeated rows are one document with one result; rows without doc_id come last; extra columns are
@@ -13,7 +13,7 @@ carried along; an empty table stays empty.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
 
 import pyarrow as pa
 import xxhash
@@ -64,28 +64,27 @@ def line_chunks(texts: pa.Array) -> pa.Array:
     return pa.array([[dict(zip(("at", "n", "hash"), c)) for c in chunks_of(raw)] for raw in raw_texts(texts)], PIECES)
 
 
-def first_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (text, wanted pieces) to (hash, bytes)."""
-    for batch in batches:
-        hashes, found = [], []
-        for raw, wanted in zip(raw_texts(batch.column(0)), batch.column(1).to_pylist()):
-            lines = raw.split(b"\n")
-            for piece in wanted:
-                hashes.append(piece["hash"])
-                found.append(b"\n".join(lines[piece["at"]:piece["at"] + piece["n"]]))
-        yield pa.record_batch([pa.array(hashes, pa.int64()), pa.array(found, pa.binary())], names=["hash", "bytes"])
+SEALED = pa.list_(pa.struct([("at", pa.int32()), ("n", pa.int32()), ("hash", pa.int64()), ("digest", pa.binary())]))
+
+
+@F.arrow_udf(T.ArrayType(T.StructType().add("at", "integer").add("n", "integer").add("hash", "long").add("digest", "binary")))
+def sealed(texts: pa.Array, pieces: pa.Array) -> pa.Array:
+    """The pieces with the SHA-256 of their bytes."""
+    out = []
+    for raw, found in zip(raw_texts(texts), pieces.to_pylist()):
+        lines = raw.split(b"\n")
+        out.append([p | {"digest": hashlib.sha256(b"\n".join(lines[p["at"]:p["at"] + p["n"]])).digest()} for p in found])
+    return pa.array(out, SEALED)
 
 
 @F.arrow_udf(T.StructType().add("text", "string").add("removed", "integer").add("lines", "integer"))
 def without_pieces(texts: pa.Array, pieces: pa.Array) -> pa.Array:
-    """The text without the pieces whose lines are byte for byte those of the first place."""
+    """The text without the lines of these pieces."""
     left, removed, total = [], [], []
     for text, marked in zip(texts.cast(pa.binary()).to_pylist(), pieces.to_pylist()):
         lines, gone = ([] if text is None else text.split(b"\n")), set()
         for piece in marked or ():
-            span = range(piece["at"], piece["at"] + piece["n"])
-            if b"\n".join(lines[piece["at"]:piece["at"] + piece["n"]]) == piece["bytes"]:
-                gone.update(span)
+            gone.update(range(piece["at"], piece["at"] + piece["n"]))
         left.append(None if text is None else b"\n".join(line for i, line in enumerate(lines) if i not in gone) if gone else text)
         removed.append(len(gone))
         total.append(len(lines))
@@ -98,18 +97,16 @@ def without_pieces(texts: pa.Array, pieces: pa.Array) -> pa.Array:
 def cut(docs: DataFrame) -> DataFrame:
     """The rows as ``_row`` with ``cut``: the text that stays, the number of removed lines and of all lines."""
     rows = keyed(docs)
-    pieces = materialize(rows.select(*KEY, F.explode(line_chunks("_text")).alias("p")).select(*KEY, "p.*"), "line-chunks")
+    pieces = rows.select(*KEY, F.explode(sealed(F.col("_text"), line_chunks("_text"))).alias("p")).select(*KEY, "p.*")
+    pieces = materialize(pieces, "line-chunks")
     place = F.struct(*KEY, "at", "n")
-    firsts = pieces.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    firsts = materialize(firsts.where("first <> last").select("hash", "first"), "first-places")
-    copies = pieces.join(firsts, "hash").where(place != F.col("first")).select("hash", *KEY, "at", "n")
-
-    wanted = firsts.groupBy(F.col("first._id").alias("_id"), F.col("first._h").alias("_h")).agg(
-        F.collect_list(F.struct("first.at", "first.n", "hash")).alias("wanted"))
-    texts = rows.select(*KEY, "_text").join(wanted, KEY).select("_text", "wanted")
-    texts = materialize(texts.mapInArrow(first_bytes, "hash bigint, bytes binary").dropDuplicates(["hash"]), "first-chunks")
-    marks = copies.join(texts, "hash").groupBy(*KEY).agg(F.collect_list(F.struct("at", "n", "bytes")).alias("pieces"))
-    return rows.select("_row", *KEY).join(marks, KEY, "left").select("_row", without_pieces(F.col("_row.text"), F.col("pieces")).alias("cut"))
+    firsts = pieces.groupBy("hash").agg(F.min(F.struct(*KEY, "at", "n", "digest")).alias("first"), F.max(place).alias("last"))
+    firsts = firsts.withColumn("place", F.struct(*[f"first.{c}" for c in (*KEY, "at", "n")]))
+    firsts = materialize(firsts.where("place <> last").select("hash", "place", F.col("first.digest").alias("of_first")), "first-places")
+    copies = pieces.join(firsts, "hash").where((place != F.col("place")) & (F.col("digest") == F.col("of_first")))
+    marks = copies.groupBy(*KEY).agg(F.collect_list(F.struct("at", "n")).alias("pieces"))
+    # Marks grow with the texts: one plan for all sizes.
+    return rows.select("_row", *KEY).join(marks.hint("merge"), KEY, "left").select("_row", without_pieces(F.col("_row.text"), F.col("pieces")).alias("cut"))
 
 
 def line_dedup(docs: DataFrame) -> DataFrame:

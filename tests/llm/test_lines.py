@@ -94,3 +94,12 @@ def test_boundaries_return_after_an_insertion():
     ends = set(lines.boundaries(hashes))
     moved = {e - 1 for e in lines.boundaries([12345, *hashes])}
     assert len(ends & moved) > 0.8 * len(ends)
+
+
+def test_texts_travel_once(spark, docs_of):
+    """No join fetches the bytes of first places: the only exchange of texts is the one that cuts them."""
+    passage = "\n".join(f"sentence number {i}." for i in range(30))
+    out = lines.line_dedup(docs_of([(i, f"start {i}\n{passage}") for i in range(50)]))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "first-chunks" not in " ".join(out.inputFiles()) and "bytes" not in plan
+    assert sum(r.n_removed_lines > 0 for r in out.collect()) == 49
