@@ -1,4 +1,5 @@
 import hashlib
+import os
 import random
 from collections import Counter
 
@@ -85,3 +86,14 @@ def test_levels_merge_geometrically(spark):
     assert ranks == [[0], [1], [1, 0], [2], [2, 0], [2, 1], [2, 1, 0]]
     found = {(r.gram, r.mixed) for r in family.repeated().collect()}
     assert found == {(100, True)}
+
+
+def test_merged_levels_are_deleted(spark):
+    family, seen = suffix.SuffixFamily(), []
+    for batch in range(4):
+        family.add(spark.createDataFrame([(1, 7), (2, batch), (3, 10 + batch)], "gram long, context long"))
+        seen += [p for p in sum(family.paths, []) if p not in seen]
+    assert len(seen) == 4 and [os.path.isdir(p.removeprefix("file://")) for p in seen] == [False] * 3 + [True]
+    assert {(r.gram, r.mixed) for r in family.repeated().collect()} == {(1, False), (2, True), (3, True)}
+    family.clear()
+    assert not os.path.isdir(seen[-1].removeprefix("file://"))
