@@ -23,8 +23,9 @@ ROW_ORDER = ("_us", "event_id")
 INF = float("inf")
 # Chunks are placed on partitions by hash; several per partition even out how many each one gets.
 CHUNKS_PER_PARTITION = 4
-# A chain of windows holds a sort for each of them in one task, so longer logs take more tasks instead of larger ones.
-ROWS_PER_PARTITION = 50_000
+# Longer logs take more tasks instead of larger ones; a chain of many windows, which holds a sort for each in one task, takes fewer rows.
+ROWS_PER_PARTITION = 200_000
+ROWS_PER_CHAIN = 50_000
 PARTITIONS = "partitions"       # what the chunk column says about the number of partitions its rows are dealt to
 
 
@@ -82,15 +83,16 @@ class Timeline:
     @classmethod
     def of(
         cls, df: DataFrame, at: str = "_us", row_id: str = "event_id", pieces: int | None = None, look_backs: Sequence[int] = (),
+        partition_rows: int | None = None,
     ) -> Timeline:
         """Measure a log and cut it into ``pieces`` chunks, by default several per partition.
 
-        Partitions are as many as the session uses for a shuffle, and more where these would hold more than ``ROWS_PER_PARTITION``
-        rows. Rows that leave look-backs of these widths later on count in the chunks they leave in, as
+        Partitions are as many as the session uses for a shuffle, and more where these would hold more than ``partition_rows``
+        (``ROWS_PER_PARTITION``) rows. Rows that leave look-backs of these widths later on count in the chunks they leave in, as
         far as that is not after the end of the log.
         """
         low, high, id_low, id_high, rows = df.agg(F.min(at), F.max(at), F.min(row_id), F.max(row_id), F.count(F.lit(1))).first()
-        partitions = None if pieces else max(pieces_of(df), -(-rows // ROWS_PER_PARTITION))
+        partitions = None if pieces else max(pieces_of(df), -(-rows // (partition_rows or ROWS_PER_PARTITION)))
         line = cls(low or 0, high or 0, id_low or 0, (id_high or 0) - (id_low or 0) + 1, partitions=partitions)
         moments = F.explode(F.array(F.col(at), *[F.col(at) + w for w in look_backs])).alias("_at")
         probe = df.select(moments, row_id).where(F.col("_at") <= line.last)

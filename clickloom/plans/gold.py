@@ -10,7 +10,7 @@ from clickloom.operators.coclick import with_coclick_affinity, with_previous_cli
 from clickloom.operators.encode import encoded, fold_sums, frequency_encode, target_mean, train_mean
 from clickloom.operators.history import LOOK_BACKS, affinity_history, click_history, ctr_trend, user_history, windowed_history
 from clickloom.operators.joins import lookup
-from clickloom.operators.prefix import Timeline, by_chunk
+from clickloom.operators.prefix import ROWS_PER_CHAIN, Timeline, by_chunk
 from clickloom.session import materialize
 
 
@@ -74,7 +74,7 @@ def gold_features(rows: DataFrame, timeline: Timeline) -> DataFrame:
 def gold_table(fact: DataFrame, dim_ad: DataFrame, dim_user: DataFrame, timeline: Timeline | None = None) -> DataFrame:
     """The 46 Gold columns; ``event_id`` follows as the row id that breaks ties downstream."""
     rows = staged_rows(fact, dim_ad, dim_user)
-    out = gold_features(rows, timeline or Timeline.of(rows, look_backs=list(LOOK_BACKS.values())))
+    out = gold_features(rows, timeline or Timeline.of(rows, look_backs=list(LOOK_BACKS.values()), partition_rows=ROWS_PER_CHAIN))
     out = out.withColumns({c: category_text(F.col(c)) for c in CATEGORICAL_FEATURES})
     out = out.withColumns({"userid_key": F.col("userid"), "adgroup_id_key": F.col("adgroup_id")})
     return out.select(*GOLD_COLUMNS, "event_id")

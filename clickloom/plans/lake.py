@@ -10,7 +10,7 @@ from clickloom.operators.candidates import Lookups, catalog_of, lookups_of
 from clickloom.operators.encode import is_train, target_mean, train_mean
 from clickloom.operators.history import LOOK_BACKS
 from clickloom.operators.models import Inputs
-from clickloom.operators.prefix import Timeline, by_chunk
+from clickloom.operators.prefix import ROWS_PER_CHAIN, Timeline, by_chunk
 from clickloom.plans.gold import gold_table
 from clickloom.plans.training import FITS, Model
 from clickloom.session import materialize, prepare
@@ -57,7 +57,7 @@ class Lake:
 
     @cached_property
     def timeline(self) -> Timeline:
-        return Timeline.of(self.imp, look_backs=list(LOOK_BACKS.values()))
+        return Timeline.of(self.imp, look_backs=list(LOOK_BACKS.values()), partition_rows=ROWS_PER_CHAIN)
 
     @cached_property
     def prior(self) -> Column:
