@@ -23,7 +23,7 @@ from clickloom.functions.scalar import smoothed
 from clickloom.operators.coclick import PREV, coclick_snapshot
 from clickloom.operators.encode import is_train
 from clickloom.operators.joins import lookup
-from clickloom.operators.prefix import Timeline, pieces_of, row_position
+from clickloom.operators.prefix import Timeline, even_numbers, pieces_of, row_position
 from clickloom.session import materialize
 
 BLOCK_ADS = 1024    # about as many ads in a block of the catalog
@@ -205,11 +205,17 @@ HELPERS = [
 
 
 def every_block(queries: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Each query with each block: the blocks are copied to as many groups of queries as a shuffle has partitions."""
+    """Each query with each block: the blocks are copied to as many groups of queries as a shuffle has partitions.
+
+    Every group is a task. The number is given, since adaptive execution goes by the size of the queries and would put them into
+    one task, whatever number of blocks each of them meets.
+    """
     groups = pieces_of(queries)
     flat = [c for c, kind in queries.dtypes if not kind.startswith(("array", "map", "struct"))]
-    copies = blocks.withColumn("_group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    return queries.withColumn("_group", F.pmod(F.xxhash64(*flat), F.lit(groups)).cast("int")).join(copies, "_group").drop("_group")
+    numbers = F.lit(even_numbers(queries.sparkSession, groups, groups))
+    copies = blocks.withColumn("_group", F.explode(numbers)).repartition(groups, "_group")
+    dealt = queries.withColumn("_group", F.get(numbers, F.pmod(F.xxhash64(*flat), F.lit(groups)).cast("int"))).repartition(groups, "_group")
+    return dealt.join(copies, "_group").drop("_group")
 
 
 def meeting(queries: DataFrame, lookups: Lookups, only: Column | None = None) -> DataFrame:

@@ -14,14 +14,14 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from clickloom.session import materialize
 
 CHUNK = "_chunk"
 ROW_ORDER = ("_us", "event_id")
 INF = float("inf")
-# Chunks are placed on partitions by hash; several per partition even out how many each one gets.
+# Chunks at several places of the order even out how many rows each partition gets.
 CHUNKS_PER_PARTITION = 4
 # Longer logs take more tasks instead of larger ones; a chain of many windows, which holds a sort for each in one task, takes fewer rows.
 ROWS_PER_PARTITION = 200_000
@@ -63,6 +63,23 @@ def bucketize(df: DataFrame, splits: Mapping[str, list[float]], suffix: str) ->
     })
 
 
+def even_numbers(spark: SparkSession, count: int, partitions: int) -> list[int]:
+    """``count`` rising numbers that a shuffle on them deals to the partitions evenly: none gets more than its share, rounded up.
+
+    Plain numbers 0, 1, ... would meet by their hash, and the fullest of many partitions would get a multiple of its share.
+    """
+    share, found, load, start = -(-count // partitions), [], [0] * partitions, 0
+    while len(found) < count:
+        end = start + max(1_000, 8 * count)
+        number = F.col("id").cast("int")
+        for row in spark.range(start, end, 1, 1).select(number.alias("n"), F.pmod(F.hash(number), F.lit(partitions)).alias("p")).collect():
+            if len(found) < count and load[row["p"]] < share:
+                load[row["p"]] += 1
+                found.append(row["n"])
+        start = end
+    return found
+
+
 @dataclass(frozen=True)
 class Timeline:
     """Borders that cut a log, ordered by (time, kind, id), into consecutive chunks.
@@ -79,6 +96,7 @@ class Timeline:
     id_span: int
     splits: tuple[float, ...] = (-INF, INF)
     partitions: int | None = None     # by default as many as the session uses
+    numbers: tuple[int, ...] = ()     # of the chunks, rising; by default 0, 1, ...
 
     @classmethod
     def of(
@@ -98,7 +116,8 @@ class Timeline:
         probe = df.select(moments, row_id).where(F.col("_at") <= line.last)
         probe = probe.select(line.position(F.col("_at"), F.col(row_id), F.lit(1)).alias("_pos"))
         splits = quantile_splits(probe, ["_pos"], pieces or CHUNKS_PER_PARTITION * partitions)["_pos"]
-        return replace(line, splits=tuple(splits))
+        numbers = even_numbers(df.sparkSession, len(splits) - 1, partitions) if partitions else ()
+        return replace(line, splits=tuple(splits), numbers=tuple(numbers))
 
     def position(self, at: Column, row_id: Column, kind: Column) -> Column:
         share = (row_id.cast("double") - F.lit(float(self.id_low))) / F.lit(float(self.id_span))
@@ -108,7 +127,10 @@ class Timeline:
         """Add the chunk column."""
         position = self.position(F.col(at), F.col(row_id), F.lit(1) if kind is None else kind)
         placed = bucketize(df.withColumn("_pos", position), {"_pos": list(self.splits)}, "_n")
-        number = F.col("_pos_n").alias(CHUNK, metadata={PARTITIONS: self.partitions} if self.partitions else {})
+        number = F.col("_pos_n")
+        if self.numbers:
+            number = F.coalesce(F.get(F.lit(list(self.numbers)), number), F.lit(self.numbers[-1] + 1))     # rows without a time
+        number = number.cast("int").alias(CHUNK, metadata={PARTITIONS: self.partitions} if self.partitions else {})
         return placed.select(*df.columns, number)
 
     def arranged(self, df: DataFrame, at: str = "_us", row_id: str = "event_id", kind: Column | None = None) -> DataFrame:

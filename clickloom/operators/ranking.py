@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from clickloom.constants import LIFT_PERCENTS, RECALL_KS, SEED
 from clickloom.functions.scalar import hash32, ratio
 from clickloom.operators.candidates import BOUNDS, Lookups, Score, meeting, with_candidates, with_scores
-from clickloom.operators.prefix import by_group_value, by_value, global_rank
+from clickloom.operators.prefix import by_group_value, by_value, global_rank, pieces_of
 from clickloom.operators.profile import ranked_buckets, user_stats
 from clickloom.session import materialize
 
@@ -57,13 +57,13 @@ def best_scored(queries: DataFrame, lookups: Lookups, score: Score, key: str = "
     """(key, scored) of the blocks that may hold one of the ``size`` best ads of a key, for ``recommendations``.
 
     The block with the highest bound is looked into first. If it holds so many ads, the last of its best is a
-    score that every other block has to reach with its bound.
+    score that every other block has to reach with its bound. A single block is looked into once.
     """
     bounds = BOUNDS.get(score)
-    if bounds is None:
+    if bounds is None or lookups.n_blocks == 1:
         return with_scores(with_candidates(queries, lookups), score).select(key, "scored")
     met = meeting(queries, lookups).withColumn("_up", bounds()[1]).groupBy(key).agg(F.max_by("block", F.struct("_up", "block")).alias("_first"))
-    asked = materialize(queries.join(met, key), "first-blocks")
+    asked = materialize(queries.join(met, key).repartition(pieces_of(queries), key), "first-blocks")
     best = with_scores(with_candidates(asked, lookups, only=F.col("_first")), score)
     ordered = F.array_sort(F.filter(F.transform("scored", lambda x: -x["score"]), lambda x: x.isNotNull()))
     floor = best.select(F.col(key).alias("_key"), (-F.try_element_at(ordered, F.lit(size))).alias("_floor"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clickloom.operators import coclick, encode, history, prefix
 from clickloom.operators.asof import as_of_join
-from clickloom.operators.prefix import CHUNK, Timeline, by_value, global_rank, row_position, running
+from clickloom.operators.prefix import CHUNK, Timeline, by_chunk, by_value, global_rank, row_position, running
 
 HOUR = 3_600_000_000
 
@@ -128,6 +128,17 @@ def test_strict_ties_ignore_the_same_timestamp(spark, tied):
     assert {r.event_id: (r.ag_clicks_before, r.ag_impressions_before) for r in out} == want
 
 
+def test_chunks_are_dealt_to_the_partitions_evenly(spark):
+    """Four chunks in each of 12 partitions; by the hash of 0, 1, ... the fullest had a multiple of the emptiest."""
+    df = log(spark, [(i, i * HOUR, "u", "a", 0) for i in range(4800)])
+    line = Timeline.of(df, partition_rows=400)
+    rows = by_chunk(line.chunked(df)).select(CHUNK, "_us", F.spark_partition_id().alias("task"))
+    tasks = [r["count"] for r in rows.groupBy("task").count().collect()]
+    assert line.partitions == 12 and len(tasks) == 12 and max(tasks) <= 500
+    spans = sorted((r[CHUNK], r.lo, r.hi) for r in rows.groupBy(CHUNK).agg(F.min("_us").alias("lo"), F.max("_us").alias("hi")).collect())
+    assert len(spans) == 48 and all(a[2] < b[1] for a, b in zip(spans, spans[1:]))
+
+
 def test_a_hot_key_and_a_hot_timestamp_are_spread_over_chunks(spark):
     df = log(spark, [(i, 0 if i < 900 else i * HOUR, "u", "hot", 0) for i in range(1000)])
     sizes = [r["count"] for r in Timeline.of(df, pieces=10).chunked(df).groupBy(CHUNK).count().collect()]

@@ -120,6 +120,22 @@ def test_blocks_are_skipped_and_nothing_is_lost(wide):
     assert rows.count() == queries.count() * many.n_blocks and 0 < looked < 0.95 * rows.count()
 
 
+def test_queries_are_dealt_to_as_many_tasks_as_a_shuffle_has(wide):
+    """Few bytes of queries that meet many ads are not put into one task."""
+    from clickloom.operators.candidates import user_snapshot, with_candidates
+    gold, _, (small, _) = wide
+    users = user_snapshot(gold, gold.select(F.col("userid_key").alias("userid")).distinct())
+    tasks = with_candidates(users, small).groupBy(F.spark_partition_id().alias("task")).agg(F.count_distinct("userid").alias("n")).collect()
+    assert len(tasks) == 8 and sum(r.n for r in tasks) == 50
+
+
+def test_a_single_block_is_looked_into_once(wide):
+    from clickloom.operators.candidates import linear_score, user_snapshot
+    gold, _, (_, one) = wide
+    users = user_snapshot(gold, gold.select(F.col("userid_key").alias("userid")).distinct())
+    assert not [f for f in ranking.best_scored(users, one, linear_score).inputFiles() if "first-blocks" in f]
+
+
 def test_lift_ranks_rows_without_a_score_last(spark):
     df = spark.createDataFrame([(1, 0.9, 1), (2, None, 1), (3, 0.1, 0), (4, 0.5, 0)], "event_id long, s double, click int")
     got = {r.top_percent: r for r in ranking.lift_table(df, "s", percents=[50, 100]).collect()}
