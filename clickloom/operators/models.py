@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 
 from clickloom.constants import CATEGORICAL_FEATURES, FEATURES, NUMERIC_FEATURES, RECALL_KS, SEED
 from clickloom.operators.blockscore import Coded
-from clickloom.operators.prefix import Timeline, row_position
+from clickloom.operators.prefix import Timeline, pieces_of, row_position
 from clickloom.operators.ranking import auc, auc_by_group, recall_at, true_ranks_of_rows
 from clickloom.operators import trees
 from clickloom.operators.dictionaries import CategorySlots, CategorySlotsModel
@@ -35,6 +35,7 @@ SETTINGS = {"numTrees": "trees", "maxIter": "rounds", "stepSize": "step", "maxDe
 VALIDATION_SHARE = 0.15
 PATIENCE = 100
 ROWS_PER_TASK = 20_000    # trees run many short jobs; smaller tasks cost more to start than they take
+ROWS_PER_ITERATION = 100_000    # some 60 MB of features
 # Missing where the ad is in no dimension; models read the train mean instead.
 NULLABLE_NUMBERS = ["price", "user_price_gap"]
 KNOWN = "_or_mean"
@@ -73,13 +74,24 @@ def packed(rows: DataFrame) -> DataFrame:
     return rows.coalesce(max(1, -(-rows.count() // ROWS_PER_TASK)))
 
 
+def dealt(rows: DataFrame, n: int) -> DataFrame:
+    """Many rows in as many partitions as a shuffle has, or more where these would hold more than ``ROWS_PER_ITERATION``.
+
+    A few files hold millions of rows, and a task keeps the features of its rows and reads them in every iteration.
+    """
+    return rows.repartition(max(pieces_of(rows), -(-n // ROWS_PER_ITERATION))) if n > pieces_of(rows) * ROWS_PER_TASK else rows
+
+
 def changed(preset: Growth | Forest, **settings) -> Growth | Forest:
     """A preset with some of its settings changed; Spark's names of settings are understood too."""
     return replace(preset, **{SETTINGS.get(k, k): v for k, v in settings.items()})
 
 
 def fit_logistic(train: DataFrame, max_iter: int = 1000) -> PipelineModel:
-    return Pipeline(stages=[*linear_stages(), logistic(train.count(), max_iter)]).fit(packed(train))
+    """The features are made first, then dealt to the tasks that read them in every iteration."""
+    made = Pipeline(stages=linear_stages()).fit(packed(train))
+    rows = train.count()
+    return PipelineModel([*made.stages, logistic(rows, max_iter).fit(dealt(made.transform(packed(train)).select("features", "click"), rows))])
 
 
 def with_validation_flag(train: DataFrame, share: float = VALIDATION_SHARE) -> DataFrame:

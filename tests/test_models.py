@@ -44,6 +44,15 @@ def test_slots_of_many_brands_come_from_a_table(spark):
     assert got == {"b000000": 0, "b000007": 7, "b099999": 99_999, "b100000": 100_000, "b199999": 199_999, "new": 200_000, None: 200_000}
 
 
+def test_rows_of_a_long_fit_are_dealt_to_many_tasks(spark):
+    """Few files of many rows: no task keeps more than a bounded number; short logs stay as they are."""
+    rows = spark.range(0, 1_000_000, 1, 2)
+    tasks = lambda df: [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    sizes = tasks(models.dealt(rows, 1_000_000))
+    assert max(sizes) <= 1.1 * models.ROWS_PER_ITERATION and sum(sizes) == 1_000_000
+    assert len(tasks(models.dealt(spark.range(0, 10_000, 1, 2), 10_000))) == 2
+
+
 def test_validation_rows_are_the_last_ones(split):
     rows = models.with_validation_flag(split[0]).groupBy("is_validation").agg(
         F.count("*").alias("n"), F.min("time_stamp").alias("lo"), F.max("time_stamp").alias("hi")).collect()
