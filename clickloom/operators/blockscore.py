@@ -2,8 +2,8 @@
 
 A query meets the catalog block by block as an array; no row per query and ad exists. Categories are coded before: what a
 model needs of a category (its click rate, the sum of its coefficients) is joined to the queries and to the catalog once,
-so that a block is a matrix of numbers, which one Arrow call per batch gives to every model. A first pass reads only the block
-that holds the query's own ad, a second counts the ads ahead of it, for all models at once.
+so that a block is a matrix of numbers, which one Arrow call per batch gives to every model. A first pass reads only the
+query's own ad, a second counts the ads ahead of it, for all models at once.
 """
 
 from __future__ import annotations
@@ -206,7 +206,7 @@ def recalls(coded: Coded, queries: DataFrame, lookups: Lookups, ks: Sequence[int
     """(model, recall_at_<k> ...) of every model: two passes over the candidates, whatever the number of models."""
     names, blocks = list(coded.models), coded_lookups(coded, lookups)
     asked = materialize(coded.coded(queries, QUERY_CATEGORIES), "coded-queries")
-    own = over_blocks(coded, with_candidates(asked, blocks, true_block_only=True), ["query_id", "true_adgroup_id"], own_scores, "mine array<double>")
+    own = over_blocks(coded, with_candidates(asked, blocks, own_ad_only=True), ["query_id", "true_adgroup_id"], own_scores, "mine array<double>")
     own = materialize(own.where("mine IS NOT NULL"), "own-scores")
     known = asked.join(own, "query_id", "left")
     counts = over_blocks(coded, with_candidates(known, blocks), ["query_id", "true_adgroup_id", "mine"], ads_ahead, "ahead array<bigint>, size bigint")

@@ -140,9 +140,6 @@ class Lookups:
     follow: DataFrame
     n_blocks: int
 
-    def block_of(self, ad: Column) -> Column:
-        return F.pmod(F.xxhash64(ad), F.lit(self.n_blocks)).cast("int")
-
 
 def lookups_of(gold: DataFrame, catalog: DataFrame, block_ads: int = BLOCK_ADS) -> Lookups:
     train = gold.where(is_train())
@@ -218,23 +215,36 @@ def every_block(queries: DataFrame, blocks: DataFrame) -> DataFrame:
     return dealt.join(copies, "_group").drop("_group")
 
 
-def meeting(queries: DataFrame, lookups: Lookups, only: Column | None = None) -> DataFrame:
-    """A row per query and block with all that candidates are made of; ``only`` names one block per query."""
+def single_ads(blocks: DataFrame) -> DataFrame:
+    """The blocks with one ad each, by that ad as ``true_adgroup_id``: who asks for one ad does not carry its neighbours."""
+    fields = blocks.schema["ads"].dataType.elementType.fieldNames()
+    one = F.struct(*[F.lit(0).alias(c) if c in ("_ci", "_bi") else F.col("_ad")[c].alias(c) for c in fields])
+    kept = [c for c in blocks.columns if c not in ("ads", "_cates", "_brands")]
+    return blocks.select(*kept, F.explode("ads").alias("_ad")).select(
+        *kept, F.col("_ad.adgroup_id").alias("true_adgroup_id"), F.array(one).alias("ads"),
+        F.array("_ad.cate_id").alias("_cates"), F.array("_ad.brand").alias("_brands"),
+    )
+
+
+def meeting(queries: DataFrame, lookups: Lookups, only: Column | None = None, own_ad_only: bool = False) -> DataFrame:
+    """A row per query and block with all that candidates are made of; ``only`` names one block per query, ``own_ad_only`` leaves its own ad."""
     out = lookup(lookup(queries, lookups.users, ["userid"]), lookups.follow, [PREV])
-    out = every_block(out, lookups.blocks) if only is None else out.withColumn("block", only).join(lookups.blocks, "block")
+    if own_ad_only:
+        out = out.join(single_ads(lookups.blocks), "true_adgroup_id")
+    else:
+        out = every_block(out, lookups.blocks) if only is None else out.withColumn("block", only).join(lookups.blocks, "block")
     return out.withColumn("_coclick", F.try_element_at("_follow", "block"))
 
 
 def with_candidates(
-    queries: DataFrame, lookups: Lookups, true_block_only: bool = False, only: Column | None = None, bounds: Bounds | None = None, skip: Skip | None = None,
+    queries: DataFrame, lookups: Lookups, own_ad_only: bool = False, only: Column | None = None, bounds: Bounds | None = None, skip: Skip | None = None,
 ) -> DataFrame:
     """A row per query and ``block`` with ``candidates``: the block's ads with state and cross features.
 
-    ``true_block_only`` keeps just the block that would hold the query's own ad, ``only`` the block it names. With
+    ``own_ad_only`` keeps just the query's own ad, and no row where the catalog lacks it; ``only`` the block it names. With
     ``bounds``, rows have ``_low`` and ``_up``, and candidates are null where ``skip`` says so.
     """
-    only = lookups.block_of(F.col("true_adgroup_id")) if true_block_only else only
-    out, looked = meeting(queries, lookups, only), F.col("ads")
+    out, looked = meeting(queries, lookups, only, own_ad_only), F.col("ads")
     if bounds:
         low, up, _ = bounds()
         out = out.withColumns({"_low": low - MARGIN, "_up": up + MARGIN})

@@ -44,9 +44,9 @@ def true_ranks(queries: DataFrame, lookups: Lookups, score: Score) -> DataFrame:
     """0-based rank of the clicked ad among the candidates of its query.
 
     Higher score first, then smaller ad id; the catalog size if the ad is not a candidate. The
-    query's own score is found in one block, the ads ahead of it are counted block by block.
+    query's own score is made for that ad alone, the ads ahead of it are counted block by block.
     """
-    own = with_scores(with_candidates(queries, lookups, true_block_only=True), score)
+    own = with_scores(with_candidates(queries, lookups, own_ad_only=True), score)
     mine = F.try_element_at(F.filter("scored", lambda x: x["adgroup_id"] == F.col("true_adgroup_id")), F.lit(1))["score"]
     known = own.select("query_id", mine.alias("_mine")).where(F.col("_mine").isNotNull())
     asked = queries.join(known, "query_id", "left")

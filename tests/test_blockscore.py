@@ -51,3 +51,14 @@ def test_recommendations_equal_scores_of_rows(lake, fitted):
         got = training.recommend(model, lake.gold, lookups, users, 9)
         plain = lambda df: {r.userid: [(x.adgroup_id, round(x.score, 5)) for x in r.recommendations] for r in df.collect()}
         assert plain(got) == plain(want)
+
+
+def test_the_own_ad_is_made_without_its_neighbours(lake):
+    """One candidate per query, the same as among all ads, whatever the blocks."""
+    queries = click_queries(lake.gold)
+    plain = lambda df: sorted(map(str, df.select("query_id", F.to_json(F.struct(*sorted(c for c in df.columns if c != "query_id"))).alias("row")).collect()))
+    want = plain(exploded(with_candidates(queries, lake.lookups)).where("adgroup_id = true_adgroup_id"))
+    for lookups in (lake.lookups, lake.small_blocks):
+        own = with_candidates(queries, lookups, own_ad_only=True)
+        assert own.where("size(candidates) != 1").isEmpty()
+        assert plain(exploded(own)) == want != []
