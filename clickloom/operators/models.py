@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Iterator, Sequence
 from dataclasses import replace
 from functools import cached_property
@@ -10,16 +11,17 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, VectorAssembler
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.feature import Imputer, OneHotEncoder, OneHotEncoderModel, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Matrices, Vectors
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from clickloom.constants import CATEGORICAL_FEATURES, FEATURES, NUMERIC_FEATURES, RECALL_KS, SEED
 from clickloom.operators.blockscore import Coded
 from clickloom.operators.prefix import Timeline, pieces_of, row_position
 from clickloom.operators.ranking import auc, auc_by_group, recall_at, true_ranks_of_rows
-from clickloom.operators import trees
+from clickloom.operators import newton, trees
 from clickloom.operators.dictionaries import CategorySlots, CategorySlotsModel
 from clickloom.operators.trees import Forest, Growth, Prepared, TreeModel
 from clickloom.session import materialize
@@ -87,11 +89,26 @@ def changed(preset: Growth | Forest, **settings) -> Growth | Forest:
     return replace(preset, **{SETTINGS.get(k, k): v for k, v in settings.items()})
 
 
+def logistic_of(coefficients: np.ndarray, intercept: float, rows: int) -> LogisticRegressionModel:
+    """A model of known weights: bounds that leave a fit no choice, on one row of zeros and one of ones."""
+    two = SparkSession.active().createDataFrame([(Vectors.dense(np.full(len(coefficients), float(k))), k) for k in (0, 1)], ["features", "click"])
+    weights, shift = Matrices.dense(1, len(coefficients), list(coefficients)), Vectors.dense([intercept])
+    held = dict(lowerBoundsOnCoefficients=weights, upperBoundsOnCoefficients=weights, lowerBoundsOnIntercepts=shift, upperBoundsOnIntercepts=shift)
+    return logistic(rows, 0).setParams(**held).fit(two)
+
+
 def fit_logistic(train: DataFrame, max_iter: int = 1000) -> PipelineModel:
-    """The features are made first, then dealt to the tasks that read them in every iteration."""
+    """The features are made first, then dealt to the tasks that read them in every step."""
     made = Pipeline(stages=linear_stages()).fit(packed(train))
-    rows = train.count()
-    return PipelineModel([*made.stages, logistic(rows, max_iter).fit(dealt(made.transform(packed(train)).select("features", "click"), rows))])
+    rows, clicks = train.agg(F.count(F.lit(1)), F.sum("click")).first()
+    featured = made.transform(packed(train))
+    sizes = next(s for s in made.stages if isinstance(s, OneHotEncoderModel)).categorySizes
+    if not 0 < clicks < rows or len(NUMERIC_FEATURES) + sum(sizes) > newton.MAX_FEATURES:
+        return PipelineModel([*made.stages, logistic(rows, max_iter).fit(dealt(featured.select("features", "click"), rows))])
+    slots = F.array(*[F.col(f"{c}_ix").cast("int") for c in CATEGORICAL_FEATURES])
+    read = materialize(dealt(featured.select(vector_to_array("_scaled").alias("x"), slots.alias("slots"), "click"), rows), "linear-rows")
+    coefficients, intercept, _ = newton.optimum(read, sizes, len(NUMERIC_FEATURES), math.log(clicks / (rows - clicks)), max_iter)
+    return PipelineModel([*made.stages, logistic_of(coefficients, intercept, rows)])
 
 
 def with_validation_flag(train: DataFrame, share: float = VALIDATION_SHARE) -> DataFrame:

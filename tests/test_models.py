@@ -135,3 +135,26 @@ def test_swapped_rows_score_as_the_model_scores_them(logistic, split):
         slow = sorted(r.score for r in models.scored(logistic, plain).collect())
         fast = sorted(r.score for r in got if r._variant == at)
         assert fast == pytest.approx(slow, abs=1e-9)
+
+
+def test_a_dozen_steps_reach_the_optimum_of_the_logistic_loss(split):
+    """Slopes of the penalised sum vanish at every weight; gradient steps need hundreds of passes for that."""
+    import numpy as np
+    model = models.fit_logistic(split[0], 12)
+    last, rows = model.stages[-1], model.transform(split[0]).select("features", "click", models.probability().alias("p")).collect()
+    matrix = np.array([r.features.toArray() for r in rows])
+    error = np.array([r.p - r.click for r in rows])
+    assert abs(matrix.T @ error + last.coefficients.toArray()).max() < 1e-5 and abs(error.sum()) < 1e-5
+    assert last.getRegParam() == 1 / len(rows) and len(last.coefficients) == matrix.shape[1]
+
+
+def test_sums_of_the_logistic_fit_against_all_rows(spark):
+    import numpy as np
+    from clickloom.operators import newton
+    data = [([0.1 * i, -1.0], [i % 3, i % 2], int(i * 7 % 5 < 2)) for i in range(60)]       # slot 2 of the first category is beyond
+    rows, weights = spark.createDataFrame(data, "x array<double>, slots array<int>, click int").repartition(3), np.linspace(-1, 1, 7)
+    loss, slope, curve = newton.sums_at(rows, [2, 2], 2, weights)
+    matrix = np.array([[*x, s[0] == 0, s[0] == 1, s[1] == 0, s[1] == 1, 1] for x, s, _ in data], float)
+    click, chance = np.array([c for *_, c in data]), 1 / (1 + np.exp(-matrix @ weights))
+    assert loss == pytest.approx(-(click * np.log(chance) + (1 - click) * np.log(1 - chance)).sum())
+    assert slope == pytest.approx(matrix.T @ (chance - click)) and curve == pytest.approx(matrix.T @ (matrix * (chance * (1 - chance))[:, None]))
