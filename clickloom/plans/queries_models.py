@@ -67,13 +67,11 @@ def _(lake: Lake) -> DataFrame:
        FROM (SELECT unnest([{', '.join(repr(c) for c in NUMERIC_FEATURES)}, 'intercept']) AS feature)""")
 def _(lake: Lake) -> DataFrame:
     """Slopes of the penalised loss at the fitted coefficients; all vanish where the fit is the optimum."""
-    train, _ = split(lake)
-    model, n = lake.model("logistic"), len(NUMERIC_FEATURES)
-    last = model.stages[-1]
-    rows = model.transform(train).select((models.probability() - F.col("click")).alias("_e"), vector_to_array("_scaled").alias("_x"))
-    weights = [float(w) for w in last.coefficients[:n]]
-    mean = lambda c: F.avg(c)
-    slopes = [mean(F.col("_e") * F.col("_x")[i]) + F.lit(last.getRegParam() * w) for i, w in enumerate(weights)] + [mean(F.col("_e"))]
+    coded, pull = blockscore.Coded({"logistic": lake.model("logistic")}), lake.model("logistic").stages[-1].getRegParam()
+    numbers, _, _ = coded.parts["logistic"]
+    rows = blockscore.scored_rows(coded, lake.train, "click", *NUMERIC_FEATURES).withColumn("_e", F.get("scores", 0) - F.col("click"))
+    scaled = lambda c, mean, spread: F.coalesce((F.col(c) - mean) / spread, F.lit(0.0)) if spread else F.lit(0.0)
+    slopes = [F.avg(F.col("_e") * scaled(c, mean, spread)) + F.lit(pull * w) for c, (mean, spread, w) in numbers.items()] + [F.avg("_e")]
     named = F.array(*[F.struct(F.lit(f).alias("feature"), (F.round(v, 3) + 0.0).alias("slope")) for f, v in zip([*NUMERIC_FEATURES, "intercept"], slopes)])
     return rows.agg(named.alias("_p"), F.count(F.lit(1)).alias("rows")).select(F.explode("_p").alias("_p"), "rows").select("_p.*", "rows")
 
@@ -81,9 +79,9 @@ def _(lake: Lake) -> DataFrame:
 @query("j15_category_equations", f"""WITH {GOLD} SELECT * FROM ({' UNION ALL '.join(f"SELECT '{c}' AS column_name, {c} AS value, count(*) AS rows, 0.0::DOUBLE AS slope FROM gold WHERE _split = 'train' GROUP BY {c}" for c in CATEGORICAL_FEATURES)})""")
 def _(lake: Lake) -> DataFrame:
     """The same slopes for the weight of every category: errors of its rows against the pull of the penalty."""
-    model = lake.model("logistic")
-    _, weights, _ = blockscore.linear_parts(model)
-    scored = models.scored(model, lake.train, "click", *CATEGORICAL_FEATURES)
+    coded = blockscore.Coded({"logistic": lake.model("logistic")})
+    _, weights, _ = coded.parts["logistic"]
+    scored = blockscore.scored_rows(coded, lake.train, "click", *CATEGORICAL_FEATURES).withColumn("score", F.get("scores", 0))
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in CATEGORICAL_FEATURES])).alias("_p")
     errors = scored.select(pairs, (F.col("score") - F.col("click")).alias("_e")).select("_p.*", "_e").groupBy("column", "value").agg(F.sum("_e").alias("_e"), F.count("*").alias("rows"))
     slope = (F.col("_e") + F.col("weight")) / F.sum("rows").over(W.partitionBy("column"))
