@@ -158,3 +158,13 @@ def test_sums_of_the_logistic_fit_against_all_rows(spark):
     click, chance = np.array([c for *_, c in data]), 1 / (1 + np.exp(-matrix @ weights))
     assert loss == pytest.approx(-(click * np.log(chance) + (1 - click) * np.log(1 - chance)).sum())
     assert slope == pytest.approx(matrix.T @ (chance - click)) and curve == pytest.approx(matrix.T @ (matrix * (chance * (1 - chance))[:, None]))
+
+
+def test_boosted_trees_are_fitted_on_all_rows(spark, split, monkeypatch):
+    """However many rows there are: the count of a huge train set must not make a fit leave some out."""
+    from pyspark.sql.classic.dataframe import DataFrame
+    rows = split[0].count()
+    monkeypatch.setattr(DataFrame, "count", lambda self: 400_000_000)
+    inputs = models.Inputs(split[0])
+    monkeypatch.undo()
+    assert inputs.all_rows.blocks.agg(F.sum("rows")).first()[0] == rows
