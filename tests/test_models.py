@@ -168,3 +168,12 @@ def test_boosted_trees_are_fitted_on_all_rows(spark, split, monkeypatch):
     inputs = models.Inputs(split[0])
     monkeypatch.undo()
     assert inputs.all_rows.blocks.agg(F.sum("rows")).first()[0] == rows
+
+
+def test_a_forest_is_fitted_on_all_rows(spark, split, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+    rows, seen = split[0].count(), []
+    monkeypatch.setattr(models.trees, "fit_forest", lambda known, *_: seen.append(known))
+    monkeypatch.setattr(DataFrame, "count", lambda self: 16_000_000)
+    models.fit_forest(split[0])
+    assert seen[0].blocks.agg(F.sum("rows")).first()[0] == rows

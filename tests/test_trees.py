@@ -192,3 +192,17 @@ def test_messages_of_tasks_are_small_and_exact():
     for numbers in (leaf, leaf * (1 << 20), np.zeros((3, 5)), np.array([-float(1 << 50), 1.0, 0.0]), np.array([float(1 << 31), -float(1 << 31)])):
         assert (trees.numbers_of(trees.message(numbers), numbers.shape) == numbers).all()
     assert len(trees.message(leaf)) < leaf.nbytes // 8
+
+
+def test_a_forest_does_not_depend_on_its_parts(known, monkeypatch):
+    """Rows in one array, or in several parts that a file holds."""
+    forest, n = Forest(trees=4, depth=6, min_rows=5), len(known.cuts)
+    bins, label = rows_of(known.blocks, n)
+    whole = [trees.forest_tree(bins, label, forest, k) for k in range(4)]
+    own = trees.Parts(n)
+    monkeypatch.setattr(trees, "PART_ROWS", 150)
+    for at in range(0, bins.shape[1], 100):
+        own.add(bins[:, at:at + 100].tobytes(), label[at:at + 100].astype(np.uint8).tobytes())
+    parts, flags = own.closed(), own.label()
+    assert len(parts) > 5 and all(isinstance(p, np.memmap) for p in parts) and (flags == label).all()
+    assert [t.plain() for t in whole] == [trees.forest_tree(parts, flags, forest, k).plain() for k in range(4)]
