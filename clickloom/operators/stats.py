@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from clickloom.constants import FEATURE_GROUPS, GROUPED_FEATURES
@@ -47,16 +51,62 @@ def ranked_correlation(gold: DataFrame) -> DataFrame:
 
 
 def correlation_pairs(gold: DataFrame, features: Sequence[str] = GROUPED_FEATURES, size: int | None = 15) -> DataFrame:
-    """Feature pairs by decreasing |r|, each over the rows that have both values, in one pass."""
-    pairs = [(a, b) for i, a in enumerate(features) for b in features[i + 1:]]
-    value = lambda c: F.col(c).cast("double")
-    row = gold.agg(*[F.corr(value(a), value(b)).alias(f"r{k}") for k, (a, b) in enumerate(pairs)])
-    named = F.array(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"r{k}").alias("r")) for k, (a, b) in enumerate(pairs)])
-    out = row.select(F.explode(named).alias("_p")).select("_p.*").where(F.col("r").isNotNull() & ~F.isnan("r"))
+    """Feature pairs by decreasing |r|, each over the rows that have both values; pairs without an r are left out."""
+    r = correlations(gold, features)
+    pairs = [(a, b, float(r[i, j])) for i, a in enumerate(features) for j, b in enumerate(features) if i < j and not math.isnan(r[i, j])]
+    out = gold.sparkSession.createDataFrame(pairs, "feature_a string, feature_b string, r double")
     out = out.orderBy(F.desc(F.abs("r")), "feature_a", "feature_b")
     return out.limit(size) if size else out
 
 
+LOST = 1e-9     # of a sum of squares; a spread below is too small for a difference of sums
+
+
+def correlations(rows: DataFrame, features: Sequence[str]) -> np.ndarray:
+    """Pearson r of all pairs, NaN where there is none: one value, equal values, or one that is not finite.
+
+    One pass finds a centre of each feature, a second sums all pairs at once as products of matrices.
+    """
+    value = {c: F.col(c).cast("double") for c in features}
+    finite = {c: F.when(~F.isnan(v) & (F.abs(v) < math.inf), v) for c, v in value.items()}
+    row = rows.agg(*[f(v) for v in finite.values() for f in (F.min, F.max, F.avg)]).first()
+    centre = [low if low == high else mean for low, high, mean in zip(row[::3], row[1::3], row[2::3])]
+    n, first, second, product, bad = pair_sums(rows.select(*[value[c].alias(c) for c in features]), [x or 0.0 for x in centre])
+    with np.errstate(all="ignore"):
+        spread, shared = second - first ** 2 / n, product - first * first.T / n
+        r = shared / np.sqrt(spread * spread.T)
+    r[(n < 2) | (bad > 0) | ~np.isfinite(r)] = np.nan
+    close = (spread <= LOST * second) & (second > 0)
+    for i, j in np.argwhere(np.triu((close | close.T) & (n > 1) & (bad == 0), 1)):
+        a, b = value[features[i]], value[features[j]]
+        both = rows.where(a.isNotNull() & b.isNotNull())
+        low_a, high_a, low_b, high_b = both.agg(F.min(a), F.max(a), F.min(b), F.max(b)).first()
+        r[i, j] = both.agg(F.corr(a, b)).first()[0] if low_a < high_a and low_b < high_b else np.nan
+    return r
+
+
+def pair_sums(rows: DataFrame, centre: Sequence[float]) -> np.ndarray:
+    """(5, columns, columns) over the rows that have both the first and the second column: their number, the sum of the first one's
+    distances from its centre, of their squares, of the products of both distances, and how many rows have one that is not finite."""
+    k, middle = len(centre), np.asarray(centre)[:, None]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((5, k, k))
+        for batch in batches:
+            x = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            known = np.stack([np.asarray(c.is_valid()) for c in batch.columns]).astype(float)
+            wild = known * ~np.isfinite(x)
+            x = np.where((known > 0) & (wild == 0), x - middle, 0.0)
+            uneven = wild @ known.T
+            total += np.stack([known @ known.T, x @ known.T, x ** 2 @ known.T, x @ x.T, uneven + uneven.T])
+        yield pa.record_batch([pa.array(range(5 * k), pa.int32()), pa.array(list(total.reshape(-1, k)), pa.list_(pa.float64()))], names=["line", "sums"])
+
+    parts = rows.mapInArrow(run, "line int, sums array<double>")
+    added = parts.groupBy("line").agg(vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums"))
+    found = {r["line"]: r["sums"] for r in added.collect()}      # five rows per column
+    return np.array([found.get(line, [0.0] * k) for line in range(5 * k)]).reshape(5, k, k)
+
+
 def level_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(feature, level, n, clicks) of categorical columns."""
     levels = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("level")) for c in columns])

@@ -197,3 +197,16 @@ def test_effect_labels(spark):
     from clickloom.functions.scalar import effect_label
     df = spark.createDataFrame([(-0.1,), (0.2,), (-0.4,), (0.9,)], "d double")
     assert [r[0] for r in df.select(effect_label(F.col("d"))).collect()] == ["Negligible", "Small", "Medium", "Large"]
+
+
+def test_all_correlations_from_one_pass_of_sums(spark):
+    """Missing, equal and infinite values, and a column far from zero; before, equal values ended in a division by zero."""
+    import math
+    rows = [(1e9 + i % 7, None if i % 3 else 0.1 * i, 0.1, float((i * i) % 11), math.inf if i == 8 else float(i), 5.0 + i % 2 if i < 30 else None, 0.3 if i < 30 else float(i)) for i in range(60)]
+    names = list("abcdefg")
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in names)).repartition(4)
+    got = {(r.feature_a, r.feature_b): r.r for r in stats.correlation_pairs(df, names, None).collect()}
+    pairs = [(a, b) for i, a in enumerate("abdfg") for b in "abdfg"[i + 1:] if a + b != "fg"] + [("b", "e")]      # 0.3 wherever there is an f
+    pandas = df.toPandas().corr()
+    assert set(got) == set(pairs) and all(got[k] == pytest.approx(pandas.loc[k], abs=1e-7) for k in pairs)
+    assert stats.correlation_pairs(df.where("a < 0"), names).count() == 0
