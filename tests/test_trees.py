@@ -2,6 +2,7 @@
 
 import math
 from dataclasses import replace
+from threading import Barrier
 
 import numpy as np
 import pytest
@@ -206,3 +207,32 @@ def test_a_forest_does_not_depend_on_its_parts(known, monkeypatch):
     parts, flags = own.closed(), own.label()
     assert len(parts) > 5 and all(isinstance(p, np.memmap) for p in parts) and (flags == label).all()
     assert [t.plain() for t in whole] == [trees.forest_tree(parts, flags, forest, k).plain() for k in range(4)]
+
+
+def test_features_counted_together_are_told_apart():
+    """Few bins share a code, a row shares a double with its hessian: sums are those of the rows, also beyond one helping of rows."""
+    rng = np.random.default_rng(3)
+    sizes, n = (2, 3, 5, 250, 7, 1, 200), 250_000
+    bins = np.stack([rng.integers(0, s, n) for s in sizes]).astype(np.uint8)
+    gradient, hessian = rng.integers(-1 << 20, 1 << 20, n).astype(float), np.full(n, float(1 << 18))
+    leaves = [trees.Leaf(np.arange(0, n, 2), np.zeros(3), 0), trees.Leaf(np.arange(1, n, 6), np.zeros(3), 0)]
+    groups = trees.joined(bins)
+    assert len(groups) < len(sizes) and sorted(f for g in groups for f in g.features) == list(range(len(sizes)))
+    found = trees.histograms(len(sizes), groups, leaves, gradient, hessian + trees.ROW)
+    for leaf, mine in zip(leaves, found):
+        for f in range(len(sizes)):
+            for got, weights in zip(mine, (gradient, hessian, np.ones(n))):
+                assert (got[f] == np.bincount(bins[f][leaf.rows], weights[leaf.rows], minlength=256)).all()
+
+
+def test_boosted_fits_run_side_by_side(lake):
+    """All fits of one task are under way at once, and give what they give one by one."""
+    from clickloom.plans import training
+    small = {"boosted, histogram": {"rounds": 5}, "boosted, leafwise": {"rounds": 5, "patience": 2}, "boosted, depthwise": {"rounds": 5, "patience": 2}}
+    meet, fits = Barrier(3), dict(training.FITS)
+    training.FITS.update({n: lambda *a, fit=fits[n], **s: (meet.wait(60), fit(*a, **s))[1] for n in small})
+    try:
+        found = training.fit_all(lake.train, small, tuple(small))
+    finally:
+        training.FITS.update(fits)
+    assert {n: m.trees for n, m in found.items()} == {n: fits[n](lake.train, models.Inputs(lake.train), **s).trees for n, s in small.items()}
