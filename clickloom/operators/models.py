@@ -20,8 +20,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 
 from clickloom.constants import CATEGORICAL_FEATURES, FEATURES, NUMERIC_FEATURES, RECALL_KS, SEED
 from clickloom.operators.blockscore import Coded
-from clickloom.operators.prefix import Timeline, pieces_of, row_position
-from clickloom.operators.ranking import auc, auc_by_group, recall_at, true_ranks_of_rows
+from clickloom.operators.prefix import Timeline, pieces_of, quantile_splits, row_position
+from clickloom.operators.ranking import PACKED, auc, auc_by_group, packed_scores, recall_at, true_ranks_of_rows
 from clickloom.operators import newton, trees
 from clickloom.operators.dictionaries import CategorySlots, CategorySlotsModel
 from clickloom.operators.trees import Forest, Growth, Prepared, TreeModel
@@ -39,6 +39,7 @@ VALIDATION_SHARE = 0.15
 PATIENCE = 100
 ROWS_PER_TASK = 20_000    # trees run many short jobs; smaller tasks cost more to start than they take
 ROWS_PER_ITERATION = 100_000    # some 60 MB of features
+SCORES_PER_PART = 1_000_000     # of one swapped feature, which are ordered at once
 # Missing where the ad is in no dimension; models read the train mean instead.
 NULLABLE_NUMBERS = ["price", "user_price_gap"]
 KNOWN = "_or_mean"
@@ -225,32 +226,90 @@ def importance(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return named.select(shown, "importance").orderBy(F.desc("importance"), "feature")
 
 
+def with_places(test: DataFrame, seeds: Sequence[int]) -> DataFrame:
+    """The rows, written with their ``position`` by id and their place by a hash for each seed (``_place0``, ``_place1``, ...).
+
+    Places are found on hashes and positions alone; whole rows move once to be numbered and once to meet their places.
+    """
+    numbered = materialize(row_position(test, ("event_id", "event_id"), Timeline.of(test, "event_id", "event_id")), "numbered-test")
+    out = numbered
+    for k, seed in enumerate(seeds):
+        hashed = numbered.select("position", F.abs(F.xxhash64(F.lit(seed), "event_id") % F.lit(1 << 40)).alias("_hash"))
+        out = out.join(row_position(hashed, ("_hash", "position"), Timeline.of(hashed, "_hash", "position"), f"_place{k}").drop("_hash"), "position")
+    return materialize(out, "placed-test")
+
+
+def pairs_at(placed: DataFrame, k: int, columns: Sequence[str]) -> DataFrame:
+    """Each row next to the features of the row whose place by the seed ``k`` is its position."""
+    others = placed.select(F.col(f"_place{k}").alias("position"), *[F.col(c).alias(f"{c}_other") for c in columns])
+    own = placed.drop(*[c for c in placed.columns if c.startswith("_place")])
+    return own.join(others, "position").drop("position")
+
+
 def shuffled_pairs(test: DataFrame, seed: int, columns: Sequence[str] = FEATURES) -> DataFrame:
     """Each row next to the features of a random partner row, as ``<feature>_other``.
 
     Rows are numbered once by id and once by a seeded hash; equal numbers meet in one join.
     """
-    rows = test.withColumn("_hash", F.abs(F.xxhash64(F.lit(seed), "event_id") % F.lit(1 << 40)))
-    by_id = row_position(rows, ("event_id", "event_id"), Timeline.of(rows, "event_id", "event_id")).drop("_hash")
-    by_hash = row_position(rows, ("_hash", "event_id"), Timeline.of(rows, "_hash", "event_id"))
-    return by_id.join(by_hash.select("position", *[F.col(c).alias(f"{c}_other") for c in columns]), "position").drop("position")
+    return pairs_at(with_places(test, [seed]), 0, columns)
 
 
-def with_swaps(coded: Coded, pairs: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(_variant, click, score): every row as it is (0) and with each of the ``columns`` (1, 2, ...) taken from its partner."""
+def swapped_scores(coded: Coded, columns: Sequence[str]) -> Callable[[pa.RecordBatch], Iterator[np.ndarray]]:
+    """Of a batch (click, matrix, matrix of the partners) the scores as it is and with each of the ``columns`` from the partner."""
     (score,), width = coded.scorers().values(), len(coded.columns)
     own = [[k for k, c in enumerate(coded.columns) if coded.feature_of(c) == f] for f in columns]
 
+    def run(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        values, others = trees.matrix_of(batch, 1, width), trees.matrix_of(batch, 1 + width, width)
+        for swapped in [[], *own]:
+            kept = values[swapped]
+            values[swapped] = others[swapped]
+            yield score(values)
+            values[swapped] = kept
+
+    return run
+
+
+def matrices(coded: Coded, pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("click").cast("int").alias("click"), *coded.columns, *[f"{c}_other" for c in coded.columns])
+
+
+def with_swaps(coded: Coded, pairs: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(_variant, click, score): every row as it is (0) and with each of the ``columns`` (1, 2, ...) taken from its partner."""
+    scores = swapped_scores(coded, columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, found in enumerate(scores(batch)):
+                yield pa.record_batch([pa.array(np.full(batch.num_rows, at)), batch.column(0), pa.array(found)], names=["_variant", "click", "score"])
+
+    return matrices(coded, pairs).mapInArrow(run, "_variant bigint, click int, score double")
+
+
+def packed_swaps(coded: Coded, pairs: DataFrame, columns: Sequence[str], borders: Sequence[float], first: int) -> DataFrame:
+    """The same scores for ``auc_by_group``, variants numbered from ``first`` on: a row per batch, variant and part of the scores."""
+    scores, inner = swapped_scores(coded, columns), np.asarray(borders[1:-1])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            click = batch.column(0).to_numpy(zero_copy_only=False) == 1
+            for at, found in enumerate(scores(batch)):
+                yield packed_scores(first + at, found, click, inner)
+
+    return matrices(coded, pairs).mapInArrow(run, PACKED)
+
+
+def score_borders(coded: Coded, rows: DataFrame) -> list[float]:
+    """Borders between parts of the scores of the rows as they are; areas do not depend on them."""
+    (score,), pieces = coded.scorers().values(), -(-rows.count() // SCORES_PER_PART)
+    if pieces < 2:
+        return [-math.inf, math.inf]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values, others = trees.matrix_of(batch, 1, width), trees.matrix_of(batch, 1 + width, width)
-            for at, swapped in enumerate([[], *own]):
-                mixed = values.copy()
-                mixed[swapped] = others[swapped]
-                yield pa.record_batch([pa.array(np.full(batch.num_rows, at)), batch.column(0), pa.array(score(mixed))], names=["_variant", "click", "score"])
+            yield pa.record_batch([pa.array(score(trees.matrix_of(batch, 0, batch.num_columns)))], names=["score"])
 
-    chosen = pairs.select(F.col("click").cast("int").alias("click"), *coded.columns, *[f"{c}_other" for c in coded.columns])
-    return chosen.mapInArrow(run, "_variant bigint, click int, score double")
+    return quantile_splits(rows.select(*coded.columns).mapInArrow(run, "score double"), ["score"], pieces)["score"]
 
 
 def permutation_importance(model: PipelineModel | TreeModel, test: DataFrame, repeats: int = 5, columns: Sequence[str] = FEATURES) -> DataFrame:
@@ -261,11 +320,12 @@ def permutation_importance(model: PipelineModel | TreeModel, test: DataFrame, re
     coded, variants = Coded({"model": model}), len(columns) + 1
     number = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))).alias(c)
     rows = coded.coded(test, CATEGORICAL_FEATURES).select("event_id", "click", *map(number, coded.columns))
-    rows, scores = materialize(rows, "coded-test"), None
+    placed, scores = with_places(materialize(rows, "coded-test"), [SEED + r for r in range(repeats)]), None
+    borders = score_borders(coded, placed)
     for r in range(repeats):
-        found = with_swaps(coded, shuffled_pairs(rows, SEED + r, coded.columns), columns).withColumn("_variant", F.col("_variant") + r * variants)
+        found = packed_swaps(coded, pairs_at(placed, r, coded.columns), columns, borders, r * variants)
         scores = found if scores is None else scores.unionByName(found)
-    areas = auc_by_group(materialize(scores, "swapped-scores"), "_variant", "score")
+    areas = materialize(auc_by_group(scores), "swapped-areas")
     at = F.pmod("feature", F.lit(variants)).cast("int")
     areas = areas.select(F.floor(F.col("feature") / variants).alias("_repeat"), at.alias("_at"), "auc")
     base = F.max(F.when(F.col("_at") == 0, F.col("auc"))).over(W.partitionBy("_repeat"))

@@ -223,14 +223,6 @@ def by_value(df: DataFrame, columns: Sequence[str], sums: Mapping[str, Column],
     return _cumulated(melted, sums).withColumn("feature", F.element_at(names, F.col("feature")))
 
 
-def by_group_value(df: DataFrame, group: str, value: str, sums: Mapping[str, Column]) -> DataFrame:
-    """The same for rows that already are (group, value); the group becomes ``feature``."""
-    keep = {f"_m_{n}": c for n, c in sums.items()}
-    long = df.select(F.col(group).alias("feature"), F.col(value).cast("double").alias("value"), *[c.alias(n) for n, c in keep.items()])
-    placed = bucketize(long, quantile_splits(long, ["value"], pieces_of(df)), "__b")
-    return _cumulated(placed.withColumnRenamed("value__b", "_b"), sums)
-
-
 def _cumulated(melted: DataFrame, sums: Mapping[str, Column]) -> DataFrame:
     flat = melted.where(F.col("value").isNotNull()).groupBy("feature", "_b", "value").agg(
         *[F.sum(f"_m_{n}").alias(n) for n in sums]

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from clickloom.constants import LIFT_PERCENTS, RECALL_KS, SEED
 from clickloom.functions.scalar import hash32, ratio
 from clickloom.operators.candidates import BOUNDS, Lookups, Score, meeting, with_candidates, with_scores
-from clickloom.operators.prefix import by_group_value, by_value, global_rank, pieces_of
+from clickloom.operators.prefix import by_value, global_rank, pieces_of
 from clickloom.operators.profile import ranked_buckets, user_stats
 from clickloom.session import materialize
 
@@ -171,9 +173,33 @@ def auc(df: DataFrame, score: str, label: str = "click") -> DataFrame:
     return auc_of(df, [score], label).select("auc")
 
 
-def auc_by_group(df: DataFrame, group: str, score: str, label: str = "click") -> DataFrame:
-    """The area for the rows of each group, as (feature, auc)."""
-    return _area(by_group_value(df, group, score, {"pos": F.col(label), "n": F.lit(1)}))
+PACKED = "feature bigint, part int, clicks binary, others binary"
+
+
+def packed_scores(feature: int, scores: np.ndarray, click: np.ndarray, borders: np.ndarray) -> pa.RecordBatch:
+    """The scores of some rows of a group as bytes: a row per part that the inner ``borders`` leave between them."""
+    part = np.searchsorted(borders, scores, side="right")
+    found = [(int(p), part == p) for p in np.unique(part)]
+    clicks, others = ([scores[here & own].tobytes() for _, here in found] for own in (click, ~click))
+    return pa.record_batch([
+        pa.array([feature] * len(found), pa.int64()), pa.array([p for p, _ in found], pa.int32()), pa.array(clicks, pa.binary()), pa.array(others, pa.binary()),
+    ], names=["feature", "part", "clicks", "others"])
+
+
+def auc_by_group(packed: DataFrame) -> DataFrame:
+    """The area of every group of packed scores, as (feature, auc).
+
+    Pairs within a part are counted in its task, on sorted arrays; the clicks of a part are ahead of all others in the parts below.
+    """
+    def count(table: pa.Table) -> pa.Table:
+        click, other = (np.sort(np.concatenate([np.zeros(0), *[np.frombuffer(b.as_buffer()) for b in table.column(c)]])) for c in ("clicks", "others"))
+        u = float(np.searchsorted(other, click, "left").sum() + np.searchsorted(other, click, "right").sum()) / 2
+        return pa.table({"feature": table.column("feature")[:1], "part": table.column("part")[:1], "u": [u], "clicks": [len(click)], "others": [len(other)]})
+
+    sums = packed.groupBy("feature", "part").applyInArrow(count, "feature bigint, part int, u double, clicks bigint, others bigint")
+    below = F.coalesce(F.sum("others").over(W.partitionBy("feature").orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    whole = sums.withColumn("_u", F.col("u") + F.col("clicks").cast("double") * below)
+    return whole.groupBy("feature").agg(ratio(F.sum("_u"), F.sum("clicks").cast("double") * F.sum("others")).alias("auc"))
 
 
 def log_loss(df: DataFrame, probability: str, label: str = "click", clip: float = 1e-15) -> DataFrame:

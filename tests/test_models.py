@@ -177,3 +177,35 @@ def test_a_forest_is_fitted_on_all_rows(spark, split, monkeypatch):
     monkeypatch.setattr(DataFrame, "count", lambda self: 16_000_000)
     models.fit_forest(split[0])
     assert seen[0].blocks.agg(F.sum("rows")).first()[0] == rows
+
+
+def test_areas_of_packed_scores_are_those_of_pairs(spark):
+    """Parts and ties: against all pairs; borders between the scores change nothing."""
+    import numpy as np
+    rng = np.random.default_rng(4)
+    groups = {g: (np.round(rng.random(300), 2), rng.random(300) < 0.3) for g in (0, 7)} | {9: (np.full(40, 0.5), np.arange(40) % 2 == 0)}
+    slow = {g: np.mean([(a > b) + (a == b) / 2 for a in s[c] for b in s[~c]]) for g, (s, c) in groups.items()}
+    for borders in ([], [0.25, 0.5, 0.75], [0.5, 0.5000001]):
+        batches = [ranking.packed_scores(g, s[k::3], c[k::3], np.array(borders)) for g, (s, c) in groups.items() for k in range(3)]
+        packed = spark.createDataFrame([tuple(r.values()) for b in batches for r in b.to_pylist()], ranking.PACKED)
+        assert {r.feature: r.auc for r in ranking.auc_by_group(packed).collect()} == pytest.approx(slow)
+
+
+def test_partners_do_not_depend_on_how_many_shuffles_are_made(split):
+    """Whole rows are numbered once for all seeds; partners are those of one shuffle at a time."""
+    columns = ["price", "hour"]
+    placed = models.with_places(split[1].select("event_id", *columns), [3, 8])
+    for k, seed in enumerate([3, 8]):
+        shown = lambda df: sorted(tuple(r) for r in df.select("event_id", "hour", "hour_other").collect())
+        assert shown(models.pairs_at(placed, k, columns)) == shown(models.shuffled_pairs(split[1], seed, columns))
+
+
+def test_scores_are_not_written_row_by_row(split, logistic, monkeypatch):
+    """A row per batch and variant leaves the tasks that score, not one per score."""
+    from clickloom.operators.blockscore import Coded
+    coded, test = Coded({"model": logistic}), split[1]
+    number = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))).alias(c)
+    rows = coded.coded(test, models.CATEGORICAL_FEATURES).select("event_id", "click", *map(number, coded.columns))
+    pairs = models.shuffled_pairs(rows, models.SEED, coded.columns).coalesce(1)
+    packed = models.packed_swaps(coded, pairs, ["price", "brand"], models.score_borders(coded, rows), 0)
+    assert packed.count() <= 6 and packed.agg(F.sum(F.length("clicks") + F.length("others"))).first()[0] == 3 * 8 * rows.count()
