@@ -236,3 +236,12 @@ def test_boosted_fits_run_side_by_side(lake):
     finally:
         training.FITS.update(fits)
     assert {n: m.trees for n, m in found.items()} == {n: fits[n](lake.train, models.Inputs(lake.train), **s).trees for n, s in small.items()}
+
+
+@pytest.mark.parametrize("grow", [Growth(6, 0.3, 8, 4, 5), Growth(6, 0.3, 31, 100, 3, 0.5, 1.0)])
+def test_processes_do_not_change_the_trees(known, grow, monkeypatch):
+    n = len(known.cuts)
+    one = trees.fitted_trees(known.blocks, n, -1.0, grow, tasks=1)
+    monkeypatch.setattr(trees, "ROWS_PER_PROCESS", 1)
+    assert trees.processes_of_a_task(known.blocks.sparkSession, 3) == 2 and trees.processes_of_a_task(known.blocks.sparkSession, 20) == 1
+    assert one == trees.fitted_trees(known.blocks, n, -1.0, grow, tasks=1, beside=3) == trees.fitted_trees(known.blocks, n, -1.0, grow, tasks=1, segment=2)
