@@ -245,3 +245,21 @@ def test_processes_do_not_change_the_trees(known, grow, monkeypatch):
     monkeypatch.setattr(trees, "ROWS_PER_PROCESS", 1)
     assert trees.processes_of_a_task(known.blocks.sparkSession, 3) == 2 and trees.processes_of_a_task(known.blocks.sparkSession, 20) == 1
     assert one == trees.fitted_trees(known.blocks, n, -1.0, grow, tasks=1, beside=3) == trees.fitted_trees(known.blocks, n, -1.0, grow, tasks=1, segment=2)
+
+
+def test_rows_are_led_through_a_tree_piece_by_piece(monkeypatch):
+    """An uneven tree, more rows than a piece: against one row and one node at a time."""
+    rng = np.random.default_rng(8)
+    bins = rng.integers(0, 256, (4, 1000)).astype(np.uint8)
+    gradient, hessian = np.rint(rng.standard_normal(1000) * trees.UNIT / 8), np.full(1000, trees.UNIT / 4)
+    tree = trees.grow_tree(bins, np.arange(1000), gradient, hessian, Growth(1, 0.1, 40, 100), lambda x: x)
+
+    def slow(row):
+        node = 0
+        while tree.feature[node] >= 0:
+            node = tree.left[node] + int(bins[tree.feature[node], row] > tree.cut[node])
+        return node
+
+    monkeypatch.setattr(trees, "PIECE", 64)
+    assert tree.leaves_of(bins).tolist() == [slow(row) for row in range(1000)]
+    assert trees.Walk.of(tree).leaves_of(bins[:, :64].copy()).tolist() == [slow(row) for row in range(64)]
